@@ -42,3 +42,11 @@ def overwrite_partition(df: DataFrame, base: str, column: str, value: str | dt.d
     path = f"{base.rstrip('/')}/{column}={value}"
     df.drop(column).write.mode("overwrite").parquet(path)
     return path
+
+
+def overwrite_partitions(df: DataFrame, base: str, column: str) -> None:
+    """Replace every partition the result has rows for, and leave the others alone."""
+    (
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(column).parquet(base)
+    )
