@@ -11,7 +11,8 @@ from ..schemas import (
 
 
 def _uuid(kind: int, key: str) -> str:
-    return f"'0000000{kind}-0000-4000-8000-' || lpad(CAST({key} AS VARCHAR), 12, '0')"
+    digits = f"reverse(lpad(CAST({key} AS VARCHAR), 12, '0'))"
+    return f"({digits}[1:8] || '-' || {digits}[9:12] || '-4000-8000-00000000000{kind}')"
 
 
 def _placed_ms(key: str) -> str:
@@ -436,6 +437,7 @@ SELECT order_id, CASE WHEN {early} THEN 'delivered' ELSE order_status END AS ord
 SELECT order_id, CASE WHEN placed_at_local < (SELECT max(placed_at_local) - INTERVAL 10 MINUTE
            FROM fct_orders WHERE placed_date < DATE '2024-01-10') THEN 'placed'
        ELSE order_status END AS order_status, placed_date FROM fct_orders""")
+    sql["fct_incremental_run"] = sql["fct_incremental_lookback"]
     sql["fct_schema_evolve"] = _with(["fct_orders"], """
 SELECT order_id, platform,
        CASE WHEN placed_date >= DATE '2024-01-08' THEN platform END AS channel FROM fct_orders""")

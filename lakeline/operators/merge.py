@@ -39,6 +39,12 @@ def newest_partition(spark: SparkSession, path: str, column: str) -> DataFrame |
     return spark.read.parquet(path).where(F.col(column) == F.lit(max(values)))
 
 
+def newest_instant(spark: SparkSession, path: str, partition: str, ts: str):
+    """Newest ``ts`` of the table; ``partition`` must be the date of ``ts``."""
+    newest = newest_partition(spark, path, partition)
+    return None if newest is None else newest.agg(F.max(ts)).first()[0]
+
+
 def upsert(
     spark: SparkSession,
     path: str,

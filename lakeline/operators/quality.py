@@ -7,9 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-REPORT = "check_name string, model string, column_name string, failures bigint, passed boolean"
-
-
 @dataclass(frozen=True)
 class Check:
     """A row-level check: rows for which ``fails`` is true are failures."""
@@ -32,17 +29,39 @@ def accepted_values_check(column: str, values: Sequence[str]) -> Check:
 def row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All row-level checks of a table in one pass: one aggregate, then one row per check."""
     counts = df.agg(*[F.count_if(c.fails).alias(f"c{i}") for i, c in enumerate(checks)])
+    return _one_row_per_check(counts, [(c.name, c.column) for c in checks])
+
+
+def _one_row_per_check(counts: DataFrame, checks: Sequence[tuple[str, str]]) -> DataFrame:
     rows = F.array(*[
         F.struct(
-            F.lit(c.name).alias("check_name"),
-            F.lit(c.column).alias("column_name"),
+            F.lit(name).alias("check_name"),
+            F.lit(column).alias("column_name"),
             F.col(f"c{i}").alias("failures"),
         )
-        for i, c in enumerate(checks)
+        for i, (name, column) in enumerate(checks)
     ])
     return counts.select(F.inline(rows))
 
 
+def keyed_checks(df: DataFrame, key: str, checks: Sequence[Check]) -> DataFrame:
+    """The unique check of ``key`` and all row-level checks in one evaluation of ``df``.
+
+    For lazy models: they are computed once, and one that is already
+    partitioned by its key is grouped without another shuffle.
+    """
+    per_key = df.groupBy(key).agg(
+        F.count("*").alias("n"),
+        *[F.count_if(c.fails).alias(f"k{i}") for i, c in enumerate(checks, 1)],
+    )
+    repeated = F.col(key).isNotNull() & (F.col("n") > 1)
+    counts = per_key.agg(
+        F.count_if(repeated).alias("c0"),
+        *[F.coalesce(F.sum(f"k{i}"), F.lit(0)).alias(f"c{i}") for i in range(1, len(checks) + 1)],
+    )
+    return _one_row_per_check(counts, [("unique", key), *((c.name, c.column) for c in checks)])
+
+
 def failing_keys(df: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once; NULLs are ignored."""
     return (
@@ -91,6 +110,9 @@ class ModelChecks:
     not_null: tuple[str, ...] = ()
     accepted: tuple[tuple[str, tuple[str, ...]], ...] = ()
     extra: tuple[Check, ...] = ()
+    #: A lazy model, worth a wider grouping to be evaluated once only. A stored
+    #: table is rather read twice, with the key alone in the shuffle.
+    lazy: bool = False
 
     def rows(self) -> list[Check]:
         return [
@@ -101,13 +123,16 @@ class ModelChecks:
 
 
 def run_checks(models: dict[str, DataFrame], spec: dict[str, ModelChecks]) -> DataFrame:
-    """One row per check over all models; each model is read once for its row checks."""
+    """One row per check over all models; lazy models are evaluated once."""
     parts = []
     for model, checks in spec.items():
         df = models[model]
-        found = [unique(df, c) for c in checks.unique]
-        if checks.rows():
-            found.append(row_checks(df, checks.rows()))
+        if checks.lazy and len(checks.unique) == 1:
+            found = [keyed_checks(df, checks.unique[0], checks.rows())]
+        else:
+            found = [unique(df, c) for c in checks.unique]
+            if checks.rows():
+                found.append(row_checks(df, checks.rows()))
         parts.extend(f.withColumn("model", F.lit(model)) for f in found)
     report = parts[0]
     for part in parts[1:]:

@@ -13,28 +13,30 @@ from ..schemas import (
 def model_checks() -> dict[str, ModelChecks]:
     return {
         "stg_orders": ModelChecks(
-            unique=("order_id",),
+            lazy=True, unique=("order_id",),
             not_null=("order_id", "customer_id", "restaurant_id", "rider_id", "city", "status",
                       "payment_method", "platform", "total_vnd", "placed_date"),
             accepted=(("city", CITIES), ("status", ORDER_STATUSES),
                       ("payment_method", PAYMENT_METHODS), ("platform", PLATFORMS)),
         ),
         "stg_payments": ModelChecks(
-            unique=("payment_id",),
+            lazy=True, unique=("payment_id",),
             not_null=("payment_id", "order_id", "amount_vnd", "payment_method",
                       "payment_status", "processed_at_local"),
             accepted=(("payment_method", PAYMENT_METHODS),
                       ("payment_status", PAYMENT_STATUSES)),
         ),
         "stg_riders": ModelChecks(
-            unique=("event_id",),
+            lazy=True, unique=("event_id",),
             not_null=("event_id", "rider_id", "city", "latitude", "longitude", "rider_status"),
             accepted=(("city", CITIES), ("rider_status", RIDER_STATUSES)),
         ),
         "stg_order_items": ModelChecks(
             not_null=("order_id", "item_id", "item_name", "quantity", "line_total_vnd"),
         ),
-        "int_order_payments": ModelChecks(unique=("order_id",), not_null=("order_id",)),
+        "int_order_payments": ModelChecks(
+            lazy=True, unique=("order_id",), not_null=("order_id",)
+        ),
         "int_delivery_metrics": ModelChecks(not_null=("rider_id", "event_date")),
         "fct_orders": ModelChecks(
             unique=("order_id",),

@@ -18,8 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def uuid_of(kind: int, key: Column) -> Column:
-    """Key as UUID text; ``kind`` keeps the entities apart."""
-    return F.concat(F.lit(f"0000000{kind}-0000-4000-8000-"), F.lpad(key.cast("string"), 12, "0"))
+    """Key as UUID text, low digits first; ``kind`` keeps the entities apart."""
+    digits = F.reverse(F.lpad(key.cast("string"), 12, "0"))
+    return F.concat(
+        F.substring(digits, 1, 8), F.lit("-"), F.substring(digits, 9, 4),
+        F.lit(f"-4000-8000-00000000000{kind}"),
+    )
 
 
 def placed_ms(key: Column) -> Column:

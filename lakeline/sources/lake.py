@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .fs import as_date
+from .fs import Folder, as_date
 
 DAY_COLUMNS = ("year", "month", "day")
 BATCH_COLUMN = "batch_id"
@@ -20,12 +19,10 @@ def lake_schema(schema: T.StructType) -> T.StructType:
 
 def read_lake(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
     """The whole lake table; empty with its schema while nothing is written yet."""
-    try:
-        return spark.read.schema(lake_schema(schema)).parquet(base).drop(BATCH_COLUMN)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], lake_schema(schema)).drop(BATCH_COLUMN)
+    columns = lake_schema(schema)
+    if not Folder(spark, base).exists():
+        return spark.createDataFrame([], columns).drop(BATCH_COLUMN)
+    return spark.read.schema(columns).parquet(base).drop(BATCH_COLUMN)
 
 
 def read_day(

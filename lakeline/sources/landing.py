@@ -6,7 +6,6 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..schemas import required as required_fields
@@ -106,17 +105,14 @@ def load_day(
     """
     d = as_date(date)
     source = landing_day(*topic_dir.rstrip("/").rsplit("/", 1), d)
-    reader = (
+    if not Folder(spark, source).exists():
+        return 0
+    lines = (
         spark.read.schema(with_corrupt_column(schema))
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", "true")
+        .json(source)
     )
-    try:
-        lines = reader.json(source)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return 0
 
     bad = is_bad(required_fields(schema))
     seen = Observation()
