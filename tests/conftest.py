@@ -1,0 +1,94 @@
+import datetime as dt
+import os
+import sys
+
+import pytest
+from pyspark.sql import types as T
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from lakeline.session import build_session, use_utc  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session("tests", **{
+        "spark.master": "local[4]", "spark.sql.shuffle.partitions": "4",
+        "spark.driver.memory": "4g", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+    })
+    session.sparkContext.setLogLevel("ERROR")
+    use_utc(session)
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def rows(spark):
+    return Rows(spark)
+
+
+def utc(text: str) -> dt.datetime:
+    return dt.datetime.fromisoformat(text).replace(tzinfo=dt.timezone.utc)
+
+
+class Rows:
+    """Raw rows with sensible defaults; a test names only what it is about."""
+
+    def __init__(self, spark):
+        self.spark = spark
+
+    def orders(self, *overrides: dict):
+        from lakeline.schemas import ORDERS
+
+        def one(o):
+            placed = o.get("placed_at", utc("2024-01-05T03:00:00"))
+            base = {
+                "order_id": "o1", "customer_id": "c1", "restaurant_id": "r1", "rider_id": "d1",
+                "city": "hanoi", "district": "Ba Đình", "status": "placed", "items": "[]",
+                "subtotal_vnd": 100, "delivery_fee_vnd": 0, "discount_vnd": 0, "total_vnd": 100,
+                "payment_method": "momo", "platform": "ios",
+                "placed_at": placed, "event_timestamp": placed, "producer_ts": 0.0,
+            }
+            return {**base, **o}
+
+        return self._frame([one(o) for o in overrides], ORDERS)
+
+    def payments(self, *overrides: dict):
+        from lakeline.schemas import PAYMENTS
+
+        def one(p):
+            at = p.get("processed_at", utc("2024-01-05T03:01:00"))
+            base = {
+                "payment_id": "p1", "order_id": "o1", "amount_vnd": 100, "method": "momo",
+                "status": "success", "gateway_transaction_id": "g1",
+                "processed_at": at, "event_timestamp": at, "producer_ts": 0.0,
+            }
+            return {**base, **p}
+
+        return self._frame([one(p) for p in overrides], PAYMENTS)
+
+    def riders(self, *overrides: dict):
+        from lakeline.schemas import RIDER_EVENTS
+
+        def one(r):
+            base = {
+                "event_id": "e1", "rider_id": "d1", "order_id": None, "city": "hanoi",
+                "latitude": 21.0, "longitude": 105.8, "speed_kmh": 0.0, "status": "available",
+                "battery_pct": 50, "event_timestamp": utc("2024-01-05T03:00:00"),
+                "producer_ts": 0.0,
+            }
+            return {**base, **r}
+
+        return self._frame([one(r) for r in overrides], RIDER_EVENTS)
+
+    def _frame(self, data, schema):
+        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+        return self.spark.createDataFrame([[d[f.name] for f in schema] for d in data], nullable)
+
+
+def dicts(df):
+    return [r.asDict() for r in df.collect()]

@@ -1,0 +1,275 @@
+"""Dedup, joins, checks, series and column helpers against brute force."""
+
+import datetime as dt
+
+import pytest
+from conftest import dicts, utc
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from lakeline import functions as lf
+from lakeline.operators import joins, quality, series
+from lakeline.operators.dedup import duplicate_report, latest_by, replacing_read
+from lakeline.plans import dashboards, reports
+
+few = settings(max_examples=8, deadline=None,
+               suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+@few
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 5), st.integers(0, 5)), min_size=1))
+def test_latest_by_against_brute_force(spark, data):
+    df = spark.createDataFrame(data, "k int, v int, t int").repartition(3)
+    expected = {}
+    for k, v, t in data:
+        expected[k] = max(expected.get(k, (v, t)), (v, t))
+    got = {r.k: (r.v, r.t) for r in latest_by(df, ["k"], "v", ["t"]).collect()}
+    assert got == expected
+
+
+@few
+@given(
+    st.sets(st.integers(0, 6), min_size=1),
+    st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 8)), st.integers(0, 3))),
+    st.integers(1, 3),
+)
+def test_hot_join_equals_plain_left_join(spark, keys, right_rows, min_rows):
+    left = spark.createDataFrame([(k, f"l{k}") for k in keys] + [(None, "none")], "k int, a string")
+    right = spark.createDataFrame(right_rows, "k int, b int")
+    hot = joins.hot_keys(right, "k", min_rows=min_rows)
+    counts = {k: sum(1 for r in right_rows if r[0] == k) for k in range(9)}
+    assert set(hot) == {k for k, n in counts.items() if n >= min_rows}
+    plain = left.join(right, "k", "left")
+    split = joins.left_join(left, right, "k", hot)
+    assert split.columns == plain.columns
+    assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_hot_keys_are_bounded(spark):
+    df = spark.range(100).select((F.col("id") % 10).alias("k"))
+    assert len(joins.hot_keys(df, "k", min_rows=5, max_keys=3)) == 3
+    with pytest.raises(ValueError):
+        joins.left_join(df, df, "k", list(range(joins.HOT_KEYS + 1)))
+
+
+def test_replacing_read_and_duplicates(rows):
+    raw = rows.orders({}, {}, {"order_id": "o2"}, {"order_id": "o3", "city": "hcmc"})
+    assert replacing_read(raw, ["order_id"], "event_timestamp", final=False).count() == 4
+    assert replacing_read(raw, ["order_id"], "event_timestamp").count() == 3
+    report = {r["city"]: r for r in dicts(duplicate_report(raw, ["order_id"], ["city"]))}
+    assert report["hanoi"]["duplicate_rows"] == 1 and report["hcmc"]["duplicate_rows"] == 0
+
+
+def test_paid_by_city_multiplies_copies(rows):
+    orders = rows.orders({}, {}, {"order_id": "o2", "city": "hcmc"})
+    payments = rows.payments({}, {"payment_id": "p2", "amount_vnd": 50}, {"order_id": "o9"})
+    out = dicts(reports.paid_by_city(orders, payments))
+    assert out == [{"city": "hanoi", "orders": 4, "paid": 300}]
+
+
+def test_fact_join_report_counts_every_pair(spark):
+    day = dt.date(2024, 1, 5)
+    fct = spark.createDataFrame([(day,)] * 3, "placed_date date")
+    rpt = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 5, h), v) for h, v in ((1, 10), (2, 10), (3, 20))],
+        "hour_bucket timestamp_ntz, total_revenue_vnd bigint")
+    out = {r.total_revenue_vnd: r.orders for r in reports.fact_join_report(fct, rpt).collect()}
+    assert out == {10: 6, 20: 3}
+
+
+# --- checks ---------------------------------------------------------------
+
+def fact(spark, *data):
+    return spark.createDataFrame(
+        data, "order_id string, total_vnd bigint, payment_amount_vnd bigint, order_status string")
+
+
+def test_unique_ignores_nulls_and_counts_keys(spark):
+    df = fact(spark, ("a", 1, 1, "x"), ("a", 1, 1, "x"), ("a", 1, 1, "x"), ("b", 1, 1, "x"),
+              (None, 1, 1, "x"), (None, 1, 1, "x"))
+    assert dicts(quality.unique(df, "order_id"))[0]["failures"] == 1
+    check = quality.not_null_check("order_id")
+    both = {r["check_name"]: r["failures"] for r in dicts(
+        quality.keyed_checks(df, "order_id", [check]))}
+    assert both == {"unique": 1, "not_null": 2}
+
+
+def test_accepted_values_let_null_pass(spark):
+    df = fact(spark, ("a", 1, 1, "x"), ("b", 1, 1, None), ("c", 1, 1, "y"))
+    assert dicts(quality.accepted_values(df, "order_status", ["x"]))[0]["failures"] == 1
+
+
+def test_payment_cap_bound(spark):
+    df = fact(spark, ("a", 1000, 1100, "x"), ("b", 1000, 1101, "x"), ("c", 1000, None, "x"))
+    assert [r.failures for r in quality.failures(df, quality.payment_cap_check()).collect()] == [1]
+
+
+def test_singular_checks_have_no_row_when_clean(spark):
+    df = fact(spark, ("a", 10, 1, "placed"))
+    assert quality.failures(df, quality.positive_revenue_check()).count() == 0
+    assert quality.failures(df, quality.valid_status_check(["placed"])).count() == 0
+    assert quality.failures(df, quality.valid_status_check(["other"])).count() == 1
+
+
+def test_check_run_has_55_checks_and_fails_on_any(spark, rows):
+    from lakeline.plans.checks import model_checks
+    from lakeline.plans.models import run_models
+
+    item = '[{"item_id":"a","name":"n","price_vnd":1,"quantity":1}]'
+    clean = {"orders": rows.orders({"items": item}), "payments": rows.payments({}),
+             "rider_events": rows.riders({})}
+    report = quality.run_checks(run_models(spark, clean), model_checks())
+    assert quality.assert_checks(report) == 55
+    twice = {**clean, "payments": rows.payments({}, {"payment_id": "p2"})}
+    report = quality.run_checks(run_models(spark, twice), model_checks())
+    failed = {(r.model, r.check_name) for r in report.collect() if not r.passed}
+    assert failed == {("int_order_payments", "unique"), ("fct_orders", "unique")}
+    with pytest.raises(quality.ChecksFailed):
+        quality.assert_checks(report)
+
+
+# --- series ---------------------------------------------------------------
+
+def samples(spark, values, step=60, name="value"):
+    start = utc("2024-01-05T00:59:00")
+    data = [("s", start + dt.timedelta(seconds=step * i), v) for i, v in enumerate(values)]
+    return spark.createDataFrame(data, f"series string, ts timestamp, {name} bigint")
+
+
+def test_counter_increase_over_a_restart(spark):
+    out = series.counter_increase(samples(spark, [10, 20, 5, 15]), ["series"]).orderBy("ts")
+    assert [r.increase for r in out.collect()] == [None, 10, 5, 10]
+
+
+def test_counter_rate_per_window(spark):
+    df = samples(spark, [0, 60, 120, 180], step=30)
+    out = series.counter_rate(df, ["series"], ["series"], "1 minute").orderBy("window_start")
+    assert [(r.increase, r.rate) for r in out.collect()] == [(60, 1.0), (120, 2.0)]
+
+
+def test_backlog_alerts(spark):
+    df = samples(spark, [4000, 6000, 7000, 60000], name="backlog").withColumnRenamed(
+        "series", "subscription")
+    out = {}
+    for r in series.backlog_alerts(df).collect():
+        out.setdefault(r.backlog, set()).add(r.alert)
+    assert out == {7000: {"GROWING_BACKLOG"}, 60000: {"HIGH_BACKLOG", "GROWING_BACKLOG"}}
+
+
+@few
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 40), st.integers(0, 99)),
+                unique_by=lambda r: r[:2]), st.sampled_from(["minute", "hour", "day"]))
+def test_previous_sample_across_buckets(spark, data, bucket):
+    start = dt.datetime(2024, 1, 5, 23, 30, tzinfo=dt.timezone.utc)
+    df = spark.createDataFrame(
+        [(k, start + dt.timedelta(minutes=7 * m), v) for k, m, v in data],
+        "k int, ts timestamp, v int")
+    got = {(r.k, r.ts.minute, r.ts.hour, r.ts.day): r.previous
+           for r in series.with_previous(df, ["k"], "ts", "v", bucket=bucket).collect()}
+    expected = {}
+    for k, m, v in data:
+        before = [(m2, v2) for k2, m2, v2 in data if k2 == k and m2 < m]
+        at = (start + dt.timedelta(minutes=7 * m)).replace(tzinfo=None)
+        expected[(k, at.minute, at.hour, at.day)] = max(before)[1] if before else None
+    assert got == expected
+
+
+def test_gauges(spark):
+    df = samples(spark, [1, 2, 6], step=100)
+    out = series.gauge_rollup(df, ["series"], "5 minutes").orderBy("window_start").collect()
+    assert [(r.min_value, r.max_value, r.samples) for r in out] == [(1, 1, 1), (2, 6, 2)]
+    last = series.latest_sum(df, ["series"], ["series"], "5 minutes").orderBy("window_start")
+    assert [r.value for r in last.collect()] == [1, 6]
+
+
+# --- functions ------------------------------------------------------------
+
+def one(spark, value, kind, column):
+    return spark.createDataFrame([(value,)], f"x {kind}").select(column.alias("y")).first()[0]
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("2024-01-05T03:00:00.123456Z", "2024-01-05T03:00:00.123000"),
+    ("2024-01-05T10:00:00+07:00", "2024-01-05T03:00:00"),
+    ("2024-01-05 03:00:00", "2024-01-05T03:00:00"),
+    ("1704423600", "2024-01-05T03:00:00"),
+    ("1704423600500", "2024-01-05T03:00:00.500000"),
+    ("not a time", None),
+    (None, None),
+])
+def test_best_effort_timestamp(spark, text, expected):
+    c = F.date_format(lf.best_effort_timestamp("x"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    got = one(spark, text, "string", c)
+    want = expected and dt.datetime.fromisoformat(expected).strftime("%Y-%m-%dT%H:%M:%S.%f")
+    assert got == want
+
+
+def test_uuids(spark):
+    good = "0F8FAD5B-D9CB-469F-A165-70867728950E"
+    assert one(spark, good, "string", lf.uuid_strict("x")) == good.lower()
+    assert one(spark, "", "string", lf.uuid_or_null("x")) is None
+    assert one(spark, None, "string", lf.uuid_strict("x")) is None
+    with pytest.raises(Exception, match="not a UUID"):
+        one(spark, "nope", "string", lf.uuid_strict("x"))
+
+
+def test_hour_bucket_ignores_the_session_zone(spark):
+    value = dt.datetime(2024, 3, 10, 2, 30, 15)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = one(spark, value, "timestamp_ntz", lf.hour_bucket("x"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == dt.datetime(2024, 3, 10, 2, 0)
+
+
+def test_readable(spark):
+    assert one(spark, 5_030_000, "bigint", lf.readable_quantity("x")) == "5.03 million"
+    assert one(spark, 12, "bigint", lf.readable_quantity("x")) == "12.00"
+    assert one(spark, 435 * 2**20, "bigint", lf.readable_size("x")) == "435.00 MiB"
+
+
+# --- dashboards -----------------------------------------------------------
+
+def report(spark, *data):
+    return spark.createDataFrame(
+        data, "city string, hour_bucket timestamp_ntz, total_orders bigint, "
+              "cancelled_orders bigint, total_revenue_k_vnd double")
+
+
+def test_range_includes_both_ends(spark):
+    hours = [dt.datetime(2024, 1, 5, h) for h in range(4)]
+    rpt = report(spark, *[("hcmc", h, 1, 0, 1.0) for h in hours])
+    assert dashboards.in_range(rpt, hours[1], hours[2]).count() == 2
+
+
+def test_empty_range_gives_one_null_row(spark):
+    lo, hi = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    rpt = report(spark, ("hcmc", dt.datetime(2024, 1, 5), 1, 0, 1.0))
+    assert dicts(dashboards.totals(rpt, lo, hi)) == [
+        {"total_orders": None, "total_revenue_k_vnd": None}]
+    assert dicts(dashboards.cancellation_rate(rpt, lo, hi)) == [{"value": None, "status": None}]
+
+
+def test_cancellation_thresholds(spark):
+    at = dt.datetime(2024, 1, 5)
+    for cancelled, status in ((9, "ok"), (10, "warn"), (20, "alert")):
+        rpt = report(spark, ("hcmc", at, 100, cancelled, 1.0))
+        assert dicts(dashboards.cancellation_rate(rpt, at, at))[0]["status"] == status
+
+
+def test_pivot_fills_missing_cities_with_zero(spark):
+    at = dt.datetime(2024, 1, 5)
+    out = dicts(dashboards.orders_by_city_pivot(report(spark, ("hcmc", at, 7, 0, 1.0)), at, at))
+    assert out == [{"time": at, "HCMC": 7, "Hanoi": 0, "Danang": 0}]
+
+
+def test_latency_sketch_is_close_to_exact(spark):
+    df = spark.range(1000).select(
+        F.timestamp_millis(F.col("id") + 1_000_000).alias("_ingested_at"),
+        F.lit(1000.0).alias("producer_ts"))
+    exact = reports.ingest_latency(df, exact=True).first()
+    sketch = reports.ingest_latency(df).first()
+    assert exact.samples == sketch.samples == 1000
+    assert exact.p50_seconds == pytest.approx(0.4995)
+    assert sketch.p95_seconds == pytest.approx(exact.p95_seconds, abs=0.002)
