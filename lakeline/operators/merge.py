@@ -72,29 +72,36 @@ def upsert(
     source.write.partitionBy(partition_by).parquet(staged_path)
     staged = spark.read.schema(source.schema).parquet(staged_path)
     incoming = partition_values(spark, staged_path, partition_by)
-
-    stored = spark.read.parquet(path).schema
-    extra = [f for f in source.schema if f.name not in stored.names]
-    if extra and not evolve:
-        raise ValueError(f"columns not in the table: {[f.name for f in extra]}")
-    schema = T.StructType([*stored, *extra])
-    target = read_table(spark, path, schema)
-
-    searched = target if within is None else target.where(within)
+    wanted = [f for f in source.schema if f.name in (key, partition_by)]
+    target_keys = read_table(spark, path, T.StructType(wanted))
+    searched = target_keys if within is None else spark.read.parquet(path).where(within)
     matched = (
         searched.select(key, partition_by)
         .join(staged.select(key), key, "left_semi")
         .select(F.col(partition_by).cast("string")).distinct()
     )
     # One value per partition of the table, so the list is short by design.
-    affected = sorted({*incoming, *(row[0] for row in matched.collect())})
+    touched = {row[0] for row in matched.collect()}
+    affected = sorted({*incoming, *touched})
     if not affected:
         Folder(spark, staged_path).delete()
         return []
 
-    hit = F.col(partition_by).isin([F.lit(v).cast(schema[partition_by].dataType) for v in affected])
-    kept = target.where(hit).join(staged.select(key), key, "left_anti")
-    merged = kept.unionByName(staged, allowMissingColumns=True)
+    present = set(partition_values(spark, path, partition_by))
+    old = [f"{path}/{partition_by}={v}" for v in affected if v in present]
+    merged = staged
+    if old:
+        # Older files may lack columns that newer ones have: merge the footers
+        # of the partitions that are rewritten anyway.
+        kept = (
+            spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*old)
+            .join(staged.select(key), key, "left_anti")
+        )
+        extra = [c for c in source.columns if c not in kept.columns]
+        if extra and not evolve:
+            Folder(spark, staged_path).delete()
+            raise ValueError(f"columns not in the table: {extra}")
+        merged = kept.unionByName(staged, allowMissingColumns=True)
     work = swap.open_swap(spark, path)
     laid_out(merged, (partition_by,), cluster_by).write.partitionBy(partition_by).parquet(
         work.child("new").path

@@ -1,0 +1,84 @@
+"""Plan shapes that keep the jobs fast on large data."""
+
+import datetime as dt
+import re
+
+import pytest
+
+from lakeline.catalog.queries import AS_OF
+from lakeline.functions import with_event_date_parts
+from lakeline.operators.dedup import latest_by
+from lakeline.plans import dashboards, reports
+from lakeline.plans.models import run_models
+from lakeline.schemas import ORDERS
+from lakeline.sources import lake
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+@pytest.fixture
+def raw(spark, rows, tmp_path):
+    out = {"orders": rows.orders({}), "payments": rows.payments({}),
+           "rider_events": rows.riders({})}
+    for name, df in out.items():
+        df.write.parquet(str(tmp_path / name))
+        out[name] = spark.read.parquet(str(tmp_path / name))
+    return out
+
+
+def test_dedup_reduces_on_the_map_side(raw):
+    plan = plan_of(latest_by(raw["orders"], ["order_id"], "event_timestamp"))
+    tree = plan.split("\n\n")[0]
+    modes = re.findall(r"WindowGroupLimit|Exchange|Scan parquet", tree)
+    assert modes == ["WindowGroupLimit", "Exchange", "WindowGroupLimit", "Scan parquet"]
+
+
+def test_fact_shuffles_each_side_as_little_as_possible(spark, raw):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(run_models(spark, raw)["fct_orders"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tree = plan.split("\n\n")[0]
+    # Orders: one exchange serves dedup and join. Payments: dedup key, then join key.
+    assert len(re.findall(r"Exchange \(", tree)) == 3
+    assert "Cartesian" not in tree and "NestedLoop" not in tree
+    assert "Python" not in plan
+
+
+def test_time_filter_and_columns_reach_the_scan(raw):
+    plan = plan_of(reports.method_share(raw["orders"], AS_OF, 30))
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(placed_at", plan)
+    schema = re.search(r"ReadSchema: (.*)", plan).group(1)
+    assert sorted(re.findall(r"(\w+):", schema)) == [
+        "city", "payment_method", "placed_at", "total_vnd"]
+
+
+def test_day_read_prunes_partitions(spark, rows, tmp_path):
+    base = str(tmp_path / "lake")
+    with_event_date_parts(rows.orders({})).write.partitionBy(*lake.DAY_COLUMNS).parquet(base)
+    plan = plan_of(lake.read_day(spark, base, "2024-01-05", ORDERS))
+    assert re.search(r"PartitionFilters: \[.*year.*month.*day", plan)
+
+
+def test_freshness_prunes_to_recent_days(spark, raw, tmp_path):
+    fct = run_models(spark, raw, str(tmp_path / "marts"))["fct_orders"]
+    plan = plan_of(dashboards.freshness(fct, dt.datetime(2024, 1, 5, 12)))
+    assert re.search(r"PartitionFilters: \[.*placed_date", plan)
+    assert "placed_at_local" in re.search(r"ReadSchema: (.*)", plan).group(1)
+
+
+def test_unpivot_scans_once(spark, raw):
+    rpt = run_models(spark, raw)["rpt_hourly_revenue"]
+    at = dt.datetime(2024, 1, 5)
+    plan = plan_of(dashboards.payment_methods(rpt, at, at))
+    assert len(re.findall(r"Scan parquet", plan.split("\n\n")[0])) == 2
+
+
+def test_many_to_many_joins_count_before_joining(spark, raw):
+    tree = plan_of(reports.paid_by_city(raw["orders"], raw["payments"])).split("\n\n")[0]
+    join = tree.index("Join")
+    assert tree[join:].count("HashAggregate") >= 4
