@@ -75,9 +75,11 @@ def upsert(
     wanted = [f for f in source.schema if f.name in (key, partition_by)]
     target_keys = read_table(spark, path, T.StructType(wanted))
     searched = target_keys if within is None else spark.read.parquet(path).where(within)
+    # Distinct first: a key the source repeats many times is one row in the joins.
+    source_keys = staged.select(key).distinct()
     matched = (
         searched.select(key, partition_by)
-        .join(staged.select(key), key, "left_semi")
+        .join(source_keys, key, "left_semi")
         .select(F.col(partition_by).cast("string")).distinct()
     )
     # One value per partition of the table, so the list is short by design.
@@ -95,7 +97,7 @@ def upsert(
         # of the partitions that are rewritten anyway.
         kept = (
             spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*old)
-            .join(staged.select(key), key, "left_anti")
+            .join(source_keys, key, "left_anti")
         )
         extra = [c for c in source.columns if c not in kept.columns]
         if extra and not evolve:
