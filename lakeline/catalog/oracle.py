@@ -192,11 +192,18 @@ SELECT restaurant_id, city, count(*) AS total_orders,
        min(placed_date) AS first_order_date, max(placed_date) AS last_order_date
 FROM fct_orders GROUP BY restaurant_id, city"""
 
-CTE["dim_rider"] = """
+def _mean(column: str, digits: int) -> str:
+    """Average of a daily value, rounded half up in whole numbers."""
+    total = f"CAST(sum(CAST(round({column} * 1e10) AS BIGINT)) AS HUGEINT)"
+    days, scale = "CAST(count(*) AS HUGEINT) * 10000000000", 10**digits
+    return f"CAST((2 * {scale} * {total} + {days}) // (2 * {days}) AS DOUBLE) / {scale}"
+
+
+CTE["dim_rider"] = f"""
 SELECT rider_id, city, CAST(sum(total_pings) AS BIGINT) AS lifetime_pings,
-       round(avg(utilization_pct), 1) AS avg_utilization_pct,
-       round(avg(avg_speed_kmh), 1) AS avg_speed_kmh,
-       round(avg(avg_battery_pct)) AS avg_battery_pct,
+       {_mean('utilization_pct', 1)} AS avg_utilization_pct,
+       {_mean('avg_speed_kmh', 1)} AS avg_speed_kmh,
+       {_mean('avg_battery_pct', 0)} AS avg_battery_pct,
        count(DISTINCT event_date) AS active_days
 FROM int_delivery_metrics GROUP BY rider_id, city"""
 
@@ -504,8 +511,8 @@ FROM (SELECT {_secs("TIMESTAMP '2024-01-15 07:00:00'")} - {_secs('max(placed_at_
 
     sql["m_latency_percentiles"] = _with(["raw_orders"], """
 SELECT city, count(*) AS samples,
-       round(quantile_cont(CAST(lag_ms AS DOUBLE), 0.5) / 1000.0, 4) AS p50_seconds,
-       round(quantile_cont(CAST(lag_ms AS DOUBLE), 0.95) / 1000.0, 4) AS p95_seconds
+       round(quantile_cont(CAST(lag_ms AS DOUBLE), 0.5) / 1000.0, 6) AS p50_seconds,
+       round(quantile_cont(CAST(lag_ms AS DOUBLE), 0.95) / 1000.0, 6) AS p95_seconds
 FROM raw_orders GROUP BY city""")
     sql["m_throughput_per_min"] = _with(["raw_orders"], """
 SELECT city, count(*) AS minutes, CAST(sum(n) AS BIGINT) AS total_rows,

@@ -581,7 +581,7 @@ def d_freshness(spark, sf_dir):
 def m_latency_percentiles(spark, sf_dir):
     orders = adapters.raw_orders(spark, sf_dir, ingested=True)
     out = reports.ingest_latency(orders, by=["city"], exact=True)
-    return out.withColumns({c: F.round(c, 4) for c in ("p50_seconds", "p95_seconds")})
+    return out.withColumns({c: F.round(c, 6) for c in ("p50_seconds", "p95_seconds")})
 
 
 @query

@@ -40,14 +40,20 @@ def dim_restaurant(fct: DataFrame) -> DataFrame:
 def dim_rider(delivery_metrics: DataFrame) -> DataFrame:
     """Averages are unweighted averages of the daily values.
 
+    They are taken over decimals: sums of doubles depend on the order of the
+    rows, and a value near a rounding boundary would change between runs.
     The input has one row per rider, city and day, so counting its days is the
     distinct count, without a distinct aggregate.
     """
+    def mean(column: str, digits: int) -> Column:
+        exact = F.avg(F.col(column).cast("decimal(20,10)"))
+        return F.round(exact, digits).cast("double")
+
     return delivery_metrics.groupBy("rider_id", "city").agg(
         F.sum("total_pings").alias("lifetime_pings"),
-        F.round(F.avg("utilization_pct"), 1).alias("avg_utilization_pct"),
-        F.round(F.avg("avg_speed_kmh"), 1).alias("avg_speed_kmh"),
-        F.round(F.avg("avg_battery_pct")).alias("avg_battery_pct"),
+        mean("utilization_pct", 1).alias("avg_utilization_pct"),
+        mean("avg_speed_kmh", 1).alias("avg_speed_kmh"),
+        mean("avg_battery_pct", 0).alias("avg_battery_pct"),
         F.count("event_date").alias("active_days"),
     )
 
