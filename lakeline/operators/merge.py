@@ -12,6 +12,10 @@ from ..sources.fs import Folder, partition_values
 from ..sources.tables import laid_out, materialize
 
 
+#: Folder value Spark writes for a NULL partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read a mart table; with ``schema``, columns missing in old files are NULL."""
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
@@ -57,6 +61,8 @@ def upsert(
 ) -> list[str]:
     """Replace rows with matching ``key``, insert the others; returns the partitions rewritten.
 
+    ``partition_by`` holds dates or plain words, as they appear in folder names.
+
     Only the partitions that hold a matched key or receive a source row are
     rewritten, and one that loses all its rows is removed, so a key whose
     partition changes is never left behind. ``within`` may bound the partitions
@@ -80,7 +86,7 @@ def upsert(
     matched = (
         searched.select(key, partition_by)
         .join(source_keys, key, "left_semi")
-        .select(F.col(partition_by).cast("string")).distinct()
+        .select(F.coalesce(F.col(partition_by).cast("string"), F.lit(NO_VALUE))).distinct()
     )
     # One value per partition of the table, so the list is short by design.
     touched = {row[0] for row in matched.collect()}

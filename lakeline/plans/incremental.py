@@ -66,8 +66,14 @@ def run_incremental(
     payments: DataFrame,
     path: str,
     lookback: dt.timedelta = dt.timedelta(minutes=10),
+    max_move_days: int | None = None,
 ) -> list[str]:
-    """Bring the stored fact up to date; a missing or empty table is built in full."""
+    """Bring the stored fact up to date; a missing or empty table is built in full.
+
+    Stored rows of the incoming orders are searched in the key column of the
+    whole table. Where an order's date is known never to move by more than
+    ``max_move_days``, only the partitions within that reach are searched.
+    """
     swap.recover(spark, path)
     newest = merge.newest_instant(spark, path, "placed_date", "placed_at_local")
     if newest is None:
@@ -77,6 +83,12 @@ def run_incremental(
         return merge.upsert(spark, path, full, "order_id", "placed_date", ["city"])
     scratch = scratch_dir(spark, "increment")
     source = incremental_fct_orders(spark, orders, payments, newest - lookback, scratch)
-    rewritten = merge.upsert(spark, path, source, "order_id", "placed_date", ["city"])
+    within = None
+    if max_move_days is not None:
+        reach = (newest - lookback).date() - dt.timedelta(days=max_move_days)
+        within = F.col("placed_date") >= F.lit(reach)
+    rewritten = merge.upsert(
+        spark, path, source, "order_id", "placed_date", ["city"], within=within
+    )
     Folder(spark, scratch).delete()
     return rewritten

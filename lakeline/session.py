@@ -38,11 +38,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder of the cluster.
 
-    The cluster names that folder in ``spark.checkpoint.dir``; a local one is
-    made only where the setting is absent, as in unit tests.
+    The cluster names that folder in ``spark.checkpoint.dir``. Only a local
+    session without the setting, as in unit tests, gets one of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="lakeline-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/lakeline/{name}-{uuid.uuid4().hex}"

@@ -47,8 +47,12 @@ def read_events(
     return stream.withWatermark(event_time, watermark) if watermark else stream
 
 
-def is_bad(required: Sequence[str]):
-    bad = F.col(CORRUPT).isNotNull()
+def _unreadable(df: DataFrame):
+    return F.col(CORRUPT) if CORRUPT in df.columns else F.lit(None).cast("string")
+
+
+def is_bad(df: DataFrame, required: Sequence[str]):
+    bad = _unreadable(df).isNotNull()
     for name in required:
         bad = bad | F.col(name).isNull()
     return bad
@@ -58,17 +62,18 @@ def split_corrupt(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, Da
     """(good, quarantine). Bad: not JSON, a field of the wrong type, a required field missing.
 
     The quarantine keeps the raw line where the parser kept it and a rebuilt
-    one where the line was valid JSON without a required value.
+    one where the line was valid JSON without a required value. Rows of a
+    lenient typed ingest can be split as well: what could not be read is NULL.
     """
-    bad = is_bad(required)
+    bad, unreadable = is_bad(df, required), _unreadable(df)
     data = [c for c in df.columns if c != CORRUPT]
     missing = F.array_compact(
         F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
     )
-    reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("unreadable")).otherwise(
+    reason = F.when(unreadable.isNotNull(), F.lit("unreadable")).otherwise(
         F.concat(F.lit("missing "), F.array_join(missing, ","))
     )
-    record = F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*data)))
+    record = F.coalesce(unreadable, F.to_json(F.struct(*data)))
     good = df.where(~bad).select(*data)
     return good, df.where(bad).select(reason.alias("reason"), record.alias("record"))
 
@@ -114,7 +119,7 @@ def load_day(
         .json(source)
     )
 
-    bad = is_bad(required_fields(schema))
+    bad = is_bad(lines, required_fields(schema))
     seen = Observation()
     counted = lines.withColumn("__bad", bad).observe(
         seen,

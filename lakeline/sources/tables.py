@@ -16,12 +16,11 @@ def laid_out(
     tasks and merge light ones, where ``repartition`` would put a heavy day
     into one task. Sorted files carry tight min/max values for skipping.
     """
-    if partition_by:
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    elif cluster_by:
-        df = df.hint("rebalance")
     order = [*partition_by, *cluster_by]
-    return df.sortWithinPartitions(*order) if order else df
+    if not order:
+        return df
+    grouped = df.hint("rebalance", *[F.col(c) for c in partition_by or cluster_by])
+    return grouped.sortWithinPartitions(*order)
 
 
 def materialize(

@@ -140,6 +140,7 @@ def test_run_incremental_leaves_stale_rows_to_a_full_refresh(spark, rows, tmp_pa
                         {"order_id": "recent", "placed_at": at(11)})
     none = rows.payments({"order_id": "other"})
     incremental.run_incremental(spark, first, none, path)
+    assert incremental.run_incremental(spark, first, none, path, max_move_days=1) == ["2024-01-05"]
     later = first.unionByName(rows.orders(
         {"order_id": "stale", "placed_at": at(0), "event_timestamp": at(50), "status": "delivered"},
         {"order_id": "recent", "placed_at": at(11), "event_timestamp": at(50),

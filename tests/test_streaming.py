@@ -228,7 +228,10 @@ def test_typed_ingest_of_text_rows(spark, rows):
     broken = text.withColumn("rider_id", F.lit("nope"))
     with pytest.raises(Exception, match="not a UUID"):
         typed.typed_rider_events(broken).collect()
-    assert dicts(typed.typed_rider_events(broken, strict=False))[0]["rider_id"] is None
+    lenient = typed.typed_rider_events(broken.unionByName(text), strict=False)
+    good, bad = landing.split_corrupt(lenient, ["event_id", "rider_id", "event_timestamp"])
+    assert good.count() == 1
+    assert [r.reason for r in bad.collect()] == ["missing rider_id"]
 
 
 def test_row_number_is_refused_on_streams_but_dedup_is_not(spark, land):
