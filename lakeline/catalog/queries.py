@@ -12,6 +12,7 @@ from ..functions import readable_quantity, with_event_date_parts
 from ..operators import merge, quality, series
 from ..operators.compaction import compact
 from ..operators.dedup import duplicate_report, latest_by, replacing_read
+from ..operators.joins import hot_keys
 from ..plans import daily, dashboards, reports, staging
 from ..plans.checks import model_checks
 from ..plans.incremental import run_incremental
@@ -92,8 +93,9 @@ def _stamp(text: str):
 
 @query
 def daily_summary(spark, sf_dir):
+    payments = adapters.raw_payments(spark, sf_dir)
     return daily.daily_summary_backfill(
-        adapters.raw_orders(spark, sf_dir), adapters.raw_payments(spark, sf_dir)
+        adapters.raw_orders(spark, sf_dir), payments, hot_orders=hot_keys(payments, "order_id")
     ).drop("processed_at")
 
 
@@ -602,14 +604,14 @@ def m_readable_counts(spark, sf_dir):
 @query
 def m_backlog_alerts(spark, sf_dir):
     samples = adapters.backlog_samples(spark, sf_dir)
-    return series.backlog_alerts(samples, tie=["event_id"], bucket="hour")
+    return series.backlog_alerts(samples, tie=["event_id"])
 
 
 @query
 def m_counter_rate(spark, sf_dir):
     return series.counter_rate(
         adapters.metric_samples(spark, sf_dir), ["metric", "instance"], ["metric"],
-        window="1 hour", tie=["event_id"], bucket="day",
+        window="1 hour", tie=["event_id"],
     )
 
 

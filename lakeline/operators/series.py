@@ -6,38 +6,59 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import scratch_dir
+
+CHUNK = "__chunk"
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 
+def _range_chunks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows marked with consecutive chunks of the order of ``columns``.
+
+    Chunks hold about the same number of rows whatever the distribution, so a
+    series with a third of all samples is spread over a third of the chunks.
+    They are stored in the shared folder, which fixes them for all later steps.
+    """
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "chunks")
+    chunked = df.repartitionByRange(*columns).withColumn(CHUNK, F.spark_partition_id())
+    chunked.write.parquet(path)
+    return spark.read.schema(chunked.schema).parquet(path)
+
+
 def with_previous(
     df: DataFrame,
     keys: Sequence[str],
     ts: str,
     value: str,
     tie: Sequence[str] = (),
-    bucket: str = "hour",
+    bucket: str | None = None,
     names: tuple[str, str] = ("previous", "previous_ts"),
 ) -> DataFrame:
     """Value and time of the preceding sample of the same series.
 
     A plain ``lag`` would sort a whole series in one task. Here each
-    (series, time bucket) is a window of its own; only the last sample of every
-    bucket, combined on the map side, is carried over to the next bucket.
+    (series, chunk) is a window of its own, and only the last sample of every
+    chunk, combined on the map side, is carried over to the next one. Chunks
+    are equal ranges of the data, or time units when ``bucket`` names one,
+    which suits evenly sampled series and stays lazy.
     """
     order = [ts, *tie]
-    binned = df.withColumn("__bucket", F.date_trunc(bucket, ts))
-    within = Window.partitionBy(*keys, "__bucket").orderBy(*order)
+    if bucket:
+        binned = df.withColumn(CHUNK, F.date_trunc(bucket, ts))
+    else:
+        binned = _range_chunks(df, [*keys, *order])
+    sample = F.struct(F.col(value).alias("v"), F.col(ts).alias("t"))
+    within = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     lagged = binned.withColumns({
-        "__prev": F.lag(F.struct(F.col(value).alias("v"), F.col(ts).alias("t"))).over(within),
+        "__prev": F.lag(sample).over(within),
         "__first": F.row_number().over(within) == 1,
     })
-    last = binned.groupBy(*keys, "__bucket").agg(
-        F.max_by(F.struct(F.col(value).alias("v"), F.col(ts).alias("t")), F.struct(*order))
-        .alias("__last")
+    ends = binned.groupBy(*keys, CHUNK).agg(
+        F.max_by(sample, F.struct(*order)).alias("__last"), F.min(ts).alias("__from"),
     )
-    across = Window.partitionBy(*keys).orderBy("__bucket")
-    carried = last.select(*keys, "__bucket", F.lag("__last").over(across).alias("__carry"))
-    joined = lagged.join(carried, [*keys, "__bucket"], "left")
+    across = Window.partitionBy(*keys).orderBy("__from", CHUNK)
+    carried = ends.select(*keys, CHUNK, F.lag("__last").over(across).alias("__carry"))
+    joined = lagged.join(carried, [*keys, CHUNK], "left")
     source = F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__prev"))
     return joined.select(
         *df.columns, source.getField("v").alias(names[0]), source.getField("t").alias(names[1])
@@ -49,7 +70,7 @@ def backlog_alerts(
     high: int = 50_000,
     floor: int = 5_000,
     tie: Sequence[str] = (),
-    bucket: str = "hour",
+    bucket: str | None = None,
 ) -> DataFrame:
     """HIGH above ``high``; GROWING when the previous sample was above ``floor`` and it rose."""
     seen = with_previous(samples, ["subscription"], "ts", "backlog", tie, bucket,
@@ -63,7 +84,7 @@ def backlog_alerts(
 
 
 def counter_increase(
-    samples: DataFrame, series: Sequence[str], tie: Sequence[str] = (), bucket: str = "hour"
+    samples: DataFrame, series: Sequence[str], tie: Sequence[str] = (), bucket: str | None = None
 ) -> DataFrame:
     """Growth of a counter since its previous sample; a drop means it restarted from 0."""
     seen = with_previous(samples, series, "ts", "value", tie, bucket)
@@ -81,7 +102,7 @@ def counter_rate(
     label: Sequence[str],
     window: str = "1 minute",
     tie: Sequence[str] = (),
-    bucket: str = "hour",
+    bucket: str | None = None,
 ) -> DataFrame:
     """Increase per second in each time window, summed over the series of a label."""
     amount, unit = window.split()

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import local_datetime
 from ..operators import merge
+from ..operators.joins import hot_keys
 from ..session import scratch_dir
 from ..sources import swap
 from ..sources.fs import Folder
@@ -51,11 +52,12 @@ def incremental_fct_orders(
         (F.col("placed_at") >= coarse) & (local_datetime("placed_at") >= bound)
     )
     order_ids = _keys(spark, late.select("order_id"), f"{scratch}/orders")
-    touching = payments.join(order_ids, "order_id", "left_semi").select("payment_id")
-    payment_ids = _keys(spark, touching, f"{scratch}/payments")
+    touching = payments.join(order_ids, "order_id", "left_semi")
+    payment_ids = _keys(spark, touching.select("payment_id"), f"{scratch}/payments")
     candidates = intermediate.int_order_payments(
         staging.stg_orders(orders.join(order_ids, "order_id", "left_semi")),
         staging.stg_payments(payments.join(payment_ids, "payment_id", "left_semi")),
+        hot_keys(touching, "order_id"),
     )
     return marts.fct_orders(candidates).where(F.col("placed_at_local") >= bound)
 
@@ -78,7 +80,8 @@ def run_incremental(
     newest = merge.newest_instant(spark, path, "placed_date", "placed_at_local")
     if newest is None:
         full = marts.fct_orders(intermediate.int_order_payments(
-            staging.stg_orders(orders), staging.stg_payments(payments)
+            staging.stg_orders(orders), staging.stg_payments(payments),
+            hot_keys(payments, "order_id"),
         ))
         return merge.upsert(spark, path, full, "order_id", "placed_date", ["city"])
     scratch = scratch_dir(spark, "increment")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .fs import Folder
+
 
 def laid_out(
     df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
@@ -38,10 +41,13 @@ def materialize(
         return df
     if kind != "table":
         raise ValueError(f"unknown kind {kind!r}; an incremental table uses merge.upsert")
-    writer = laid_out(df, partition_by, cluster_by).write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
-    writer.parquet(path)
+    # The old table stays until the new one is complete.
+    fresh = Folder(df.sparkSession, f"{path.rstrip('/')}.{uuid.uuid4().hex}.new")
+    laid_out(df, partition_by, cluster_by).write.partitionBy(*partition_by).parquet(fresh.path)
+    table = Folder(df.sparkSession, path)
+    if table.exists():
+        table.delete()
+    fresh.move_to(table)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 

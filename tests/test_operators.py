@@ -158,7 +158,7 @@ def test_backlog_alerts(spark):
 
 @few
 @given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 40), st.integers(0, 99)),
-                unique_by=lambda r: r[:2]), st.sampled_from(["minute", "hour", "day"]))
+                unique_by=lambda r: r[:2]), st.sampled_from([None, "minute", "day"]))
 def test_previous_sample_across_buckets(spark, data, bucket):
     start = dt.datetime(2024, 1, 5, 23, 30, tzinfo=dt.timezone.utc)
     df = spark.createDataFrame(

@@ -82,3 +82,29 @@ def test_many_to_many_joins_count_before_joining(spark, raw):
     tree = plan_of(reports.paid_by_city(raw["orders"], raw["payments"])).split("\n\n")[0]
     join = tree.index("Join")
     assert tree[join:].count("HashAggregate") >= 4
+
+
+def test_hot_orders_are_joined_apart(spark, raw):
+    from lakeline.plans import intermediate, staging
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orders, payments = staging.stg_orders(raw["orders"]), staging.stg_payments(raw["payments"])
+        plan = plan_of(intermediate.int_order_payments(orders, payments, ["o1"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tree = plan.split("\n\n")[0]
+    # Only the few order rows of hot keys are broadcast; their payments stay where they are.
+    assert len(re.findall(r"BroadcastHashJoin Inner BuildLeft", tree)) == 1
+    assert len(re.findall(r"BroadcastExchange", tree)) == 1
+
+
+def test_series_neighbours_need_no_whole_series_window(spark, rows):
+    from lakeline.operators.series import CHUNK, with_previous
+    from pyspark.sql import functions as F
+
+    df = spark.range(100).select(F.lit("s").alias("k"), F.timestamp_seconds("id").alias("ts"),
+                                 F.col("id").alias("v"))
+    out = with_previous(df, ["k"], "ts", "v")
+    assert out.where("v > 0 AND previous = v - 1").count() == 99
+    assert re.search(rf"\[k#\d+, {CHUNK}#\d+\]", plan_of(out))
