@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -109,7 +109,8 @@ class ModelChecks:
     unique: tuple[str, ...] = ()
     not_null: tuple[str, ...] = ()
     accepted: tuple[tuple[str, tuple[str, ...]], ...] = ()
-    extra: tuple[Check, ...] = ()
+    #: Makers of further row checks; columns are built only when the checks run.
+    extra: tuple[Callable[[], Check], ...] = ()
     #: A lazy model, worth a wider grouping to be evaluated once only. A stored
     #: table is rather read twice, with the key alone in the shuffle.
     lazy: bool = False
@@ -118,7 +119,7 @@ class ModelChecks:
         return [
             *(not_null_check(c) for c in self.not_null),
             *(accepted_values_check(c, v) for c, v in self.accepted),
-            *self.extra,
+            *(make() for make in self.extra),
         ]
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from ..operators.quality import (
     ModelChecks, payment_cap_check, positive_revenue_check, valid_status_check,
 )
@@ -41,8 +43,8 @@ def model_checks() -> dict[str, ModelChecks]:
         "fct_orders": ModelChecks(
             unique=("order_id",),
             not_null=("order_id", "city", "placed_date", "total_vnd"),
-            extra=(payment_cap_check(), positive_revenue_check(),
-                   valid_status_check(ORDER_STATUSES)),
+            extra=(payment_cap_check, positive_revenue_check,
+                   partial(valid_status_check, ORDER_STATUSES)),
         ),
         "dim_restaurant": ModelChecks(not_null=("restaurant_id", "total_orders")),
         "dim_rider": ModelChecks(not_null=("rider_id",)),

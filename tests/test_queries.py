@@ -1,6 +1,8 @@
 """Every registered query against its SQL on the smallest given tables."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -32,3 +34,11 @@ def test_comparison_notices_a_difference(spark, con):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_registry_needs_no_session():
+    code = ("import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); "
+            "assert set(q) == set(o), set(q) ^ set(o); print(len(q))")
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
