@@ -121,8 +121,10 @@ def running_total(table: DataFrame, keep: list[Column], groups: list[Column], we
         "__keep.*", (F.col("__base") + F.col("__local")).alias(out))
 
 
-def list_array(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+def list_array(values: np.ndarray | pa.Array, lengths: np.ndarray | list[int]) -> pa.Array:
     """A list column from its flat values and the length of each list."""
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+    if not isinstance(values, pa.Array):
+        values = pa.array(values)
+    return pa.ListArray.from_arrays(pa.array(offsets), values)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeline.llm.arrow import per_array, quoted, running_total, ship_package, stored, utf8
+from lakeline.llm.arrow import list_array, per_array, quoted, running_total, ship_package, stored, utf8
 from lakeline.llm.tokens import broadcast_tokenizer, encoder
 
 
@@ -145,9 +145,7 @@ def token_pieces(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             if with_ids:
                 fields.append(pa.array(raw, pa.binary()))
                 names.append("ids")
-            offsets = np.concatenate([[0], np.cumsum(per)]).astype(np.int32)
-            return pa.ListArray.from_arrays(
-                pa.array(offsets), pa.StructArray.from_arrays(fields, names))
+            return list_array(pa.StructArray.from_arrays(fields, names), per)
 
         return pieces
 

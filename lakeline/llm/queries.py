@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeline.llm import packing, sharding, token_counts, token_store
+from lakeline.llm import decontamination, packing, sharding, token_counts, token_store
 from lakeline.session import scratch_dir
 
 #: Shards of the listing, all of one weight; grown by one.
@@ -36,6 +36,15 @@ def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -44,5 +53,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_rendezvous_shards": op2_rendezvous_shards,
     "op5_pack_sequences": op5_pack_sequences,
+    "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
 }
