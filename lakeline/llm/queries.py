@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeline.llm import decontamination, packing, sharding, token_counts, token_store
+from lakeline.llm import decontamination, packing, sharding, simhash, token_counts, token_store
 from lakeline.session import scratch_dir
 
 #: Shards of the listing, all of one weight; grown by one.
@@ -36,6 +36,10 @@ def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination_report(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_rendezvous_shards": op2_rendezvous_shards,
     "op5_pack_sequences": op5_pack_sequences,
+    "op7_simhash_groups": op7_simhash_groups,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
 }
