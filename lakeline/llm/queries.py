@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeline.llm import decontamination, packing, sharding, simhash, token_counts, token_store
+from lakeline.llm import (
+    decontamination,
+    folds,
+    language_id,
+    packing,
+    quality_cnn,
+    sharding,
+    simhash,
+    token_counts,
+    token_store,
+    toxicity_crf,
+)
 from lakeline.session import scratch_dir
 
 #: Shards of the listing, all of one weight; grown by one.
@@ -32,6 +43,25 @@ def op2_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "slot", "grown_shard")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    apart = folds.held_out("doc_id", 5, 0)
+    model = language_id.train(docs.where(~apart), sample_by=F.col("doc_id"))
+    return docs.select("doc_id", apart.alias("held_out"),
+                       language_id.predict_language(docs, model).alias("p")).select(
+        "doc_id", "held_out", "p.*")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, apart = table(spark, sf_dir, "documents"), folds.held_out("doc_id", 4, 2)
+    net = quality_cnn.train(*folds.labelled_sample(
+        docs, table(spark, sf_dir, "labels"), key="doc_id", text="text", label="quality",
+        allowed=~apart, rows=quality_cnn.TRAIN_ROWS, max_bytes=quality_cnn.TRAIN_BYTES))
+    scored = docs.select("doc_id", apart.alias("held_out"),
+                         quality_cnn.quality_score(docs, net).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -53,11 +83,25 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, apart = table(spark, sf_dir, "documents"), folds.held_out("doc_id", 5, 0)
+    field = toxicity_crf.train(*folds.labelled_sample(
+        docs, table(spark, sf_dir, "labels"), key="doc_id", text="text", label="toxic",
+        allowed=~apart, rows=toxicity_crf.TRAIN_ROWS, max_bytes=toxicity_crf.TRAIN_BYTES))
+    scored = docs.select("doc_id", apart.alias("held_out"),
+                         toxicity_crf.toxicity(docs, field).alias("t"))
+    return scored.select("doc_id", "held_out", F.col("t.score").alias("score"),
+                         (F.col("t.score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_rendezvous_shards": op2_rendezvous_shards,
+    "op3_language_id": op3_language_id,
+    "op4_quality": op4_quality,
     "op5_pack_sequences": op5_pack_sequences,
     "op7_simhash_groups": op7_simhash_groups,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
+    "op10_toxicity": op10_toxicity,
 }

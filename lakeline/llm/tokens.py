@@ -9,20 +9,21 @@ the only source of ids.
 from __future__ import annotations
 
 import hashlib
-import re
-from collections.abc import Iterable
 
 import numpy as np
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
+from lakeline.llm.arrow import batches_of
+
 #: Words whose ids one worker keeps at most, about 200 bytes each.
 CACHE_WORDS = 300_000
 #: Bytes of text whose unmet words are encoded together.
 BLOCK_BYTES = 4_000_000
 
-_TAIL = b".,!?;:"
-_PLAIN = re.compile(rb"[a-z]+\Z")
+#: ASCII that ends a run of letters as one pre-token: no letters, digits, blanks, quotes (which
+#: begin a pre-token like 's) or brackets and bars of special tokens.
+_TAIL = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 
 
 def default_tokenizer() -> str:
@@ -72,90 +73,72 @@ class WordEncoder:
             return text.split()
         return text.lower().split()
 
-    def _plain(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Words of ASCII letters only: each is one pre-token, so end marks part them."""
-        found: dict[bytes, bytes] = {}
-        for i in range(0, len(words), 2000):
-            some = words[i:i + 2000]
-            line = b" ".join(some).decode("ascii")
-            ids = np.asarray(
-                self.tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
-            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
-            if len(stops) != len(some):
-                raise ValueError("a word of letters did not give one end mark")
-            raw, start = ids.tobytes(), 0
-            for word, stop in zip(some, stops.tolist()):
-                found[word] = raw[start:stop]
-                start = stop
-        return found
+    def _letters(self, words: list[str]) -> list[bytes] | None:
+        """Words of letters, each one pre-token, so that end marks part them; else None."""
+        ids = np.asarray(self.tokenizer.encode_batch_fast(
+            [" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+        if len(stops) != len(words):
+            return None
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *stops], stops)]
 
-    def _other(self, words: list[bytes]) -> dict[bytes, bytes]:
-        found: dict[bytes, bytes] = {}
-        for i in range(0, len(words), 2000):
-            some = words[i:i + 2000]
-            lines = [w.decode("utf-8", "replace") for w in some]
-            for word, one in zip(some, self.tokenizer.encode_batch_fast(
-                    lines, add_special_tokens=False)):
-                found[word] = np.asarray(one.ids, "<u4").tobytes()
-        return found
+    def _single(self, words: list[str]) -> list[bytes]:
+        return [np.asarray(one.ids, "<u4").tobytes() for one in
+                self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def encode_words(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Ids of single words. Punctuation after letters is a pre-token of its own, so the
         letters and the rest of such a word are encoded apart, and once."""
-        split = {}
+        split: dict[bytes, tuple[bytes, bytes]] = {}
+        letters: dict[bytes, str] = {}
+        other: dict[bytes, str] = {}
         for word in words:
             core = word.rstrip(_TAIL)
-            if core and core != word and _PLAIN.match(core):
-                split[word] = core
-        parts = {w for w in words if w not in split}
-        for word, core in split.items():
-            parts.add(core)
-            parts.add(word[len(core):])
-        found = self._plain([w for w in parts if _PLAIN.match(w)])
-        found.update(self._other([w for w in parts if not _PLAIN.match(w)]))
-        return {w: found[split[w]] + found[w[len(split[w]):]] if w in split else found[w]
-                for w in words}
-
-    def lookup(self, texts: Iterable[list[bytes]]) -> dict[bytes, bytes]:
-        """Ids of every word of these texts; the returned table may hold more.
-
-        A full cache keeps what it has: frequent words are met early, and words met later are
+            text = core.decode("utf-8", "replace")
+            if text.isalpha():
+                letters[core] = text
+                if len(core) < len(word):
+                    tail = word[len(core):]
+                    split[word] = core, tail
+                    if tail not in self.known:
+                        other[tail] = tail.decode("ascii")
+            else:
+                other[word] = word.decode("utf-8", "replace")
+        known = self.known
+        found = {w: known[w] for w in letters.keys() & known.keys()}
+        rest = [w for w in letters if w not in found]
+        for i in range(0, len(rest), 1000):
+            some = rest[i:i + 1000]
+            texts = [letters[w] for w in some]
+            found.update(zip(some, self._letters(texts) or self._single(texts)))
+        found.update(zip(other, self._single(list(other.values()))))
+        for word, (core, tail) in split.items():
+            found[word] = found[core] + (found[tail] if tail in found else known[tail])
+        return found
+
+    def parts(self, texts: list[bytes | None]) -> list[list[bytes]]:
+        """Ids of the words of each text, in order; null counts as empty.
+
+        A full cache keeps what it has: frequent words are met early, and rare ones are
         encoded again when they come again.
         """
-        known = self.known
-        found = self.encode_words({w for words in texts for w in words if w not in known})
-        room = self.cache_words - len(known)
-        if len(found) <= room:
-            known.update(found)
-            return known
-        return _Both(known, found)
+        lists = [self.words(t) if t else [] for t in texts]
+        get = self.known.get
+        parts = [list(map(get, words)) for words in lists]
+        gaps = [[i for i, ids in enumerate(one) if ids is None] for one in parts]
+        found = self.encode_words({words[i] for words, gap in zip(lists, gaps) for i in gap})
+        for words, one, gap in zip(lists, parts, gaps):
+            for i in gap:
+                one[i] = found[words[i]]
+        if len(self.known) + len(found) <= self.cache_words:
+            self.known.update(found)
+        return parts
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Ids of each text; null counts as empty."""
-        out: list[bytes] = []
-        for block in _blocks(texts, BLOCK_BYTES):
-            lists = [self.words(t) if t else [] for t in block]
-            get = self.lookup(lists).__getitem__
-            out.extend(b"".join(map(get, words)) for words in lists)
-        return out
-
-
-class _Both(dict):
-    """A block's own words, then the cache."""
-
-    def __init__(self, known: dict, found: dict):
-        super().__init__(found)
-        self.known = known
-
-    def __missing__(self, word):
-        return self.known[word]
-
-
-def _blocks(texts, limit):
-    from lakeline.llm.arrow import batches_of
-
-    for part in batches_of(texts, limit):
-        yield texts[part]
+        return [b"".join(one) for part in batches_of(texts, BLOCK_BYTES)
+                for one in self.parts(texts[part])]
 
 
 _encoders: dict[str, WordEncoder] = {}
