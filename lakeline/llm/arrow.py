@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +45,10 @@ def utf8(name: str) -> Column:
     return quoted(name).cast("string").cast("binary")
 
 
+def text_of(name: str) -> Column:
+    return quoted(name).cast("string")
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that the DataFrame does not have yet."""
     taken = {c.lower() for c in df.columns}
@@ -62,17 +66,21 @@ def per_array(returns: str, make: Callable[[], Callable[[pa.Array], pa.Array]]):
     return F.arrow_udf(run, returnType=returns)
 
 
-def batches_of(values: list, limit: int) -> Iterator[slice]:
-    """Slices of byte strings that hold ``limit`` bytes or little more; a longer one is alone."""
-    start = size = 0
-    for i, value in enumerate(values):
-        n = len(value) if value is not None else 0
-        if i > start and size + n > limit:
+def slices_of(sizes: Sequence[int], limit: int) -> Iterator[slice]:
+    """Slices whose sizes add up to ``limit`` at most; what is larger is alone."""
+    start = total = 0
+    for i, n in enumerate(sizes):
+        if i > start and total + n > limit:
             yield slice(start, i)
-            start, size = i, 0
-        size += n
-    if len(values) > start:
-        yield slice(start, len(values))
+            start, total = i, 0
+        total += n
+    if len(sizes) > start:
+        yield slice(start, len(sizes))
+
+
+def batches_of(values: list[bytes | None], limit: int) -> Iterator[slice]:
+    """Slices of byte strings by their lengths; null counts as empty."""
+    return slices_of([len(v) if v else 0 for v in values], limit)
 
 
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:

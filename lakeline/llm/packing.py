@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeline.llm.arrow import list_array, per_array, quoted, running_total, ship_package, stored, utf8
-from lakeline.llm.tokens import broadcast_tokenizer, encoder
+from lakeline.llm.arrow import list_array, per_array, quoted, running_total, ship_package, stored, text_of
+from lakeline.llm.tokens import broadcast_tokenizer, encoder, with_end
 
 
 class Plan:
@@ -119,26 +119,27 @@ def token_pieces(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     ship_package(spark)
     described = broadcast_tokenizer(spark, tokenizer)
-    end = b"" if end_id is None else np.asarray([end_id], "<u4").tobytes()
-    step = 4 * capacity
 
     def make():
         model = encoder(described)
 
         def pieces(texts: pa.Array) -> pa.Array:
             number, start, length, crc, raw, per = [], [], [], [], [], []
-            for ids in model.encode(texts.to_pylist()):
-                ids += end
-                cuts = range(0, len(ids), step)
+            flat, counts = with_end(*model.encode(texts), end_id)
+            data, base = memoryview(np.ascontiguousarray(flat, "<u4")).cast("B"), 0
+            for n in counts.tolist():
+                cuts = range(0, n, capacity)
                 per.append(len(cuts))
                 for i, at in enumerate(cuts):
-                    one = ids[at:at + step]
+                    size = min(capacity, n - at)
+                    one = data[4 * (base + at):4 * (base + at + size)]
                     number.append(i)
-                    start.append(at // 4)
-                    length.append(len(one) // 4)
+                    start.append(at)
+                    length.append(size)
                     crc.append(zlib.crc32(one))
                     if with_ids:
-                        raw.append(one)
+                        raw.append(bytes(one))
+                base += n
             fields = [pa.array(number, pa.int32()), pa.array(start, pa.int64()),
                       pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
             names = ["piece", "start", "length", "ids_crc32"]
@@ -152,7 +153,7 @@ def token_pieces(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     kind = ("array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint"
             + (",ids:binary>>" if with_ids else ">>"))
     return (docs.select(quoted(key).alias("doc_id"),
-                        F.explode(per_array(kind, make)(utf8(text))).alias("p"))
+                        F.explode(per_array(kind, make)(text_of(text))).alias("p"))
             .select("doc_id", "p.*"))
 
 

@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeline.llm.arrow import list_array, per_array, quoted, running_total, ship_package, utf8
-from lakeline.llm.tokens import broadcast_tokenizer, encoder
+from lakeline.llm.arrow import list_array, per_array, quoted, running_total, ship_package, text_of
+from lakeline.llm.tokens import broadcast_tokenizer, encoder, with_end
 
 #: How the files are written. Ids repeat, so a dictionary packs them to as many bits as the
 #: chunk's vocabulary needs; counts and document ids, which don't, are delta-encoded by the
@@ -40,19 +40,18 @@ def write_tokens(docs: DataFrame, path: str, *, key: str = "doc_id", text: str =
     spark = docs.sparkSession
     ship_package(spark)
     described = broadcast_tokenizer(spark, tokenizer)
-    end = b"" if end_id is None else np.asarray([end_id], "<u4").tobytes()
 
     def make():
         model = encoder(described)
 
         def ids(texts: pa.Array) -> pa.Array:
-            parts = [part + end for part in model.encode(texts.to_pylist())]
-            return list_array(np.frombuffer(b"".join(parts), "<i4"),
-                              np.asarray([len(p) // 4 for p in parts], np.int32))
+            flat, counts = model.encode(texts)
+            flat, counts = with_end(flat, counts, end_id)
+            return list_array(flat.view(np.int32), counts)
 
         return ids
 
-    (docs.select(quoted(key).alias("doc_id"), utf8(text).alias("text"))
+    (docs.select(quoted(key).alias("doc_id"), text_of(text).alias("text"))
      .repartitionByRange("doc_id").sortWithinPartitions("doc_id")
      .select("doc_id", per_array("array<int>", make)("text").alias("ids"))
      .select("doc_id", F.size("ids").alias("n_tokens"), "ids")

@@ -1,29 +1,39 @@
-"""Token ids of whole texts by a public tokenizer, with a bounded cache of words per worker.
+"""Token ids of whole texts by a public tokenizer, each distinct word of a block encoded once.
 
 The tokenizer drops white space and never joins what white space separates, so the ids of a
-text are those of its words in order. Words repeat, so a worker keeps the ids of those it has
-met. Unmet words of many texts are encoded in one call of the tokenizers library, which stays
-the only source of ids.
+text are those of its words in order. Arrow splits a block of texts and numbers its distinct
+words; only these are looked up in the worker's bounded cache or else encoded by the tokenizers
+library, which stays the only source of ids.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
+import re
+from array import array
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
-from lakeline.llm.arrow import batches_of
+from lakeline.llm.arrow import slices_of
 
-#: Words whose ids one worker keeps at most, about 200 bytes each.
+#: Units whose ids one worker keeps at most, about 200 bytes each.
 CACHE_WORDS = 300_000
-#: Bytes of text whose unmet words are encoded together.
-BLOCK_BYTES = 4_000_000
+#: Bytes of text whose distinct units are encoded together.
+BLOCK_BYTES = 10_000_000
 
-#: ASCII that ends a run of letters as one pre-token: no letters, digits, blanks, quotes (which
-#: begin a pre-token like 's) or brackets and bars of special tokens.
-_TAIL = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+#: Letters and then ASCII that makes a pre-token of its own: no digits, quotes (which begin a
+#: pre-token like 's), or brackets and bars of special tokens.
+_LETTERS_THEN_MARKS = r"""^(\pL+)([!"#$%&()*+,\-./:;=?@\[\\\]^_`{}~]+)$"""
+#: Letters that are composed already and whose lower case is the same everywhere: the Latin
+#: ones up to U+017F, without the dotted capital I.
+_PLAIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 
 
 def default_tokenizer() -> str:
@@ -41,104 +51,147 @@ def broadcast_tokenizer(spark: SparkSession, path: str | None = None) -> Broadca
 class WordEncoder:
     """Ids as little-endian unsigned 32-bit integers, exactly those of the library.
 
-    Three properties of the tokenizer are used, and checked when it is loaded: white space is
-    only a separator, text is lower-cased, and a word's last token carries an end mark.
-    ASCII letters are lowered before the lookup, but not in texts with combining marks
-    (composition precedes lower-casing) or with a special token's first characters.
+    Used of the tokenizer: white space is only a separator, A-Z are lowered, a run of letters
+    is one pre-token, and it goes to the merge model as the characters that stand for its
+    bytes. A sample of words is compared when it is loaded.
     """
 
     def __init__(self, description: str, cache_words: int = CACHE_WORDS):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_str(description)
-        vocabulary = self.tokenizer.get_vocab()
-        ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.ends = ends
+        self.model = self.tokenizer.model
+        # Our cache is before the model's own, which would only cost time.
+        self.model._resize_cache(0)
         self.cache_words = cache_words
-        self.known: dict[bytes, bytes] = {}
-        probe = "Ab c\n\tD, e.f"
-        if self._library(probe) != b"".join(self._library(w) for w in probe.lower().split()):
-            raise ValueError("this tokenizer does not treat white space as a mere separator")
-
-    def _library(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.asarray(ids, "<u4").tobytes()
-
-    def words(self, text: bytes) -> list[bytes]:
-        if b"<|" in text or b"\xcc" in text or b"\xcd" in text:
-            return text.split()
-        return text.lower().split()
-
-    def _letters(self, words: list[str]) -> list[bytes] | None:
-        """Words of letters, each one pre-token, so that end marks part them; else None."""
-        ids = np.asarray(self.tokenizer.encode_batch_fast(
-            [" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
-        stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-        if len(stops) != len(words):
-            return None
-        raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip([0, *stops], stops)]
-
-    def _single(self, words: list[str]) -> list[bytes]:
-        return [np.asarray(one.ids, "<u4").tobytes() for one in
-                self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def encode_words(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of single words. Punctuation after letters is a pre-token of its own, so the
-        letters and the rest of such a word are encoded apart, and once."""
-        split: dict[bytes, tuple[bytes, bytes]] = {}
-        letters: dict[bytes, str] = {}
-        other: dict[bytes, str] = {}
-        for word in words:
-            core = word.rstrip(_TAIL)
-            text = core.decode("utf-8", "replace")
-            if text.isalpha():
-                letters[core] = text
-                if len(core) < len(word):
-                    tail = word[len(core):]
-                    split[word] = core, tail
-                    if tail not in self.known:
-                        other[tail] = tail.decode("ascii")
+        self.known: dict[str, bytes] = {}
+        spell = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelled: dict[int, str] = {}
+        for char in map(chr, range(0x80, 0x800)):
+            self.spelled.update(zip(char.encode(), spell.pre_tokenize_str(char)[0][0]))
+        probe = ["the", "Thing", "\u00c9l\u00e8ve", "\u0151r", "\u017fo", ";-)", "x1"]
+        whole = self.tokenizer.encode(" \n".join(probe), add_special_tokens=False).ids
+        if np.asarray(whole, "<u4").tobytes() != b"".join(self.encode_units(probe)):
+            raise ValueError("this tokenizer does not take words as assumed")
+
+    def encode_units(self, units: list[str]) -> list[bytes]:
+        """Ids of texts without white space, little-endian unsigned 32-bit integers."""
+        out: list[bytes] = [b""] * len(units)
+        plain, tokenize, spelled = _PLAIN.fullmatch, self.model.tokenize, self.spelled
+        other = []
+        for i, unit in enumerate(units):
+            if plain(unit):
+                if not unit.isascii():
+                    unit = unit.lower().encode().decode("latin-1").translate(spelled)
+                else:
+                    unit = unit.lower()
+                out[i] = array("I", [token.id for token in tokenize(unit)]).tobytes()
             else:
-                other[word] = word.decode("utf-8", "replace")
-        known = self.known
-        found = {w: known[w] for w in letters.keys() & known.keys()}
-        rest = [w for w in letters if w not in found]
-        for i in range(0, len(rest), 1000):
-            some = rest[i:i + 1000]
-            texts = [letters[w] for w in some]
-            found.update(zip(some, self._letters(texts) or self._single(texts)))
-        found.update(zip(other, self._single(list(other.values()))))
-        for word, (core, tail) in split.items():
-            found[word] = found[core] + (found[tail] if tail in found else known[tail])
-        return found
-
-    def parts(self, texts: list[bytes | None]) -> list[list[bytes]]:
-        """Ids of the words of each text, in order; null counts as empty.
-
-        A full cache keeps what it has: frequent words are met early, and rare ones are
-        encoded again when they come again.
-        """
-        lists = [self.words(t) if t else [] for t in texts]
-        get = self.known.get
-        parts = [list(map(get, words)) for words in lists]
-        gaps = [[i for i, ids in enumerate(one) if ids is None] for one in parts]
-        found = self.encode_words({words[i] for words, gap in zip(lists, gaps) for i in gap})
-        for words, one, gap in zip(lists, parts, gaps):
-            for i in gap:
-                one[i] = found[words[i]]
-        if len(self.known) + len(found) <= self.cache_words:
-            self.known.update(found)
-        return parts
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """Ids of each text; null counts as empty."""
-        return [b"".join(one) for part in batches_of(texts, BLOCK_BYTES)
-                for one in self.parts(texts[part])]
+                other.append(i)
+        found = self.tokenizer.encode_batch_fast([units[i] for i in other],
+                                                 add_special_tokens=False)
+        for i, one in zip(other, found):
+            out[i] = array("I", one.ids).tobytes()
+        return out
+
+    def unit_ids(self, units: list[str]) -> list[bytes]:
+        """The same from the cache, where it has them. A full cache keeps what it has:
+        frequent units are met early, and rare ones are encoded again when they come again."""
+        ids = list(map(self.known.get, units))
+        gaps = [i for i, one in enumerate(ids) if one is None]
+        for i, one in zip(gaps, self.encode_units([units[i] for i in gaps])):
+            ids[i] = one
+        for i in gaps[:max(0, self.cache_words - len(self.known))]:
+            self.known[units[i]] = ids[i]
+        return ids
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each has."""
+        flat, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for block in unit_blocks(texts):
+            ids = self.unit_ids(block.units)
+            lengths = np.fromiter(map(len, ids), np.int32, len(ids)) >> 2
+            at, stops = gathered(lengths, block.which)
+            flat.append(np.frombuffer(b"".join(ids), "<u4")[at])
+            counts.append(np.diff(np.append(0, stops)[block.ends], prepend=0))
+        return np.concatenate(flat), np.concatenate(counts)
+
+
+def gathered(lengths: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the values of the chosen lists, when lists of these lengths stand one after
+    the other; and how many values there are up to the end of each chosen list."""
+    starts = np.cumsum(lengths, dtype=np.int32) - lengths
+    chosen = lengths[which]
+    stops = np.cumsum(chosen, dtype=np.int32)
+    at = np.repeat(starts[which] - (stops - chosen), chosen)
+    at += np.arange(len(at), dtype=np.int32)
+    return at, stops
+
+
+def with_end(flat: np.ndarray, counts: np.ndarray,
+             end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """The same ids with the end id after those of each text, if there is one."""
+    if end_id is None:
+        return flat, counts
+    out = np.empty(len(flat) + len(counts), np.uint32)
+    ends = np.cumsum(counts + 1) - 1
+    inner = np.ones(len(out), bool)
+    inner[ends] = False
+    out[ends], out[inner] = end_id, flat
+    return out, counts + 1
+
+
+class UnitBlock(NamedTuple):
+    """Some texts' distinct units, the number of each unit of the texts among them, and how
+    many units there are up to the end of each text."""
+
+    units: list[str]
+    which: np.ndarray
+    ends: np.ndarray
+
+
+def unit_blocks(texts: pa.Array) -> Iterator[UnitBlock]:
+    """The texts, null as empty, in blocks of ``BLOCK_BYTES`` or one longer text.
+
+    Units are words that ASCII white space parts (other white space is left to the tokenizer);
+    a word of letters and marks after them is two. A-Z is lowered, as the tokenizer does, so
+    that more units are alike.
+    """
+    texts = _valid(pc.fill_null(texts, ""))
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+    for part in slices_of(sizes, BLOCK_BYTES):
+        lists = pc.ascii_split_whitespace(_lowered(texts[part]))
+        words = lists.flatten().dictionary_encode()
+        parted = pc.ascii_split_whitespace(pc.replace_substring_regex(
+            words.dictionary, _LETTERS_THEN_MARKS, r"\1 \2"))
+        units = parted.flatten().dictionary_encode()
+        at, stops = gathered(np.diff(parted.offsets.to_numpy()).astype(np.int32),
+                             words.indices.to_numpy())
+        ends = lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()
+        yield UnitBlock(units.dictionary.to_pylist(), units.indices.to_numpy()[at],
+                        np.append(0, stops)[ends])
+
+
+def _valid(texts: pa.Array) -> pa.Array:
+    """Bytes that are no UTF-8, which a cast from binary may leave, become the mark for that."""
+    try:
+        texts.validate(full=True)
+        return texts
+    except pa.ArrowInvalid:
+        raw = texts.cast(pa.binary()).to_pylist()
+        return pa.array([t.decode("utf-8", "replace") for t in raw], pa.string())
+
+
+def _lowered(texts: pa.Array) -> pa.Array:
+    """A-Z lowered, but not in texts where that could change what the tokenizer makes of them:
+    with combining marks, which it composes first, or the beginning of a special token."""
+    lowered = pc.ascii_lower(texts)
+    raw = texts.cast(pa.binary())
+    marks = [pc.match_substring(raw, m) for m in (b"<|", b"\xcc", b"\xcd")]
+    odd = pc.or_(pc.or_(marks[0], marks[1]), marks[2])
+    return pc.if_else(odd, texts, lowered) if pc.any(odd).as_py() else lowered
 
 
 _encoders: dict[str, WordEncoder] = {}
