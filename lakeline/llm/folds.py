@@ -16,9 +16,9 @@ def held_out(key: str, parts: int, part: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, *, key: str, text: str, label: str,
-                    allowed: Column, rows: int,
-                    max_bytes: int) -> tuple[list[tuple[bytes, int]], dict[int, int]]:
-    """Up to ``rows`` texts of each label 0 and 1, chosen by a hash of the key, on the driver;
+                    allowed: Column, rows: dict[int, int],
+                    max_bytes: dict[int, int]) -> tuple[list[tuple[bytes, int]], dict[int, int]]:
+    """Up to ``rows`` texts of the labels 0 and 1, chosen by a hash of the key, on the driver;
     and how many rows have each label.
 
     Collected in that order until ``max_bytes`` of text are reached, label by label, so one
@@ -31,16 +31,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, key: str, text: str,
     out: list[tuple[bytes, int]] = []
     for value in sorted(sizes):
         # A little more than wanted, so that the sort is over a bounded number of rows.
-        share = min(1.0, 1.5 * rows / sizes[value])
+        share = min(1.0, 1.5 * rows[value] / sizes[value])
         dice = F.pmod("order", F.lit(1 << 20)) < share * (1 << 20)
-        some = known.where((F.col("label") == value) & dice).orderBy("order", "k").limit(rows)
+        some = known.where((F.col("label") == value) & dice).orderBy("order", "k").limit(rows[value])
         texts = docs.where(quoted(text).isNotNull()).select(
             quoted(key).alias("k"), quoted(text).cast("string").cast("binary").alias("t"))
         found = (texts.join(F.broadcast(some), "k")
-                 .orderBy("order", "k", F.xxhash64("t")).limit(rows))
+                 .orderBy("order", "k", F.xxhash64("t")).limit(rows[value]))
         size = 0
         for row in found.select("t").toLocalIterator():
-            if size and size + len(row["t"]) > max_bytes:
+            if size and size + len(row["t"]) > max_bytes[value]:
                 break
             size += len(row["t"])
             out.append((bytes(row["t"]), value))

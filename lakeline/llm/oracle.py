@@ -1,5 +1,73 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express.
+
+The others learn a model, use a tokenizer or a hash that SQL lacks; tests/llm compares them
+with brute force, exact round trips or held-out rows.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_RENDEZVOUS = """
+WITH d AS (
+  SELECT row_number() OVER () AS n, doc_id, encode(coalesce(text, '')) AS bytes FROM documents
+), sized AS (
+  SELECT n, doc_id, octet_length(bytes) + 1 AS size, hex(bytes) AS digits FROM d
+), checked AS (
+  SELECT n, doc_id, size, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(size - 1),
+      lambda i: ('0x' || substr(digits, 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+      lambda e, k: xor(e >> 1, 3988292384 * (e & 1))))) AS text_crc32
+  FROM sized
+), draws AS (
+  SELECT n, s, (('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || s), 1, 13))::BIGINT
+                + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS draw
+  FROM d, range(17) AS shards(s)
+), placed AS (
+  SELECT n, arg_min(s, -ln(draw)) FILTER (WHERE s < 16) AS shard,
+         arg_min(s, -ln(draw)) AS grown_shard
+  FROM draws GROUP BY n
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law,
+       shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1
+         AS slot,
+       grown_shard::INTEGER AS grown_shard
+FROM checked JOIN placed USING (n)
+"""
+
+_WORDS = ("regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+
+_DECONTAMINATION = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS n, doc_id, coalesce({_WORDS}, []) AS words FROM documents
+), item AS (
+  SELECT coalesce(item_id::VARCHAR, 'null') AS item_id, {_WORDS} AS words FROM benchmark
+  WHERE text IS NOT NULL
+), windows AS (
+  SELECT DISTINCT item_id, list_slice(words, i::BIGINT, (i + 9)::BIGINT) AS phrase
+  FROM item, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS t(i) WHERE len(words) > 0
+), sizes AS (
+  SELECT DISTINCT len(phrase) AS size FROM windows
+), runs AS (
+  SELECT n, i, size, list_slice(words, i::BIGINT, (i + size - 1)::BIGINT) AS phrase
+  FROM d, sizes, unnest(range(1, len(words) - size + 2)) AS t(i)
+), hits AS (
+  SELECT DISTINCT n, i, size, item_id FROM runs JOIN windows USING (phrase)
+), places AS (
+  SELECT n, count(DISTINCT place) AS n_hit
+  FROM hits, unnest(range(i, i + size)) AS t(place) GROUP BY n
+), items AS (
+  SELECT n, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS listed
+  FROM (SELECT DISTINCT n, item_id FROM hits) GROUP BY n
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (n) LEFT JOIN items USING (n)
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_rendezvous_shards": _RENDEZVOUS,
+    "op8_decontamination": _DECONTAMINATION,
+}

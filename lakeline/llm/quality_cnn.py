@@ -18,8 +18,8 @@ EMBEDDING, FILTERS = 6, 16
 BLOCK_BYTES = 500_000
 NOTHING = np.float32(-1e9)
 EPOCHS, BATCH_BYTES, RATE = 12, 60_000, 0.01
-#: Labelled rows of each class, and bytes of them, that the driver learns from at most.
-TRAIN_ROWS, TRAIN_BYTES = 2000, 6_000_000
+#: Labelled rows of each label, and bytes of them, that the driver learns from at most.
+TRAIN_ROWS, TRAIN_BYTES = {0: 2000, 1: 2000}, {0: 6_000_000, 1: 6_000_000}
 
 
 def padded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeline.llm import (
+    ann_tree,
     decontamination,
     folds,
     language_id,
@@ -66,6 +67,10 @@ def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_tree.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(table(spark, sf_dir, "documents"))
 
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_quality": op4_quality,
     "op5_pack_sequences": op5_pack_sequences,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_simhash_groups": op7_simhash_groups,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,

@@ -26,7 +26,8 @@ SEGMENT, CLEAN_SEGMENTS = 24, 12_000
 #: Segments of one toxic document, rounds of learning and gradient steps in each.
 TOXIC_SEGMENTS, ROUNDS = 20, 3
 STEPS, RATE, DECAY = 40, 0.2, 1e-6
-TRAIN_ROWS, TRAIN_BYTES = 3000, 10_000_000
+#: Labelled rows of each label, and bytes of them, that the driver learns from at most.
+TRAIN_ROWS, TRAIN_BYTES = {0: 6000, 1: 3000}, {0: 16_000_000, 1: 10_000_000}
 #: Words whose evidence a worker keeps; tokens that a lane of the recursion holds at a time.
 CACHE_WORDS, LANE, BLOCK_BYTES = 300_000, 64, 4_000_000
 LIMIT = 30.0
@@ -284,19 +285,20 @@ def train(sample: list[tuple[bytes, int]], sizes: dict[int, int], seed: int = 7)
         for part in _segments(words, [i for i, t in enumerate(toxic) if t])[:TOXIC_SEGMENTS]:
             segments.append(words[part])
             tags.append(toxic[part])
-    clean = [words_of(t) for t, label in sample if not label]
-    some = [w[i:i + SEGMENT] for w in clean for i in range(0, len(w), SEGMENT)]
-    for i in draw.permutation(len(some))[:CLEAN_SEGMENTS]:
-        segments.append(some[i])
-        tags.append([False] * len(some[i]))
-    del some
+    clean = [t for t, label in sample if not label]
+    total = sum(-(-len(words_of(t)) // SEGMENT) for t in clean)
+    for words in map(words_of, clean):
+        for at in range(0, len(words), SEGMENT):
+            if draw.random() * total < CLEAN_SEGMENTS:
+                segments.append(words[at:at + SEGMENT])
+                tags.append([False] * len(segments[-1]))
     if not segments:
         return field
     for again in range(ROUNDS):
         _fit(field, segments, tags)
         if again + 1 < ROUNDS:
             for i in range(0, len(clean), 100):
-                lists = [words for words in clean[i:i + 100] if words]
+                lists = [words for words in map(words_of, clean[i:i + 100]) if words]
                 lengths = np.asarray([len(words) for words in lists], np.int64)
                 chance = field.marginals(field.evidence(lists), lengths)
                 for words, one in zip(lists, np.split(chance, np.cumsum(lengths)[:-1])):
