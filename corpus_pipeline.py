@@ -35,11 +35,11 @@ def _kept(docs: DataFrame, made, condition) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without toxic words. The field is learned from the labelled rows of the stage's
-    own documents; null and empty texts are not toxic and stay."""
+    """Documents without toxic words. The field is learned from labelled rows of the stage's own
+    documents, those of op10's fold; null and empty texts are not toxic and stay."""
     field = toxicity_crf.train(*folds.labelled_sample(
         docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), key="doc_id", text="text",
-        label="toxic", allowed=F.lit(True), rows=toxicity_crf.TRAIN_ROWS,
+        label="toxic", allowed=~folds.held_out("doc_id", 5, 0), rows=toxicity_crf.TRAIN_ROWS,
         max_bytes=toxicity_crf.TRAIN_BYTES))
     return _kept(docs, toxicity_crf.toxicity(docs, field), lambda t: t["score"] < TOXIC)
 
@@ -47,7 +47,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that ``lang`` names: not those without a letter (null
     and empty ones too) and not those whose language is unsure."""
-    model = language_id.train(docs, sample_by=F.col("doc_id"))
+    model = language_id.train(docs.where(~folds.held_out("doc_id", 5, 0)),
+                              sample_by=F.col("doc_id"))
     return _kept(docs, language_id.predict_language(docs, model),
                  lambda p: (p["lang_pred"] != language_id.UNKNOWN) & (p["score"] >= SURE))
 

@@ -25,7 +25,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeline.llm.arrow import free_name, per_array, quoted, ship_package, stored, utf8
+from lakeline.llm.arrow import per_array, quoted, ship_package, stored, utf8
 from lakeline.llm.components import component_labels
 
 BITS, SEED = 64, 42
@@ -234,21 +234,23 @@ def one_of_each_group(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     """The rows of ``docs`` without near duplicates: each group keeps its row with the smallest
     key (null keys last), of equal ones the first in the files. All columns stay.
 
-    Rows are known by file and row number; a DataFrame that is not a plain read is written first.
+    Rows are known by file and row number; a DataFrame that is not a plain read, or that has a
+    column of the name Spark gives to these, is written first.
     """
     ship_package(docs.sparkSession)
     row = F.struct("_metadata.file_path", "_metadata.row_index")
+    columns = docs.columns
+    rows, text, key = docs.toDF(*(f"c{i}" for i in range(len(columns)))), *(
+        f"c{columns.index(name)}" for name in (text, key))
     try:
-        docs.select(row)
-        rows = docs
+        rows.select(row)
     except AnalysisException:
-        rows = stored(docs, "documents")
+        rows = stored(rows, "documents")
     prints = stored(rows.select(quoted(key).alias("doc_id"), row.alias("row"),
                                 fingerprint(text, shingle).alias("print")), "fingerprints")
     groups = component_of_prints(
         prints.select(F.struct(F.col("doc_id").isNull(), "doc_id", "row").alias("first"), "print"),
         "first", "print", distance)
     first = groups.select("component_id.row").distinct()
-    name = free_name(docs, "__row")
-    return (rows.withColumn(name, row).join(first.withColumnRenamed("row", name), name, "left_semi")
-            .select(*(quoted(c) for c in docs.columns)))
+    return (rows.withColumn("row", row).join(first, "row", "left_semi")
+            .select(*rows.columns).toDF(*columns))

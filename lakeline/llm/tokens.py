@@ -29,8 +29,10 @@ CACHE_WORDS = 300_000
 BLOCK_BYTES = 10_000_000
 
 #: Letters and then ASCII that makes a pre-token of its own: no digits, quotes (which begin a
-#: pre-token like 's), or brackets and bars of special tokens.
-_LETTERS_THEN_MARKS = r"""^(\pL+)([!"#$%&()*+,\-./:;=?@\[\\\]^_`{}~]+)$"""
+#: pre-token like 's), or brackets and bars of special tokens. The last letter must be one that
+#: stays a single letter in the tokenizer's normal form; others may end in a mark there.
+_LETTERS_THEN_MARKS = (r"^(\pL*[a-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{17F}])"
+                       r"""([!"#$%&()*+,\-./:;=?@[\\\]^_`{}~]+)$""")
 #: Letters that are composed already and whose lower case is the same everywhere: the Latin
 #: ones up to U+017F, without the dotted capital I.
 _PLAIN = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")

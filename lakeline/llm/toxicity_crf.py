@@ -92,10 +92,11 @@ class ToxicityField:
     """``weights`` of the features for the toxic state against the other, ``steps`` from state
     to state and ``start``, all as logarithms."""
 
-    def __init__(self):
+    def __init__(self, toxic: bool = False):
+        """A field that has learned nothing: no word is toxic, or every one is."""
         self.weights = np.zeros(FEATURES, np.float32)
-        self.steps = np.zeros((2, 2))
-        self.start = np.asarray([0.0, -LIMIT])
+        self.start = np.asarray([-LIMIT, 0.0] if toxic else [0.0, -LIMIT])
+        self.steps = np.tile(self.start, (2, 1))
         self.known: dict[bytes, float] = {}
 
     def __getstate__(self):
@@ -272,11 +273,9 @@ def train(sample: list[tuple[bytes, int]], sizes: dict[int, int], seed: int = 7)
     Toxic documents without a labelled word say nothing about their words and are left out.
     Without documents of both labels no word is toxic, or all are if all documents are.
     """
-    field, draw = ToxicityField(), np.random.default_rng(seed)
     if not sizes.get(0) or not sizes.get(1):
-        if sizes.get(1):
-            field.start, field.steps = np.asarray([-LIMIT, 0.0]), np.asarray([[0.0, 1], [0, 1]])
-        return field
+        return ToxicityField(toxic=bool(sizes.get(1)))
+    field, draw = ToxicityField(), np.random.default_rng(seed)
     marks = toxic_marks(sample)
     segments, tags = [], []
     for text in (t for t, label in sample if label):
