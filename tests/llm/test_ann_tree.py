@@ -1,0 +1,88 @@
+"""Tree search against exact search."""
+
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lakeline.llm import ann_tree
+
+
+def as_frame(spark, vectors):
+    return spark.createDataFrame(
+        [(i, [float(x) for x in v] if v is not None else None) for i, v in vectors],
+        "vec_id long, embedding array<float>")
+
+
+def answers(df):
+    out = defaultdict(list)
+    for r in sorted(df.collect(), key=lambda r: (r.query_id, r["rank"])):
+        out[r.query_id].append((r["rank"], r.vec_id, r.score))
+    return out
+
+
+def clustered(n, dimension, seed=0):
+    draw = np.random.default_rng(seed)
+    centres = draw.normal(size=(30, dimension))
+    points = centres[draw.integers(0, 30, n)] + 0.4 * draw.normal(size=(n, dimension))
+    return points.astype(np.float32)
+
+
+def test_recall_and_scores(spark):
+    points = clustered(4000, 16)
+    vectors = dict(enumerate(points))
+    found = answers(ann_tree.nearest(as_frame(spark, vectors.items()).repartition(4)))
+    exact = ann_tree.exact_nearest(vectors, 20, 20)
+    assert set(found) == set(exact)
+    recall = np.mean([len({i for _, i, _ in found[q]} & set(exact[q])) / 20 for q in exact])
+    assert recall >= 0.9
+    for q, rows in found.items():
+        assert [r for r, _, _ in rows] == list(range(1, 21))
+        assert rows == sorted(rows, key=lambda r: (-r[2], r[1]))
+        for _, i, score in rows:
+            assert score == pytest.approx(float(points[q].astype("f8") @ points[i].astype("f8")),
+                                          abs=1e-12)
+
+
+def test_one_vector_in_a_third_of_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(ann_tree, "GROUP_ROWS", 50)
+    points = clustered(900, 8, 3)
+    points[::3] = points[0]
+    vectors = dict(enumerate(points))
+    found = answers(ann_tree.nearest(as_frame(spark, vectors.items()), recall=1.0))
+    exact = ann_tree.exact_nearest(vectors, 20, 20)
+    assert {q: [i for _, i, _ in rows] for q, rows in found.items()} == exact
+
+
+def test_rows_that_take_no_part_and_few_candidates(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1, 0]), (20, [0, 2]), (1, [1, 1]), (2, [0, 0]), (3, None), (None, [1, 1]),
+            (40, [nan, 1]), (5, [inf, 1]), (60, [1, 2, 3]), (7, []), (1, [1, 1]), (8, [-0.0, 2])]
+    table = as_frame(spark, rows).withColumn("v", F.lit("mine")).union(
+        spark.sql("select 9L, array(cast(null as float), 1f), 'x'"))
+    found = answers(ann_tree.nearest(table))
+    assert found == {0: [(1, 1, 1.0), (2, 8, 0.0), (3, 20, 0.0)],
+                     20: [(1, 8, 4.0), (2, 1, 2.0), (3, 0, 0.0)]}
+
+
+def test_equal_ids_and_single_or_no_rows(spark):
+    twice = as_frame(spark, [(0, [1, 0]), (0, [0, 1]), (1, [2, 3])])
+    assert answers(ann_tree.nearest(twice)) == {0: [(1, 1, 3.0)]}
+    assert answers(ann_tree.nearest(as_frame(spark, [(0, [1, 0])]))) == {}
+    for none in ([], [(3, None)], [(1, [1, 0])]):
+        df = ann_tree.nearest(as_frame(spark, none))
+        assert df.count() == 0 and df.columns == ["query_id", "rank", "vec_id", "score"]
+
+
+def test_tree_holds_every_vector_and_yields_every_leaf_once():
+    points = clustered(3000, 8).astype(np.float64)
+    tree = ann_tree.Tree(points, 40)
+    leaves = tree.assign(points)
+    assert len(tree.leaves) >= 40 and set(leaves) <= set(range(len(tree.leaves)))
+    promise = tree.promise(points[:3])
+    for one in promise.tolist():
+        order = list(tree.best_first(one))
+        assert sorted(order) == list(range(len(tree.leaves)))
+    same = ann_tree.Tree(np.ones((500, 4)), 10)
+    assert len(same.leaves) == 1 and set(same.assign(np.ones((5, 4)))) == {0}
