@@ -350,7 +350,7 @@ def _dq_report() -> str:
 _LAST_WEEK = f"placed_at >= {AS_OF} - INTERVAL 7 DAY"
 _LAST_MONTH = f"placed_at >= {AS_OF} - INTERVAL 30 DAY"
 _SHIFTED = "event_timestamp + INTERVAL 7 DAY"
-_WATERMARK = "(SELECT max(event_timestamp) - INTERVAL 10 MINUTE FROM raw_orders)"
+_WATERMARK = "(SELECT max(event_timestamp) - INTERVAL 1 DAY FROM raw_orders)"
 _FEW_STATUSES = _quoted(ORDER_STATUSES[1:])
 _HOURLY = ("SELECT city, date_trunc('hour', placed_at) AS hour, count(*) AS total_orders, "
            "CAST(sum(total_vnd) AS BIGINT) AS revenue_vnd")
@@ -402,16 +402,29 @@ def oracle() -> dict[str, str]:
         f"WHERE {_SHIFTED} > {_WATERMARK}"))
     sql["stream_progress"] = _with(["raw_orders"], (
         "SELECT 2 * count(*) AS input_rows, "
-        f"count(*) FILTER ({_SHIFTED} <= {_WATERMARK}) AS late_rows FROM raw_orders"))
+        f"count(*) FILTER ({_SHIFTED} <= {_WATERMARK}) AS late_rows, "
+        f"count(*) + count(*) FILTER ({_SHIFTED} > {_WATERMARK}) AS stored_rows, "
+        "true AS many_batches FROM raw_orders"))
+    sql["stream_accounting"] = _with(["raw_orders"], (
+        "SELECT CAST(sum(2 + again) AS BIGINT) AS input_rows, count(*) FILTER (good) AS stored_rows, "
+        "count(*) FILTER (good AND again = 1) AS late_rows, "
+        "count(*) FILTER (good) AS duplicate_rows, "
+        "CAST(sum(2 + again) FILTER (NOT good) AS BIGINT) AS quarantined_rows, "
+        "count(*) FILTER (good) AS in_lake, "
+        "CAST(sum(2 + again) FILTER (NOT good) AS BIGINT) AS in_quarantine, "
+        "true AS over_100_batches, true AS nothing_lost FROM ("
+        "SELECT status NOT IN ('cancelled', 'CONFIRMED') AS good, "
+        "CASE WHEN CAST(event_timestamp AS DATE) = (SELECT min(CAST(event_timestamp AS DATE)) "
+        "FROM raw_orders) THEN 1::BIGINT ELSE 0::BIGINT END AS again FROM raw_orders)"))
     for name in ("stream_hourly_city", "stream_hourly_partials", "hourly_city_batch"):
         sql[name] = _all("hourly_city")
     sql["stream_typed_ingest"] = _with(["raw_orders"], (
         "SELECT order_id, customer_id, status, total_vnd, placed_at, event_timestamp "
         "FROM raw_orders"))
-    sql["typed_payment_ingest"] = _with(["raw_payments"], (
+    sql["typed_payment_ingest"] = sql["stream_typed_payments"] = _with(["raw_payments"], (
         "SELECT payment_id, order_id, amount_vnd, method, processed_at, event_timestamp "
         "FROM raw_payments"))
-    sql["typed_rider_ingest"] = _with(["raw_riders"], (
+    sql["typed_rider_ingest"] = sql["stream_typed_riders"] = _with(["raw_riders"], (
         "SELECT event_id, rider_id, order_id, speed_kmh, battery_pct, "
         "date_trunc('milliseconds', event_timestamp) AS event_timestamp FROM raw_riders"))
     sql["stream_quarantine"] = _with(["raw_orders"], (

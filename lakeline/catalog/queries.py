@@ -22,8 +22,10 @@ from ..schemas import (
 )
 from ..session import scratch_dir, use_utc
 from ..sources import adapters, landing, lake, tables, typed
+from ..sources.fs import Folder
 from ..streaming import hourly
-from ..streaming.drain import drain, drain_quarantine, drain_topic, progress_rows
+from ..streaming.drain import drain, drain_quarantine, drain_topic, ingest_topic
+from ..streaming.metrics import batch_rows, read_runs
 from ..streaming.writer import BatchWriter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +35,8 @@ AS_OF = dt.datetime(2024, 1, 15)                       # UTC
 RANGE = (dt.datetime(2024, 1, 3, 0), dt.datetime(2024, 1, 10, 23))   # local, inclusive
 LOCAL_NOW = dt.datetime(2024, 1, 15, 7)
 LOAD_DATE = dt.date(2024, 1, 20)
-ONE_BATCH = 1_000_000   # files per trigger: every arrival of a run in one micro-batch
+BATCHES = 8   # micro-batches of a drain, about
+FEED_DELAY = "1 day"   # the landed feed is in order from day to day, but not within one
 SHIFT_DAYS = 7
 
 
@@ -175,13 +178,31 @@ def land(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("timestampFormat", TS_FORMAT).json(path)
 
 
+def event_days(df: DataFrame) -> list[dt.date]:
+    days = df.select(F.to_date("event_timestamp").alias("d")).distinct().orderBy("d").collect()
+    return [r.d for r in days]
+
+
+def land_by_day(df: DataFrame, path: str, copies: int = 1) -> None:
+    """The feed of every day after that of the day before; each record ``copies`` times."""
+    kept = df.withColumn("__day", F.to_date("event_timestamp")).persist()
+    for day in event_days(df):
+        for _ in range(copies):
+            land(kept.where(F.col("__day") == F.lit(day)).drop("__day"), path)
+    kept.unpersist()
+
+
+def files_per_batch(spark: SparkSession, path: str, batches: int = BATCHES) -> int:
+    """So many files a trigger that a drain of this folder takes about ``batches``."""
+    return max(1, -(-Folder(spark, path).size()[1] // (2 * batches)))
+
+
 def _stream_dedup(spark, raw: DataFrame, topic: str, columns: list[str]) -> DataFrame:
     """Every record arrives twice; the drained lake holds each (id, time) once."""
     base = scratch_dir(spark, f"stream-{topic}")
-    for _ in range(2):
-        land(raw, f"{base}/landing")
+    land_by_day(raw, f"{base}/landing", copies=2)
     drain_topic(spark, topic, f"{base}/landing", f"{base}/lake", f"{base}/checkpoint",
-                max_files=ONE_BATCH)
+                max_files=files_per_batch(spark, f"{base}/landing"), delay=FEED_DELAY)
     return lake.read_lake(spark, f"{base}/lake", TOPICS[topic][0]).select(
         *columns, "event_timestamp", *lake.DAY_COLUMNS
     )
@@ -210,12 +231,13 @@ def _late_runs(spark, sf_dir):
     base = scratch_dir(spark, "stream-late")
     raw = adapters.raw_orders(spark, sf_dir)
     later = F.col("event_timestamp") + F.expr(f"INTERVAL {SHIFT_DAYS} DAYS")
-    progress = []
-    for rows in (raw, raw.withColumn("event_timestamp", later)):
-        land(rows, f"{base}/landing")
-        progress += drain_topic(spark, "orders", f"{base}/landing", f"{base}/lake",
-                                f"{base}/checkpoint", max_files=ONE_BATCH)
-    return base, progress
+    batches = []
+    for run, rows in enumerate((raw, raw.withColumn("event_timestamp", later))):
+        land_by_day(rows, f"{base}/landing")
+        per_batch = files_per_batch(spark, f"{base}/landing", BATCHES * (run + 1))
+        batches += drain_topic(spark, "orders", f"{base}/landing", f"{base}/lake",
+                               f"{base}/checkpoint", max_files=per_batch, delay=FEED_DELAY)
+    return base, batches
 
 
 @query
@@ -228,16 +250,62 @@ def stream_late_drop(spark, sf_dir):
 
 @query
 def stream_progress(spark, sf_dir):
-    _, progress = _late_runs(spark, sf_dir)
-    return progress_rows(spark, progress, "stream-orders").agg(
-        F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows")
+    _, batches = _late_runs(spark, sf_dir)
+    return batch_rows(spark, "stream-orders", batches).agg(
+        F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"),
+        F.sum("stored_rows").alias("stored_rows"),
+        (F.countDistinct("batch_id") >= 2 * 5).alias("many_batches"),
+    )
+
+
+def _broken(raw: DataFrame) -> DataFrame:
+    """Lines: cancelled orders lose their city, confirmed ones get an unreadable amount."""
+    broken = raw.withColumns({
+        "city": F.when(F.col("status") != "cancelled", F.col("city")),
+        "total_vnd": F.when(F.col("status") == "CONFIRMED", "n/a").otherwise(
+            F.col("total_vnd").cast("string")),
+    })
+    text = F.to_json(F.struct(*broken.columns), {"timestampFormat": TS_FORMAT})
+    numbers = F.regexp_replace(text, r'"total_vnd":"(\d+)"', r'"total_vnd":$1')
+    return broken.select("event_timestamp", numbers.alias("value"))
+
+
+@query
+def stream_accounting(spark, sf_dir):
+    """A run of over a hundred batches: every landed line is stored, late, a duplicate or bad.
+
+    Each order arrives twice, some are broken, and the first day comes again at the end.
+    """
+    base = scratch_dir(spark, "stream-accounting")
+    raw = adapters.raw_orders(spark, sf_dir)
+    lines = _broken(raw).withColumn("day", F.to_date("event_timestamp")).persist()
+    days = event_days(raw)
+    each = -(-110 // (2 * len(days))) if days else 1
+    for day in [d for d in days for _ in range(2)] + days[:1]:
+        lines.where(F.col("day") == F.lit(day)).select("value").repartition(each).write.mode(
+            "append").text(f"{base}/landing")
+    lines.unpersist()
+    run = ingest_topic(
+        spark, "orders", f"{base}/landing", f"{base}/lake", f"{base}/checkpoint",
+        f"{base}/quarantine", f"{base}/metrics", max_files=1, quarantine_files=20,
+        delay=FEED_DELAY, state_partitions=4, spread=0,
+    )
+    stored = lake.read_lake(spark, f"{base}/lake", ORDERS).agg(F.count("*").alias("in_lake"))
+    bad = spark.read.parquet(f"{base}/quarantine").agg(F.count("*").alias("in_quarantine"))
+    counted = F.col("stored_rows") + F.col("late_rows") + F.col("duplicate_rows")
+    return read_runs(spark, f"{base}/metrics").where(F.col("run_id") == run["run_id"]).join(
+        stored.join(F.broadcast(bad)), how="cross").select(
+        "input_rows", "stored_rows", "late_rows", "duplicate_rows", "quarantined_rows",
+        "in_lake", "in_quarantine", (F.col("batches") > 100).alias("over_100_batches"),
+        (counted + F.col("quarantined_rows") == F.col("input_rows")).alias("nothing_lost"),
     )
 
 
 def _landed_orders(spark, sf_dir, name):
     base = scratch_dir(spark, name)
-    land(adapters.raw_orders(spark, sf_dir), f"{base}/landing")
-    stream = landing.read_events(spark, f"{base}/landing", ORDERS, ONE_BATCH)
+    land_by_day(adapters.raw_orders(spark, sf_dir), f"{base}/landing")
+    stream = landing.read_events(spark, f"{base}/landing", ORDERS,
+                                 files_per_batch(spark, f"{base}/landing"))
     return base, landing.split_corrupt(stream, ["order_id", "placed_at"])[0]
 
 
@@ -266,21 +334,42 @@ def _as_text(df: DataFrame, *columns: str) -> DataFrame:
     })
 
 
+def _typed_stream(spark, queue: DataFrame, name: str, make) -> DataFrame:
+    """All-text rows of a queue, typed by a stream in several batches."""
+    base = scratch_dir(spark, f"stream-typed-{name}")
+    queue.repartition(BATCHES).write.json(f"{base}/queue")
+    stream = spark.readStream.schema(queue.schema).option("maxFilesPerTrigger", 1).json(
+        f"{base}/queue")
+    drain(make(stream), BatchWriter(f"{base}/raw", partition_by=()), f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/raw")
+
+
 @query
 def stream_typed_ingest(spark, sf_dir):
-    base = scratch_dir(spark, "stream-typed")
     queue = _as_text(adapters.raw_orders(spark, sf_dir), "placed_at", "event_timestamp")
-    queue.write.json(f"{base}/queue")
-    stream = spark.readStream.schema(queue.schema).option(
-        "maxFilesPerTrigger", ONE_BATCH
-    ).json(f"{base}/queue")
-    drain(typed.typed_orders(stream), BatchWriter(f"{base}/raw", partition_by=()),
-          f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/raw").select(
+    return _typed_stream(spark, queue, "orders", typed.typed_orders).select(
         "order_id", "customer_id", "status", "total_vnd", "placed_at", "event_timestamp"
     )
 
 
+@query
+def stream_typed_payments(spark, sf_dir):
+    queue = _as_text(adapters.raw_payments(spark, sf_dir), "processed_at", "event_timestamp")
+    return _typed_stream(spark, queue, "payments", typed.typed_payments).select(
+        "payment_id", "order_id", "amount_vnd", "method", "processed_at", "event_timestamp"
+    )
+
+
+@query
+def stream_typed_riders(spark, sf_dir):
+    queue = _as_text(adapters.raw_rider_events(spark, sf_dir), "event_timestamp").withColumn(
+        "order_id", F.coalesce("order_id", F.lit(""))
+    )
+    return _typed_stream(spark, queue, "riders", typed.typed_rider_events).select(
+        "event_id", "rider_id", "order_id", "speed_kmh", "battery_pct", "event_timestamp"
+    )
+
+
 @query
 def typed_payment_ingest(spark, sf_dir):
     queue = _as_text(adapters.raw_payments(spark, sf_dir), "processed_at", "event_timestamp")
@@ -301,19 +390,10 @@ def typed_rider_ingest(spark, sf_dir):
 
 @query
 def stream_quarantine(spark, sf_dir):
-    """Cancelled orders lose their city, confirmed ones get an unreadable amount."""
     base = scratch_dir(spark, "stream-quarantine")
-    raw = adapters.raw_orders(spark, sf_dir)
-    broken = raw.withColumns({
-        "city": F.when(F.col("status") != "cancelled", F.col("city")),
-        "total_vnd": F.when(F.col("status") == "CONFIRMED", "n/a").otherwise(
-            F.col("total_vnd").cast("string")),
-    })
-    text = F.to_json(F.struct(*broken.columns), {"timestampFormat": TS_FORMAT})
-    numbers = F.regexp_replace(text, r'"total_vnd":"(\d+)"', r'"total_vnd":$1')
-    broken.select(numbers.alias("value")).write.text(f"{base}/landing")
+    _broken(adapters.raw_orders(spark, sf_dir)).select("value").write.text(f"{base}/landing")
     drain_quarantine(spark, "orders", f"{base}/landing", f"{base}/bad", f"{base}/checkpoint",
-                     max_files=ONE_BATCH)
+                     max_files=files_per_batch(spark, f"{base}/landing"))
     return spark.read.parquet(f"{base}/bad").groupBy("reason").agg(
         F.count("*").alias("records"), F.count("record").alias("kept_lines")
     )

@@ -24,7 +24,8 @@ from ..plans.models import run_transform
 from ..schemas import ORDERS, PAYMENTS, TOPICS
 from ..session import build_session, use_utc
 from ..sources import landing, lake
-from ..streaming.drain import drain_quarantine, drain_topic
+from ..streaming.dedup import SPREAD
+from ..streaming.drain import ingest_topic
 from ..streaming.writer import BatchWriter
 
 log = logging.getLogger("lakeline")
@@ -34,19 +35,17 @@ def yesterday() -> str:
     return (dt.datetime.now(dt.timezone.utc) - dt.timedelta(days=1)).date().isoformat()
 
 
-def run_stream(spark: SparkSession, a) -> list[dict]:
-    writer = BatchWriter(f"{a.lake}/{a.topic}", on_missing=a.on_missing)
-    progress = drain_topic(
-        spark, a.topic, f"{a.landing}/{a.topic}", f"{a.lake}/{a.topic}",
-        f"{a.checkpoints}/{a.topic}", metrics=f"{a.lake}/_metrics/batch_skips", writer=writer,
-        max_files=a.max_files,
+def run_stream(spark: SparkSession, a) -> dict:
+    lake_path = f"{a.lake}/{a.topic}"
+    run = ingest_topic(
+        spark, a.topic, f"{a.landing}/{a.topic}", lake_path, f"{a.checkpoints}/{a.topic}",
+        quarantine=f"{a.quarantine or a.lake + '-quarantine'}/{a.topic}",
+        metrics=a.metrics or f"{a.lake}-metrics", max_bad=a.max_bad,
+        writer=BatchWriter(lake_path, on_missing=a.on_missing), max_files=a.max_files,
+        delay=a.delay, spread=a.spread,
     )
-    if a.quarantine:
-        drain_quarantine(spark, a.topic, f"{a.landing}/{a.topic}", f"{a.quarantine}/{a.topic}",
-                         f"{a.checkpoints}/{a.topic}-quarantine", a.max_files)
-    for batch in writer.batches:
-        log.warning("batch %(batch_id)d: %(rows)d rows in %(write_sec).3f s", batch)
-    return progress
+    log.warning("stream %s: %s", a.topic, run)
+    return run
 
 
 def run_load(spark: SparkSession, a) -> dict[str, int]:
@@ -95,8 +94,12 @@ def parser() -> argparse.ArgumentParser:
 
     p = job("stream", run_stream, "landing", "lake", "checkpoints")
     p.add_argument("topic", choices=list(TOPICS))
-    p.add_argument("--quarantine")
+    p.add_argument("--quarantine", help="default: the lake's folder with -quarantine")
+    p.add_argument("--metrics", help="default: the lake's folder with -metrics")
+    p.add_argument("--max-bad", type=int, help="fail the run beyond so many new bad records")
     p.add_argument("--max-files", type=int, default=50)
+    p.add_argument("--delay", default="10 minutes", help="how late a row may be")
+    p.add_argument("--spread", type=int, default=SPREAD)
     p.add_argument("--on-missing", choices=["fail", "skip"], default="fail")
     p = job("load", run_load, "landing", "raw")
     p.add_argument("--date", default=yesterday())

@@ -19,8 +19,6 @@ DEFAULTS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # A drain reports on all of its batches.
-    "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from .fs import Folder, as_date
 
@@ -28,10 +28,12 @@ def read_lake(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame
 def read_day(
     spark: SparkSession, base: str, date: str | dt.date, schema: T.StructType
 ) -> DataFrame:
-    """One UTC day; the partition filter prunes the listing, an absent day is empty."""
-    d = as_date(date)
-    in_day = (F.col("year") == d.year) & (F.col("month") == d.month) & (F.col("day") == d.day)
-    return read_lake(spark, base, schema).where(in_day)
+    """One UTC day, read from its own folder: no other day is listed. An absent day is empty."""
+    d, columns = as_date(date), lake_schema(schema)
+    day = f"{base.rstrip('/')}/year={d.year}/month={d.month}/day={d.day}"
+    if not Folder(spark, day).exists():
+        return spark.createDataFrame([], columns).drop(BATCH_COLUMN)
+    return spark.read.schema(columns).option("basePath", base).parquet(day).drop(BATCH_COLUMN)
 
 
 def overwrite_partition(df: DataFrame, base: str, column: str, value: str | dt.date) -> str:

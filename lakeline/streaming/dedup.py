@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+#: Slices in which copies of a record meet before they meet as a whole.
+SPREAD = 8
+
 
 def dedup_stream(
     df: DataFrame,
@@ -11,14 +14,14 @@ def dedup_stream(
     ts: str = "event_timestamp",
     delay: str = "10 minutes",
     within_watermark: bool = False,
-    spread: int = 0,
+    spread: int = SPREAD,
 ) -> DataFrame:
     """Drop repeated ``(id, ts)`` pairs; rows older than the watermark disappear.
 
-    ``within_watermark`` is the stronger form: one row per ``id`` while its
-    state lasts, whatever its time. ``spread`` > 1 first removes copies within
-    that many slices of the input, so that a record replayed very many times
-    does not meet in one state task; it costs a second state store.
+    ``within_watermark`` is the stronger form: one row per ``id`` while its state lasts, whatever
+    its time. Copies of one record, which may be a third of the input, are first removed within
+    ``spread`` slices of the input, so that few of them meet in one state task; this costs a
+    second state store, and 0 leaves it out.
     """
     marked = df.withWatermark(ts, delay)
     if within_watermark:

@@ -1,45 +1,48 @@
-"""Bounded drains of a stream with checkpointed restart (ST03, ST05, ST09-ST11)."""
+"""Bounded drains of a stream with checkpointed restart (ST03, ST05, S10, ST09-ST11)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import with_event_date_parts
 from ..schemas import TOPICS, required
-from ..sources.landing import read_events, split_corrupt
-from .dedup import dedup_stream
-from .writer import BatchWriter, append_skip_metric
-
-
-def drain(stream: DataFrame, writer, checkpoint: str, mode: str = "append") -> list[dict]:
-    """Process what has arrived, then stop; the next call resumes from the checkpoint."""
-    query = (
-        stream.writeStream.foreachBatch(writer)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .outputMode(mode)
-        .start()
-    )
-    query.awaitTermination()
-    return [progress_record(p) for p in query.recentProgress]
+from ..sources.landing import TooManyBadRecords, read_events, split_corrupt
+from .dedup import SPREAD, dedup_stream
+from .metrics import ProgressLog, store_run, with_stored
+from .writer import BatchWriter
 
 
-def progress_record(progress) -> dict:
-    operators = progress["stateOperators"]
-    return {
-        "batch_id": progress["batchId"],
-        "input_rows": progress["numInputRows"],
-        "rows_per_sec": float(progress["processedRowsPerSecond"] or 0.0),
-        "duration_ms": progress["durationMs"].get("triggerExecution", 0),
-        "late_rows": sum(op["numRowsDroppedByWatermark"] for op in operators),
-        "state_rows": sum(op["numRowsTotal"] for op in operators),
-    }
+def drain(stream: DataFrame, writer: Callable[[DataFrame, int], None], checkpoint: str,
+          mode: str = "append", state_partitions: int | None = None) -> list[dict]:
+    """Process what has arrived, then stop; the next call resumes from the checkpoint.
 
+    Returns one record per batch, of all batches of this call. ``state_partitions`` fixes the
+    number of state tasks at the first start, where the session's number is not wanted.
+    """
+    spark = stream.sparkSession
+    log = ProgressLog(spark)
 
-def progress_rows(spark: SparkSession, progress: list[dict], job: str) -> DataFrame:
-    schema = ("job string, batch_id bigint, input_rows bigint, rows_per_sec double, "
-              "duration_ms bigint, late_rows bigint, state_rows bigint")
-    return spark.createDataFrame([{"job": job, **p} for p in progress], schema)
+    def write(df: DataFrame, batch_id: int) -> None:
+        writer(df, batch_id)
+        log.batch_done()
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        log.query = (
+            stream.writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .outputMode(mode)
+            .start()
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    log.query.awaitTermination()
+    return log.all()
 
 
 def topic_stream(
@@ -49,7 +52,7 @@ def topic_stream(
     max_files: int = 50,
     delay: str = "10 minutes",
     within_watermark: bool = False,
-    spread: int = 0,
+    spread: int = SPREAD,
 ) -> DataFrame:
     """Good rows of a topic, deduplicated, with their UTC day columns."""
     schema, key = TOPICS[topic]
@@ -66,16 +69,15 @@ def drain_topic(
     landing: str,
     lake: str,
     checkpoint: str,
-    metrics: str | None = None,
     writer: BatchWriter | None = None,
+    state_partitions: int | None = None,
     **stream_options,
 ) -> list[dict]:
-    """Landing folder to lake table, once."""
+    """Good rows of a landing folder to a lake table, once."""
     writer = writer or BatchWriter(lake)
-    progress = drain(topic_stream(spark, topic, landing, **stream_options), writer, checkpoint)
-    if metrics:
-        append_skip_metric(spark, metrics, f"stream-{topic}", writer.skips)
-    return progress
+    progress = drain(topic_stream(spark, topic, landing, **stream_options), writer, checkpoint,
+                     state_partitions=state_partitions)
+    return with_stored(progress, writer)
 
 
 def drain_quarantine(
@@ -84,4 +86,37 @@ def drain_quarantine(
     """Unusable records of a topic, kept with their reason. Stateless, own checkpoint."""
     schema, _ = TOPICS[topic]
     _, bad = split_corrupt(read_events(spark, landing, schema, max_files), required(schema))
-    return drain(bad, BatchWriter(path, partition_by=()), checkpoint)
+    writer = BatchWriter(path, partition_by=())
+    return with_stored(drain(bad, writer, checkpoint), writer)
+
+
+def ingest_topic(
+    spark: SparkSession,
+    topic: str,
+    landing: str,
+    lake: str,
+    checkpoint: str,
+    quarantine: str,
+    metrics: str,
+    max_bad: int | None = None,
+    writer: BatchWriter | None = None,
+    max_files: int = 50,
+    quarantine_files: int | None = None,
+    **options,
+) -> dict:
+    """One run of the ingest job: every landed line ends in the lake, in the quarantine, or in
+    the stored counts of late rows and of duplicates.
+
+    The run's record is stored and returned. With ``max_bad`` the run fails beyond that many new
+    bad records, after all has been stored.
+    """
+    writer = writer or BatchWriter(lake)
+    batches = drain_topic(spark, topic, landing, lake, checkpoint, writer, max_files=max_files,
+                          **options)
+    bad = drain_quarantine(spark, topic, landing, quarantine, f"{checkpoint}-quarantine",
+                           quarantine_files or max_files)
+    quarantined = sum(b["stored_rows"] for b in bad)
+    record = store_run(spark, metrics, f"stream-{topic}", batches, quarantined, writer.skips)
+    if max_bad is not None and quarantined > max_bad:
+        raise TooManyBadRecords(f"{quarantined} bad records in {landing}, kept in {quarantine}")
+    return record

@@ -1,30 +1,57 @@
-"""Replay-safe micro-batch writer and its metrics (S04, S06, ST04-ST09, ST12)."""
+"""Replay-safe micro-batch writer (S04, ST04, ST06-ST08, ST12)."""
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
-from datetime import datetime, timezone
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..sources.lake import BATCH_COLUMN, DAY_COLUMNS
 
-MISSING_FILE = ("FILE_NOT_EXIST", "FileNotFoundException")
+#: Files that one micro-batch leaves in a partition folder at most, and rows of one file.
+FILES_PER_PARTITION, ROWS_PER_FILE = 4, 2_000_000
+MISSING_CONDITIONS = ("FAILED_READ_FILE.FILE_NOT_EXIST", "PATH_NOT_FOUND")
 
 
 class TooManySkips(RuntimeError):
     """More batches lost their input than the job tolerates."""
 
 
+def input_is_gone(error: Exception) -> bool:
+    """Whether a file that the batch should read no longer exists.
+
+    Decided by Spark's error condition or the class of a cause, not by the message.
+    """
+    cause = error.java_exception if isinstance(error, Py4JJavaError) else getattr(
+        error, "_origin", None)
+    if isinstance(error, PySparkException) and error.getCondition() in MISSING_CONDITIONS:
+        return True
+    while cause is not None:
+        if cause.getClass().getName() == "java.io.FileNotFoundException":
+            return True
+        if hasattr(cause, "getCondition") and _condition(cause) in MISSING_CONDITIONS:
+            return True
+        cause = cause.getCause()
+    return False
+
+
+def _condition(cause) -> str | None:
+    try:
+        return cause.getCondition()
+    except Exception:  # a cause that is no Spark error has no condition
+        return None
+
+
 class BatchWriter:
     """``foreachBatch`` target: Parquet partitions with the batch as innermost one.
 
-    A batch that is replayed after a crash overwrites its own partitions, so an
-    append never doubles. Rows are counted while they are written; nothing is
-    computed twice. An empty batch writes nothing.
+    A batch that is replayed after a crash overwrites its own partitions, so an append never
+    doubles. Rows are counted while they are written; nothing is computed twice. An empty batch
+    writes nothing. Rows are dealt out by partition and a few slices of it before they are
+    written, so the number of files does not follow the number of shuffle tasks.
     """
 
     def __init__(
@@ -34,36 +61,43 @@ class BatchWriter:
         on_missing: str = "fail",
         max_skips: int = 5,
         transform: Callable[[DataFrame], DataFrame] | None = None,
-        max_files: int | None = None,
+        files: int = FILES_PER_PARTITION,
+        rows_per_file: int = ROWS_PER_FILE,
     ):
         self.path = path
         self.partition_by = tuple(partition_by)
         self.on_missing = on_missing
         self.max_skips = max_skips
         self.transform = transform
-        self.max_files = max_files
+        self.files = files
+        self.rows_per_file = rows_per_file
         self.batches: list[dict] = []
         self.skips = 0
 
+    def _laid_out(self, df: DataFrame) -> DataFrame:
+        slice_of = F.pmod(F.xxhash64(*df.columns), F.lit(self.files))
+        if not self.partition_by:
+            return df.repartition(self.files, slice_of)
+        return df.repartition(*self.partition_by, slice_of)
+
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         if self.transform:
             df = self.transform(df)
-        if self.max_files:
-            df = df.repartition(self.max_files)
         seen = Observation()
-        rows = df.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint")).observe(
-            seen, F.count("*").alias("rows")
-        )
+        rows = self._laid_out(df).withColumn(
+            BATCH_COLUMN, F.lit(batch_id).cast("bigint")
+        ).observe(seen, F.count("*").alias("rows"))
         started = time.perf_counter()
         try:
             (
                 rows.write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
+                .option("maxRecordsPerFile", self.rows_per_file)
                 .partitionBy(*self.partition_by, BATCH_COLUMN)
                 .parquet(self.path)
             )
         except (PySparkException, Py4JJavaError) as error:
-            if self.on_missing == "fail" or not any(m in str(error) for m in MISSING_FILE):
+            if self.on_missing == "fail" or not input_is_gone(error):
                 raise
             self._skip(batch_id, error)
             return
@@ -84,16 +118,3 @@ class BatchWriter:
 
 def make_batch_writer(path: str, partition_by: Sequence[str] = DAY_COLUMNS, **options):
     return BatchWriter(path, partition_by, **options)
-
-
-def append_skip_metric(spark: SparkSession, path: str, job: str, skips: int) -> None:
-    """One JSON row ``(ts, job, skip_count)`` per run that skipped batches."""
-    if skips:
-        ts = datetime.now(timezone.utc).isoformat()
-        row = spark.createDataFrame([(ts, job, skips)], "ts string, job string, skip_count bigint")
-        row.write.mode("append").json(path)
-
-
-def timing_rows(spark: SparkSession, writer: BatchWriter, job: str) -> DataFrame:
-    schema = "job string, batch_id bigint, rows bigint, write_sec double, rows_per_sec double"
-    return spark.createDataFrame([{"job": job, **b} for b in writer.batches], schema)

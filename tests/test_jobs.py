@@ -11,6 +11,8 @@ from lakeline.jobs.__main__ import main, parser, yesterday
 from lakeline.operators.quality import ChecksFailed
 from lakeline.schemas import ORDERS, PAYMENTS, TOPICS
 from lakeline.sources import lake
+from lakeline.sources.landing import TooManyBadRecords
+from lakeline.streaming.metrics import read_runs
 
 DAY = "2024-01-05"
 
@@ -55,8 +57,17 @@ def test_pipeline(spark, tmp_path):
     paths = ["--landing", f"{base}/landing", "--lake", f"{base}/lake"]
     for topic in TOPICS:
         for _ in range(2):
-            main(["stream", topic, *paths, "--checkpoints", f"{base}/checkpoints",
-                  "--quarantine", f"{base}/bad"])
+            main(["stream", topic, *paths, "--checkpoints", f"{base}/checkpoints"])
+    with open(f"{base}/landing/orders/year=2024/month=01/day=05/b.jsonl", "w") as f:
+        f.write("{broken\n")
+    with pytest.raises(TooManyBadRecords):
+        main(["stream", "orders", *paths, "--checkpoints", f"{base}/checkpoints", "--max-bad", "0"])
+    os.remove(f"{base}/landing/orders/year=2024/month=01/day=05/b.jsonl")
+    assert spark.read.parquet(f"{base}/lake-quarantine/orders").count() == 1
+    runs = read_runs(spark, f"{base}/lake-metrics")
+    assert runs.where("job = 'stream-orders'").agg(
+        F.sum("input_rows"), F.sum("stored_rows"), F.sum("duplicate_rows"),
+        F.sum("quarantined_rows")).first() == (14, 12, 1, 1)
     assert lake.read_lake(spark, f"{base}/lake/orders", ORDERS).count() == 12
     assert lake.read_lake(spark, f"{base}/lake/payments", PAYMENTS).count() == 8
 

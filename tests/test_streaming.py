@@ -13,9 +13,10 @@ from lakeline.sources import lake, landing, typed
 from lakeline.streaming import hourly
 from lakeline.streaming.dedup import dedup_stream
 from lakeline.streaming.drain import (
-    drain, drain_quarantine, drain_topic, progress_rows, topic_stream,
+    drain, drain_quarantine, drain_topic, ingest_topic, topic_stream,
 )
-from lakeline.streaming.writer import BatchWriter, TooManySkips, append_skip_metric, timing_rows
+from lakeline.streaming.metrics import batch_rows, read_batches, read_runs, store_run
+from lakeline.streaming.writer import BatchWriter, TooManySkips
 
 START = utc("2024-01-05T03:00:00")
 
@@ -83,7 +84,7 @@ def test_late_row_of_a_later_run_is_dropped_and_counted(land, spark):
     land.put(line("late", 3000 - 1800), line("fresh", 3000 - 300))
     second = land.drain()
     assert [i for i, _ in land.lake()] == ["fresh", "o1"]
-    late = progress_rows(spark, first + second, "stream-orders").agg(F.sum("late_rows"))
+    late = batch_rows(spark, "stream-orders", first + second).agg(F.sum("late_rows"))
     assert late.first()[0] == 1
 
 
@@ -127,8 +128,7 @@ def test_replayed_batch_overwrites_itself(spark, rows, tmp_path):
     writer(with_event_date_parts(rows.orders({"order_id": "o3"})), 1)
     assert lake.read_lake(spark, str(tmp_path / "lake"), ORDERS).count() == 3
     assert [b["rows"] for b in writer.batches] == [2, 2, 1]
-    timing = timing_rows(spark, writer, "stream-orders")
-    assert timing.where("rows_per_sec > 0").count() == 3
+    assert all(b["rows_per_sec"] > 0 for b in writer.batches)
 
 
 def test_empty_batch_writes_nothing(spark, rows, tmp_path):
@@ -159,9 +159,74 @@ def test_vanished_input_fails_or_is_skipped(spark, rows, tmp_path):
     assert writer.skips == 2 and writer.batches == []
     with pytest.raises(TooManySkips):
         writer(vanished(), 2)
-    append_skip_metric(spark, str(tmp_path / "metrics"), "stream-orders", writer.skips)
-    append_skip_metric(spark, str(tmp_path / "metrics"), "stream-orders", 0)
-    assert dicts(spark.read.json(str(tmp_path / "metrics")))[0]["skip_count"] == 3
+    for skips in (writer.skips, 0):
+        store_run(spark, str(tmp_path / "metrics"), "stream-orders", [], skips=skips)
+    runs = dicts(read_runs(spark, str(tmp_path / "metrics")))
+    assert sorted(r["skipped_batches"] for r in runs) == [0, 3]
+
+
+def test_other_failures_are_no_missing_input(spark, rows, tmp_path):
+    writer = BatchWriter(str(tmp_path / "c"), partition_by=(), on_missing="skip")
+    named = rows.orders({}).withColumn(
+        "city", F.raise_error(F.lit("FILE_NOT_EXIST FileNotFoundException")).cast("string"))
+    with pytest.raises(Exception, match="FILE_NOT_EXIST"):
+        writer(named, 0)
+    assert writer.skips == 0
+
+
+def test_every_landed_line_is_accounted_for_over_many_batches(land, spark):
+    """More batches than Spark keeps progress of, with late, repeated and broken lines."""
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "10")
+    try:
+        for i in range(40):
+            land.put(line(f"o{i}", 60 * i), line(f"o{i}", 60 * i), "{broken",
+                     *([line(f"late{i}", 60 * i - 3600)] if i > 30 else []))
+        base = land.base
+        run = ingest_topic(spark, "orders", f"{base}/landing", f"{base}/lake", f"{base}/checkpoint",
+                           f"{base}/bad", f"{base}/metrics", max_files=1)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert (run["input_rows"], run["stored_rows"], run["duplicate_rows"], run["late_rows"],
+            run["quarantined_rows"]) == (129, 40, 40, 9, 40)
+    assert lake.read_lake(spark, f"{base}/lake", ORDERS).count() == 40
+    assert spark.read.parquet(f"{base}/bad").count() == 40
+    batches = read_batches(spark, f"{base}/metrics")
+    assert batches.count() == run["batches"] >= 40
+    assert batches.agg(F.sum("input_rows")).first()[0] == 129
+    land.put("{broken again")
+    with pytest.raises(landing.TooManyBadRecords):
+        ingest_topic(spark, "orders", f"{base}/landing", f"{base}/lake", f"{base}/checkpoint",
+                     f"{base}/bad", f"{base}/metrics", max_bad=0)
+    assert read_runs(spark, f"{base}/metrics").count() == 2
+    assert spark.read.parquet(f"{base}/bad").count() == 41
+
+
+@pytest.mark.parametrize("files", [1, 5, 100])
+def test_rows_do_not_depend_on_the_number_of_batches(land, files):
+    rows = [line(f"o{i % 20}", 30 * (i // 2)) for i in range(60)]
+    for i in range(0, 60, 4):
+        land.put(*rows[i:i + 4])
+    land.drain(max_files=files)
+    assert land.lake() == sorted({(r["order_id"], 30 * (i // 2)) for i, r in enumerate(rows)})
+
+
+def test_files_of_a_drain_do_not_follow_the_shuffle(land, spark):
+    """Two hundred shuffle tasks, fourteen days: a few files per day, and one day reads alone."""
+    land.put(*[line(f"o{i}", 86_400 * (i % 14) + i) for i in range(2_000)])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        land.drain(spread=0)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    found = [f"{d}/{n}" for d, _, names in os.walk(f"{land.base}/lake") for n in names
+             if n.endswith(".parquet")]
+    assert 14 <= len(found) <= 4 * 14
+    day = lake.read_day(spark, f"{land.base}/lake", "2024-01-06", ORDERS)
+    assert len(day.inputFiles()) <= 4 and day.count() == 143
+    assert {(r.year, r.month, r.day) for r in day.select("year", "month", "day").collect()} == {
+        (2024, 1, 6)}
 
 
 def test_broken_records_go_to_quarantine(land, spark):
