@@ -8,12 +8,12 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import readable_quantity, with_event_date_parts
+from ..functions import readable_quantity, utc_datetime, with_event_date_parts
 from ..operators import merge, quality, series
 from ..operators.compaction import compact
 from ..operators.dedup import duplicate_report, latest_by, replacing_read
 from ..operators.joins import hot_keys
-from ..plans import daily, dashboards, reports, staging
+from ..plans import daily, dashboards, intermediate, reports, staging
 from ..plans.checks import model_checks
 from ..plans.incremental import run_incremental
 from ..plans.models import run_models
@@ -73,6 +73,24 @@ for _name in ("stg_orders", "stg_payments", "stg_riders", "int_order_payments",
     _model_query(_name)
 
 
+@query
+def int_order_payments_split(spark, sf_dir):
+    """The same rows where every order with two payment records or more counts as hot."""
+    raw = adapters.raw_tables(spark, sf_dir)
+    hot = hot_keys(raw["payments"], "order_id", slice_rows=2)
+    return intermediate.int_order_payments(
+        staging.stg_orders(raw["orders"]), staging.stg_payments(raw["payments"]), hot)
+
+
+@query
+def daily_summary_split(spark, sf_dir):
+    payments = adapters.raw_payments(spark, sf_dir)
+    return daily.daily_summary_backfill(
+        adapters.raw_orders(spark, sf_dir), payments,
+        hot_orders=hot_keys(payments, "order_id", slice_rows=2),
+    ).drop("processed_at")
+
+
 @query
 def stg_order_items(spark, sf_dir):
     return staging.stg_order_items(adapters.raw_item_orders(spark, sf_dir))
@@ -179,13 +197,13 @@ def land(df: DataFrame, path: str) -> None:
 
 
 def event_days(df: DataFrame) -> list[dt.date]:
-    days = df.select(F.to_date("event_timestamp").alias("d")).distinct().orderBy("d").collect()
+    days = df.select(F.to_date(utc_datetime("event_timestamp")).alias("d")).distinct().orderBy("d").collect()
     return [r.d for r in days]
 
 
 def land_by_day(df: DataFrame, path: str, copies: int = 1) -> None:
     """The feed of every day after that of the day before; each record ``copies`` times."""
-    kept = df.withColumn("__day", F.to_date("event_timestamp")).persist()
+    kept = df.withColumn("__day", F.to_date(utc_datetime("event_timestamp"))).persist()
     for day in event_days(df):
         for _ in range(copies):
             land(kept.where(F.col("__day") == F.lit(day)).drop("__day"), path)
@@ -278,7 +296,7 @@ def stream_accounting(spark, sf_dir):
     """
     base = scratch_dir(spark, "stream-accounting")
     raw = adapters.raw_orders(spark, sf_dir)
-    lines = _broken(raw).withColumn("day", F.to_date("event_timestamp")).persist()
+    lines = _broken(raw).withColumn("day", F.to_date(utc_datetime("event_timestamp"))).persist()
     days = event_days(raw)
     each = -(-110 // (2 * len(days))) if days else 1
     for day in [d for d in days for _ in range(2)] + days[:1]:
@@ -596,9 +614,8 @@ def q_city_revenue_m(spark, sf_dir):
 
 @query
 def q_fact_join_report(spark, sf_dir):
-    return reports.fact_join_report(
-        model(spark, sf_dir, "fct_orders"), model(spark, sf_dir, "rpt_hourly_revenue")
-    )
+    models = run_models(spark, adapters.raw_tables(spark, sf_dir))
+    return reports.fact_join_report(models["fct_orders"], models["rpt_hourly_revenue"])
 
 
 @query
@@ -754,6 +771,13 @@ def dq_positive_revenue(spark, sf_dir):
     return quality.failures(model(spark, sf_dir, "fct_orders"), quality.positive_revenue_check())
 
 
+@query
+def dq_revenue_floor(spark, sf_dir):
+    """The same check with a floor that orders do fall below."""
+    check = quality.positive_revenue_check(floor=5_000_000)
+    return quality.failures(model(spark, sf_dir, "fct_orders"), check)
+
+
 @query
 def dq_valid_status(spark, sf_dir):
     check = quality.valid_status_check(ORDER_STATUSES[1:])

@@ -8,11 +8,16 @@ from .timestamps import (
     hour_bucket,
     local_date,
     local_datetime,
+    strict_timestamp,
+    utc_datetime,
+    utc_hour,
+    wall_seconds,
     with_event_date_parts,
 )
 
 __all__ = [
     "best_effort_timestamp", "flag", "hour_bucket", "local_date", "local_datetime",
     "meal_period", "positive_delay_seconds", "readable_quantity", "readable_size",
-    "uuid_or_null", "uuid_strict", "with_event_date_parts",
+    "strict_timestamp", "utc_datetime", "utc_hour", "uuid_or_null", "uuid_strict",
+    "wall_seconds", "with_event_date_parts",
 ]

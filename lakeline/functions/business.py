@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from .timestamps import wall_seconds
+
 
 def meal_period(hour: Column | str) -> Column:
     """Both ranges include their last hour."""
@@ -18,14 +20,13 @@ def flag(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0)
 
 
-def positive_delay_seconds(start: Column, end: Column) -> Column:
-    """Whole-second clock difference, floored at 0; NULL when either side is missing.
+def positive_delay_seconds(start: Column, end: Column, wall_clock: bool = False) -> Column:
+    """Whole-second difference of two instants, or of two wall clocks of one zone, floored at 0;
+    NULL when either side is missing.
 
     Each side is cut to its second before subtracting. ``greatest`` skips NULLs
     in Spark, hence the explicit guard.
     """
-    def seconds(c: Column) -> Column:
-        return F.unix_timestamp(c.cast("timestamp"))
-
+    seconds = wall_seconds if wall_clock else F.unix_timestamp
     delay = seconds(end) - seconds(start)
     return F.when(delay.isNotNull(), F.greatest(F.lit(0).cast("bigint"), delay))

@@ -12,13 +12,15 @@ _RANK = "__rank"
 def latest_by(
     df: DataFrame, keys: Sequence[str], version: str, tie: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per key: the highest ``version``, ties decided by ``tie`` descending.
+    """One row per key: the highest ``version``, ties decided by ``tie`` descending and then by a
+    hash of the whole row, so that the order is total and every run keeps the same row.
 
     Filtering ``row_number`` to 1 lets Spark keep one row per key in every map
     task before the shuffle (a partial window group limit), so a key with very
     many copies reaches its reduce task as one row per map task.
     """
     order = [F.col(c).desc_nulls_last() for c in (version, *tie)]
+    order.append(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)).desc())
     window = Window.partitionBy(*keys).orderBy(*order)
     return (
         df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)

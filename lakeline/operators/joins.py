@@ -1,4 +1,4 @@
-"""Left join that stays balanced when one key owns much of the right side."""
+"""Left join that stays balanced when keys own much of the right side."""
 
 from __future__ import annotations
 
@@ -6,51 +6,53 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-#: Rows of one key a single reduce task takes without trouble.
-HOT_ROWS = 5_000_000
-#: Most keys ever treated apart; bounds the key list and the broadcast below.
-HOT_KEYS = 1_000
+from ..session import scratch_dir
 
+#: Rows of one key that one task of the join should take; a key with more is cut.
+SLICE_ROWS = 5_000_000
 
-def hot_keys(
-    df: DataFrame, key: str, min_rows: int = HOT_ROWS, max_keys: int = HOT_KEYS
-) -> list:
-    """The heaviest keys, at most ``max_keys`` of them.
 
-    Reads one column and combines on the map side. Keys beyond the bound stay
-    on the ordinary join path, so the bound never changes a result.
+def hot_keys(df: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> DataFrame | None:
+    """(key, slices) of every key with ``slice_rows`` rows or more; None if there is none.
+
+    Reads one column and combines on the map side. The list is a table in the shared folder, not
+    a value of the driver: it may be of any length, and the planner knows its size.
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    heavy = counts.where(F.col("n") >= min_rows).orderBy(F.desc("n"), key).limit(max_keys)
-    return [row[0] for row in heavy.collect()]
+    heavy = counts.where(F.col("n") >= slice_rows).select(
+        key, F.ceil(F.col("n") / slice_rows + 1).cast("int").alias("slices"))
+    path = scratch_dir(df.sparkSession, "hot-keys")
+    heavy.write.parquet(path)
+    stored = df.sparkSession.read.schema(heavy.schema).parquet(path)
+    return None if stored.isEmpty() else stored
 
 
 def left_join(
     left: DataFrame,
     right: DataFrame,
     on: str | Sequence[str],
-    hot: Sequence = (),
-    hot_column: str | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """``left LEFT JOIN right`` where ``left`` has one row per key.
+    """``left LEFT JOIN right``, where few rows of ``left`` share a key.
 
-    Adaptive execution may split only the preserved side of an outer join, so a
-    hot key on the right would end in one task. The rows of ``hot`` keys are
-    therefore joined apart: the left side has at most one row for each of them
-    and is broadcast, and the right side keeps its own partitioning. With
-    several join columns ``hot_column`` is the one ``hot`` lists.
+    Adaptive execution may split only the preserved side of an outer join, so a hot key on the
+    right would end in one task. ``hot`` lists such keys (see ``hot_keys``; its key is one of
+    the join columns). Their right rows are dealt out to slices by a hash of the row, and
+    their left rows go to every slice. Without hot keys this is the plain join.
     """
     columns = [on] if isinstance(on, str) else list(on)
-    if not hot:
+    if hot is None:
         return left.join(right, columns, "left")
-    if len(hot) > HOT_KEYS:
-        raise ValueError(f"{len(hot)} hot keys exceed the broadcast bound of {HOT_KEYS}")
-    key = F.col(hot_column or columns[-1])
-    is_hot = key.isin(list(hot))
-    cold = left.where(~is_hot | key.isNull()).join(right.where(~is_hot), columns, "left")
-    hot_left, hot_right = left.where(is_hot), right.where(is_hot)
-    matched = F.broadcast(hot_left).join(hot_right, columns, "inner").select(*cold.columns)
+    key = hot.columns[0]
+    cold = left.join(hot, key, "left_anti").join(right.join(hot, key, "left_anti"), columns, "left")
+    hot_left, hot_right = left.join(hot, key), right.join(hot, key)
+    sliced_left = hot_left.withColumn(
+        "__slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+    dealt = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in right.columns)), F.col("slices"))
+    sliced_right = hot_right.withColumn("__slice", dealt.cast("int")).drop("slices")
+    matched = sliced_left.join(sliced_right, [*columns, "__slice"]).select(*cold.columns)
     # Grouping combines on the map side, so a hot key reaches the anti join as one row.
     seen = hot_right.groupBy(*columns).agg(F.count("*").alias("n")).select(*columns)
-    unmatched = hot_left.join(seen, columns, "left_anti")
-    return cold.unionByName(matched).unionByName(unmatched, allowMissingColumns=True)
+    unmatched = hot_left.drop("slices").join(seen, columns, "left_anti")
+    return cold.unionByName(matched).unionByName(unmatched, allowMissingColumns=True).select(
+        *cold.columns)

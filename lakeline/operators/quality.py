@@ -90,8 +90,9 @@ def payment_cap_check(cap: float = 1.1) -> Check:
     return Check("payment_not_exceeds_order", "payment_amount_vnd", over)
 
 
-def positive_revenue_check() -> Check:
-    return Check("positive_revenue", "total_vnd", F.col("total_vnd") < 0)
+def positive_revenue_check(floor: int = 0) -> Check:
+    """An order total below ``floor``."""
+    return Check("positive_revenue", "total_vnd", F.col("total_vnd") < F.lit(floor))
 
 
 def valid_status_check(values: Sequence[str]) -> Check:

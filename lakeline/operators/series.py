@@ -57,8 +57,14 @@ def with_previous(
         F.max_by(sample, F.struct(*order)).alias("__last"), F.min(ts).alias("__from"),
     )
     across = Window.partitionBy(*keys).orderBy("__from", CHUNK)
-    carried = ends.select(*keys, CHUNK, F.lag("__last").over(across).alias("__carry"))
-    joined = lagged.join(carried, [*keys, CHUNK], "left")
+    carried = ends.select(
+        *(F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)),
+        F.col(CHUNK).alias("__of"), F.lag("__last").over(across).alias("__carry"))
+    # A series without a name is a series too, hence the null-safe comparison.
+    same = lagged[CHUNK].eqNullSafe(carried["__of"])
+    for i, k in enumerate(keys):
+        same = same & lagged[k].eqNullSafe(carried[f"__key{i}"])
+    joined = lagged.join(carried, same, "left")
     source = F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__prev"))
     return joined.select(
         *df.columns, source.getField("v").alias(names[0]), source.getField("t").alias(names[1])

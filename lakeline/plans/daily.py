@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import positive_delay_seconds
+from ..functions import positive_delay_seconds, utc_datetime
 from ..operators.dedup import latest_by
 from ..operators.joins import left_join
 from .staging import ORDER_TIES, PAYMENT_TIES, _ties
@@ -20,7 +19,7 @@ def daily_summary(
     payments_day: DataFrame,
     batch_date: str | dt.date,
     processed_at: Column | None = None,
-    hot_orders: Sequence[str] = (),
+    hot_orders: DataFrame | None = None,
 ) -> DataFrame:
     """Summary of one day. Payments of another day count as missing.
 
@@ -44,11 +43,11 @@ def daily_summary_backfill(
     orders: DataFrame,
     payments: DataFrame,
     processed_at: Column | None = None,
-    hot_orders: Sequence[str] = (),
+    hot_orders: DataFrame | None = None,
 ) -> DataFrame:
     """Every day at once, each day by itself, in one pass over the data."""
     def by_day(df: DataFrame) -> DataFrame:
-        return df.withColumn("batch_date", F.to_date("event_timestamp"))
+        return df.withColumn("batch_date", F.to_date(utc_datetime("event_timestamp")))
 
     day_orders = latest_by(
         by_day(orders), ["batch_date", "order_id"], "event_timestamp", _ties(orders, ORDER_TIES)
@@ -60,7 +59,7 @@ def daily_summary_backfill(
     joined = left_join(
         day_orders.select("batch_date", "order_id", "city", "payment_method", "platform",
                           "status", "total_vnd", "placed_at"),
-        day_payments, ["batch_date", "order_id"], hot_orders, hot_column="order_id",
+        day_payments, ["batch_date", "order_id"], hot_orders,
     )
     return _summarise(joined, processed_at)
 

@@ -6,6 +6,8 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions import wall_seconds
+
 # Panel columns and labels.
 CITY_LABELS = (("hcmc", "HCMC"), ("hanoi", "Hanoi"), ("danang", "Danang"))
 METHOD_LABELS = (
@@ -89,8 +91,8 @@ def freshness(fct: DataFrame, as_of: dt.datetime, warn: int = 60, alert: int = 3
     """
     recent = fct.where(F.col("placed_date") >= F.lit(as_of.date() - dt.timedelta(days=1)))
     now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
-    stale = F.unix_timestamp(now.cast("timestamp")) - F.unix_timestamp(
-        F.max("placed_at_local").cast("timestamp")
+    stale = wall_seconds(now) - wall_seconds(
+        F.max("placed_at_local")
     )
     return recent.agg(stale.alias("seconds_stale")).withColumn(
         "status", _status(F.col("seconds_stale"), warn, alert)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import meal_period, positive_delay_seconds
@@ -11,11 +9,11 @@ from ..operators.joins import left_join
 
 
 def int_order_payments(
-    orders: DataFrame, payments: DataFrame, hot_orders: Sequence[str] = ()
+    orders: DataFrame, payments: DataFrame, hot_orders: DataFrame | None = None
 ) -> DataFrame:
     """Staged orders with their payments; unpaid orders keep NULL payment columns.
 
-    ``hot_orders`` names orders with very many payments (see
+    ``hot_orders`` lists orders with very many payments (see
     ``operators.joins.hot_keys``); it changes the plan, never the rows.
     """
     left = orders.select(
@@ -32,7 +30,8 @@ def int_order_payments(
     )
     return left_join(left, right, "order_id", hot_orders).withColumn(
         "payment_delay_seconds",
-        positive_delay_seconds(F.col("placed_at_local"), F.col("processed_at_local")),
+        positive_delay_seconds(F.col("placed_at_local"), F.col("processed_at_local"),
+                               wall_clock=True),
     )
 
 

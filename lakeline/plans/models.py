@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.joins import hot_keys
@@ -19,7 +17,7 @@ MART_LAYOUT = {
 }
 
 
-def _views(raw: dict[str, DataFrame], hot: Sequence[str]) -> dict[str, DataFrame]:
+def _views(raw: dict[str, DataFrame], hot: DataFrame | None) -> dict[str, DataFrame]:
     out = {
         "stg_orders": staging.stg_orders(raw["orders"]),
         "stg_payments": staging.stg_payments(raw["payments"]),
@@ -63,7 +61,7 @@ def run_models(
     written there and later models read the written fact, so the fact is
     computed once; without it everything stays lazy.
     """
-    hot = hot_keys(raw["payments"], "order_id") if split_hot_orders else []
+    hot = hot_keys(raw["payments"], "order_id") if split_hot_orders else None
     out = _views(raw, hot)
 
     def keep(name: str, df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import local_datetime
+from ..functions import local_datetime, utc_datetime, utc_hour
 
 
 def since(ts: str, as_of: dt.datetime | Column, days: int) -> Column:
@@ -21,7 +21,7 @@ def hourly_revenue(orders: DataFrame, as_of, days: int = 7) -> DataFrame:
     cancelled = F.count_if(F.col("status") == "cancelled")
     return (
         orders.where(since("placed_at", as_of, days))
-        .groupBy("city", F.date_trunc("hour", "placed_at").alias("hour"))
+        .groupBy("city", utc_hour("placed_at").alias("hour"))
         .agg(
             F.count("*").alias("total_orders"),
             F.sum("total_vnd").alias("revenue_vnd"),
@@ -36,7 +36,7 @@ def hourly_volume(orders: DataFrame, as_of, days: int = 7) -> DataFrame:
     """The short form of the hourly query used as a concurrency probe."""
     return (
         orders.where(since("placed_at", as_of, days))
-        .groupBy("city", F.date_trunc("hour", "placed_at").alias("hour"))
+        .groupBy("city", utc_hour("placed_at").alias("hour"))
         .agg(F.count("*").alias("total_orders"), F.sum("total_vnd").alias("revenue_vnd"))
         .orderBy(F.desc("hour"), "city")
     )
@@ -92,7 +92,7 @@ def by_local_hour(orders: DataFrame) -> DataFrame:
 
 def daily_revenue_utc(orders: DataFrame) -> DataFrame:
     return (
-        orders.groupBy(F.to_date("placed_at").alias("d"))
+        orders.groupBy(F.to_date(utc_datetime("placed_at")).alias("d"))
         .agg(F.sum("total_vnd").alias("rev"), F.count("*").alias("orders")).orderBy("d")
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import best_effort_timestamp, uuid_or_null, uuid_strict
+from ..functions import best_effort_timestamp, strict_timestamp, uuid_or_null, uuid_strict
 from ..schemas import ORDERS, PAYMENTS, RIDER_EVENTS
 
 _REQUIRED_UUIDS = {"order_id", "customer_id", "restaurant_id", "rider_id", "payment_id", "event_id"}
@@ -20,7 +20,7 @@ def _typed(df: DataFrame, schema, optional_uuids: set[str], strict: bool,
         elif name in _REQUIRED_UUIDS:
             c = uuid_strict(name) if strict else uuid_or_null(name)
         elif kind == "timestamp":
-            c = best_effort_timestamp(name)
+            c = strict_timestamp(name) if strict else best_effort_timestamp(name)
         elif strict:
             c = F.col(name).cast(field.dataType)
         else:

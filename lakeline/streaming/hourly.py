@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions import utc_hour
 from ..operators.dedup import latest_by
 from ..sources.lake import BATCH_COLUMN
 from .drain import drain
@@ -25,7 +26,7 @@ def _measures():
 
 
 def hourly_city_batch(orders: DataFrame) -> DataFrame:
-    hour = F.date_trunc("hour", "placed_at").alias("hour")
+    hour = utc_hour("placed_at").alias("hour")
     return orders.groupBy("city", hour).agg(*_measures())
 
 

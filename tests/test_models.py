@@ -52,6 +52,29 @@ def test_local_clock_and_lake_day_differ(rows):
     assert (day["year"], day["month"], day["day"]) == (2024, 1, 5)
 
 
+def test_models_do_not_follow_the_session_zone(spark, rows):
+    raw = {
+        "orders": rows.orders(*({"order_id": f"o{h}", "placed_at": utc("2024-03-10T00:30:00")
+                                 + dt.timedelta(hours=h)} for h in range(30))),
+        "payments": rows.payments(*({"payment_id": f"p{h}", "order_id": f"o{h}", "processed_at": utc(
+            "2024-03-10T00:45:00") + dt.timedelta(hours=h)} for h in range(30))),
+        "rider_events": rows.riders({}),
+    }
+    found = []
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            models = run_models(spark, raw)
+            found.append({name: sorted(str([
+                c for n, c in r.asDict().items() if n != "event_timestamp"])
+                for r in models[name].collect()) for name in models})
+            summary = daily.daily_summary_backfill(raw["orders"], raw["payments"]).drop("processed_at")
+            found[-1]["daily"] = sorted(map(str, summary.collect()))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found[0] == found[1]
+
+
 def test_unpaid_order_keeps_null_payment_and_delay(rows):
     out = dicts(marts.fct_orders(joined(rows.orders({}), rows.payments({"order_id": "other"}))))
     assert len(out) == 1

@@ -33,23 +33,44 @@ def test_latest_by_against_brute_force(spark, data):
     st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 8)), st.integers(0, 3))),
     st.integers(1, 3),
 )
-def test_hot_join_equals_plain_left_join(spark, keys, right_rows, min_rows):
+def test_hot_join_equals_plain_left_join(spark, keys, right_rows, slice_rows):
     left = spark.createDataFrame([(k, f"l{k}") for k in keys] + [(None, "none")], "k int, a string")
     right = spark.createDataFrame(right_rows, "k int, b int")
-    hot = joins.hot_keys(right, "k", min_rows=min_rows)
+    hot = joins.hot_keys(right, "k", slice_rows)
     counts = {k: sum(1 for r in right_rows if r[0] == k) for k in range(9)}
-    assert set(hot) == {k for k, n in counts.items() if n >= min_rows}
+    wanted = {k: n // slice_rows + 1 for k, n in counts.items() if n >= slice_rows}
+    listed = {} if hot is None else dict(map(tuple, hot.collect()))
+    assert set(listed) == set(wanted)
+    assert all(listed[k] >= wanted[k] for k in wanted)
     plain = left.join(right, "k", "left")
     split = joins.left_join(left, right, "k", hot)
     assert split.columns == plain.columns
     assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
 
 
-def test_hot_keys_are_bounded(spark):
-    df = spark.range(100).select((F.col("id") % 10).alias("k"))
-    assert len(joins.hot_keys(df, "k", min_rows=5, max_keys=3)) == 3
-    with pytest.raises(ValueError):
-        joins.left_join(df, df, "k", list(range(joins.HOT_KEYS + 1)))
+def test_hot_keys_without_bound_over_several_join_columns(spark):
+    right = spark.range(6000).select((F.col("id") % 1500).alias("k"), (F.col("id") % 2).alias("d"),
+                                     F.col("id").alias("b"))
+    left = spark.range(1600).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("d"),
+                                    F.lit("a").alias("a"))
+    left = left.union(left.where("k < 5").withColumn("d", F.lit(0).cast("long")))
+    hot = joins.hot_keys(right, "k", 3)
+    assert hot.count() == 1500
+    split = joins.left_join(left, right, ["d", "k"], hot)
+    plain = left.join(right, ["d", "k"], "left")
+    assert split.columns == plain.columns
+    assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan.lower() and "IN (" not in plan
+
+
+def test_survivor_of_a_full_tie_does_not_depend_on_the_order_of_rows(spark):
+    data = [("k", 1, 1, f"v{i}") for i in range(30)]
+    found = set()
+    for shuffled in (data, data[::-1], data[7:] + data[:7]):
+        df = spark.createDataFrame(shuffled, "k string, v int, t int, rest string").repartition(3)
+        found |= {r.rest for r in latest_by(df, ["k"], "v", ["t"]).collect()}
+    assert len(found) == 1
 
 
 def test_replacing_read_and_duplicates(rows):
@@ -174,6 +195,27 @@ def test_previous_sample_across_buckets(spark, data, bucket):
     assert got == expected
 
 
+@pytest.mark.parametrize("chunks", [1, 3, 8])
+def test_series_without_a_name_is_one_series(spark, chunks):
+    """Whatever the number of chunks, only the first sample has none before it."""
+    df = spark.range(2000).select(
+        F.when(F.col("id") % 4 == 0, "a").alias("k"), F.timestamp_seconds("id").alias("ts"),
+        F.col("id").alias("v"))
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")
+    before = [spark.conf.get(n) for n in names]
+    for name, value in zip(names, (str(chunks), "false")):
+        spark.conf.set(name, value)
+    try:
+        out = series.with_previous(df, ["k"], "ts", "v").collect()
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+    assert len(out) == 2000 and sum(r.previous is None for r in out) == 2
+    for r in out:
+        step = 4 if r.k else 1 if (r.v - 1) % 4 else 2
+        assert r.previous is None or r.v - r.previous == step
+
+
 def test_gauges(spark):
     df = samples(spark, [1, 2, 6], step=100)
     out = series.gauge_rollup(df, ["series"], "5 minutes").orderBy("window_start").collect()
@@ -194,14 +236,51 @@ def one(spark, value, kind, column):
     ("2024-01-05 03:00:00", "2024-01-05T03:00:00"),
     ("1704423600", "2024-01-05T03:00:00"),
     ("1704423600500", "2024-01-05T03:00:00.500000"),
+    ("2024-01-05", "2024-01-05T00:00:00"),
     ("not a time", None),
+    ("2024-13-05 03:00:00", None),
     (None, None),
 ])
-def test_best_effort_timestamp(spark, text, expected):
-    c = F.date_format(lf.best_effort_timestamp("x"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    got = one(spark, text, "string", c)
-    want = expected and dt.datetime.fromisoformat(expected).strftime("%Y-%m-%dT%H:%M:%S.%f")
-    assert got == want
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_best_effort_timestamp(spark, text, expected, zone):
+    micros = lambda c: F.unix_micros(c)
+    want = expected and int(dt.datetime.fromisoformat(expected + "+00:00").timestamp() * 1e6)
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert one(spark, text, "string", micros(lf.best_effort_timestamp("x"))) == want
+        if text is None or want is not None:
+            assert one(spark, text, "string", micros(lf.strict_timestamp("x"))) == want
+        else:
+            with pytest.raises(Exception, match="not a time"):
+                one(spark, text, "string", micros(lf.strict_timestamp("x")))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_clocks_do_not_follow_the_session(spark, zone):
+    # Both sides of the hour that America/New_York has twice.
+    seconds = [1_699_163_999, 1_699_164_000, 1_699_165_800, 1_699_167_600, 0, -1]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(s,) for s in seconds], "s long").select(
+            "s", F.timestamp_seconds("s").alias("t"))
+        rows = df.select(
+            "s", lf.utc_datetime("t").cast("string").alias("u"),
+            lf.local_datetime("t").cast("string").alias("l"),
+            lf.local_datetime("t", "America/New_York").cast("string").alias("n"),
+            lf.wall_seconds(lf.utc_datetime("t")).alias("w"),
+            F.unix_seconds(lf.utc_hour("t")).alias("h")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    from zoneinfo import ZoneInfo
+
+    for r in rows:
+        at = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(seconds=r.s)
+        text = lambda z: at.astimezone(z).strftime("%Y-%m-%d %H:%M:%S")  # noqa: B023, E731
+        assert (r.u, r.l, r.n) == (text(dt.timezone.utc), text(ZoneInfo("Asia/Ho_Chi_Minh")),
+                                   text(ZoneInfo("America/New_York")))
+        assert (r.w, r.h) == (r.s, r.s // 3600 * 3600)
 
 
 def test_uuids(spark):

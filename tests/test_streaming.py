@@ -290,6 +290,12 @@ def test_typed_ingest_of_text_rows(spark, rows):
     out = dicts(typed.typed_rider_events(text))[0]
     assert out["order_id"] is None and out["event_id"] == uid.lower()
     assert out["event_timestamp"].microsecond == 123000 and out["_ingested_at"]
+    undated = text.withColumn("event_timestamp", F.lit("yesterday"))
+    with pytest.raises(Exception, match="not a time"):
+        typed.typed_rider_events(undated).collect()
+    _, bad = landing.split_corrupt(typed.typed_rider_events(undated, strict=False),
+                                   ["event_timestamp"])
+    assert [r.reason for r in bad.collect()] == ["missing event_timestamp"]
     broken = text.withColumn("rider_id", F.lit("nope"))
     with pytest.raises(Exception, match="not a UUID"):
         typed.typed_rider_events(broken).collect()
