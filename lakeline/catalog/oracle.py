@@ -78,8 +78,8 @@ SELECT o.*, n.n_name, c.c_nationkey, v.ver,
        CAST(round(o_totalprice * 100) AS BIGINT) AS subtotal_vnd,
        15000 + (o_orderkey % 5) * 1000 AS delivery_fee_vnd,
        {_placed_ms('o_orderkey')} AS placed_ms
-FROM orders o JOIN customer c ON o_custkey = c_custkey
-JOIN nation n ON c.c_nationkey = n.n_nationkey
+FROM orders o LEFT JOIN customer c ON o_custkey = c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 CROSS JOIN (VALUES (0), (1)) v(ver)"""
 
 CTE["raw_orders"] = f"""
@@ -442,6 +442,14 @@ def oracle() -> dict[str, str]:
         f"count(*) FILTER ({_SHIFTED} <= {_WATERMARK}) AS late_rows, "
         f"count(*) + count(*) FILTER ({_SHIFTED} > {_WATERMARK}) AS stored_rows, "
         "true AS many_batches FROM raw_orders"))
+    sql["stream_skipped_batch"] = _with(["raw_orders"], (
+        "SELECT 1::BIGINT AS skipped_batches, count(*) AS stored_rows, count(*) AS in_lake, "
+        "1::BIGINT AS written_batches FROM raw_orders"))
+    sql["compact_outcomes"] = _with(["raw_orders"], (
+        "SELECT step, CASE WHEN step = 'absent' THEN 0 ELSE n END AS total_rows, outcome "
+        "FROM (VALUES ('first', 'compacted'), ('again', 'already_compact'), "
+        "('absent', 'no_data')) s(step, outcome), (SELECT count(*) AS n FROM raw_orders "
+        "WHERE CAST(event_timestamp AS DATE) = DATE '2024-01-05')"))
     sql["stream_accounting"] = _with(["raw_orders"], (
         "SELECT CAST(sum(2 + again) AS BIGINT) AS input_rows, count(*) FILTER (good) AS stored_rows, "
         "count(*) FILTER (good AND again = 1) AS late_rows, "
@@ -566,7 +574,10 @@ SELECT city, count(*) AS samples,
 FROM raw_orders GROUP BY city""")
     sql["m_throughput_per_min"] = _with(["raw_orders"], """
 SELECT city, count(*) AS minutes, CAST(sum(n) AS BIGINT) AS total_rows,
-       avg(n) AS rows_per_minute, max(n) AS peak_rows
+       avg(n) AS rows_per_minute, max(n) AS peak_rows,
+       CAST(date_diff('minute', min(minute), max(minute)) + 1 AS BIGINT) AS elapsed_minutes,
+       CAST(sum(n) AS DOUBLE) / (date_diff('minute', min(minute), max(minute)) + 1)
+         AS rows_per_elapsed_minute
 FROM (SELECT city, date_trunc('minute', event_timestamp) AS minute, count(*) AS n
       FROM raw_orders GROUP BY 1, 2) GROUP BY city""")
     counted = " UNION ALL ".join(

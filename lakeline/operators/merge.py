@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..session import scratch_dir
 from ..sources import swap
 from ..sources.fs import Folder, partition_values
-from ..sources.tables import laid_out, materialize
+from ..sources.tables import laid_out, materialize, recover_table
 
 
 #: Folder value Spark writes for a NULL partition value.
@@ -68,6 +68,7 @@ def upsert(
     partition changes is never left behind. ``within`` may bound the partitions
     searched for matched keys. New source columns are added (``evolve``).
     """
+    recover_table(spark, path)
     swap.recover(spark, path)
     if not partition_values(spark, path, partition_by):
         materialize(source, "table", path, (partition_by,), cluster_by)
@@ -75,7 +76,7 @@ def upsert(
 
     # The source feeds three steps: write it once, in the shared folder.
     staged_path = scratch_dir(spark, "upsert")
-    source.write.partitionBy(partition_by).parquet(staged_path)
+    laid_out(source, (partition_by,)).write.partitionBy(partition_by).parquet(staged_path)
     staged = spark.read.schema(source.schema).parquet(staged_path)
     incoming = partition_values(spark, staged_path, partition_by)
     wanted = [f for f in source.schema if f.name in (key, partition_by)]

@@ -169,13 +169,18 @@ def ingest_latency(
 
 
 def throughput_per_minute(df: DataFrame, ts: str, by: Sequence[str] = ()) -> DataFrame:
-    """Rows per minute that had rows: number of minutes, mean and peak."""
+    """Rows per minute: the minutes that had rows with their mean and peak, and the mean over all
+    minutes from the first to the last, in which a stalled feed shows."""
     minutes = df.groupBy(*by, F.date_trunc("minute", ts).alias("minute")).agg(
         F.count("*").alias("n")
     )
+    span = F.unix_seconds(F.max("minute")) - F.unix_seconds(F.min("minute"))
+    elapsed = F.floor(span / 60) + 1
     return minutes.groupBy(*by).agg(
         F.count("*").alias("minutes"),
         F.sum("n").alias("total_rows"),
         F.avg("n").alias("rows_per_minute"),
         F.max("n").alias("peak_rows"),
+        elapsed.alias("elapsed_minutes"),
+        (F.sum("n") / elapsed).alias("rows_per_elapsed_minute"),
     )

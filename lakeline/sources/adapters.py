@@ -45,8 +45,8 @@ def raw_orders(spark: SparkSession, sf_dir: str, ingested: bool = False) -> Data
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     base = (
         table(spark, sf_dir, "orders")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .withColumns({
             "ver": F.explode(F.array(F.lit(0), F.lit(1))),
             "subtotal_vnd": F.round(F.col("o_totalprice") * 100).cast("bigint"),

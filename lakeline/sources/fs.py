@@ -35,6 +35,15 @@ class Folder:
         summary = self._fs.getContentSummary(self._hadoop)
         return summary.getLength(), summary.getFileCount()
 
+    def file_sizes(self) -> list[int]:
+        """Bytes of every data file below the folder."""
+        found, sizes = self._fs.listFiles(self._hadoop, True), []
+        while found.hasNext():
+            status = found.next()
+            if not status.getPath().getName().startswith(("_", ".")):
+                sizes.append(status.getLen())
+        return sizes
+
     def make(self) -> None:
         self._fs.mkdirs(self._hadoop)
 

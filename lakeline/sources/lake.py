@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from . import swap
 from .fs import Folder, as_date
 
 DAY_COLUMNS = ("year", "month", "day")
@@ -37,10 +38,18 @@ def read_day(
 
 
 def overwrite_partition(df: DataFrame, base: str, column: str, value: str | dt.date) -> str:
-    """Replace exactly one partition folder, also when the new result is empty."""
-    path = f"{base.rstrip('/')}/{column}={value}"
-    df.drop(column).write.mode("overwrite").parquet(path)
-    return path
+    """Replace exactly one partition folder, also when the new result is empty.
+
+    The new day is written beside the table and swapped in, so the old one stays readable until
+    then, and a run that dies in between is finished by the next.
+    """
+    spark, base = df.sparkSession, base.rstrip("/")
+    swap.recover(spark, base)
+    part = f"{column}={value}"
+    work = swap.open_swap(spark, base)
+    df.drop(column).write.parquet(work.child("new").child(part).path)
+    swap.commit(work, Folder(spark, base), [part])
+    return f"{base}/{part}"
 
 
 def overwrite_partitions(df: DataFrame, base: str, column: str) -> None:

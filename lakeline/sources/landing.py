@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..schemas import required as required_fields
+from . import swap
 from .fs import Folder, as_date
 
 CORRUPT = "_corrupt_record"
@@ -103,10 +104,11 @@ def load_day(
 ) -> int:
     """Load one landing day into the raw table and return the rows loaded.
 
-    ``append`` repeats the rows on a rerun (staging absorbs them);
-    ``replace_day`` swaps the earlier loads of that day. One pass counts and
-    writes; the result becomes visible by one rename, so a failed or rejected
-    load leaves no rows behind.
+    ``append`` repeats the rows on a rerun (staging absorbs them); ``replace_day`` swaps the
+    earlier loads of that day as a whole, and a run that dies on the way is finished by the next.
+    One pass counts and writes; the result becomes visible by renames, so a failed or rejected
+    load leaves no rows behind. Up to ``max_bad`` bad records are tolerated; they are kept with
+    their reason in ``<table>-quarantine``.
     """
     d = as_date(date)
     source = landing_day(*topic_dir.rstrip("/").rsplit("/", 1), d)
@@ -119,25 +121,31 @@ def load_day(
         .json(source)
     )
 
-    bad = is_bad(lines, required_fields(schema))
+    swap.recover(spark, table_path)
+    needed = required_fields(schema)
     seen = Observation()
-    counted = lines.withColumn("__bad", bad).observe(
+    counted = lines.withColumn("__bad", is_bad(lines, needed)).observe(
         seen,
         F.count_if(F.col("__bad")).alias("bad"),
         F.count_if(~F.col("__bad")).alias("good"),
     )
     load_id = uuid.uuid4().hex
-    day_folder = Folder(spark, table_path).child(f"load_date={d.isoformat()}")
-    staged = Folder(spark, table_path).child("_staging").child(load_id)
+    part = f"load_date={d.isoformat()}"
+    work = swap.open_swap(spark, table_path)
+    staged = work.child("new").child(part).child(f"load_id={load_id}")
     counted.where(~F.col("__bad")).drop("__bad", CORRUPT).write.parquet(staged.path)
     counts = seen.get
     if counts["bad"] > max_bad:
-        staged.delete()
+        work.delete()
         raise TooManyBadRecords(f"{counts['bad']} bad records in {source}")
-    earlier = day_folder.names() if mode == "replace_day" else []
-    staged.move_to(day_folder.child(f"load_id={load_id}"))
-    for name in earlier:
-        day_folder.child(name).delete()
+    if counts["bad"]:
+        _, bad = split_corrupt(lines, needed)
+        bad.write.parquet(f"{table_path.rstrip('/')}-quarantine/{part}/load_id={load_id}")
+    if mode == "replace_day":
+        swap.commit(work, Folder(spark, table_path), [part])
+    else:
+        staged.move_to(Folder(spark, table_path).child(part).child(f"load_id={load_id}"))
+        work.delete()
     return counts["good"]
 
 

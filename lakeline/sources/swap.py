@@ -45,9 +45,13 @@ def recover(spark: SparkSession, path: str) -> int:
     return finished
 
 
+#: Folders inside a partition that are replaced with it.
+INSIDE = ("batch_id=", "load_id=")
+
+
 def _partitions(folder: Folder, prefix: str = "") -> list[str]:
     """Partition folders that hold files, or nothing at all."""
-    inner = [n for n in folder.names() if "=" in n and not n.startswith("batch_id=")]
+    inner = [n for n in folder.names() if "=" in n and not n.startswith(INSIDE)]
     if not inner:
         return [prefix] if prefix else []
     return [p for n in inner for p in _partitions(folder.child(n), f"{prefix}/{n}".lstrip("/"))]

@@ -41,14 +41,37 @@ def materialize(
         return df
     if kind != "table":
         raise ValueError(f"unknown kind {kind!r}; an incremental table uses merge.upsert")
-    # The old table stays until the new one is complete.
-    fresh = Folder(df.sparkSession, f"{path.rstrip('/')}.{uuid.uuid4().hex}.new")
+    spark = df.sparkSession
+    recover_table(spark, path)
+    fresh = Folder(spark, f"{path.rstrip('/')}.{uuid.uuid4().hex}.new")
     laid_out(df, partition_by, cluster_by).write.partitionBy(*partition_by).parquet(fresh.path)
-    table = Folder(df.sparkSession, path)
-    if table.exists():
-        table.delete()
-    fresh.move_to(table)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    fresh.move_to(_beside(spark, path, "ready"))
+    recover_table(spark, path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def _beside(spark: SparkSession, path: str, state: str) -> Folder:
+    return Folder(spark, f"{path.rstrip('/')}.{state}")
+
+
+def recover_table(spark: SparkSession, path: str) -> bool:
+    """Finish the replacement of a table that a writer had committed; True if there was one.
+
+    A complete new table is committed by its name, ``<path>.ready``. The old one is moved aside,
+    not deleted, until the new one stands in its place, so at any time a complete table
+    exists and the next run knows which one counts. One writer per table.
+    """
+    table, ready, old = (Folder(spark, path), *(_beside(spark, path, s) for s in ("ready", "old")))
+    committed = ready.exists()
+    if committed:
+        if table.exists():
+            old.delete()
+            table.move_to(old)
+        ready.move_to(table)
+    elif not table.exists() and old.exists():
+        old.move_to(table)
+    old.delete()
+    return committed
 
 
 def table_stats(spark: SparkSession, path: str, by: Sequence[str] = ()) -> DataFrame:

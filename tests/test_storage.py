@@ -6,7 +6,7 @@ import os
 
 import pytest
 from conftest import dicts
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from lakeline.functions import with_event_date_parts
 from lakeline.operators import merge
@@ -253,6 +253,108 @@ def test_compaction_size_sets_the_file_count(spark, rows, tmp_path):
     assert 1 < done.files_after <= 4 < files
 
 
+class Stopped(RuntimeError):
+    pass
+
+
+def stop_at(monkeypatch, call):
+    """The ``call``-th move or deletion of a folder, and all after it, do not happen."""
+    from lakeline.sources.fs import Folder
+
+    done = iter(range(1000))
+
+    def guarded(real):
+        def act(self, *args):
+            if next(done) >= call:
+                raise Stopped
+            return real(self, *args)
+        return act
+
+    for name in ("move_to", "delete"):
+        monkeypatch.setattr(Folder, name, guarded(getattr(Folder, name)))
+
+
+@pytest.mark.parametrize("call", range(6))
+def test_replaced_table_is_whole_after_a_crash_at_any_step(spark, tmp_path, monkeypatch, call):
+    path = str(tmp_path / "t")
+    tables.materialize(spark.range(5), "table", path)
+    with monkeypatch.context() as m:
+        stop_at(m, call)
+        try:
+            tables.materialize(spark.range(100, 108), "table", path)
+        except Stopped:
+            pass
+    tables.recover_table(spark, path)
+    found = sorted(r.id for r in spark.read.parquet(path).collect())
+    assert found in ([*range(5)], [*range(100, 108)])
+    tables.materialize(spark.range(3), "table", path)
+    assert spark.read.parquet(path).count() == 3
+
+
+@pytest.mark.parametrize("call", range(7))
+def test_replaced_day_is_whole_after_a_crash_at_any_step(spark, tmp_path, monkeypatch, call):
+    base = str(tmp_path / "days")
+    lake.overwrite_partition(spark.range(5), base, "date", "2024-01-05")
+    lake.overwrite_partition(spark.range(2), base, "date", "2024-01-06")
+    with monkeypatch.context() as m:
+        stop_at(m, call)
+        try:
+            lake.overwrite_partition(spark.range(100, 108), base, "date", "2024-01-05")
+        except Stopped:
+            pass
+    swap.recover(spark, base)
+    rows = spark.read.parquet(base).collect()
+    day = sorted(r.id for r in rows if str(r.date) == "2024-01-05")
+    assert day in ([*range(5)], [*range(100, 108)])
+    assert sum(str(r.date) == "2024-01-06" for r in rows) == 2
+
+
+@pytest.mark.parametrize("call", range(7))
+def test_reloaded_day_is_never_there_twice(spark, tmp_path, monkeypatch, call):
+    schema = T.StructType([T.StructField("id", T.LongType(), False)])
+    source = landing.landing_day(str(tmp_path), "topic", "2024-01-05")
+    spark.range(5).write.json(source)
+    topic, table = f"{tmp_path}/topic", f"{tmp_path}/raw"
+    landing.load_day(spark, topic, table, schema, "2024-01-05", "replace_day")
+    with monkeypatch.context() as m:
+        stop_at(m, call)
+        try:
+            landing.load_day(spark, topic, table, schema, "2024-01-05", "replace_day")
+        except Stopped:
+            pass
+    swap.recover(spark, table)
+    assert landing.read_raw(spark, table, schema).count() == 5
+
+
+def test_tolerated_bad_records_are_kept(spark, tmp_path):
+    import os
+
+    schema = T.StructType([T.StructField("id", T.LongType(), False)])
+    source = landing.landing_day(str(tmp_path), "topic", "2024-01-05")
+    os.makedirs(source)
+    with open(f"{source}/a.json", "w") as f:
+        f.write('{"id": 1}\n{"id": "x"}\n{broken\n')
+    with pytest.raises(landing.TooManyBadRecords):
+        landing.load_day(spark, f"{tmp_path}/topic", f"{tmp_path}/raw", schema, "2024-01-05",
+                         max_bad=1)
+    assert not os.path.exists(f"{tmp_path}/raw-quarantine")
+    assert landing.load_day(spark, f"{tmp_path}/topic", f"{tmp_path}/raw", schema, "2024-01-05",
+                            max_bad=2) == 1
+    assert spark.read.parquet(f"{tmp_path}/raw-quarantine").count() == 2
+
+
+def test_compaction_of_one_large_file_among_many_tiny_ones(spark, tmp_path):
+    base = str(tmp_path / "lake")
+    day = f"{base}/year=2024/month=1/day=5"
+    big = spark.range(200_000).select(F.col("id"), F.xxhash64("id").alias("x"))
+    big.coalesce(1).write.parquet(day)
+    spark.range(30).select(F.col("id"), F.col("id").alias("x")).repartition(10).write.mode(
+        "append").parquet(day)
+    size = sum(os.path.getsize(f"{day}/{n}") for n in os.listdir(day) if n.endswith(".parquet"))
+    done = compact(spark, base, "2024-01-05", target_bytes=size // 12)
+    assert done.skipped is None and done.rows == 200_030
+
+
 def test_materialize(spark, tmp_path):
     df = fact(spark, ("a", D(2024, 1, 1), "x", 1), ("b", D(2024, 1, 2), "y", 2))
     assert tables.materialize(df, "view", name="v1") is df
