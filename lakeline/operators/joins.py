@@ -21,10 +21,11 @@ def hot_keys(df: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> DataFrame
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
     heavy = counts.where(F.col("n") >= slice_rows).select(
         key, F.ceil(F.col("n") / slice_rows + 1).cast("int").alias("slices"))
+    if heavy.isEmpty():
+        return None
     path = scratch_dir(df.sparkSession, "hot-keys")
     heavy.write.parquet(path)
-    stored = df.sparkSession.read.schema(heavy.schema).parquet(path)
-    return None if stored.isEmpty() else stored
+    return df.sparkSession.read.schema(heavy.schema).parquet(path)
 
 
 def left_join(

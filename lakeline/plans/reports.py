@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import local_datetime, utc_datetime, utc_hour
 
@@ -135,6 +135,58 @@ def report_latest(rpt: DataFrame) -> DataFrame:
     )
 
 
+#: Values of a bucket of the exact percentiles; a task sees so many distinct ones at most.
+BUCKET_VALUES = 1_000
+
+
+def exact_percentiles(counts: DataFrame, by: Sequence[str], value: str, n: str,
+                      probs: Sequence[float], width: int = BUCKET_VALUES) -> DataFrame:
+    """``by``, ``samples`` and an array ``p`` of percentiles, interpolated, of whole numbers
+    that occur ``n`` times each.
+
+    Running counts go over buckets of ``width`` values; only the buckets that hold a wanted rank
+    are then counted value by value. A group may have any number of distinct values.
+    """
+    group = F.struct(F.lit(0).alias("__all"), *by).alias("__by")
+    rows = counts.select(group, F.col(value).alias("__v"), F.col(n).alias("__n"),
+                         F.floor(F.col(value) / width).alias("__bucket"))
+    buckets = rows.groupBy("__by", "__bucket").agg(F.sum("__n").alias("__m"))
+    whole = Window.partitionBy("__by")
+    earlier = whole.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = buckets.select(
+        "__by", "__bucket", "__m", F.sum("__m").over(whole).alias("samples"),
+        F.coalesce(F.sum("__m").over(earlier), F.lit(0)).alias("__before"))
+
+    def ranks(prob: float) -> list[Column]:
+        low = F.floor(F.lit(prob) * (F.col("samples") - 1))
+        return [low, F.least(low + 1, F.col("samples") - 1)]
+
+    def holds(rank: Column, before: Column, size: Column) -> Column:
+        return (before <= rank) & (rank < before + size)
+
+    wanted = [rank for prob in probs for rank in ranks(prob)]
+    some = F.lit(False)
+    for rank in wanted:
+        some = some | holds(rank, F.col("__before"), F.col("__m"))
+    inside = Window.partitionBy("__by", "__bucket").orderBy("__v").rowsBetween(
+        Window.unboundedPreceding, -1)
+    fine = rows.join(placed.where(some), ["__by", "__bucket"]).withColumn(
+        "__at", F.col("__before") + F.coalesce(F.sum("__n").over(inside), F.lit(0)))
+    found = fine.groupBy("__by").agg(
+        F.first("samples").alias("samples"),
+        *(F.max(F.when(holds(rank, F.col("__at"), F.col("__n")), F.col("__v"))).alias(f"__r{i}")
+          for i, rank in enumerate(wanted)))
+
+    def between(i: int, prob: float) -> Column:
+        low, high = F.col(f"__r{2 * i}"), F.col(f"__r{2 * i + 1}")
+        part = F.lit(prob) * (F.col("samples") - 1) - ranks(prob)[0]
+        return low + part * (high - low)
+
+    return found.select(
+        *(F.col("__by")[c].alias(c) for c in by), "samples",
+        F.array(*(between(i, prob) for i, prob in enumerate(probs))).alias("p"))
+
+
 def ingest_latency(
     df: DataFrame,
     probs: Sequence[float] = (0.5, 0.95),
@@ -145,17 +197,13 @@ def ingest_latency(
     """Percentiles of ``_ingested_at - producer_ts`` in seconds.
 
     The default is a sketch of bounded size. ``exact`` counts rows per
-    millisecond first, so what one task sees is the number of different
-    latencies, not of rows.
+    millisecond first and then looks at the buckets that matter only.
     """
     micros = F.unix_micros("_ingested_at") - F.round(F.col("producer_ts") * 1e6).cast("bigint")
     ms = F.round(micros / F.lit(1000.0)).cast("bigint")
     if exact:
         counts = df.groupBy(*by, ms.alias("ms")).agg(F.count("*").alias("n"))
-        grouped = counts.where(F.col("ms").isNotNull()).groupBy(*by).agg(
-            F.sum("n").alias("samples"),
-            F.percentile("ms", list(probs), F.col("n")).alias("p"),
-        )
+        grouped = exact_percentiles(counts.where(F.col("ms").isNotNull()), by, "ms", "n", probs)
     else:
         grouped = df.withColumn("ms", ms).groupBy(*by).agg(
             F.count("ms").alias("samples"),

@@ -216,6 +216,19 @@ def test_series_without_a_name_is_one_series(spark, chunks):
         assert r.previous is None or r.v - r.previous == step
 
 
+@few
+@given(st.lists(st.tuples(st.sampled_from([None, "a", "b"]), st.integers(-40, 5000)), min_size=1),
+       st.integers(1, 700))
+def test_exact_percentiles_equal_the_interpolated_ones(spark, data, width):
+    probs = [0.0, 0.1, 0.5, 0.95, 1.0]
+    df = spark.createDataFrame(data, "k string, v int").repartition(3)
+    counts = df.groupBy("k", "v").agg(F.count("*").alias("n"))
+    got = reports.exact_percentiles(counts, ["k"], "v", "n", probs, width).collect()
+    want = df.groupBy("k").agg(F.count("*").alias("samples"), F.percentile("v", probs).alias("p"))
+    assert {r.k: (r.samples, [round(x, 6) for x in r.p]) for r in got} == {
+        r.k: (r.samples, [round(x, 6) for x in r.p]) for r in want.collect()}
+
+
 def test_gauges(spark):
     df = samples(spark, [1, 2, 6], step=100)
     out = series.gauge_rollup(df, ["series"], "5 minutes").orderBy("window_start").collect()
