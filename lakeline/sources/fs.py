@@ -44,6 +44,12 @@ class Folder:
                 sizes.append(status.getLen())
         return sizes
 
+    def write(self, content: bytes) -> None:
+        """Make a file of this name, with the folders above it."""
+        out = self._fs.create(self._hadoop)
+        out.write(bytearray(content))
+        out.close()
+
     def make(self) -> None:
         self._fs.mkdirs(self._hadoop)
 
