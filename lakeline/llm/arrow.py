@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
@@ -14,23 +14,26 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeline.session import scratch_dir
+from lakeline.sources.fs import Folder
 
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give executors this package, whatever their search path is."""
+    """Give executors this package, whatever their search path is, through the shared folder."""
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    target = os.path.join(tempfile.mkdtemp(prefix="lakeline-package-"), "lakeline-package.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
         for folder, _, names in os.walk(top):
             for name in names:
                 if name.endswith(".py"):
                     path = os.path.join(folder, name)
                     archive.write(path, os.path.relpath(path, os.path.dirname(top)))
+    target = f"{scratch_dir(spark, 'package')}/lakeline-package.zip"
+    Folder(spark, target).write(packed.getvalue())
     context.addPyFile(target)
     _shipped.add(context.applicationId)
 
