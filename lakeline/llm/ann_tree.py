@@ -26,6 +26,8 @@ SAMPLE_ROWS, SAMPLE_BYTES, MAX_LEAVES = 65_536, 64_000_000, 16_384
 CALIBRATION_QUERIES, RECALL = 256, 0.95
 #: Vectors and queries that meet in one task's group.
 GROUP_ROWS = 4096
+#: Leaves whose results give a query the score that those of its other leaves must reach.
+FIRST_LEAVES = 4
 
 
 class Tree:
@@ -155,16 +157,20 @@ def fit_tree(vectors: DataFrame, rows: int) -> Tree | None:
     return Tree(found, min(MAX_LEAVES, -(-rows // LEAF_ROWS)))
 
 
-def _top(query: np.ndarray, vector: np.ndarray, ids: list[list[int]], k: int):
-    """(query row, id, score) of the best ``k`` ids for every query, ties to smaller ids.
+def _top(query: np.ndarray, floor: np.ndarray, vector: np.ndarray, ids: list[list[int]], k: int):
+    """(query row, id, score) of the best ``k`` ids for every query that are not below its floor,
+    ties to smaller ids.
 
     One matrix product chooses vectors, with a few to spare; their scores are then summed one
     by one, so that a score does not depend on what else was in the group.
     """
     product = query @ vector.T
+    floor = floor - 1e-9
     spare = min(len(vector), k + 8)
-    chosen = np.argpartition(-product, spare - 1, axis=1)[:, :spare]
-    for row, columns in enumerate(chosen):
+    rows = np.flatnonzero(product.max(1) >= floor)
+    chosen = np.argpartition(-product[rows], spare - 1, axis=1)[:, :spare]
+    for row, columns in zip(rows.tolist(), chosen):
+        columns = columns[product[row, columns] >= floor[row]]
         exact = (query[row] * vector[columns]).sum(1)
         best = sorted((-s, i) for s, c in zip(exact.tolist(), columns.tolist()) for i in ids[c])
         for score, number in best[:k]:
@@ -201,27 +207,29 @@ def _calibrated(tree: Tree, entries: DataFrame, queries: DataFrame, k: int, reca
 
 
 def _visits(tree: Tree, counts: np.ndarray, visits: int, k: int):
-    """(q, v) rows to (leaf, q, v) rows: the leaves a query visits, at least ``visits`` and as
-    many more as it takes to meet ``k`` vectors."""
+    """(q, v) rows to (leaf, first, q, v) rows: the leaves a query visits, at least ``visits``
+    and as many more as it takes to meet ``k`` vectors; and which of them come first."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, len(whole), 256):
                 batch = whole.slice(at, 256)
-                rows, leaves = [], []
+                rows, leaves, first = [], [], []
                 for row, one in enumerate(tree.promise(_matrix(batch.column(1))).tolist()):
                     met = 0
                     for number, leaf in enumerate(tree.best_first(one)):
                         if number >= visits and met >= k:
                             break
                         if counts[leaf]:
+                            first.append(number < FIRST_LEAVES or met < k)
                             met += counts[leaf]
                             rows.append(row)
                             leaves.append(leaf)
                 take = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(leaves, pa.int32()), batch.column(0).take(take),
-                     batch.column(1).take(take)], ["leaf", "q", "v"])
+                    [pa.array(leaves, pa.int32()), pa.array(first, pa.bool_()),
+                     batch.column(0).take(take), batch.column(1).take(take)],
+                    ["leaf", "first", "q", "v"])
 
     return walk
 
@@ -229,11 +237,39 @@ def _visits(tree: Tree, counts: np.ndarray, visits: int, k: int):
 def _split(df: DataFrame, by: str, mine: dict[int, int], theirs: dict[int, int],
            names: tuple[str, str]) -> DataFrame:
     """Cut each leaf's rows into parts by a hash of ``by``, and give each row to every part of
-    the other side."""
-    parts = lambda n: F.element_at(
-        F.array(*(F.lit(n.get(i, 1)) for i in range(max(n, default=0) + 1))), F.col("leaf") + 1)
-    return df.withColumn(names[0], F.pmod(F.xxhash64(by), parts(mine)).cast("int")).withColumn(
-        names[1], F.explode(F.sequence(F.lit(0), parts(theirs) - 1)))
+    the other side. The numbers of parts are a table of at most ``MAX_LEAVES`` rows or so."""
+    parts = df.sparkSession.createDataFrame(
+        [(i, mine.get(i, 1), theirs.get(i, 1)) for i in sorted({*mine, *theirs})],
+        "leaf int, mine int, theirs int")
+    return (df.join(F.broadcast(parts), "leaf")
+            .withColumn(names[0], F.pmod(F.xxhash64(by), F.col("mine")).cast("int"))
+            .withColumn(names[1], F.explode(F.sequence(F.lit(0), F.col("theirs") - 1)))
+            .drop("mine", "theirs"))
+
+
+def _scored(walks: DataFrame, entries: DataFrame, sizes: dict[int, int], k: int) -> DataFrame:
+    """(q, vec_id, score): the best ``k`` of each leaf part for the queries that visit it, as
+    far as they reach the query's floor."""
+    met = {r["leaf"]: r["count"] for r in walks.groupBy("leaf").count().collect()}
+    groups = lambda n: {i: -(-c // GROUP_ROWS) for i, c in n.items()}
+    left = _split(walks, "q", groups(met), groups(sizes), ("a", "b"))
+    right = _split(entries, "v", groups(sizes), groups(met), ("b", "a"))
+
+    def score(asked: pa.Table, held: pa.Table) -> pa.Table:
+        found = []
+        if len(asked) and len(held):
+            names = asked["q"].to_pylist()
+            found = [(names[row], number, value) for row, number, value in _top(
+                _matrix(asked["v"].combine_chunks()), asked["floor"].to_numpy(),
+                _matrix(held["v"].combine_chunks()), held["ids"].to_pylist(), k)]
+        columns = list(zip(*found)) or [[], [], []]
+        return pa.table({"q": pa.array(columns[0], pa.int64()),
+                         "vec_id": pa.array(columns[1], pa.int64()),
+                         "score": pa.array(columns[2], pa.float64())})
+
+    on = ["leaf", "a", "b"]
+    return left.groupBy(*on).cogroup(right.groupBy(*on)).applyInArrow(
+        score, "q bigint, vec_id bigint, score double")
 
 
 def nearest(table: DataFrame, *, key: str = "vec_id", vector: str = "embedding", k: int = 20,
@@ -265,30 +301,20 @@ def nearest(table: DataFrame, *, key: str = "vec_id", vector: str = "embedding",
     visits = _calibrated(tree, entries, queries, k, recall)
     counts = np.asarray([sizes.get(i, 0) for i in range(len(tree.leaves))])
     walks = stored(queries.mapInArrow(_visits(tree, counts, visits, k + 1),
-                                      "leaf int, q bigint, v binary"), "walks")
-    met = {r["leaf"]: r["count"] for r in walks.groupBy("leaf").count().collect()}
-    groups = lambda n: {i: -(-c // GROUP_ROWS) for i, c in n.items()}
-    left = _split(walks, "q", groups(met), groups(sizes), ("a", "b"))
-    right = _split(entries, "v", groups(sizes), groups(met), ("b", "a"))
-
-    def score(asked: pa.Table, held: pa.Table) -> pa.Table:
-        found = []
-        if len(asked) and len(held):
-            names = asked["q"].to_pylist()
-            query = _matrix(asked["v"].combine_chunks())
-            stored_vectors = _matrix(held["v"].combine_chunks())
-            found = [(names[row], number, value) for row, number, value in
-                     _top(query, stored_vectors, held["ids"].to_pylist(), k + 1)]
-        columns = list(zip(*found)) or [[], [], []]
-        return pa.table({"q": pa.array(columns[0], pa.int64()),
-                         "vec_id": pa.array(columns[1], pa.int64()),
-                         "score": pa.array(columns[2], pa.float64())})
-
-    on = ["leaf", "a", "b"]
-    found = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInArrow(
-        score, "q bigint, vec_id bigint, score double")
+                                      "leaf int, first boolean, q bigint, v binary"), "walks")
     by = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
-    best = (found.withColumn("n", F.row_number().over(by)).where(F.col("n") <= k + 1)
+    ranked = lambda df: df.withColumn("n", F.row_number().over(by)).where(
+        F.col("n") <= k + 1)
+    none = F.lit(float("-inf"))
+    first = walks.where("first").select("leaf", "q", "v", none.alias("floor"))
+    found = stored(ranked(_scored(first, entries, sizes, k + 1)).drop("n"), "first-found")
+    # What is below the last of a query's first finds can't be among its best.
+    floors = found.groupBy("q").agg(
+        F.when(F.count("*") > k, F.min("score")).otherwise(none).alias("floor"))
+    others = walks.where(~F.col("first")).join(floors, "q", "left").select(
+        "leaf", "q", "v", F.coalesce("floor", none).alias("floor"))
+    found = found.union(_scored(others, entries, sizes, k + 1))
+    best = (ranked(found)
             .groupBy("q").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score")))
                               .alias("best")))
     own = asking.join(queries, "v").select(F.col("vec_id").alias("query_id"), "q")
