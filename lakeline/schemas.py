@@ -13,42 +13,52 @@ PAYMENT_STATUSES = ("success", "failed", "refunded")
 RIDER_STATUSES = ("available", "on_delivery", "returning")
 LOCAL_ZONE = "Asia/Ho_Chi_Minh"
 
-TYPES = {
-    "string": T.StringType(),
-    "long": T.LongType(),
-    "int": T.IntegerType(),
-    "double": T.DoubleType(),
-    "timestamp": T.TimestampType(),
-}
-
-
-def _struct(spec: str, optional: tuple[str, ...] = ()) -> T.StructType:
-    fields = (pair.split(":") for pair in spec.split())
-    return T.StructType([T.StructField(n, TYPES[t], n in optional) for n, t in fields])
-
-
-ORDERS = _struct(
-    "order_id:string customer_id:string restaurant_id:string rider_id:string "
-    "city:string district:string status:string items:string "
-    "subtotal_vnd:long delivery_fee_vnd:long discount_vnd:long total_vnd:long "
-    "payment_method:string platform:string "
-    "placed_at:timestamp event_timestamp:timestamp producer_ts:double",
-    optional=("producer_ts",),
-)
+# Names, types and optional fields of the wire contract.
+ORDERS = T.StructType([
+    T.StructField("order_id", T.StringType(), False),
+    T.StructField("customer_id", T.StringType(), False),
+    T.StructField("restaurant_id", T.StringType(), False),
+    T.StructField("rider_id", T.StringType(), False),
+    T.StructField("city", T.StringType(), False),
+    T.StructField("district", T.StringType(), False),
+    T.StructField("status", T.StringType(), False),
+    T.StructField("items", T.StringType(), False),
+    T.StructField("subtotal_vnd", T.LongType(), False),
+    T.StructField("delivery_fee_vnd", T.LongType(), False),
+    T.StructField("discount_vnd", T.LongType(), False),
+    T.StructField("total_vnd", T.LongType(), False),
+    T.StructField("payment_method", T.StringType(), False),
+    T.StructField("platform", T.StringType(), False),
+    T.StructField("placed_at", T.TimestampType(), False),
+    T.StructField("event_timestamp", T.TimestampType(), False),
+    T.StructField("producer_ts", T.DoubleType(), True),
+])
 
-PAYMENTS = _struct(
-    "payment_id:string order_id:string amount_vnd:long method:string status:string "
-    "gateway_transaction_id:string processed_at:timestamp event_timestamp:timestamp "
-    "producer_ts:double",
-    optional=("gateway_transaction_id", "producer_ts"),
-)
+PAYMENTS = T.StructType([
+    T.StructField("payment_id", T.StringType(), False),
+    T.StructField("order_id", T.StringType(), False),
+    T.StructField("amount_vnd", T.LongType(), False),
+    T.StructField("method", T.StringType(), False),
+    T.StructField("status", T.StringType(), False),
+    T.StructField("gateway_transaction_id", T.StringType(), True),
+    T.StructField("processed_at", T.TimestampType(), False),
+    T.StructField("event_timestamp", T.TimestampType(), False),
+    T.StructField("producer_ts", T.DoubleType(), True),
+])
 
-RIDER_EVENTS = _struct(
-    "event_id:string rider_id:string order_id:string city:string "
-    "latitude:double longitude:double speed_kmh:double status:string battery_pct:int "
-    "event_timestamp:timestamp producer_ts:double",
-    optional=("order_id", "producer_ts"),
-)
+RIDER_EVENTS = T.StructType([
+    T.StructField("event_id", T.StringType(), False),
+    T.StructField("rider_id", T.StringType(), False),
+    T.StructField("order_id", T.StringType(), True),
+    T.StructField("city", T.StringType(), False),
+    T.StructField("latitude", T.DoubleType(), False),
+    T.StructField("longitude", T.DoubleType(), False),
+    T.StructField("speed_kmh", T.DoubleType(), False),
+    T.StructField("status", T.StringType(), False),
+    T.StructField("battery_pct", T.IntegerType(), False),
+    T.StructField("event_timestamp", T.TimestampType(), False),
+    T.StructField("producer_ts", T.DoubleType(), True),
+])
 
 ITEM_ARRAY = "array<struct<item_id:string,name:string,price_vnd:string,quantity:string>>"
 
