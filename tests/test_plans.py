@@ -4,6 +4,7 @@ import datetime as dt
 import re
 
 import pytest
+from conftest import utc
 
 from lakeline.catalog.queries import AS_OF
 from lakeline.functions import with_event_date_parts
@@ -57,11 +58,13 @@ def test_time_filter_and_columns_reach_the_scan(raw):
         "city", "payment_method", "placed_at", "total_vnd"]
 
 
-def test_day_read_prunes_partitions(spark, rows, tmp_path):
+def test_day_read_lists_the_folder_of_the_day_only(spark, rows, tmp_path):
     base = str(tmp_path / "lake")
-    with_event_date_parts(rows.orders({})).write.partitionBy(*lake.DAY_COLUMNS).parquet(base)
-    plan = plan_of(lake.read_day(spark, base, "2024-01-05", ORDERS))
-    assert re.search(r"PartitionFilters: \[.*year.*month.*day", plan)
+    many = rows.orders(*({"event_timestamp": utc(f"2024-01-{d:02d}T03:00:00")} for d in range(1, 9)))
+    with_event_date_parts(many).write.partitionBy(*lake.DAY_COLUMNS).parquet(base)
+    day = lake.read_day(spark, base, "2024-01-05", ORDERS)
+    assert re.search(r"Location: InMemoryFileIndex.*year=2024/month=1/day=5\]", plan_of(day))
+    assert len(day.inputFiles()) == 1 and [r.day for r in day.collect()] == [5]
 
 
 def test_freshness_prunes_to_recent_days(spark, raw, tmp_path):
@@ -84,19 +87,20 @@ def test_many_to_many_joins_count_before_joining(spark, raw):
     assert tree[join:].count("HashAggregate") >= 4
 
 
-def test_hot_orders_are_joined_apart(spark, raw):
+def test_hot_orders_are_joined_by_slices_without_broadcast(spark, raw):
+    from lakeline.operators.joins import hot_keys
     from lakeline.plans import intermediate, staging
 
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         orders, payments = staging.stg_orders(raw["orders"]), staging.stg_payments(raw["payments"])
-        plan = plan_of(intermediate.int_order_payments(orders, payments, ["o1"]))
+        hot = hot_keys(raw["payments"], "order_id", slice_rows=1)
+        plan = plan_of(intermediate.int_order_payments(orders, payments, hot))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     tree = plan.split("\n\n")[0]
-    # Only the few order rows of hot keys are broadcast; their payments stay where they are.
-    assert len(re.findall(r"BroadcastHashJoin Inner BuildLeft", tree)) == 1
-    assert len(re.findall(r"BroadcastExchange", tree)) == 1
+    assert "Broadcast" not in tree and "Cartesian" not in tree
+    assert re.search(r"hashpartitioning\(order_id#\d+, __slice#\d+", plan)
 
 
 def test_series_neighbours_need_no_whole_series_window(spark, rows):
