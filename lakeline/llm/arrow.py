@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -58,17 +59,35 @@ def free_name(df: DataFrame, base: str) -> str:
     return base if base not in taken else f"{base}_{uuid.uuid4().hex}"
 
 
+#: Bytes of text that a function gets at a time; a longer text is alone.
+TEXT_BYTES = 4_000_000
+
+
 def per_array(returns: str, make: Callable[[], Callable[[pa.Array], pa.Array]]):
-    """A function of one column; ``make`` runs once per task and gives what maps each array."""
+    """A function of one column; ``make`` runs once per task and gives what maps an array.
+
+    Arrow batches of texts are handed over in slices of about ``TEXT_BYTES``, so that a task
+    needs memory for a slice, whatever the number of rows in a batch.
+    """
 
     def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
         apply = make()
         for array in arrays:
-            yield apply(array)
+            for part in text_slices(array):
+                yield apply(array[part])
+            pa.default_memory_pool().release_unused()
 
     return F.arrow_udf(run, returnType=returns)
 
 
+def text_slices(array: pa.Array) -> Iterator[slice]:
+    """Slices of texts by their bytes; an array of anything else is one slice."""
+    if not (pa.types.is_string(array.type) or pa.types.is_binary(array.type)):
+        return iter([slice(0, len(array))])
+    sizes = pc.fill_null(pc.binary_length(array), 0).to_numpy(zero_copy_only=False)
+    return slices_of(sizes.tolist(), TEXT_BYTES)
+
+
 def slices_of(sizes: Sequence[int], limit: int) -> Iterator[slice]:
     """Slices whose sizes add up to ``limit`` at most; what is larger is alone."""
     start = total = 0

@@ -14,7 +14,7 @@ from lakeline.llm.fm_index import FmIndex
 
 #: Bytes of text that one index covers, and bytes of benchmark text in one broadcast. A larger
 #: benchmark becomes several broadcasts, each searched in the same pass over the documents.
-SHARD_BYTES, ITEM_BYTES = 16_000_000, 16_000_000
+SHARD_BYTES, ITEM_BYTES = 4_000_000, 16_000_000
 
 #: A-Z lowered; ASCII that is neither letter nor digit becomes a blank; the rest stays.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeline.llm.arrow import batches_of, per_array, quoted, ship_package, utf8
+from lakeline.llm.arrow import batches_of, per_array, quoted, ship_package, text_slices, utf8
 
 #: Orders of n-grams, buckets of each order, added to every count.
 ORDERS, BUCKETS, SMOOTHING = (1, 2, 3), 1 << 15, 0.5
@@ -123,13 +123,15 @@ def train(labelled: DataFrame, *, text: str = "text", lang: str = "lang",
         mine = np.zeros((len(languages), len(ORDERS), BUCKETS + 1), np.int64)
         for batch in batches:
             names = [number[n] for n in batch.column(0).to_pylist()]
-            texts = batch.column(1).to_pylist()
-            for part in batches_of(texts, BLOCK_BYTES):
-                buckets, starts, _ = ngram_buckets(texts[part])
-                which = np.repeat(names[part], np.diff(np.append(starts, buckets.shape[1])))
-                for i, row in enumerate(buckets):
-                    for k in range(len(languages)):
-                        mine[k, i] += np.bincount(row[which == k], minlength=BUCKETS + 1)
+            for part in text_slices(batch.column(1)):
+                texts = batch.column(1)[part].to_pylist()
+                for inner in batches_of(texts, BLOCK_BYTES):
+                    buckets, starts, _ = ngram_buckets(texts[inner])
+                    which = np.repeat(names[part][inner],
+                                      np.diff(np.append(starts, buckets.shape[1])))
+                    for i, row in enumerate(buckets):
+                        for k in range(len(languages)):
+                            mine[k, i] += np.bincount(row[which == k], minlength=BUCKETS + 1)
         language, order, bucket = np.nonzero(mine[:, :, :BUCKETS])
         yield pa.RecordBatch.from_arrays(
             [pa.array(x) for x in (language, order, bucket, mine[language, order, bucket])],

@@ -24,9 +24,9 @@ from pyspark.sql import SparkSession
 from lakeline.llm.arrow import slices_of
 
 #: Units whose ids one worker keeps at most, about 200 bytes each.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 #: Bytes of text whose distinct units are encoded together.
-BLOCK_BYTES = 10_000_000
+BLOCK_BYTES = 4_000_000
 
 #: Letters and then ASCII that makes a pre-token of its own: no digits, quotes (which begin a
 #: pre-token like 's), or brackets and bars of special tokens. The last letter must be one that
@@ -162,7 +162,7 @@ def unit_blocks(texts: pa.Array) -> Iterator[UnitBlock]:
     that more units are alike.
     """
     texts = _valid(pc.fill_null(texts, ""))
-    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).tolist()
     for part in slices_of(sizes, BLOCK_BYTES):
         lists = pc.ascii_split_whitespace(_lowered(texts[part]))
         words = lists.flatten().dictionary_encode()

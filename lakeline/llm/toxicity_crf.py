@@ -29,7 +29,7 @@ STEPS, RATE, DECAY = 40, 0.2, 1e-6
 #: Labelled rows of each label, and bytes of them, that the driver learns from at most.
 TRAIN_ROWS, TRAIN_BYTES = {0: 6000, 1: 3000}, {0: 16_000_000, 1: 10_000_000}
 #: Words whose evidence a worker keeps; tokens that a lane of the recursion holds at a time.
-CACHE_WORDS, LANE, BLOCK_BYTES = 300_000, 64, 4_000_000
+CACHE_WORDS, LANE, BLOCK_BYTES = 100_000, 64, 2_000_000
 LIMIT = 30.0
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32
