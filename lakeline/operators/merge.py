@@ -36,11 +36,14 @@ def incremental_source(
 
 
 def newest_partition(spark: SparkSession, path: str, column: str) -> DataFrame | None:
-    """The target rows of the highest partition value: enough to find its newest instant."""
-    values = partition_values(spark, path, column)
+    """The target rows of the highest partition value: enough to find its newest instant.
+
+    Read from the partition's own folder, so that no other one is listed.
+    """
+    values = [v for v in partition_values(spark, path, column) if v != NO_VALUE]
     if not values:
         return None
-    return spark.read.parquet(path).where(F.col(column) == F.lit(max(values)))
+    return spark.read.option("basePath", path).parquet(f"{path}/{column}={max(values)}")
 
 
 def newest_instant(spark: SparkSession, path: str, partition: str, ts: str):
