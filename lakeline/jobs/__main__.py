@@ -76,8 +76,10 @@ def run_compact(spark: SparkSession, a) -> dict:
 
 
 def run_transform_job(spark: SparkSession, a) -> int:
-    raw = {t: landing.read_raw(spark, f"{a.raw}/{t}", schema) for t, (schema, _) in TOPICS.items()}
-    models = run_transform(spark, raw, a.warehouse, full_refresh=a.full_refresh)
+    raw = {t: landing.read_raw(spark, f"{a.raw}/{t}", schema, with_load_date=True)
+           for t, (schema, _) in TOPICS.items()}
+    models = run_transform(spark, raw, a.warehouse, full_refresh=a.full_refresh,
+                           reach_days=a.reach_days)
     return assert_checks(run_checks(models, model_checks()))
 
 
@@ -113,6 +115,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--target-mib", type=int, default=128)
     p = job("transform", run_transform_job, "raw", "warehouse")
     p.add_argument("--full-refresh", action="store_true")
+    p.add_argument("--reach-days", type=int, help="read only loads of so many days before the bound")
     return top
 
 

@@ -23,13 +23,13 @@ from . import intermediate, marts, staging
 MAX_ZONE_AHEAD = dt.timedelta(hours=14)
 
 
-def _keys(spark: SparkSession, df: DataFrame, scratch: str) -> DataFrame:
-    """Distinct keys as a stored table.
+def _stored(spark: SparkSession, df: DataFrame, scratch: str) -> DataFrame:
+    """Keys as a stored table.
 
     Its size is then a fact the planner knows: a small one is broadcast, a
     large one is shuffled.
     """
-    df.distinct().write.parquet(scratch)
+    df.write.parquet(scratch)
     return spark.read.schema(df.schema).parquet(scratch)
 
 
@@ -51,9 +51,10 @@ def incremental_fct_orders(
     late = orders.where(
         (F.col("placed_at") >= coarse) & (local_datetime("placed_at") >= bound)
     )
-    order_ids = _keys(spark, late.select("order_id"), f"{scratch}/orders")
-    touching = payments.join(order_ids, "order_id", "left_semi")
-    payment_ids = _keys(spark, touching.select("payment_id"), f"{scratch}/payments")
+    order_ids = _stored(spark, late.select("order_id").distinct(), f"{scratch}/orders")
+    touching = _stored(spark, payments.join(order_ids, "order_id", "left_semi").select(
+        "order_id", "payment_id"), f"{scratch}/touching")
+    payment_ids = _stored(spark, touching.select("payment_id").distinct(), f"{scratch}/payments")
     candidates = intermediate.int_order_payments(
         staging.stg_orders(orders.join(order_ids, "order_id", "left_semi")),
         staging.stg_payments(payments.join(payment_ids, "payment_id", "left_semi")),
@@ -69,12 +70,17 @@ def run_incremental(
     path: str,
     lookback: dt.timedelta = dt.timedelta(minutes=10),
     max_move_days: int | None = None,
+    reach_days: int | None = None,
 ) -> list[str]:
     """Bring the stored fact up to date; a missing or empty table is built in full.
 
     Stored rows of the incoming orders are searched in the key column of the
     whole table. Where an order's date is known never to move by more than
     ``max_move_days``, only the partitions within that reach are searched.
+
+    Raw tables with their ``load_date`` need not be read in full where no version of an order
+    or payment that the lookback reaches was loaded more than ``reach_days`` before its bound:
+    older loads are then not listed for the keys. Unset, all loads are read.
     """
     swap.recover(spark, path)
     newest = merge.newest_instant(spark, path, "placed_date", "placed_at_local")
@@ -84,6 +90,9 @@ def run_incremental(
             hot_keys(payments, "order_id"),
         ))
         return merge.upsert(spark, path, full, "order_id", "placed_date", ["city"])
+    if reach_days is not None:
+        oldest = F.lit((newest - lookback).date() - dt.timedelta(days=reach_days))
+        orders, payments = (df.where(F.col("load_date") >= oldest) for df in (orders, payments))
     scratch = scratch_dir(spark, "increment")
     source = incremental_fct_orders(spark, orders, payments, newest - lookback, scratch)
     within = None

@@ -73,14 +73,15 @@ def run_models(
 
 
 def run_transform(
-    spark: SparkSession, raw: dict[str, DataFrame], warehouse: str, full_refresh: bool = False
+    spark: SparkSession, raw: dict[str, DataFrame], warehouse: str, full_refresh: bool = False,
+    reach_days: int | None = None,
 ) -> dict[str, DataFrame]:
     """The scheduled run: incremental fact, then the other marts from the stored fact."""
     if full_refresh:
         return run_models(spark, raw, warehouse)
     out = _views(raw, hot_keys(raw["payments"], "order_id"))
     path = f"{warehouse.rstrip('/')}/fct_orders"
-    run_incremental(spark, raw["orders"], raw["payments"], path)
+    run_incremental(spark, raw["orders"], raw["payments"], path, reach_days=reach_days)
     schema = marts.fct_orders(out["int_order_payments"]).schema
     out["fct_orders"] = spark.read.schema(schema).parquet(path)
     _marts_after_fact(out, lambda name, df: _stored(name, df, warehouse))

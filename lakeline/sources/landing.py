@@ -149,9 +149,10 @@ def load_day(
     return counts["good"]
 
 
-def read_raw(spark: SparkSession, table_path: str, schema: T.StructType) -> DataFrame:
-    """The raw table over all loads."""
+def read_raw(spark: SparkSession, table_path: str, schema: T.StructType,
+             with_load_date: bool = False) -> DataFrame:
+    """The raw table over all loads; ``with_load_date`` keeps the partition column."""
     fields = [T.StructField(f.name, f.dataType, True) for f in schema]
     keys = [T.StructField("load_date", T.DateType()), T.StructField("load_id", T.StringType())]
     table = spark.read.schema(T.StructType([*fields, *keys])).parquet(table_path)
-    return table.drop("load_date", "load_id")
+    return table.drop("load_id") if with_load_date else table.drop("load_date", "load_id")

@@ -11,7 +11,7 @@ from lakeline.functions import with_event_date_parts
 from lakeline.operators.dedup import latest_by
 from lakeline.plans import dashboards, reports
 from lakeline.plans.models import run_models
-from lakeline.schemas import ORDERS
+from lakeline.schemas import ORDERS, PAYMENTS
 from lakeline.sources import lake
 
 
@@ -67,6 +67,38 @@ def test_day_read_lists_the_folder_of_the_day_only(spark, rows, tmp_path):
     assert len(day.inputFiles()) == 1 and [r.day for r in day.collect()] == [5]
 
 
+def test_incremental_run_reads_recent_loads_only(spark, rows, tmp_path, monkeypatch):
+    from lakeline.plans import incremental
+    from lakeline.sources import landing
+
+    frames = {}
+    for name, make, schema in (("orders", rows.orders, ORDERS), ("payments", rows.payments, PAYMENTS)):
+        for day in range(1, 6):
+            key = {"order_id": f"o{day}", "event_timestamp": utc(f"2024-01-{day:02d}T03:00:00")}
+            key |= ({"placed_at": key["event_timestamp"]} if name == "orders" else
+                    {"payment_id": f"p{day}", "processed_at": key["event_timestamp"]})
+            make(key).write.parquet(f"{tmp_path}/{name}/load_date=2024-01-{day:02d}/load_id=x")
+        frames[name] = landing.read_raw(spark, f"{tmp_path}/{name}", schema, with_load_date=True)
+    seen = []
+    real = incremental.incremental_fct_orders
+
+    def watched(spark, orders, payments, *rest):
+        seen.extend((orders, payments))
+        return real(spark, orders, payments, *rest)
+
+    monkeypatch.setattr(incremental, "incremental_fct_orders", watched)
+    path = str(tmp_path / "fct")
+    early = {n: df.where("load_date < '2024-01-05'") for n, df in frames.items()}
+    incremental.run_incremental(spark, early["orders"], early["payments"], path)
+    incremental.run_incremental(spark, frames["orders"], frames["payments"], path, reach_days=1)
+    assert spark.read.parquet(path).count() == 5
+    assert len(seen) == 2
+    for df in seen:
+        assert re.search(r"PartitionFilters: \[.*load_date.*>=", plan_of(df))
+        assert {str(r.load_date) for r in df.select("load_date").distinct().collect()} == {
+            "2024-01-03", "2024-01-04", "2024-01-05"}
+
+
 def test_freshness_prunes_to_recent_days(spark, raw, tmp_path):
     fct = run_models(spark, raw, str(tmp_path / "marts"))["fct_orders"]
     plan = plan_of(dashboards.freshness(fct, dt.datetime(2024, 1, 5, 12)))
