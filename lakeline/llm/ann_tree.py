@@ -161,18 +161,27 @@ def _top(query: np.ndarray, floor: np.ndarray, vector: np.ndarray, ids: list[lis
     """(query row, id, score) of the best ``k`` ids for every query that are not below its floor,
     ties to smaller ids.
 
-    One matrix product chooses vectors, with a few to spare; their scores are then summed one
-    by one, so that a score does not depend on what else was in the group.
+    One matrix product gives every query a bound: its ``k``-th best product or its floor, less
+    what rounding may change. All vectors that reach it, however many tie there, are then
+    summed one by one, so that a score does not depend on what else was in the group.
     """
     product = query @ vector.T
-    floor = floor - 1e-9
-    spare = min(len(vector), k + 8)
-    rows = np.flatnonzero(product.max(1) >= floor)
-    chosen = np.argpartition(-product[rows], spare - 1, axis=1)[:, :spare]
-    for row, columns in zip(rows.tolist(), chosen):
-        columns = columns[product[row, columns] >= floor[row]]
+    norms = np.sqrt((query ** 2).sum(1)) * np.sqrt((vector ** 2).sum(1).max())
+    rounding = 4 * query.shape[1] * np.finfo(np.float64).eps * norms
+    bound = floor - rounding
+    rows = np.flatnonzero(~(product.max(1) < bound))
+    if len(vector) > k:
+        reached = product[rows]
+        reached.partition(len(vector) - k, axis=1)
+        bound[rows] = np.maximum(bound[rows], reached[:, len(vector) - k] - rounding[rows])
+    smallest = np.asarray([i[0] for i in ids])
+    for row in rows.tolist():
+        columns = np.flatnonzero(~(product[row] < bound[row]))
         exact = (query[row] * vector[columns]).sum(1)
-        best = sorted((-s, i) for s, c in zip(exact.tolist(), columns.tolist()) for i in ids[c])
+        # No id of an entry behind the first k entries can be among the best k.
+        ahead = np.lexsort((smallest[columns], -exact))[:k]
+        best = sorted((-s, i) for s, c in zip(exact[ahead].tolist(), columns[ahead].tolist())
+                      for i in ids[c])
         for score, number in best[:k]:
             yield row, number, -score
 
@@ -185,18 +194,21 @@ def _calibrated(tree: Tree, entries: DataFrame, queries: DataFrame, k: int, reca
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            query, vector = shared.value, _matrix(batch.column(1))
-            product = query @ vector.T
-            n = min(k, len(vector))
-            best = np.argpartition(-product, n - 1, axis=1)[:, :n]
-            row = np.repeat(np.arange(len(query)), n)
-            leaf = batch.column(0).to_numpy()[best.ravel()]
+            leaf, ids = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            held = dict(zip(ids, leaf))
+            none = np.full(len(shared.value), -np.inf)
+            best = list(_top(shared.value, none, _matrix(batch.column(1)), [[i] for i in ids], k)
+                        ) if ids else []
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row), pa.array(leaf.astype(np.int64)), pa.array(product[row, best.ravel()])],
-                ["q", "leaf", "score"])
-
-    by = Window.partitionBy("q").orderBy(F.desc("score"), "leaf")
-    true = (entries.select("leaf", "v").mapInArrow(exact, "q bigint, leaf bigint, score double")
+                [pa.array([row for row, _, _ in best], pa.int64()),
+                 pa.array([held[i] for _, i, _ in best], pa.int64()),
+                 pa.array([i for _, i, _ in best], pa.int64()),
+                 pa.array([score for _, _, score in best], pa.float64())],
+                ["q", "leaf", "id", "score"])
+
+    by = Window.partitionBy("q").orderBy(F.desc("score"), "id")
+    true = (entries.select("leaf", "v", F.col("ids")[0].alias("id"))
+            .mapInArrow(exact, "q bigint, leaf bigint, id bigint, score double")
             .withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).toArrow())
     promise = tree.promise(shared.value)
     place = np.empty((len(promise), len(tree.leaves)), np.int64)

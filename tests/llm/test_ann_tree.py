@@ -55,6 +55,40 @@ def test_one_vector_in_a_third_of_all_rows(spark, monkeypatch):
     assert {q: [i for _, i, _ in rows] for q, rows in found.items()} == exact
 
 
+def signs(n, dimension, seed=0):
+    return np.random.default_rng(seed).choice([-1.0, 1.0], (n, dimension))
+
+
+def test_all_ties_at_the_cut_are_compared():
+    vectors = np.unique(signs(4096, 16), axis=0)
+    query = signs(50, 16, 1)
+    ids = np.random.default_rng(2).permutation(len(vectors))
+    scores = query @ vectors.T
+    full = [ids[np.lexsort((ids, -s))][:21].tolist() for s in scores]
+    for floor in (np.full(50, -np.inf), np.sort(scores, axis=1)[:, -21]):
+        found = defaultdict(list)
+        for row, number, _ in ann_tree._top(query, floor, vectors, [[i] for i in ids.tolist()], 21):
+            found[row].append(number)
+        assert [found[row] for row in range(50)] == full
+
+
+def test_different_vectors_with_one_score(spark, monkeypatch):
+    monkeypatch.setattr(ann_tree, "GROUP_ROWS", 500)
+    vectors = dict(enumerate(signs(1500, 12, 5).astype(np.float32)))
+    found = answers(ann_tree.nearest(as_frame(spark, vectors.items()), recall=1.0))
+    exact = ann_tree.exact_nearest(vectors, 20, 20)
+    assert {q: [i for _, i, _ in rows] for q, rows in found.items()} == exact
+
+
+def test_a_floor_holds_for_long_vectors():
+    draw = np.random.default_rng(4)
+    vectors, query = 1e6 * draw.normal(size=(300, 64)), 1e6 * draw.normal(size=(40, 64))
+    ids = [[i] for i in range(300)]
+    once = list(ann_tree._top(query, np.full(40, -np.inf), vectors, ids, 21))
+    floor = np.asarray([min(s for q, _, s in once if q == row) for row in range(40)])
+    assert list(ann_tree._top(query, floor, vectors, ids, 21)) == once
+
+
 def test_rows_that_take_no_part_and_few_candidates(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1, 0]), (20, [0, 2]), (1, [1, 1]), (2, [0, 0]), (3, None), (None, [1, 1]),
