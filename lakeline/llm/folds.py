@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeline.llm.arrow import quoted
 
+#: A text over this part of the bytes that a sample may have waits until others have been taken.
+LONG = 20
+
 
 def held_out(key: str, parts: int, part: int) -> Column:
     """Whether crc32 of the key as text leaves ``part`` when divided by ``parts``. Rows without
@@ -21,27 +25,52 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, key: str, text: str,
     """Up to ``rows`` texts of the labels 0 and 1, chosen by a hash of the key, on the driver;
     and how many rows have each label.
 
-    Collected in that order until ``max_bytes`` of text are reached, label by label, so one
-    very long text cannot fill the driver. ``allowed`` is a condition on the labels table.
+    Chosen in that order by their lengths, label by label. A text that doesn't fit into what is
+    left of ``max_bytes`` is passed over, and very long ones come last, so none takes the place
+    of all others; only if no text of a label fits, the shortest is taken. Texts are read when
+    they are chosen. ``allowed`` is a condition on the labels table.
     """
     order = F.xxhash64(quoted(key), F.lit(label))
     known = labels.where(allowed & quoted(key).isNotNull() & quoted(label).isin(0, 1)).select(
         quoted(key).alias("k"), quoted(label).cast("int").alias("label"), order.alias("order"))
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    texts = docs.where(quoted(text).isNotNull()).select(
+        quoted(key).alias("k"), quoted(text).cast("string").cast("binary").alias("t"))
     out: list[tuple[bytes, int]] = []
     for value in sorted(sizes):
         # A little more than wanted, so that the sort is over a bounded number of rows.
         share = min(1.0, 1.5 * rows[value] / sizes[value])
         dice = F.pmod("order", F.lit(1 << 20)) < share * (1 << 20)
-        some = known.where((F.col("label") == value) & dice).orderBy("order", "k").limit(rows[value])
-        texts = docs.where(quoted(text).isNotNull()).select(
-            quoted(key).alias("k"), quoted(text).cast("string").cast("binary").alias("t"))
+        some = known.where((F.col("label") == value) & dice)
         found = (texts.join(F.broadcast(some), "k")
-                 .orderBy("order", "k", F.xxhash64("t")).limit(rows[value]))
-        size = 0
-        for row in found.select("t").toLocalIterator():
-            if size and size + len(row["t"]) > max_bytes[value]:
-                break
-            size += len(row["t"])
-            out.append((bytes(row["t"]), value))
+                 .select("k", "order", F.xxhash64("t").alias("hash"), F.length("t").alias("n"))
+                 .orderBy("order", "k", "hash").limit(2 * rows[value]))
+        met = found.select("k", "hash", "n").collect()
+        chosen = _fitting([r["n"] for r in met], rows[value], max_bytes[value])
+        # Rows of one text are next to each other: they are read once.
+        first = list(range(len(met)))
+        for i in range(1, len(met)):
+            if met[i] == met[i - 1]:
+                first[i] = first[i - 1]
+        wanted = docs.sparkSession.createDataFrame(
+            [(met[i]["k"], met[i]["hash"], i) for i in sorted({first[i] for i in chosen})],
+            T.StructType([found.schema["k"], found.schema["hash"],
+                          T.StructField("at", T.IntegerType())]))
+        read = (texts.join(F.broadcast(wanted.withColumnRenamed("hash", "h")), "k")
+                .where(F.xxhash64("t") == F.col("h")).groupBy("at").agg(F.first("t").alias("t")))
+        held = {r["at"]: bytes(r["t"]) for r in read.toLocalIterator()}
+        out.extend((held[first[i]], value) for i in chosen)
     return out, sizes
+
+
+def _fitting(lengths: list[int], rows: int, max_bytes: int) -> list[int]:
+    """Places of the texts to take: of the first ``rows`` all that fit, then later ones."""
+    chosen, size = [], 0
+    for i in sorted(range(len(lengths)),
+                    key=lambda i: (i >= rows, lengths[i] * LONG > max_bytes)):
+        if len(chosen) < rows and size + lengths[i] <= max_bytes:
+            chosen.append(i)
+            size += lengths[i]
+    if lengths and not chosen:
+        chosen.append(min(range(len(lengths)), key=lengths.__getitem__))
+    return sorted(chosen)

@@ -43,6 +43,28 @@ def test_labelled_sample_is_bounded_and_chosen_by_key(spark):
                                  max_bytes={0: 1, 1: 1}, **ask) == ([], {})
 
 
+def test_long_texts_do_not_end_the_sample(spark):
+    ids = spark.range(60).select(F.col("id").alias("doc_id"), F.lit(1).alias("bad"))
+    by_hash = [r.doc_id for r in ids.orderBy(F.xxhash64("doc_id", F.lit("bad"))).collect()]
+    ask = dict(key="doc_id", text="text", label="bad", allowed=F.lit(True), rows={1: 40},
+               max_bytes={1: 10_000})
+    for place, size in ((0, 20_000), (0, 9_990), (3, 9_990), (3, 20_000)):
+        long = by_hash[place]
+        docs = spark.createDataFrame([(i, "x" * size if i == long else f"text {i}")
+                                      for i in range(60)], "doc_id long, text string")
+        sample, _ = folds.labelled_sample(docs, ids, **ask)
+        kept = [i for i in by_hash if i != long]
+        assert [t for t, _ in sample] == [f"text {i}".encode() for i in kept[:40]]
+    # With room for it the long text is in its place, and copies of a row are rows.
+    docs = docs.union(docs)
+    sample, _ = folds.labelled_sample(docs, ids, **{**ask, "max_bytes": {1: 50_000}})
+    assert [len(t) for t, _ in sample[6:8]] == [20_000] * 2 and len(sample) == 40
+    length = 20_000 + F.col("doc_id").cast("int")
+    huge = docs.where("doc_id > 5").select("doc_id", F.repeat(F.lit("y"), length).alias("text"))
+    sample, _ = folds.labelled_sample(huge.distinct(), ids, **ask)
+    assert [len(t) for t, _ in sample] == [20_006]
+
+
 def languages(spark, n):
     draw = random.Random(4)
     rows = [(i, prose(draw, words, draw.randrange(3, 60)), name)
