@@ -21,9 +21,11 @@ from lakeline.llm.arrow import batches_of, list_array, per_array, ship_package,
 FEATURES, BEGINNINGS, ENDINGS = 1 << 20, (3, 4, 5, 6, 7), (3, 4)
 #: Evidence that makes a beginning or word toxic: log-likelihood ratio and ratio of rates.
 EVIDENCE, RATE_RATIO = 25.0, 20.0
+#: Min-hashes of a text's pairs of words, how many of them copies share, pairs hashed at a time.
+HASHES, COPY_HASHES, BLOCK_PAIRS = 64, 52, 4096
 #: Words before and after a labelled word that are learned from with it; segments of clean text.
 SEGMENT, CLEAN_SEGMENTS = 24, 12_000
-#: Segments of one toxic document, rounds of learning and gradient steps in each.
+#: Segments of one toxic document, drawn from all that it has, rounds of learning and gradient steps in each.
 TOXIC_SEGMENTS, ROUNDS = 20, 3
 STEPS, RATE, DECAY = 40, 0.2, 1e-6
 #: Labelled rows of each label, and bytes of them, that the driver learns from at most.
@@ -50,21 +52,38 @@ def features(word: bytes) -> list[int]:
     return found
 
 
+_MULTIPLY, _ADD = np.random.default_rng(1).integers(
+    1, 1 << 63, (2, HASHES, 1), np.uint64) | np.uint64(1)
+
+
+def min_hashes(words: list[bytes]) -> np.ndarray:
+    """Of each of ``HASHES`` hashes the smallest over pairs of neighbouring words (one word is
+    hashed alone). Two texts share as large a part as their sets of pairs do, about."""
+    crc = zlib.crc32
+    pairs = np.asarray([crc(a + b" " + b) for a, b in zip(words, words[1:])]
+                       or [crc(b" ".join(words))], np.uint64)
+    least = np.full(HASHES, (1 << 32) - 1, np.uint64)
+    for at in range(0, len(pairs), BLOCK_PAIRS):
+        hashed = (pairs[at:at + BLOCK_PAIRS] * _MULTIPLY + _ADD) >> np.uint64(32)
+        least = np.minimum(least, hashed.min(1))
+    return least.astype(np.uint32)
+
+
 def toxic_marks(sample: list[tuple[bytes, int]]) -> set[bytes]:
     """Words, and beginnings of words (with ``*``), that stand out in toxic documents.
 
-    Copies of a document are no evidence of their own: of texts whose smallest hash of two
-    neighbouring words is the same, one counts.
+    Copies of a document are no evidence of their own: a text that shares ``COPY_HASHES`` of its
+    min-hashes with one that counts, of the same label, does not count.
     """
     counts = Counter(), Counter()
-    sizes, met = [0, 0], set()
+    sizes = [0, 0]
+    met = [np.zeros((sum(y == label for _, y in sample), HASHES), np.uint32) for label in (0, 1)]
     for text, label in sample:
         words = words_of(text)
-        pairs = [zlib.crc32(a + b" " + b) for a, b in zip(words, words[1:])]
-        origin = label, min(pairs, default=text)
-        if origin in met:
+        origin = min_hashes(words)
+        if ((met[label][:sizes[label]] == origin).sum(1) >= COPY_HASHES).any():
             continue
-        met.add(origin)
+        met[label][sizes[label]] = origin
         words = set(words)
         marks = words | {w[:n] + b"*" for w in words for n in BEGINNINGS if len(w) > n}
         counts[label].update(marks)
@@ -281,7 +300,10 @@ def train(sample: list[tuple[bytes, int]], sizes: dict[int, int], seed: int = 7)
     for text in (t for t, label in sample if label):
         words = words_of(text)
         toxic = [is_toxic(w, marks) for w in words]
-        for part in _segments(words, [i for i, t in enumerate(toxic) if t])[:TOXIC_SEGMENTS]:
+        parts = _segments(words, [i for i, t in enumerate(toxic) if t])
+        if len(parts) > TOXIC_SEGMENTS:
+            parts = [parts[i] for i in np.sort(draw.permutation(len(parts))[:TOXIC_SEGMENTS])]
+        for part in parts:
             segments.append(words[part])
             tags.append(toxic[part])
     clean = [t for t, label in sample if not label]

@@ -262,6 +262,32 @@ def test_copies_are_evidence_once():
     assert not toxicity_crf.toxic_marks(clean + copied)
 
 
+def test_texts_that_share_a_passage_are_no_copies():
+    draw = random.Random(6)
+    passage = " ".join(f"shared{i}" for i in range(46))
+    clean = [(" ".join(f"w{draw.randrange(3000)}" for _ in range(30)).encode(), 0)
+             for _ in range(2000)]
+    toxic = [(f"{passage} {' '.join(f'w{draw.randrange(3000)}' for _ in range(19))} "
+              f"{chr(97 + g) * 3}".encode(), 1) for g in range(10) for _ in range(4)]
+    marks = toxicity_crf.toxic_marks(clean + toxic)
+    assert {(chr(97 + g) * 3).encode() for g in range(10)} <= marks
+
+
+def test_segments_are_drawn_from_the_whole_document(monkeypatch):
+    learned = []
+    monkeypatch.setattr(toxicity_crf, "toxic_marks", lambda sample: {b"bad"})
+    monkeypatch.setattr(toxicity_crf, "_fit", lambda field, segments, tags: learned.append(
+        [list(s) for s, t in zip(segments, tags) if any(t)]))
+    words = [w for i in range(100) for w in ("bad", *[f"p{i}"] * 40)]
+    sample = [(" ".join(words).encode(), 1), (b"nothing here", 0)]
+    toxicity_crf.train(sample, {0: 1, 1: 1})
+    places = [int(w[1:]) for s in learned[0] for w in s if w != b"bad"]
+    assert len(learned[0]) == toxicity_crf.TOXIC_SEGMENTS and max(places) >= 80
+    again = list(learned[0])
+    toxicity_crf.train(sample, {0: 1, 1: 1})
+    assert learned[-1] == again
+
+
 def test_toxicity_with_one_label_or_none_and_nulls_in_spark(spark):
     texts = [b"a b c", b"", None]
     for sizes, expected in (({}, 0), ({0: 3}, 0), ({1: 3}, 1)):
