@@ -146,17 +146,22 @@ def _finder(spark: SparkSession, phrases: Phrases):
     return per_array(_KIND, make)
 
 
-def _cutter(spark: SparkSession, phrases: Phrases):
-    shared = spark.sparkContext.broadcast(phrases)
+def _cutter(spark: SparkSession, blocks: Iterator[Phrases]):
+    shared = [spark.sparkContext.broadcast(phrases) for phrases in blocks]
 
     def make():
+        def found(texts: list[list[bytes]]) -> np.ndarray:
+            """Spans of the windows of all blocks, in the texts as they are."""
+            span = np.concatenate([phrases.value.find(texts)[0] for phrases in shared])
+            return Phrases._merged(span[:, 0], span[:, 1], span[:, 2] - span[:, 1])
+
         def cut(texts: pa.Array) -> pa.Array:
             values = texts.to_pylist()
             for part in batches_of(values, SHARD_BYTES):
                 left = np.arange(part.start, part.stop)
-                # What a cut brings together may be a window too.
+                # What a cut brings together may be a window too, of any block.
                 while len(left):
-                    span, _ = shared.value.find([words_of(values[i]) for i in left])
+                    span = found([words_of(values[i]) for i in left])
                     hit, first = np.unique(span[:, 0], return_index=True)
                     for i, of in zip(left[hit], np.split(span[:, 1:], first[1:])):
                         values[i] = without_spans(values[i], of.tolist())
@@ -173,15 +178,14 @@ def without_contamination(docs: DataFrame, items: DataFrame, *, text: str = "tex
                           item_bytes: int = ITEM_BYTES) -> Column:
     """The text of ``docs`` without the words of all spans, as a column; null stays null.
 
-    Cutting is repeated until no window of a block of items is left. Texts without a window
-    come back unchanged.
+    Cutting is repeated until no window of any item is left; each round cuts the spans of all
+    blocks of items at once, so blocks do not change the result. Texts without a window come
+    back unchanged. A worker holds all blocks, see ``contamination``.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    out = utf8(text)
-    for block in phrase_blocks(items, item_key, item_text, width, item_bytes):
-        out = _cutter(spark, block)(out)
-    return out.cast("string")
+    blocks = phrase_blocks(items, item_key, item_text, width, item_bytes)
+    return _cutter(spark, blocks)(utf8(text)).cast("string")
 
 
 def _merge_two(a: Column, b: Column) -> Column:
@@ -210,7 +214,9 @@ def contamination(docs: DataFrame, items: DataFrame, *, text: str = "text",
     A window is ``width`` consecutive words of an item; an item of fewer words is one window,
     and one without words matches nothing. A null text has no words and no spans. Items with
     the same id count once, a null id is called ``null``. The benchmark is read block by
-    block, so neither the driver nor a task holds more of it than ``item_bytes`` at a time.
+    block of ``item_bytes`` of text. The driver makes the windows of one block at a time, which
+    take many times its bytes; a worker holds those of all blocks, so its memory grows with the
+    benchmark.
     """
     spark = docs.sparkSession
     ship_package(spark)

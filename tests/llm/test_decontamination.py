@@ -115,6 +115,20 @@ def test_cut_texts_hold_no_window_and_clean_ones_stay(spark):
     assert all(not hit for _, _, hit, _, _ in brute([(r.doc_id, r.cut) for r in rows], items, 4))
 
 
+@pytest.mark.parametrize("seed", [3, 7])
+def test_blocks_of_items_do_not_change_what_is_cut(spark, seed):
+    docs, items, d, b = tables(spark, seed)
+    join = [(900, "a1 x1 x2 x3 x4 a2 b1 b2 b3 b4"), (901, "x1 x2 b1 b2 b3 b4 x3 x4")]
+    more = [(60, "b1 b2 b3 b4"), (61, "x1 x2 x3 x4"), (62, "x4 a2 b1 b2")]
+    d = d.select("doc_id", "text").union(spark.createDataFrame(join, "doc_id long, text string"))
+    b = b.union(spark.createDataFrame(more, "item_id long, text string")).coalesce(1)
+    cut = {n: sorted((str(r.doc_id), str(r.cut)) for r in d.select(
+        "doc_id", dc.without_contamination(d, b, width=4, item_bytes=n).alias("cut")).collect())
+        for n in (1, 30, 1_000_000)}
+    assert cut[1] == cut[1_000_000] and cut[30] == cut[1_000_000]
+    assert all(not hit for _, _, hit, _, _ in brute(cut[1], [*items, *more], 4))
+
+
 def test_cut_keeps_what_is_around_the_words():
     text = "Keep, this! But (cut THESE words) and é keep.".encode()
     words = dc.words_of(text)
