@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeline.llm import (
+    alignment,
     ann_tree,
     decontamination,
     folds,
     language_id,
+    manifest,
+    mixing,
     packing,
     quality_cnn,
     sharding,
@@ -99,6 +102,30 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("t.score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(table(spark, sf_dir, "documents"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    claimed = F.when(tampered, manifest.leaf_hash(
+        *(F.col(c) for c in ("doc_id", "source", "lang")), F.col("n_chars") + 1, F.col("text")))
+    made = manifest.build(docs, claimed=claimed)
+    proof = F.array_join(F.transform("proof", lambda beside: beside["hash"]), "")
+    return made.proofs().select(
+        F.col("key").alias("doc_id"), F.col("hash").alias("leaf"), "subroot",
+        F.lit(made.root).cast("string").alias("root"),
+        F.sha2(proof.cast("binary"), 256).alias("proof_sha256"),
+        F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.lit(made.root)).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_rendezvous_shards": op2_rendezvous_shards,
@@ -110,4 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op11_mixing": op11_mixing,
+    "op12_alignment": op12_alignment,
+    "op13_manifest": op13_manifest,
 }

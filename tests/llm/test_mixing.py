@@ -1,0 +1,151 @@
+"""Mixing: targets, exact budgets, cuts and copies against brute force."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeline.llm import mixing
+
+SCHEMA = "doc_id long, source string, text string"
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def shares(sizes, weights, limit=3, total=None):
+    """Targets by sharing again and again, in exact fractions."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    left = sum(sizes.values()) if total is None else total
+    found = dict.fromkeys(order, Fraction(0))
+    open_ = set(order)
+    while open_:
+        unit = Fraction(left, sum(weight[s] for s in open_))
+        over = {s for s in open_ if unit * weight[s] > limit * sizes[s]}
+        if not over:
+            found.update((s, unit * weight[s]) for s in open_)
+            break
+        found.update((s, Fraction(limit * sizes[s])) for s in over)
+        left -= sum(limit * sizes[s] for s in over)
+        open_ -= over
+    return found
+
+
+def brute(rows, weights=(1, 2, 3), limit=3, total=None):
+    sizes = Counter()
+    for _, source, text in rows:
+        sizes[source] += len(words(text))
+    aims, out = shares(sizes, weights, limit, total), []
+    by = defaultdict(list)
+    for key, source, text in rows:
+        draw = hashlib.md5(f"{'null' if key is None else key}:0".encode()).hexdigest()
+        by[source].append((draw, len(words(text)), key))
+    for source, own in by.items():
+        budget = int(aims[source] + Fraction(1, 2))
+        epochs, rest = divmod(budget, sizes[source]) if sizes[source] else (0, 0)
+        for _, size, key in sorted(own, key=lambda r: r[:2]):
+            part = max(0, min(size, rest))
+            out.append((key, source, size, sizes[source], float(aims[source]),
+                        epochs * size + part))
+            rest -= part
+    return sorted(out, key=str)
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def corpus():
+    rows = [(i, f"s{i % 7}" if i % 3 else "hot", "wörd \t" * (i % 23)) for i in range(300)]
+    rows += [(None, None, "a b"), (None, None, "a b"), (5, "s1", None), (6, "", ""),
+             (7, "empty", " \n "), (8, "tiny", "x"), (9, "é", "long " * 4000),
+             (10, "s2", "a b c"), (10, "s2", "a b c"), (10, "s2", "other text")]
+    return rows
+
+
+@pytest.mark.parametrize("block", [7, 50_000])
+def test_mix_is_brute_force(spark, block):
+    docs = spark.createDataFrame(corpus(), SCHEMA).withColumn("size", F.lit("x"))
+    mixed = mixing.mix(docs.repartition(3), block_rows=block).cache()
+    exact = brute(corpus())
+    got = found(mixed.select("doc_id", "source", "size", "source_size", "target", "taken"))
+    assert [r[:4] + r[5:] for r in got] == [r[:4] + r[5:] for r in exact]
+    assert [r[4] for r in got] == pytest.approx([r[4] for r in exact])
+    assert all(r[5] <= 3 * r[2] for r in got)
+    for r in mixed.groupBy("source", "target").agg(F.sum("taken").alias("t")).collect():
+        assert abs(r.t - r.target) <= 0.5
+
+
+@pytest.mark.parametrize("weights,limit,total", [
+    ((1,), 3, None), ((5, 1), 2, 900), ((1, 2, 3), 1, None), ((1, 2, 3), 3, 10 ** 6),
+    ((1, 7), 3, 0)])
+def test_weights_limits_and_totals(spark, weights, limit, total):
+    got = found(mixing.mix(spark.createDataFrame(corpus(), SCHEMA), weights=weights,
+                           limit=limit, total=total))
+    exact = brute(corpus(), weights, limit, total)
+    assert [r[:4] + r[5:] for r in got] == [r[:4] + r[5:] for r in exact]
+    assert [r[4] for r in got] == pytest.approx([r[4] for r in exact])
+
+
+def test_many_sources(spark):
+    rows = [(i, f"source {i % 400}", "w " * (i % 31)) for i in range(2000)]
+    got = found(mixing.mix(spark.createDataFrame(rows, SCHEMA)))
+    assert [r[5] for r in got] == [r[5] for r in brute(rows)]
+
+
+def test_reruns_agree(spark):
+    docs = spark.createDataFrame(corpus(), SCHEMA)
+    assert found(mixing.mix(docs.repartition(5))) == found(mixing.mix(docs.coalesce(1)))
+    other = mixing.mix(docs, seed=1)
+    assert found(other) != found(mixing.mix(docs))
+
+
+def test_mixture_holds_the_words_taken(spark):
+    docs = spark.createDataFrame(corpus(), SCHEMA).withColumn("epoch", F.lit(1))
+    rows = mixing.mixture(docs).collect()
+    assert docs.columns == list(rows[0].asDict())[:-1]
+    per_source, aims = Counter(), {r[1]: r[4] for r in brute(corpus())}
+    texts = {(k, s): [] for k, s, _ in corpus()}
+    for k, s, t in corpus():
+        texts[k, s].append(t)
+    cut = 0
+    for r in rows:
+        per_source[r.source] += len(words(r.text))
+        whole = texts[r.doc_id, r.source]
+        assert r.text in whole or any(
+            words(t)[:len(words(r.text))] == words(r.text) for t in whole if t)
+        cut += r.text not in whole
+    assert 0 < cut <= len(aims)
+    for source, aim in aims.items():
+        assert abs(per_source[source] - aim) <= 0.5
+
+
+def test_word_counts_and_first_words(spark):
+    texts = ["", " ", "a", " a  b\n", "a b", "\x0ba\x0cb\rc", "x" * 100_000,
+             "é 🙂 " * 30_000, None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        mixing.word_count(F.col("t")).alias("n")).collect()
+    assert [r.n for r in got] == [len(words(t)) for t in texts]
+    first = spark.createDataFrame([("  a  bb\tc ", 2), ("a b", 1)], "t string, n long").select(
+        mixing.first_words(F.col("t"), F.col("n")).alias("x")).collect()
+    assert [r.x for r in first] == ["a  bb", "a"]
+
+
+def test_empty_table_and_bad_weights(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert mixing.mix(empty).count() == 0 and mixing.mixture(empty).count() == 0
+    for bad in ([], [0], [1.5]):
+        with pytest.raises(ValueError):
+            mixing.mix(empty, weights=bad)
+
+
+def test_main_path_is_native(spark):
+    from test_plans import plan_of
+
+    docs = spark.createDataFrame(corpus(), SCHEMA)
+    assert "Python" not in plan_of(mixing.mix(docs)) and "Arrow" not in plan_of(mixing.mix(docs))
