@@ -12,7 +12,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -34,23 +36,24 @@ from lakeline.llm.arrow import (
 from lakeline.llm.tokens import gathered
 
 #: Words whose ids one worker keeps, and links of which a worker counts at a time.
-CACHE_WORDS, COUNTED_LINKS = 150_000, 2_000_000
+CACHE_WORDS, COUNTED_LINKS = 150_000, 1_000_000
 #: Tokens of one tokenizer that are aligned at a time; a longer document is alone.
-SLICE_TOKENS = 1_000_000
+SLICE_TOKENS = 250_000
 #: Links in the broadcast table, the ones in most documents: 17 bytes each.
 TABLE_LINKS = 1 << 20
-#: How the ids are written: dictionaries pack them to the bits that a chunk needs.
-LAYOUT = {"compression": "zstd", "parquet.enable.dictionary": "true"}
+#: How the ids are written: as their bytes, in small row groups.
+LAYOUT = {"compression": "zstd", "parquet.enable.dictionary": "false",
+          "parquet.block.size": str(16 << 20), "parquet.page.size": str(256 << 10)}
 
 #: A blank next to other white space, where a word of its own can't begin.
 _ODD = (r"^[\s\x{85}\x{1C}-\x{1F}\p{Z}]|[\s\x{85}\x{1C}-\x{1F}\p{Z}]$"
         r"|[\s\x{85}\x{1C}-\x{1F}\p{Z}] | [\s\x{85}\x{1C}-\x{1F}\p{Z}]")
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
-#: A word that is one pre-token of letters (U+017F and below).
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ſ]+")
-#: Such a word, and ASCII marks after it that are the second pre-token.
-_MARKED = re.compile("([A-Za-zÀ-ÖØ-öø-ſ]+)"
-                     r"""([!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+)""")
+#: Letters (U+017F and below) that are one pre-token, and ASCII marks that after them are
+#: another. RE2 and Python read both alike.
+_LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+_MARK = r"""!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"""
+_LETTERS, _MARKS = re.compile(f"[{_LETTER}]+"), re.compile(f"[{_MARK}]+")
 
 
 def default_tokenizers() -> tuple[str, str]:
@@ -78,10 +81,10 @@ def byte_letters() -> dict[int, str]:
 class PairEncoder:
     """Ids of a text by a byte-level BPE (A, of space and text) and a sentencepiece model (B).
 
-    Neither joins a word to what stands before the single blank that begins it: A's pre-tokens
-    begin there, and no piece of B goes on after a blank within it, which is checked when it is
-    loaded. So the ids of a text are those of its words, each encoded once per block of texts
-    or found in the worker's cache.
+    Neither joins a word to what stands before the single blank that begins it, or letters to
+    the marks after them: A's pre-tokens begin there, and no piece of B goes across, which is
+    checked when it is loaded. So the ids of a text are those of its words, letters and marks,
+    each encoded once per block of texts or found in the worker's cache.
     """
 
     def __init__(self, a: str, b: bytes, cache_words: int = CACHE_WORDS):
@@ -101,72 +104,86 @@ class PairEncoder:
         for token, i in vocabulary.items():
             self.a_bytes[i] = bytes(back[c] for c in token)
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
-        if any(b" " in p.lstrip(b" ") for p in self.b_bytes):
-            raise ValueError("a piece goes on after a blank, so words can't be encoded alone")
-        self.cache_words = cache_words
-        self.known: dict[str, tuple[bytes, bytes]] = {}
-        self._labels: list[bytes] = []
+        across = re.compile(f"[^\u2581]\u2581|[{_LETTER}][{_MARK}]")
+        if any(across.search(self.b.id_to_piece(i)) for i in range(len(self.b_bytes))
+               if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))):
+            raise ValueError("pieces go across the ends of words, so words can't be encoded alone")
         self.a_sizes = np.asarray([len(t) for t in self.a_bytes], np.int64)
         self.b_sizes = np.asarray([len(t) for t in self.b_bytes], np.int64)
+        # Ids are kept and written as little-endian unsigned integers of 16 or 32 bits.
+        self.kind = "<u2" if max(len(self.a_bytes), len(self.b_bytes)) <= 1 << 16 else "<u4"
+        self.cache_words = cache_words
+        self.known: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+        self._labels: tuple[np.ndarray, np.ndarray] | None = None
 
     def _piece(self, i: int) -> bytes:
         if self.b.is_byte(i):
             return bytes([int(self.b.id_to_piece(i)[3:5], 16)])
         return self.b.id_to_piece(i).replace("▁", " ").encode()
 
-    def _encode_words(self, words: list[str]) -> list[tuple[bytes, bytes]]:
-        """Ids of both (little-endian unsigned 32-bit integers) of a blank and each word; none
-        where the ids' bytes are not those of the word."""
-        tokenize, spelled = self.model.tokenize, self.spelled
-
-        def ids(letters: bytes) -> list[int]:
-            return [t.id for t in tokenize(letters.decode("latin-1").translate(spelled))]
-
-        first: list[list[int]] = [[]] * len(words)
+    def _first(self, words: list[str]) -> list[list[int]]:
+        """A's ids of a blank and each word."""
+        tokenize, spelled, letters = self.model.tokenize, self.spelled, _LETTERS.fullmatch
+        out: list[list[int]] = [[]] * len(words)
         other = []
         for i, word in enumerate(words):
-            if _LETTERS.fullmatch(word):
-                first[i] = ids(b" " + word.encode())
-            elif two := _MARKED.fullmatch(word):
-                first[i] = ids(b" " + two[1].encode()) + ids(two[2].encode())
+            if letters(word):
+                out[i] = [t.id for t in tokenize(
+                    (b" " + word.encode()).decode("latin-1").translate(spelled))]
             else:
                 other.append(i)
         found = self.a.encode_batch_fast([" " + words[i] for i in other],
                                          add_special_tokens=False)
         for i, one in zip(other, found):
-            first[i] = one.ids
-        second = self.b.encode(words, num_threads=1)
-        out = []
-        for word, a, b in zip(words, first, second):
-            whole = b" " + word.encode()
-            same = (b"".join([self.a_bytes[t] for t in a]) == whole
-                    and b"".join([self.b_bytes[t] for t in b]) == whole)
-            out.append((np.asarray(a, "<u4").tobytes(), np.asarray(b, "<u4").tobytes())
-                       if same else (b"", b""))
+            out[i] = one.ids
         return out
 
-    def labels(self) -> list[bytes]:
-        """An id in decimal behind what parts it from the token before: for each id of A, then
-        of B, within a group and as the first of its side."""
-        if not self._labels:
-            for size, first in ((len(self.a_sizes), b";"), (len(self.b_sizes), b"|")):
-                for i in range(size):
-                    self._labels += (b",%d" % i, first + b"%d" % i)
-        return self._labels
-
-    def word_ids(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+    def _encode_words(self, words: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Ids of A and B of a blank and each word; none where they don't spell it."""
+        code = "H" if self.kind == "<u2" else "I"
+        sides = self._first(words), self.b.encode(words, num_threads=1)
+        spelled = [b" " + w.encode() for w in words]
+        lengths = np.fromiter(map(len, spelled), np.int64, len(words))
+        right = np.ones(len(words), bool)
+        for ids, table, sizes in zip(sides, (self.a_bytes, self.b_bytes),
+                                     (self.a_sizes, self.b_sizes)):
+            flat = np.fromiter(chain.from_iterable(ids), np.int64)
+            stops = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+            size = np.diff(np.append(0, np.cumsum(sizes[flat]))[stops], prepend=0)
+            if (np.array_equal(size, lengths)
+                    and b"".join(map(table.__getitem__, flat.tolist())) == b"".join(spelled)):
+                continue
+            right &= np.fromiter((b"".join([table[t] for t in one]) == word
+                                  for one, word in zip(ids, spelled)), bool, len(words))
+        keep = right.tolist()
+        return tuple([array(code, one).tobytes() if k else b"" for one, k in zip(ids, keep)]
+                     for ids in sides)
+
+    def word_ids(self, words: list[str]) -> tuple[list[bytes], list[bytes]]:
         """The same from the cache, where it has them; a full cache keeps what it has."""
-        ids = list(map(self.known.get, words))
-        gaps = [i for i, one in enumerate(ids) if one is None]
-        for i, one in zip(gaps, self._encode_words([words[i] for i in gaps])):
-            ids[i] = one
-        for i in gaps[:max(0, self.cache_words - len(self.known))]:
-            self.known[words[i]] = ids[i]
+        ids = tuple(list(map(known.get, words)) for known in self.known)
+        gaps = [i for i, one in enumerate(ids[0]) if one is None]
+        new = self._encode_words([words[i] for i in gaps]) if gaps else ((), ())
+        room = max(0, self.cache_words - len(self.known[0]))
+        for own, known, found in zip(ids, self.known, new):
+            for i, one in zip(gaps, found):
+                own[i] = one
+            for i, one in zip(gaps[:room], found):
+                known[words[i]] = one
         return ids
 
+    def mark_ids(self, marks: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Ids of marks that stand after letters; none for an empty string."""
+        code = "H" if self.kind == "<u2" else "I"
+        before = len(self.b.encode("a"))
+        first = [[t.id for t in self.model.tokenize(
+            m.encode().decode("latin-1").translate(self.spelled))] if m else [] for m in marks]
+        second = [self.b.encode("a" + m)[before:] for m in marks]
+        return tuple([array(code, one).tobytes() for one in ids] for ids in (first, second))
+
     def encode(self, texts: pa.Array) -> pa.Array:
-        """Per text a struct of the two lists of ids; both empty if there is no text, or if the
-        bytes of either are not those of a blank and the text."""
+        """Per text a struct of the ids of A and of B as bytes; both empty if there is no text,
+        or if the ids of either don't spell a blank and the text."""
         texts = pc.fill_null(_valid(texts), "")
         odd = pc.match_substring_regex(texts, _ODD)
         if pc.any(odd).as_py():
@@ -176,23 +193,46 @@ class PairEncoder:
         else:
             lists = pc.split_pattern(texts, " ")
         words = lists.flatten().dictionary_encode()
-        which = words.indices.to_numpy()
-        ids = self.word_ids(words.dictionary.to_pylist())
-        ends = lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()
-        empty = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-        wrong = np.fromiter((not a for a, _ in ids), bool, len(ids))
-        bad = np.append(0, np.cumsum(wrong[which]))[np.append(0, ends)]
-        keep = (np.diff(bad) == 0) & ~empty
-        sides = []
-        for side in (0, 1):
-            lengths = np.fromiter((len(one[side]) >> 2 for one in ids), np.int32, len(ids))
-            at, stops = gathered(lengths, which)
-            counts = np.diff(np.append(0, stops)[ends], prepend=0)
-            flat = np.frombuffer(b"".join([one[side] for one in ids]), "<u4")[at]
-            flat = flat[np.repeat(keep, counts)].view(np.int32)
-            sides.append(list_array(flat, np.where(keep, counts, 0)))
+        which, words = words.indices.to_numpy(), words.dictionary
+        marked = pc.match_substring_regex(words, f"^[{_LETTER}]+[{_MARK}]+$")
+        stems = pc.if_else(marked, pc.replace_substring_regex(words, f"[{_MARK}]+$", ""),
+                           words).dictionary_encode()
+        marks = pc.if_else(marked, pc.replace_substring_regex(words, f"^[{_LETTER}]+", ""),
+                           "").dictionary_encode()
+        stem_ids = self.word_ids(stems.dictionary.to_pylist())
+        mark_ids = self.mark_ids(marks.dictionary.to_pylist())
+        # A word is two parts: its stem, and its marks or nothing.
+        parts = np.empty(2 * len(which), np.int64)
+        parts[::2] = stems.indices.to_numpy()[which]
+        parts[1::2] = marks.indices.to_numpy()[which] + len(stems.dictionary)
+        ends = lists.offsets.to_numpy()[1:].astype(np.int64) - lists.offsets[0].as_py()
+        wrong = np.fromiter(map(len, stem_ids[0]), np.int64, len(stem_ids[0])) == 0
+        bad = np.append(0, np.cumsum(wrong[parts[::2]]))[np.append(0, ends)]
+        keep = (np.diff(bad) == 0) & pc.greater(pc.binary_length(texts), 0).to_numpy(
+            zero_copy_only=False)
+        sides, width = [], np.dtype(self.kind).itemsize
+        for stem, mark in zip(stem_ids, mark_ids):
+            ids = stem + mark
+            at, stops = gathered(np.fromiter(map(len, ids), np.int32, len(ids)) // width, parts)
+            counts = np.diff(np.append(0, stops)[2 * ends], prepend=0)
+            flat = np.frombuffer(b"".join(ids), self.kind)[at][np.repeat(keep, counts)]
+            offsets = np.append(0, np.cumsum(np.where(keep, counts, 0) * width)).astype(np.int32)
+            sides.append(pa.Array.from_buffers(pa.binary(), len(counts), [
+                None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(flat))]))
         return pa.StructArray.from_arrays(sides, ["a", "b"])
 
+    def labels(self) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in decimal behind what parts them from the token before, and their lengths: for
+        each id of A, then of B, within a group (``,``) and as the first of its side."""
+        if self._labels is None:
+            words = [b"%b%d" % (mark, i)
+                     for size, first in ((len(self.a_sizes), b";"), (len(self.b_sizes), b"|"))
+                     for i in range(size) for mark in (b",", first)]
+            lengths = np.fromiter(map(len, words), np.int64, len(words))
+            letters = np.asarray(words, "S").view(np.uint8).reshape(len(words), -1)
+            self._labels = letters, lengths
+        return self._labels
+
 
 def _valid(texts: pa.Array) -> pa.Array:
     """Bytes that are no UTF-8, which a cast from binary may leave, become the mark for that."""
@@ -238,11 +278,14 @@ def align(a_sizes: np.ndarray, b_sizes: np.ndarray, a_counts: np.ndarray) -> Ali
     sum for A and B.
     """
     a_end, b_end = np.cumsum(a_sizes), np.cumsum(b_sizes)
-    n = len(a_end)
-    over_a = np.searchsorted(b_end, a_end)  # the token of B that has A's last byte
-    over_b = np.searchsorted(a_end, b_end)
+    n, size = len(a_end), int(a_end[-1]) if len(a_end) else 0
+    a_at, b_at = np.zeros(size + 1, bool), np.zeros(size + 1, bool)
+    a_at[a_end], b_at[b_end] = True, True
+    # How many tokens end up to a place is the number of the token that has the byte there.
+    a_upto, b_upto = np.cumsum(a_at, dtype=np.int32), np.cumsum(b_at, dtype=np.int32)
+    over_a, over_b = b_upto[a_end - 1], a_upto[b_end - 1]
     # A token of A that ends with one of B is a last one; that of B points to it.
-    last = b_end[over_a] == a_end
+    last = b_at[a_end]
     points = np.concatenate([np.where(last, np.arange(n), n + over_a), over_b])
     while True:
         farther = points[points]
@@ -252,25 +295,23 @@ def align(a_sizes: np.ndarray, b_sizes: np.ndarray, a_counts: np.ndarray) -> Ali
     number = np.cumsum(last) - 1  # of the group that a last token ends
     a_group, b_group = number[points[:n]], number[points[n:]]
     # Every byte range between two ends is the overlap of one pair of tokens.
-    ends = np.union1d(a_end, b_end)
-    a_link, b_link = np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
+    both = a_at | b_at
+    ends = np.flatnonzero(both)
+    a_link, b_link = a_upto[ends - 1], b_upto[ends - 1]
     a_stops = np.cumsum(a_counts)
     bytes_to = np.append(0, a_end)[a_stops]
     return Aligned(a_group, b_group, a_link, b_link, np.append(0, np.cumsum(last))[a_stops],
-                   np.searchsorted(ends, bytes_to, "right"))
+                   np.cumsum(both)[bytes_to])
 
 
-def _sliced(rows: pa.StructArray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray,
-                                                    np.ndarray]]:
+def _sliced(one: PairEncoder, rows: pa.StructArray) -> Iterator[tuple[
+        np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Ids of A and B and how many each document has, for slices of written rows."""
-    sides = rows.flatten()
-    counts = [np.diff(s.offsets.to_numpy()).astype(np.int64) for s in sides]
-    flat = [s.flatten().to_numpy(zero_copy_only=False) for s in sides]
-    starts = [np.append(0, np.cumsum(c)) for c in counts]
+    sides, width = rows.flatten(), np.dtype(one.kind).itemsize
+    counts = [pc.binary_length(s).to_numpy(zero_copy_only=False) // width for s in sides]
     for part in slices_of(counts[0].tolist(), SLICE_TOKENS):
-        yield (flat[0][starts[0][part.start]:starts[0][part.stop]],
-               flat[1][starts[1][part.start]:starts[1][part.stop]],
-               counts[0][part], counts[1][part])
+        flat = [np.frombuffer(b"".join(s[part].to_pylist()), one.kind) for s in sides]
+        yield *flat, *(c[part].astype(np.int64) for c in counts)
 
 
 def _links(a: np.ndarray, b: np.ndarray, found: Aligned, kinds: int) -> np.ndarray:
@@ -280,7 +321,7 @@ def _links(a: np.ndarray, b: np.ndarray, found: Aligned, kinds: int) -> np.ndarr
 
 def encoded(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             tokenizers: tuple[str, str] | None = None) -> DataFrame:
-    """Write (doc_id, a, b): the ids of every text by both tokenizers.
+    """Write (doc_id, a, b): the ids of every text by both tokenizers, as their bytes.
 
     Null and empty texts, and those whose tokens don't spell a blank and the text, have none.
     Repeated rows and null keys are rows like others; other columns are not read.
@@ -292,7 +333,7 @@ def encoded(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     def make():
         return encoder(files).encode
 
-    ids = per_array("struct<a:array<int>,b:array<int>>", make)(text_of(text))
+    ids = per_array("struct<a:binary,b:binary>", make)(text_of(text))
     return stored(docs.select(quoted(key).alias("doc_id"), ids.alias("ids")).select(
         "doc_id", "ids.a", "ids.b"), "aligned-ids", **LAYOUT)
 
@@ -322,7 +363,7 @@ def link_counts(written: DataFrame, files: Broadcast) -> DataFrame:
             return pa.record_batch([pa.array(pairs), pa.array(counts)], ["pair", "n"])
 
         for batch in batches:
-            for a, b, a_counts, _ in _sliced(pa.StructArray.from_arrays(
+            for a, b, a_counts, _ in _sliced(one, pa.StructArray.from_arrays(
                     batch.columns, ["a", "b"])):
                 if not len(a):
                     continue
@@ -368,7 +409,7 @@ def _table(links: DataFrame, limit: int) -> tuple[Broadcast, bool]:
 
 
 def _group_text(one: PairEncoder, a: np.ndarray, b: np.ndarray, found: Aligned,
-                a_counts: np.ndarray, b_counts: np.ndarray) -> list[bytes]:
+                a_counts: np.ndarray, b_counts: np.ndarray) -> list[memoryview]:
     """Per document ``a1,a2|b1;a3|b2,b3``: ids of A and B, group by group."""
     a_first = np.diff(found.a_group, prepend=-1) != 0
     b_first = np.diff(found.b_group, prepend=-1) != 0
@@ -380,9 +421,11 @@ def _group_text(one: PairEncoder, a: np.ndarray, b: np.ndarray, found: Aligned,
     codes[np.arange(len(a)) + per_b[found.a_group]] = 2 * a.astype(np.int64) + a_first
     codes[np.arange(len(b)) + per_a[found.b_group]] = (
         2 * (len(one.a_sizes) + b.astype(np.int64)) + b_first)
-    words = list(map(one.labels().__getitem__, codes.tolist()))
-    stops = np.cumsum(a_counts + b_counts).tolist()
-    return [b"".join(words[i:j])[1:] for i, j in zip([0, *stops], stops)]
+    letters, lengths = one.labels()
+    text = letters[codes][np.arange(letters.shape[1]) < lengths[codes][:, None]]
+    data = memoryview(text)
+    stops = np.append(0, np.cumsum(lengths[codes]))[np.cumsum(a_counts + b_counts)].tolist()
+    return [data[i + 1:j] for i, j in zip([0, *stops], stops)]
 
 
 _REPORT = ("n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, "
@@ -395,7 +438,7 @@ def _report(one: PairEncoder, table: tuple, rows: pa.StructArray) -> pa.Array:
     columns: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(6)]
     hashes: list[str] = []
     rare = [[np.zeros(0, np.int64)] for _ in range(3)]
-    for a, b, a_counts, b_counts in _sliced(rows):
+    for a, b, a_counts, b_counts in _sliced(one, rows):
         found = align(one.a_sizes[a], one.b_sizes[b], a_counts)
         pairs, back = np.unique(_links(a, b, found, len(one.b_sizes)), return_inverse=True)
         at = np.minimum(np.searchsorted(keys, pairs), max(0, len(keys) - 1))
@@ -411,7 +454,7 @@ def _report(one: PairEncoder, table: tuple, rows: pa.StructArray) -> pa.Array:
                 a_counts, b_counts, np.diff(found.group_ends, prepend=0),
                 np.diff(ends, prepend=0), per_document(best), per_document(n))):
             column.append(values)
-        hashes += [hashlib.sha256(t).hexdigest() if t else ""
+        hashes += [hashlib.sha256(t).hexdigest() if len(t) else ""
                    for t in _group_text(one, a, b, found, a_counts, b_counts)]
         doc = np.repeat(np.arange(len(a_counts)), np.diff(ends, prepend=0))
         missed = ~hit[back]
@@ -484,20 +527,25 @@ def token_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         one = encoder(files)
 
         def groups(rows: pa.StructArray) -> pa.Array:
-            out = [[np.zeros(0, np.int32)] for _ in range(4)]
-            for a, b, a_counts, b_counts in _sliced(rows):
-                found = align(one.a_sizes[a], one.b_sizes[b], a_counts)
+            lists = [[np.zeros(0, np.int32)] for _ in range(4)]
+            counts = [[np.zeros(0, np.int64)] for _ in range(2)]
+            for a, b, *sizes in _sliced(one, rows):
+                found = align(one.a_sizes[a], one.b_sizes[b], sizes[0])
                 first = np.append(0, found.group_ends)[:-1]
-                for k, (group, counts) in enumerate(((found.a_group, a_counts),
-                                                     (found.b_group, b_counts))):
-                    out[2 * k].append((group - np.repeat(first, counts)).astype(np.int32))
-                    out[2 * k + 1].append(counts)
-            flat = [np.concatenate(c) for c in out]
+                for held, values in zip(lists, (
+                        a, b, found.a_group - np.repeat(first, sizes[0]),
+                        found.b_group - np.repeat(first, sizes[1]))):
+                    held.append(values.astype(np.int32))
+                for held, values in zip(counts, sizes):
+                    held.append(values)
+            sizes = [np.concatenate(c) for c in counts]
             return pa.StructArray.from_arrays(
-                [list_array(flat[0], flat[1]), list_array(flat[2], flat[3])], ["a", "b"])
+                [list_array(np.concatenate(v), sizes[k % 2]) for k, v in enumerate(lists)],
+                names)
 
         return groups
 
-    made = per_array("struct<a:array<int>,b:array<int>>", make)(F.struct("a", "b"))
-    return written.select("doc_id", "a", "b", made.alias("g")).select(
-        "doc_id", "a", "b", F.col("g.a").alias("a_group"), F.col("g.b").alias("b_group"))
+    names = ["a", "b", "a_group", "b_group"]
+    kind = "struct<" + ",".join(f"{n}:array<int>" for n in names) + ">"
+    return written.select("doc_id", per_array(kind, make)(F.struct("a", "b")).alias("g")).select(
+        "doc_id", "g.*")

@@ -102,7 +102,8 @@ def test_report_is_brute_force(spark, libraries, table):
 
 def test_words_alone_have_the_ids_of_whole_texts(spark, libraries):
     a, b = libraries
-    rows = alignment.encoded(spark.createDataFrame(list(enumerate(TEXTS)), SCHEMA)).collect()
+    rows = alignment.token_groups(
+        spark.createDataFrame(list(enumerate(TEXTS)), SCHEMA)).collect()
     for r in rows:
         both = tokens(libraries, TEXTS[r.doc_id])
         assert (r.a, r.b) == (([], []) if both is None else tuple(
