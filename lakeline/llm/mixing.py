@@ -125,14 +125,15 @@ def mix(docs: DataFrame, *, key: str = "doc_id", source: str = "source", text: s
     aims = stored(aims.select(
         F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("name"), "source_size",
         "target", *_parts(F.round("target").cast("bigint"), F.col("source_size"))), "mix-targets")
-    cuts = _cuts(placed, blocks, aims)
+    # Written, so that Spark knows that it is small when it plans the last pass over all rows.
+    plan = stored(aims.join(_cuts(placed, blocks, aims), "name", "left"), "mix-plan")
 
     place = F.struct("block", "at")
     more = (F.when(place < F.col("cut"), F.col("size"))
             .when(place == F.col("cut"), F.col("part")).otherwise(F.lit(0)))
     taken = F.col("epochs") * F.col("size") + F.when(F.col("cut").isNull(), F.lit(0)).otherwise(
         more)
-    return placed.join(aims.join(cuts, "name", "left"), "name").select(
+    return placed.join(plan, "name").select(
         "doc_id", "source", "size", "source_size", "target",
         taken.cast("bigint").alias("taken"), *(["row"] if with_rows else []))
 
@@ -157,10 +158,11 @@ def _cuts(placed: DataFrame, blocks: DataFrame, aims: DataFrame) -> DataFrame:
     """Per source with a rest: the place of the row where it ends, and the words taken there."""
     before = Window.partitionBy("name").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1)
-    ends = (blocks.join(aims.where("rest > 0").select("name", "rest"), "name")
+    ends = stored(blocks.join(aims.where("rest > 0").select("name", "rest"), "name")
             .withColumn("base", F.coalesce(F.sum("words").over(before), F.lit(0)))
-            .where("base < rest AND rest <= base + words").select("name", "block", "base", "rest"))
-    inside = Window.partitionBy("name").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+            .where("base < rest AND rest <= base + words").select("name", "block", "base", "rest"),
+        "mix-ends")
+    inside = Window.partitionBy("name", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     return (placed.select("name", "block", "at", "size").join(ends, ["name", "block"])
             .withColumn("done", F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
             .where("done < rest AND rest <= done + size")
