@@ -23,6 +23,7 @@ from ..schemas import (
 from ..session import scratch_dir, use_utc
 from ..sources import adapters, landing, lake, tables, typed
 from ..sources.fs import Folder
+from ..sources.ledger import Ledger, read_table
 from ..streaming import hourly
 from ..streaming.drain import drain, drain_quarantine, drain_topic, ingest_topic
 from ..streaming.metrics import batch_rows, read_runs, store_run
@@ -136,7 +137,7 @@ def sink_overwrite_idempotent(spark, sf_dir):
     path = scratch_dir(spark, "daily")
     for _ in range(2):
         lake.overwrite_partitions(daily_summary(spark, sf_dir), path, "batch_date")
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 # --- deduplication --------------------------------------------------------

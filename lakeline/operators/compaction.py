@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from ..sources import swap
 from ..sources.fs import Folder, as_date
 from ..sources.lake import BATCH_COLUMN
+from ..sources.ledger import Ledger
 
 TARGET_BYTES = 128 * 2**20
 COMPACTED_BATCH = -1
@@ -70,6 +71,37 @@ def compact(
     return Compaction(before.n, files, len(day.file_sizes()))
 
 
+def compact_table(
+    spark: SparkSession, path: str, part: str = "", target_bytes: int = TARGET_BYTES,
+    key: str | None = None,
+) -> Compaction:
+    """Rewrite a partition of a versioned table (the whole one, if it has no partitions) into
+    files of about ``target_bytes``, as one commit.
+
+    The old folders stay until a vacuum, so readers of older versions are not disturbed, and a
+    writer that changes the partition meanwhile makes the compaction fail with ``Conflict``.
+    """
+    table = Ledger(spark, path)
+    base = table.latest()
+    live = [f for f in base.of() if f.part == part]
+    if not live:
+        return Compaction(0, 0, 0, "no_data")
+    sizes = [n for f in live for n in table.folder_of(f).file_sizes()]
+    rows, wanted = sum(f.rows for f in live), max(1, math.ceil(sum(sizes) / target_bytes))
+    if len(sizes) <= wanted:
+        return Compaction(rows, len(sizes), len(sizes), "already_compact")
+    df = table.read([part], base)
+    columns = [c for c in df.columns if c not in base.partition_by]
+    before = _content(df, columns)
+    staged = table.stage(df.select(columns).coalesce(wanted), key=key, part=part or None)
+    after = _content(table.read([part], base._replace(folders=tuple(staged))), columns)
+    if after != before:
+        raise RuntimeError(f"compaction of {path} {part} wrote {after}, not {before}")
+    table.rewrite(base, staged, base.schema, [part], depends=[part])
+    files = sum(len(table.folder_of(f).file_sizes()) for f in staged)
+    return Compaction(rows, len(sizes), files)
+
+
 def _content(df: DataFrame, columns: list[str]) -> Row:
     """Row count and sum of the row hashes, in one pass; no order of rows changes them."""
     row_hash = F.xxhash64(*(F.col(f"`{c}`") for c in columns)).cast("decimal(38,0)")

@@ -7,18 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import scratch_dir
-from ..sources import swap
 from ..sources.fs import Folder, partition_values
-from ..sources.tables import laid_out, materialize, recover_table
-
-
-#: Folder value Spark writes for a NULL partition value.
-NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
-
-
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read a mart table; with ``schema``, columns missing in old files are NULL."""
-    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+from ..sources.layout import laid_out
+from ..sources.ledger import ATTEMPTS, NO_VALUE, Conflict, Ledger, Live, read_table  # noqa: F401
 
 
 def incremental_source(
@@ -38,12 +29,12 @@ def incremental_source(
 def newest_partition(spark: SparkSession, path: str, column: str) -> DataFrame | None:
     """The target rows of the highest partition value: enough to find its newest instant.
 
-    Read from the partition's own folder, so that no other one is listed.
+    No folder of another partition is listed.
     """
-    values = [v for v in partition_values(spark, path, column) if v != NO_VALUE]
-    if not values:
-        return None
-    return spark.read.option("basePath", path).parquet(f"{path}/{column}={max(values)}")
+    table = Ledger(spark, path)
+    now = table.latest()
+    known = [p for p in now.parts() if not p.endswith(f"={NO_VALUE}")]
+    return table.read([max(known)], now) if known else None
 
 
 def newest_instant(spark: SparkSession, path: str, partition: str, ts: str):
@@ -68,56 +59,114 @@ def upsert(
 
     Only the partitions that hold a matched key or receive a source row are
     rewritten, and one that loses all its rows is removed, so a key whose
-    partition changes is never left behind. ``within`` may bound the partitions
-    searched for matched keys. New source columns are added (``evolve``).
+    partition changes is never left behind. Matched keys are searched only in folders whose
+    range of keys, as noted when they were written, has a key of the source in it; ``within`` may
+    bound the partitions further. New source columns are added (``evolve``). The result is one
+    commit; if another writer was first, the upsert is computed again from what that one left.
     """
-    recover_table(spark, path)
-    swap.recover(spark, path)
-    if not partition_values(spark, path, partition_by):
-        materialize(source, "table", path, (partition_by,), cluster_by)
-        return partition_values(spark, path, partition_by)
-
-    # The source feeds three steps: write it once, in the shared folder.
+    table = Ledger(spark, path)
+    # The source feeds several steps: write it once, in the shared folder.
     staged_path = scratch_dir(spark, "upsert")
-    laid_out(source, (partition_by,)).write.partitionBy(partition_by).parquet(staged_path)
-    staged = spark.read.schema(source.schema).parquet(staged_path)
-    incoming = partition_values(spark, staged_path, partition_by)
-    wanted = [f for f in source.schema if f.name in (key, partition_by)]
-    target_keys = read_table(spark, path, T.StructType(wanted))
-    searched = target_keys if within is None else spark.read.parquet(path).where(within)
+    try:
+        laid_out(source, (partition_by,)).write.partitionBy(partition_by).parquet(staged_path)
+        staged = spark.read.schema(source.schema).parquet(staged_path)
+        incoming = partition_values(spark, staged_path, partition_by)
+        for attempt in range(ATTEMPTS):
+            try:
+                return _upsert_once(table, staged, incoming, key, partition_by, cluster_by,
+                                    evolve, within)
+            except Conflict:
+                if attempt == ATTEMPTS - 1:
+                    raise
+    finally:
+        Folder(spark, staged_path).delete()
+    return []
+
+
+def _upsert_once(table: Ledger, staged: DataFrame, incoming: list[str], key: str,
+                 partition_by: str, cluster_by: Sequence[str], evolve: bool,
+                 within: Column | None) -> list[str]:
+    base = table.latest()
+    extra = [c for c in staged.columns if base.schema is not None and c not in base.schema.names]
+    if extra and not evolve:
+        raise ValueError(f"columns not in the table: {extra}")
     # Distinct first: a key the source repeats many times is one row in the joins.
     source_keys = staged.select(key).distinct()
-    matched = (
-        searched.select(key, partition_by)
-        .join(source_keys, key, "left_semi")
-        .select(F.coalesce(F.col(partition_by).cast("string"), F.lit(NO_VALUE))).distinct()
-    )
-    # One value per partition of the table, so the list is short by design.
-    touched = {row[0] for row in matched.collect()}
+    searched = {f.part for f in may_hold(source_keys, key, base.of())}
+    touched: set[str] = set()
+    if searched:
+        target = table.read(searched, base)
+        target = target if within is None else target.where(within)
+        value = F.coalesce(F.col(partition_by).cast("string"), F.lit(NO_VALUE))
+        few = [r[0] for r in source_keys.limit(POINT_KEYS + 1).collect()]
+        if len(few) <= POINT_KEYS:
+            # So few that Parquet looks each of them up in its Bloom filters.
+            found = target.where(F.col(key).isin(few))
+        else:
+            found = target.join(source_keys, key, "left_semi")
+        # One value per partition of the table, so the list is short by design.
+        touched = {row[0] for row in found.select(value).distinct().collect()}
     affected = sorted({*incoming, *touched})
     if not affected:
-        Folder(spark, staged_path).delete()
         return []
-
-    present = set(partition_values(spark, path, partition_by))
-    old = [f"{path}/{partition_by}={v}" for v in affected if v in present]
+    gone = [f"{partition_by}={v}" for v in affected]
+    present = {*base.parts()} & {*gone}
     merged = staged
-    if old:
-        # Older files may lack columns that newer ones have: merge the footers
-        # of the partitions that are rewritten anyway.
-        kept = (
-            spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*old)
-            .join(source_keys, key, "left_anti")
-        )
-        extra = [c for c in source.columns if c not in kept.columns]
-        if extra and not evolve:
-            Folder(spark, staged_path).delete()
-            raise ValueError(f"columns not in the table: {extra}")
+    if present:
+        kept = table.read(present, base).join(source_keys, key, "left_anti")
         merged = kept.unionByName(staged, allowMissingColumns=True)
-    work = swap.open_swap(spark, path)
-    laid_out(merged, (partition_by,), cluster_by).write.partitionBy(partition_by).parquet(
-        work.child("new").path
-    )
-    swap.commit(work, Folder(spark, path), [f"{partition_by}={v}" for v in affected])
-    Folder(spark, staged_path).delete()
+    written = table.stage(merged, (partition_by,), cluster_by, key=key)
+    table.rewrite(base._replace(partition_by=(partition_by,)), written, merged.schema, gone)
     return affected
+
+
+#: Up to so many keys are looked up as values.
+POINT_KEYS = 200
+#: Borders between key ranges that a key is compared with at most.
+BORDERS = 512
+
+
+def may_hold(keys: DataFrame, key: str, folders: Sequence[Live]) -> list[Live]:
+    """Folders that may hold one of the keys: those whose range has one in it, and those whose
+    range is not known.
+
+    The borders of all ranges cut the keys' order into segments. Which of them have a key is
+    found in one pass that returns a row per segment. Of very many borders only some are used, so
+    that the segments are wider and a few folders more may be named, but never fewer.
+    """
+    kind = keys.schema[key].dataType
+    order = _ordered(kind)
+    ranged = [f for f in folders if f.low is not None]
+    if order is None or not ranged:
+        return list(folders)
+    values = sorted({v for f in ranged for v in (f.low, f.high)}, key=order)
+    step = -(-len(values) // BORDERS)
+    borders = [*values[:-1:step], values[-1]]
+    points = F.array(*(F.lit(v).cast(kind) for v in borders))
+    at = F.size(F.filter(points, lambda p: p <= F.col(key)))
+    hit = {(r["at"], r["on"]) for r in keys.where(F.col(key).isNotNull()).select(
+        at.alias("at"), F.array_contains(points, F.col(key)).alias("on")).distinct().collect()}
+    places = [order(v) for v in borders]
+
+    def holds(f: Live) -> bool:
+        low, high = order(f.low), order(f.high)
+        for i, on in hit:
+            start = places[i - 1] if i else None
+            end = places[i] if i < len(places) else None
+            if on and low <= start <= high:
+                return True
+            # Between two borders, neither included.
+            if not on and (end is None or low < end) and (start is not None and high > start):
+                return True
+        return False
+
+    return [f for f in folders if f.low is None or holds(f)]
+
+
+def _ordered(kind: T.DataType):
+    """How text of a value sorts as Spark sorts the values; nothing for types that aren't keys."""
+    if isinstance(kind, T.StringType):
+        return lambda text: text.encode()
+    if isinstance(kind, T.IntegralType):
+        return int
+    return None

@@ -15,7 +15,6 @@ from ..functions import local_datetime
 from ..operators import merge
 from ..operators.joins import hot_keys
 from ..session import scratch_dir
-from ..sources import swap
 from ..sources.fs import Folder
 from . import intermediate, marts, staging
 
@@ -82,7 +81,6 @@ def run_incremental(
     or payment that the lookback reaches was loaded more than ``reach_days`` before its bound:
     older loads are then not listed for the keys. Unset, all loads are read.
     """
-    swap.recover(spark, path)
     newest = merge.newest_instant(spark, path, "placed_date", "placed_at_local")
     if newest is None:
         full = marts.fct_orders(intermediate.int_order_payments(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.joins import hot_keys
+from ..sources.ledger import read_table
 from ..sources.tables import materialize
 from . import intermediate, marts, staging
 from .incremental import run_incremental
@@ -83,6 +84,6 @@ def run_transform(
     path = f"{warehouse.rstrip('/')}/fct_orders"
     run_incremental(spark, raw["orders"], raw["payments"], path, reach_days=reach_days)
     schema = marts.fct_orders(out["int_order_payments"]).schema
-    out["fct_orders"] = spark.read.schema(schema).parquet(path)
+    out["fct_orders"] = read_table(spark, path, schema)
     _marts_after_fact(out, lambda name, df: _stored(name, df, warehouse))
     return out

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
+from py4j.protocol import Py4JJavaError
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 
@@ -28,7 +31,7 @@ class Folder:
         if not self.exists():
             return []
         found = (s.getPath().getName() for s in self._fs.listStatus(self._hadoop))
-        return sorted(n for n in found if not n.startswith(("_", ".")))
+        return sorted(n for n in found if "=" in n or not n.startswith(("_", ".")))
 
     def size(self) -> tuple[int, int]:
         """(bytes, files) below the folder, from the file system's own summary."""
@@ -50,6 +53,30 @@ class Folder:
         out.write(bytearray(content))
         out.close()
 
+    def read(self) -> bytes:
+        """The whole content of a small file."""
+        size = self._fs.getFileStatus(self._hadoop).getLen()
+        jvm, opened = self._spark._jvm, self._fs.open(self._hadoop)
+        try:
+            return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(opened, size))
+        finally:
+            opened.close()
+
+    def modified(self) -> dt.datetime:
+        """When the folder or a file in it last changed."""
+        times, found = [self._fs.getFileStatus(self._hadoop).getModificationTime()], \
+            self._fs.listFiles(self._hadoop, True)
+        while found.hasNext():
+            times.append(found.next().getModificationTime())
+        return dt.datetime.fromtimestamp(max(times) / 1000, dt.timezone.utc)
+
+    def hidden_names(self) -> list[str]:
+        """Direct children that readers of the folder don't see."""
+        if not self.exists():
+            return []
+        found = (s.getPath().getName() for s in self._fs.listStatus(self._hadoop))
+        return sorted(n for n in found if n.startswith("_"))
+
     def make(self) -> None:
         self._fs.mkdirs(self._hadoop)
 
@@ -62,6 +89,61 @@ class Folder:
         self._fs.delete(self._hadoop, True)
 
 
+#: File systems whose rename never replaces a file, so that a finished file can get its name.
+RENAMES = ("hdfs", "viewfs")
+
+
+def publish(target: Folder, content: bytes) -> bool:
+    """Create a small file as a whole, if there is none of its name; False if there is.
+
+    A local file is written under another name and then linked, one on HDFS renamed: both fail
+    if the name is taken. Object stores show a file only when it is closed, and make the create
+    itself conditional.
+    """
+    fs, path = target._fs, target._hadoop
+    if target.exists():
+        return False
+    jvm, scheme = target._spark._jvm, fs.getUri().getScheme()
+    fs.mkdirs(path.getParent())
+    if scheme != "file" and scheme not in RENAMES:
+        try:
+            out = fs.create(path, False)
+            out.write(bytearray(content))
+            out.close()
+            return True
+        except Py4JJavaError:
+            if target.exists():
+                return False
+            raise
+    draft = Folder(target._spark, f"{path.getParent().toString()}/.{uuid.uuid4().hex}")
+    draft.write(content)
+    try:
+        if scheme == "file":
+            local = [jvm.java.nio.file.Paths.get(p.toUri().getPath(), _array(jvm))
+                     for p in (path, draft._hadoop)]
+            jvm.java.nio.file.Files.createLink(*local)
+        else:
+            names = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), fs.getConf())
+            names.rename(draft._hadoop, path, _array(
+                jvm, jvm.org.apache.hadoop.fs.Options.Rename.NONE,
+                kind=jvm.org.apache.hadoop.fs.Options.Rename))
+        return True
+    except Py4JJavaError:
+        if target.exists():
+            return False
+        raise
+    finally:
+        draft.delete()
+
+
+def _array(jvm, *values, kind=None):
+    """A Java array, as calls with any number of arguments take it."""
+    array = SparkContext._gateway.new_array(kind or jvm.java.lang.String, len(values))
+    for i, value in enumerate(values):
+        array[i] = value
+    return array
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of the outermost partition column, from the folder names."""
     prefix = f"{column}="

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from . import swap
 from .fs import Folder, as_date
+from .ledger import Ledger
 
 DAY_COLUMNS = ("year", "month", "day")
 BATCH_COLUMN = "batch_id"
@@ -38,23 +38,26 @@ def read_day(
 
 
 def overwrite_partition(df: DataFrame, base: str, column: str, value: str | dt.date) -> str:
-    """Replace exactly one partition folder, also when the new result is empty.
+    """Replace exactly one partition, also when the new result is empty; returns its name.
 
-    The new day is written beside the table and swapped in, so the old one stays readable until
-    then, and a run that dies in between is finished by the next.
+    One commit of a versioned table: readers see the old day or the new one.
     """
-    spark, base = df.sparkSession, base.rstrip("/")
-    swap.recover(spark, base)
-    part = f"{column}={value}"
-    work = swap.open_swap(spark, base)
-    df.drop(column).write.parquet(work.child("new").child(part).path)
-    swap.commit(work, Folder(spark, base), [part])
-    return f"{base}/{part}"
+    table, part = Ledger(df.sparkSession, base), f"{column}={value}"
+    staged = table.stage(df.drop(column), part=part)
+    typed = df if column in df.columns else df.withColumn(column, F.lit(_dated(value)))
+    table.add(staged, typed.schema, (column,), [part])
+    return part
+
+
+def _dated(value: str | dt.date) -> str | dt.date:
+    """A date if the text is one."""
+    try:
+        return as_date(value)
+    except ValueError:
+        return value
 
 
 def overwrite_partitions(df: DataFrame, base: str, column: str) -> None:
-    """Replace every partition the result has rows for, and leave the others alone."""
-    (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column).parquet(base)
-    )
+    """Replace every partition the result has rows for, in one commit, and leave the others
+    alone. A day that a rerun has no rows for is one of these: use ``overwrite_partition``."""
+    Ledger(df.sparkSession, base).replace_parts(df, (column,))

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..schemas import required as required_fields
-from . import swap
 from .fs import Folder, as_date
+from .ledger import Ledger
 
 CORRUPT = "_corrupt_record"
+#: Side data of a raw table.
+QUARANTINE = "quarantine"
 
 
 class TooManyBadRecords(ValueError):
@@ -104,11 +105,10 @@ def load_day(
 ) -> int:
     """Load one landing day into the raw table and return the rows loaded.
 
-    ``append`` repeats the rows on a rerun (staging absorbs them); ``replace_day`` swaps the
-    earlier loads of that day as a whole, and a run that dies on the way is finished by the next.
-    One pass counts and writes; the result becomes visible by renames, so a failed or rejected
-    load leaves no rows behind. Up to ``max_bad`` bad records are tolerated; they are kept with
-    their reason in ``<table>-quarantine``.
+    ``append`` repeats the rows on a rerun (staging absorbs them); ``replace_day`` replaces the
+    earlier loads of that day. One pass counts and writes. Good rows and the bad records, of
+    which up to ``max_bad`` are tolerated (see ``read_quarantine``), become visible by one
+    commit, so a load that failed, was rejected or died leaves neither behind.
     """
     d = as_date(date)
     source = landing_day(*topic_dir.rstrip("/").rsplit("/", 1), d)
@@ -121,7 +121,6 @@ def load_day(
         .json(source)
     )
 
-    swap.recover(spark, table_path)
     needed = required_fields(schema)
     seen = Observation()
     counted = lines.withColumn("__bad", is_bad(lines, needed)).observe(
@@ -129,30 +128,31 @@ def load_day(
         F.count_if(F.col("__bad")).alias("bad"),
         F.count_if(~F.col("__bad")).alias("good"),
     )
-    load_id = uuid.uuid4().hex
-    part = f"load_date={d.isoformat()}"
-    work = swap.open_swap(spark, table_path)
-    staged = work.child("new").child(part).child(f"load_id={load_id}")
-    counted.where(~F.col("__bad")).drop("__bad", CORRUPT).write.parquet(staged.path)
+    table, part = Ledger(spark, table_path), f"load_date={d.isoformat()}"
+    staged = table.stage(counted.where(~F.col("__bad")).drop("__bad", CORRUPT), part=part)
     counts = seen.get
     if counts["bad"] > max_bad:
-        work.delete()
         raise TooManyBadRecords(f"{counts['bad']} bad records in {source}")
     if counts["bad"]:
-        _, bad = split_corrupt(lines, needed)
-        bad.write.parquet(f"{table_path.rstrip('/')}-quarantine/{part}/load_id={load_id}")
-    if mode == "replace_day":
-        swap.commit(work, Folder(spark, table_path), [part])
-    else:
-        staged.move_to(Folder(spark, table_path).child(part).child(f"load_id={load_id}"))
-        work.delete()
+        staged += table.stage(split_corrupt(lines, needed)[1], kind=QUARANTINE, part=part)
+    table.add(staged, _raw_schema(schema), ("load_date",),
+              [part] if mode == "replace_day" else [], ["data", QUARANTINE])
     return counts["good"]
 
 
+def _raw_schema(schema: T.StructType) -> T.StructType:
+    fields = [T.StructField(f.name, f.dataType, True) for f in schema]
+    return T.StructType([*fields, T.StructField("load_date", T.DateType())])
+
+
+def read_quarantine(spark: SparkSession, table_path: str) -> DataFrame:
+    """The bad records of all loads that the raw table holds, with their reason."""
+    return Ledger(spark, table_path).read(
+        kind=QUARANTINE, schema=T.StructType.fromDDL("reason string, record string, load_date date"))
+
+
 def read_raw(spark: SparkSession, table_path: str, schema: T.StructType,
              with_load_date: bool = False) -> DataFrame:
     """The raw table over all loads; ``with_load_date`` keeps the partition column."""
-    fields = [T.StructField(f.name, f.dataType, True) for f in schema]
-    keys = [T.StructField("load_date", T.DateType()), T.StructField("load_id", T.StringType())]
-    table = spark.read.schema(T.StructType([*fields, *keys])).parquet(table_path)
-    return table.drop("load_id") if with_load_date else table.drop("load_date", "load_id")
+    table = Ledger(spark, table_path).read(schema=_raw_schema(schema))
+    return table if with_load_date else table.drop("load_date")

@@ -15,6 +15,8 @@ from pyspark.sql import SparkSession
 from .fs import Folder
 
 AREA = "_swap"
+#: File in a swap that names its partitions, one in a line.
+LIST = "_partitions"
 
 
 def open_swap(spark: SparkSession, table: str) -> Folder:
@@ -22,10 +24,15 @@ def open_swap(spark: SparkSession, table: str) -> Folder:
 
 
 def commit(swap: Folder, table: Folder, partitions: Iterable[str]) -> None:
-    """Publish ``new``; a partition the writer left out becomes empty."""
-    new = swap.child("new")
+    """Publish the given partitions of ``new``; one the writer left out becomes empty.
+
+    Their list is written before the commit, so whoever finishes the swap knows what is left to
+    do, whatever has been moved already.
+    """
+    new, partitions = swap.child("new"), sorted(partitions)
     for part in partitions:
         new.child(part).make()
+    new.child(LIST).write("\n".join(partitions).encode())
     new.move_to(swap.child("ready"))
     _roll_forward(swap, table)
 
@@ -45,22 +52,16 @@ def recover(spark: SparkSession, path: str) -> int:
     return finished
 
 
-#: Folders inside a partition that are replaced with it.
-INSIDE = ("batch_id=", "load_id=")
-
-
-def _partitions(folder: Folder, prefix: str = "") -> list[str]:
-    """Partition folders that hold files, or nothing at all."""
-    inner = [n for n in folder.names() if "=" in n and not n.startswith(INSIDE)]
-    if not inner:
-        return [prefix] if prefix else []
-    return [p for n in inner for p in _partitions(folder.child(n), f"{prefix}/{n}".lstrip("/"))]
-
-
 def _roll_forward(swap: Folder, table: Folder) -> None:
+    """Every step may be repeated: a partition's fresh folder, empty if the writer left it out,
+    is there until the partition is done, and what it replaces is set aside first. What the
+    moves leave of the folders above is not looked at."""
     ready, old = swap.child("ready"), swap.child("old")
-    for part in _partitions(ready):
+    listed = ready.child(LIST)
+    for part in listed.read().decode().splitlines() if listed.exists() else []:
         current, fresh = table.child(part), ready.child(part)
+        if not fresh.exists():
+            continue
         if current.exists():
             current.move_to(old.child(part))
         if fresh.names():

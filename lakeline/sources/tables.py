@@ -1,29 +1,12 @@
-"""Table materialisation, layout and volume."""
+"""Table materialisation and volume."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .fs import Folder
-
-
-def laid_out(
-    df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
-) -> DataFrame:
-    """Group rows by partition and sort them by cluster columns for writing.
-
-    ``rebalance`` lets adaptive execution cut a heavy partition into several
-    tasks and merge light ones, where ``repartition`` would put a heavy day
-    into one task. Sorted files carry tight min/max values for skipping.
-    """
-    order = [*partition_by, *cluster_by]
-    if not order:
-        return df
-    grouped = df.hint("rebalance", *[F.col(c) for c in partition_by or cluster_by])
-    return grouped.sortWithinPartitions(*order)
+from .ledger import Ledger
 
 
 def materialize(
@@ -34,53 +17,35 @@ def materialize(
     cluster_by: Sequence[str] = (),
     name: str | None = None,
 ) -> DataFrame:
-    """``view``: stay lazy (registered when named). ``table``: write, then read back."""
+    """``view``: stay lazy (registered when named). ``table``: the next version
+    of the table at ``path``, read back."""
     if kind == "view":
         if name:
             df.createOrReplaceTempView(name)
         return df
     if kind != "table":
         raise ValueError(f"unknown kind {kind!r}; an incremental table uses merge.upsert")
-    spark = df.sparkSession
-    recover_table(spark, path)
-    fresh = Folder(spark, f"{path.rstrip('/')}.{uuid.uuid4().hex}.new")
-    laid_out(df, partition_by, cluster_by).write.partitionBy(*partition_by).parquet(fresh.path)
-    fresh.move_to(_beside(spark, path, "ready"))
-    recover_table(spark, path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
-
-
-def _beside(spark: SparkSession, path: str, state: str) -> Folder:
-    return Folder(spark, f"{path.rstrip('/')}.{state}")
-
-
-def recover_table(spark: SparkSession, path: str) -> bool:
-    """Finish the replacement of a table that a writer had committed; True if there was one.
-
-    A complete new table is committed by its name, ``<path>.ready``. The old one is moved aside,
-    not deleted, until the new one stands in its place, so at any time a complete table
-    exists and the next run knows which one counts. One writer per table.
-    """
-    table, ready, old = (Folder(spark, path), *(_beside(spark, path, s) for s in ("ready", "old")))
-    committed = ready.exists()
-    if committed:
-        if table.exists():
-            old.delete()
-            table.move_to(old)
-        ready.move_to(table)
-    elif not table.exists() and old.exists():
-        old.move_to(table)
-    old.delete()
-    return committed
+    table = Ledger(df.sparkSession, path)
+    return table.read(snapshot=table.replace(df, partition_by, cluster_by)).select(*df.columns)
 
 
 def table_stats(spark: SparkSession, path: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows, files and bytes of a Parquet table, per partition columns ``by``.
 
-    Reads no data column: row counts come from the file footers.
+    Reads no data column: row counts come from the file footers. Of a versioned table only the
+    live folders count.
     """
+    table = Ledger(spark, path)
+    now = table.latest()
+    if now.version:
+        scan = table.scan(now.schema, now)
+        scan = table.read(snapshot=now).withColumn(
+            "_metadata", F.struct(F.lit("").alias("file_path"), F.lit(0).cast("bigint").alias(
+                "file_size"))) if scan is None else scan
+    else:
+        scan = spark.read.parquet(path)
     files = (
-        spark.read.parquet(path)
+        scan
         .select(*by, "_metadata.file_path", "_metadata.file_size")
         .groupBy(*by, "file_path", "file_size")
         .agg(F.count("*").alias("n"))

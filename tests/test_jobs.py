@@ -12,6 +12,7 @@ from lakeline.operators.quality import ChecksFailed
 from lakeline.schemas import ORDERS, PAYMENTS, TOPICS
 from lakeline.sources import lake
 from lakeline.sources.landing import TooManyBadRecords
+from lakeline.sources.ledger import read_table
 from lakeline.streaming.metrics import read_runs
 
 DAY = "2024-01-05"
@@ -77,7 +78,7 @@ def test_pipeline(spark, tmp_path):
     for _ in range(2):
         main(["daily-summary", "--lake", f"{base}/lake", "--output", f"{base}/daily",
               "--date", DAY])
-    summary = spark.read.parquet(f"{base}/daily").collect()
+    summary = read_table(spark, f"{base}/daily").collect()
     assert [(r.total_orders, r.paid_orders, r.gross_revenue_vnd) for r in summary] == [(12, 8, 120)]
     assert summary[0].avg_payment_delay_seconds == 8 * 3600 / 12
 
@@ -88,9 +89,9 @@ def test_pipeline(spark, tmp_path):
     # Replayed raw rows repeat items but change no mart.
     for extra in ([], [], ["--full-refresh"], []):
         assert main(transform + extra) == 55
-        fct = spark.read.parquet(f"{base}/marts/fct_orders")
+        fct = read_table(spark, f"{base}/marts/fct_orders")
         assert fct.count() == 12 and fct.agg(F.sum("is_paid")).first()[0] == 8
-    rpt = spark.read.parquet(f"{base}/marts/rpt_hourly_revenue")
+    rpt = read_table(spark, f"{base}/marts/rpt_hourly_revenue")
     assert rpt.agg(F.sum("total_orders")).first()[0] == 12
 
 

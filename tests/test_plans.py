@@ -5,6 +5,7 @@ import re
 
 import pytest
 from conftest import utc
+from pyspark.sql import functions as F
 
 from lakeline.catalog.queries import AS_OF
 from lakeline.functions import with_event_date_parts
@@ -13,6 +14,7 @@ from lakeline.plans import dashboards, reports
 from lakeline.plans.models import run_models
 from lakeline.schemas import ORDERS, PAYMENTS
 from lakeline.sources import lake
+from lakeline.sources.ledger import Ledger, read_table
 
 
 def plan_of(df) -> str:
@@ -77,7 +79,8 @@ def test_incremental_run_reads_recent_loads_only(spark, rows, tmp_path, monkeypa
             key = {"order_id": f"o{day}", "event_timestamp": utc(f"2024-01-{day:02d}T03:00:00")}
             key |= ({"placed_at": key["event_timestamp"]} if name == "orders" else
                     {"payment_id": f"p{day}", "processed_at": key["event_timestamp"]})
-            make(key).write.parquet(f"{tmp_path}/{name}/load_date=2024-01-{day:02d}/load_id=x")
+            loaded = make(key).withColumn("load_date", F.lit(f"2024-01-{day:02d}").cast("date"))
+            Ledger(spark, f"{tmp_path}/{name}").append(loaded, ("load_date",))
         frames[name] = landing.read_raw(spark, f"{tmp_path}/{name}", schema, with_load_date=True)
     seen = []
     real = incremental.incremental_fct_orders
@@ -91,7 +94,7 @@ def test_incremental_run_reads_recent_loads_only(spark, rows, tmp_path, monkeypa
     early = {n: df.where("load_date < '2024-01-05'") for n, df in frames.items()}
     incremental.run_incremental(spark, early["orders"], early["payments"], path)
     incremental.run_incremental(spark, frames["orders"], frames["payments"], path, reach_days=1)
-    assert spark.read.parquet(path).count() == 5
+    assert read_table(spark, path).count() == 5
     assert len(seen) == 2
     for df in seen:
         assert re.search(r"PartitionFilters: \[.*load_date.*>=", plan_of(df))

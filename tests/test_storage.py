@@ -15,7 +15,8 @@ from lakeline.plans import incremental
 from lakeline.plans.models import run_models
 from lakeline.schemas import ORDERS
 from lakeline.sources import lake, landing, swap, tables
-from lakeline.sources.fs import Folder, partition_values
+from lakeline.sources.fs import Folder
+from lakeline.sources.ledger import Ledger, read_table
 
 D = dt.date
 
@@ -25,7 +26,7 @@ def fact(spark, *rows):
 
 
 def stored(spark, path, *columns):
-    df = spark.read.parquet(path)
+    df = read_table(spark, path)
     return sorted(tuple(r) for r in df.select(*(columns or ("order_id", "placed_date", "v")))
                   .collect())
 
@@ -38,7 +39,7 @@ def test_upsert_replaces_inserts_and_moves(spark, tmp_path):
     path = str(tmp_path / "fct")
     upsert(spark, path, fact(spark, ("a", D(2024, 1, 1), "x", 1), ("b", D(2024, 1, 2), "x", 1),
                              ("c", D(2024, 1, 2), "x", 1), ("d", D(2024, 1, 9), "x", 1)))
-    files = set(os.listdir(f"{path}/placed_date=2024-01-09"))
+    untouched = [f for f in Ledger(spark, path).latest().of() if f.part.endswith("-09")]
     changes = fact(spark, ("a", D(2024, 1, 3), "x", 2), ("b", D(2024, 1, 2), "x", 2),
                    ("e", D(2024, 1, 4), "x", 2))
     expected = [("a", D(2024, 1, 3), 2), ("b", D(2024, 1, 2), 2), ("c", D(2024, 1, 2), 1),
@@ -47,9 +48,9 @@ def test_upsert_replaces_inserts_and_moves(spark, tmp_path):
         rewritten = upsert(spark, path, changes)
         assert stored(spark, path) == expected
     assert "2024-01-09" not in rewritten
-    assert "2024-01-01" not in partition_values(spark, path, "placed_date")
-    assert set(os.listdir(f"{path}/placed_date=2024-01-09")) == files
-    assert Folder(spark, f"{path}/_swap").names() == []
+    now = Ledger(spark, path).latest()
+    assert "placed_date=2024-01-01" not in now.parts()
+    assert [f for f in now.of() if f.part.endswith("-09")] == untouched
 
 
 def test_upsert_of_nothing_changes_nothing(spark, tmp_path):
@@ -75,24 +76,6 @@ def test_upsert_adds_columns_only_when_allowed(spark, tmp_path):
     assert sorted(map(tuple, got), key=str) == [("a", None), ("b", "new"), ("c", None)]
 
 
-def test_committed_swap_is_rolled_forward_and_an_open_one_dropped(spark, tmp_path):
-    path = str(tmp_path / "fct")
-    upsert(spark, path, fact(spark, ("a", D(2024, 1, 1), "x", 1), ("b", D(2024, 1, 2), "x", 1)))
-    table = Folder(spark, path)
-    open_swap = swap.open_swap(spark, path)
-    spark.range(1).write.parquet(open_swap.child("new/placed_date=2024-01-01").path)
-    done = swap.open_swap(spark, path)
-    fact(spark, ("a", D(2024, 1, 2), "x", 9), ("b", D(2024, 1, 2), "x", 1)).write.partitionBy(
-        "placed_date").parquet(done.child("new").path)
-    done.child("new/placed_date=2024-01-01").make()
-    done.child("new").move_to(done.child("ready"))
-    # The driver died after the old partition was set aside.
-    table.child("placed_date=2024-01-02").move_to(done.child("old/placed_date=2024-01-02"))
-    assert swap.recover(spark, path) == 1
-    assert stored(spark, path) == [("a", D(2024, 1, 2), 9), ("b", D(2024, 1, 2), 1)]
-    assert Folder(spark, f"{path}/_swap").names() == []
-
-
 def test_incremental_bound(spark):
     at = dt.datetime(2024, 1, 5, 12)
     source = spark.createDataFrame(
@@ -184,14 +167,14 @@ def test_load_day_appends_or_replaces(spark, tmp_path):
 def test_load_of_a_day_without_files(spark, tmp_path):
     topic = landed(tmp_path, order_line("a"))
     assert landing.load_day(spark, topic, f"{tmp_path}/raw", ORDERS, "2024-01-06") == 0
-    assert not os.path.exists(f"{tmp_path}/raw")
+    assert Ledger(spark, f"{tmp_path}/raw").versions() == []
 
 
 def test_rejected_load_leaves_nothing_behind(spark, tmp_path):
     topic, table = landed(tmp_path, order_line("a"), "{bad"), f"{tmp_path}/raw"
     with pytest.raises(landing.TooManyBadRecords):
         landing.load_day(spark, topic, table, ORDERS, "2024-01-05")
-    assert partition_values(spark, table, "load_date") == []
+    assert Ledger(spark, table).versions() == []
     assert landing.load_day(spark, topic, table, ORDERS, "2024-01-05", max_bad=1) == 1
 
 
@@ -203,9 +186,9 @@ def test_rerun_of_a_day_replaces_it_also_with_nothing(spark, tmp_path):
     for _ in range(2):
         lake.overwrite_partition(df, base, "date", "2024-01-05")
         lake.overwrite_partition(df, base, "date", "2024-01-06")
-    assert spark.read.parquet(base).count() == 6
+    assert read_table(spark, base).count() == 6
     lake.overwrite_partition(df.limit(0), base, "date", "2024-01-05")
-    assert spark.read.parquet(base).count() == 3
+    assert [str(r.date) for r in read_table(spark, base).collect()] == ["2024-01-06"] * 3
 
 
 def write_lake(spark, rows, base, files, batches=(0,)):
@@ -259,8 +242,6 @@ class Stopped(RuntimeError):
 
 def stop_at(monkeypatch, call):
     """The ``call``-th move or deletion of a folder, and all after it, do not happen."""
-    from lakeline.sources.fs import Folder
-
     done = iter(range(1000))
 
     def guarded(real):
@@ -275,55 +256,57 @@ def stop_at(monkeypatch, call):
 
 
 @pytest.mark.parametrize("call", range(6))
-def test_replaced_table_is_whole_after_a_crash_at_any_step(spark, tmp_path, monkeypatch, call):
-    path = str(tmp_path / "t")
-    tables.materialize(spark.range(5), "table", path)
+def test_compaction_of_nested_days_is_whole_after_a_crash_at_any_step(
+        spark, rows, tmp_path, monkeypatch, call):
+    base = str(tmp_path / "lake")
+    for day in (4, 5, 6):
+        at = dt.datetime(2024, 1, day, 3, tzinfo=dt.timezone.utc)
+        df = with_event_date_parts(rows.orders(*[
+            {"order_id": f"{day}-{i}", "placed_at": at} for i in range(20)]))
+        df.withColumn("batch_id", F.lit(0).cast("bigint")).repartition(4).write.mode(
+            "append").partitionBy(*lake.DAY_COLUMNS, "batch_id").parquet(base)
     with monkeypatch.context() as m:
         stop_at(m, call)
         try:
-            tables.materialize(spark.range(100, 108), "table", path)
+            compact(spark, base, "2024-01-05")
         except Stopped:
             pass
-    tables.recover_table(spark, path)
-    found = sorted(r.id for r in spark.read.parquet(path).collect())
-    assert found in ([*range(5)], [*range(100, 108)])
-    tables.materialize(spark.range(3), "table", path)
-    assert spark.read.parquet(path).count() == 3
-
-
-@pytest.mark.parametrize("call", range(7))
-def test_replaced_day_is_whole_after_a_crash_at_any_step(spark, tmp_path, monkeypatch, call):
-    base = str(tmp_path / "days")
-    lake.overwrite_partition(spark.range(5), base, "date", "2024-01-05")
-    lake.overwrite_partition(spark.range(2), base, "date", "2024-01-06")
+    # The driver died and the next run begins, perhaps to die again at its first deletion.
     with monkeypatch.context() as m:
-        stop_at(m, call)
+        stop_at(m, 1)
         try:
-            lake.overwrite_partition(spark.range(100, 108), base, "date", "2024-01-05")
+            swap.recover(spark, base)
         except Stopped:
             pass
     swap.recover(spark, base)
-    rows = spark.read.parquet(base).collect()
-    day = sorted(r.id for r in rows if str(r.date) == "2024-01-05")
-    assert day in ([*range(5)], [*range(100, 108)])
-    assert sum(str(r.date) == "2024-01-06" for r in rows) == 2
-
-
-@pytest.mark.parametrize("call", range(7))
-def test_reloaded_day_is_never_there_twice(spark, tmp_path, monkeypatch, call):
-    schema = T.StructType([T.StructField("id", T.LongType(), False)])
-    source = landing.landing_day(str(tmp_path), "topic", "2024-01-05")
-    spark.range(5).write.json(source)
-    topic, table = f"{tmp_path}/topic", f"{tmp_path}/raw"
-    landing.load_day(spark, topic, table, schema, "2024-01-05", "replace_day")
-    with monkeypatch.context() as m:
-        stop_at(m, call)
-        try:
-            landing.load_day(spark, topic, table, schema, "2024-01-05", "replace_day")
-        except Stopped:
-            pass
-    swap.recover(spark, table)
-    assert landing.read_raw(spark, table, schema).count() == 5
+    read = lake.read_lake(spark, base, ORDERS)
+    assert sorted(r.order_id for r in read.collect()) == sorted(
+        f"{d}-{i}" for d in (4, 5, 6) for i in range(20))
+    compact(spark, base, "2024-01-05")
+    assert lake.read_lake(spark, base, ORDERS).count() == 60
+    assert Folder(spark, f"{base}/_swap").names() == []
+
+
+def test_swap_of_several_partitions_goes_on_where_it_stopped(spark, tmp_path):
+    base = str(tmp_path / "t")
+    spark.range(6).withColumn("a", F.col("id") % 2).withColumn("b", F.col("id") % 3).write.partitionBy(
+        "a", "b").parquet(base)
+    for step in range(12):
+        work, table = swap.open_swap(spark, base), Folder(spark, base)
+        spark.range(10, 12).write.parquet(work.child("new/a=0/b=0").path)
+        spark.range(20, 21).write.parquet(work.child("new/a=7/b=0").path)
+        with pytest.MonkeyPatch.context() as m:
+            stop_at(m, step)
+            try:
+                swap.commit(work, table, ["a=0/b=0", "a=1/b=1", "a=7/b=0"])
+            except Stopped:
+                pass
+        committed = step > 0
+        swap.recover(spark, base)
+        found = {(r.a, r.b, r.id) for r in spark.read.parquet(base).collect()}
+        assert found == ({(0, 2, 2), (1, 0, 3), (0, 1, 4), (1, 2, 5), (0, 0, 10), (0, 0, 11),
+                          (7, 0, 20)} if committed else
+                         {(0, 0, 0), (1, 1, 1), (0, 2, 2), (1, 0, 3), (0, 1, 4), (1, 2, 5)})
 
 
 def test_tolerated_bad_records_are_kept(spark, tmp_path):
@@ -337,10 +320,15 @@ def test_tolerated_bad_records_are_kept(spark, tmp_path):
     with pytest.raises(landing.TooManyBadRecords):
         landing.load_day(spark, f"{tmp_path}/topic", f"{tmp_path}/raw", schema, "2024-01-05",
                          max_bad=1)
-    assert not os.path.exists(f"{tmp_path}/raw-quarantine")
+    assert Ledger(spark, f"{tmp_path}/raw").versions() == []
     assert landing.load_day(spark, f"{tmp_path}/topic", f"{tmp_path}/raw", schema, "2024-01-05",
                             max_bad=2) == 1
-    assert spark.read.parquet(f"{tmp_path}/raw-quarantine").count() == 2
+    bad = landing.read_quarantine(spark, f"{tmp_path}/raw").collect()
+    assert sorted(r.reason for r in bad) == ["unreadable", "unreadable"]
+    # A reload replaces them together with the rows.
+    landing.load_day(spark, f"{tmp_path}/topic", f"{tmp_path}/raw", schema, "2024-01-05",
+                     "replace_day", max_bad=2)
+    assert landing.read_quarantine(spark, f"{tmp_path}/raw").count() == 2
 
 
 def test_compaction_of_one_large_file_among_many_tiny_ones(spark, tmp_path):
