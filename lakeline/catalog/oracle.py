@@ -461,7 +461,8 @@ def oracle() -> dict[str, str]:
         "SELECT status NOT IN ('cancelled', 'CONFIRMED') AS good, "
         "CASE WHEN CAST(event_timestamp AS DATE) = (SELECT min(CAST(event_timestamp AS DATE)) "
         "FROM raw_orders) THEN 1::BIGINT ELSE 0::BIGINT END AS again FROM raw_orders)"))
-    for name in ("stream_hourly_city", "stream_hourly_partials", "hourly_city_batch"):
+    for name in ("stream_hourly_city", "stream_hourly_partials", "stream_hourly_levels",
+                 "hourly_city_batch"):
         sql[name] = _all("hourly_city")
     sql["stream_typed_ingest"] = _with(["raw_orders"], (
         "SELECT order_id, customer_id, status, total_vnd, placed_at, event_timestamp "
@@ -605,6 +606,61 @@ i AS (SELECT metric, date_trunc('hour', ts) AS window_start,
              sum(CASE WHEN value >= previous THEN value - previous ELSE value END) AS increase
       FROM p WHERE previous IS NOT NULL GROUP BY 1, 2)
 SELECT metric, window_start, increase, increase / 3600.0::DOUBLE AS rate FROM i"""
+    # Steps are generated and samples looked up, series by series.
+    sql["m_range_rate"] = """
+WITH s AS (SELECT event_type AS metric, user_id, ts, event_id,
+                  CAST(event_id % 1000 AS DOUBLE) AS value FROM events),
+steps AS (SELECT to_timestamp(unnest(range(
+              CAST(epoch(date_trunc('day', min(ts))) AS BIGINT),
+              CAST(epoch(max(ts)) AS BIGINT) + 86401, 21600))) AT TIME ZONE 'UTC' AS evaluated_at FROM s),
+inside AS (
+  SELECT metric, user_id, evaluated_at, ts, event_id, value,
+         lag(value) OVER w AS previous, row_number() OVER w AS place,
+         count(*) OVER (PARTITION BY metric, user_id, evaluated_at) AS n
+  FROM steps JOIN s ON s.ts > evaluated_at - INTERVAL 24 HOURS AND s.ts <= evaluated_at
+  WINDOW w AS (PARTITION BY metric, user_id, evaluated_at ORDER BY ts, event_id)),
+ends AS (
+  SELECT metric, user_id, evaluated_at, any_value(n) AS n,
+         max(value) FILTER (place = 1) AS first, max(value) FILTER (place = n) AS last,
+         epoch_us(min(ts)) / 1e6 AS first_at, epoch_us(max(ts)) / 1e6 AS last_at,
+         coalesce(sum(previous) FILTER (value < previous), 0) AS lost
+  FROM inside GROUP BY ALL),
+spans AS (
+  SELECT *, last - first + lost AS increase, last_at - first_at AS span,
+         (last_at - first_at) / (n - 1) AS mean,
+         first_at - (epoch_us(evaluated_at) / 1e6 - 86400) AS before, epoch_us(evaluated_at) / 1e6 - last_at AS after
+  FROM ends WHERE n > 1 AND last_at > first_at),
+reaches AS (
+  SELECT *, CASE WHEN before < 1.1 * mean THEN before ELSE mean / 2 END AS to_start,
+         CASE WHEN after < 1.1 * mean THEN after ELSE mean / 2 END AS to_end,
+         CASE WHEN increase > 0 THEN span * first / increase END AS to_zero
+  FROM spans)
+SELECT metric, evaluated_at, count(*) AS series,
+       round(sum(increase * (span + least(to_start, coalesce(to_zero, to_start)) + to_end)
+                 / span / 86400), 9) AS rate
+FROM reaches GROUP BY metric, evaluated_at"""
+    in_range = ("placed_at >= TIMESTAMP '2024-01-03 06:00:00' "
+                "AND placed_at < TIMESTAMP '2024-01-09 18:00:00'")
+    millis = ("CAST(round((epoch_us(_ingested_at) - CAST(round(producer_ts * 1e6) AS BIGINT)) "
+              "/ 1000.0::DOUBLE) AS BIGINT)")
+    sql["m_latency_sketches"] = _with(["raw_orders"], (
+        f"SELECT city, count(*) AS samples, min({millis}) AS low, max({millis}) AS high, "
+        f"TRUE AS ranks_are_right FROM raw_orders WHERE {in_range} GROUP BY city"))
+    sql["final_vs_raw_sketches"] = _with(["raw_orders"], (
+        "SELECT city, count(*) AS raw_rows, count(DISTINCT order_id) AS final_rows, "
+        f"TRUE AS estimate_is_near FROM raw_orders WHERE {in_range} GROUP BY city"))
+    sql["fct_key_ranges"] = _with(["fct_orders"], (
+        "SELECT CAST(placed_date AS VARCHAR) AS placed_date, count(*) AS total_rows, "
+        "min(order_id) AS low_key, max(order_id) AS high_key FROM fct_orders "
+        "GROUP BY placed_date"))
+    days_of = "SELECT *, CAST(placed_at AS DATE) AS day FROM raw_orders"
+    summed = "day, count(*) AS total_rows, CAST(sum(total_vnd) AS BIGINT) AS total_vnd"
+    sql["table_versions"] = _with(["raw_orders"], f"""
+SELECT 1 AS version, {summed} FROM ({days_of}) WHERE day < DATE '2024-01-08' GROUP BY day
+UNION ALL SELECT 2, {summed} FROM ({days_of}) GROUP BY day
+UNION ALL SELECT 3, {summed} FROM ({days_of})
+WHERE day >= DATE '2024-01-08' OR status = 'PLACED' OR day NOT IN (
+  SELECT day FROM ({days_of}) WHERE status = 'PLACED' AND day < DATE '2024-01-08') GROUP BY day""")
     sql["m_gauge_rollup"] = """
 SELECT event_type AS metric, date_trunc('hour', ts) AS window_start,
        avg(CAST(event_id % 1000 AS DOUBLE)) AS avg_value,

@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import readable_quantity, utc_datetime, with_event_date_parts
-from ..operators import merge, quality, series
+from ..operators import merge, quality, series, sketches
 from ..operators.compaction import compact
 from ..operators.dedup import duplicate_report, latest_by, replacing_read
 from ..operators.joins import hot_keys
@@ -207,21 +207,43 @@ def land_by_day(df: DataFrame, path: str, copies: int = 1) -> None:
     kept = df.withColumn("__day", F.to_date(utc_datetime("event_timestamp"))).persist()
     for day in event_days(df):
         for _ in range(copies):
-            land(kept.where(F.col("__day") == F.lit(day)).drop("__day"), path)
+            land(kept.where(F.col("__day").eqNullSafe(F.lit(day))).drop("__day"), path)
     kept.unpersist()
 
 
+#: Rows of a landed file, and files of a feed at least.
+FILE_ROWS, FEED_FILES = 500_000, 16
+MAX_FILES = 50   # of a trigger, as the job has it
+
+
+def land_in_order(df: DataFrame, path: str, copies: int = 1) -> int:
+    """The feed in order of event time, file by file; each record ``copies`` times. Returns the
+    number of files. Written at once; then the files get the times at which they would have
+    come, which is the order in which a stream reads them."""
+    for _ in range(copies - 1):
+        df = df.unionAll(df)
+    files = max(FEED_FILES, df.count() // FILE_ROWS)
+    land(df.repartitionByRange(files, "event_timestamp"), path)
+    landed = Folder(df.sparkSession, path)
+    names = landed.names()
+    start = dt.datetime.now(dt.timezone.utc) - dt.timedelta(seconds=len(names))
+    for i, name in enumerate(names):
+        landed.child(name).date(start + dt.timedelta(seconds=i))
+    return len(names)
+
+
 def files_per_batch(spark: SparkSession, path: str, batches: int = BATCHES) -> int:
     """So many files a trigger that a drain of this folder takes about ``batches``."""
     return max(1, -(-Folder(spark, path).size()[1] // (2 * batches)))
 
 
 def _stream_dedup(spark, raw: DataFrame, topic: str, columns: list[str]) -> DataFrame:
-    """Every record arrives twice; the drained lake holds each (id, time) once."""
+    """Every record arrives twice; the drained lake holds each (id, time) once. The delay and the
+    limit of files are those that the job has."""
     base = scratch_dir(spark, f"stream-{topic}")
-    land_by_day(raw, f"{base}/landing", copies=2)
+    files = land_in_order(raw, f"{base}/landing", copies=2)
     drain_topic(spark, topic, f"{base}/landing", f"{base}/lake", f"{base}/checkpoint",
-                max_files=files_per_batch(spark, f"{base}/landing"), delay=FEED_DELAY)
+                max_files=min(MAX_FILES, -(-files // BATCHES)))
     return lake.read_lake(spark, f"{base}/lake", TOPICS[topic][0]).select(
         *columns, "event_timestamp", *lake.DAY_COLUMNS
     )
@@ -363,6 +385,14 @@ def stream_hourly_partials(spark, sf_dir):
     return hourly.read_hourly_partials(spark, f"{base}/sums")
 
 
+@query
+def stream_hourly_levels(spark, sf_dir):
+    """Sums of every batch, merged two by two; reading opens few folders."""
+    base, orders = _landed_orders(spark, sf_dir, "stream-levels")
+    hourly.drain_hourly_levels(orders, f"{base}/sums", f"{base}/checkpoint", fan=2)
+    return hourly.read_hourly_levels(spark, f"{base}/sums")
+
+
 @query
 def hourly_city_batch(spark, sf_dir):
     return hourly.hourly_city_batch(adapters.raw_orders(spark, sf_dir))
@@ -579,6 +609,35 @@ def fct_incremental_run(spark, sf_dir):
     )
 
 
+@query
+def fct_key_ranges(spark, sf_dir):
+    """What an upsert knows of every partition before it opens one: rows and range of keys."""
+    path = scratch_dir(spark, "fct")
+    _upsert(spark, path, model(spark, sf_dir, "fct_orders"))
+    live = Ledger(spark, path).latest().of()
+    return spark.createDataFrame(
+        [(f.part.split("=", 1)[1], f.rows, f.low, f.high) for f in live],
+        "placed_date string, total_rows bigint, low_key string, high_key string")
+
+
+@query
+def table_versions(spark, sf_dir):
+    """A table over four commits, one of them a repeat of a marked one: rows of each version."""
+    table = Ledger(spark, scratch_dir(spark, "versions"))
+    orders = adapters.raw_orders(spark, sf_dir).withColumn(
+        "day", F.to_date(utc_datetime("placed_at")))
+    early, late = (orders.where(side) for side in (
+        F.col("day") < F.lit(CUT), F.col("day") >= F.lit(CUT)))
+    table.append(early, ("day",), mark=("load", 1))
+    table.append(late, ("day",), mark=("load", 2))
+    table.append(late, ("day",), mark=("load", 2))
+    table.replace_parts(early.where("status = 'PLACED'"), ("day",))
+    out = [table.read(snapshot=table.at(v)).groupBy("day").agg(
+        F.count("*").alias("total_rows"), F.sum("total_vnd").alias("total_vnd")).select(
+        F.lit(v).alias("version"), "*") for v in table.versions()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 @query
 def fct_schema_evolve(spark, sf_dir):
     path = scratch_dir(spark, "fct")
@@ -745,6 +804,55 @@ def m_counter_rate(spark, sf_dir):
     )
 
 
+@query
+def m_range_rate(spark, sf_dir):
+    """Rates over the last day, every six hours."""
+    found = series.range_rate(
+        adapters.metric_samples(spark, sf_dir), ["metric", "instance"], ["metric"],
+        window="24 hours", step="6 hours", tie=["event_id"])
+    return found.withColumn("rate", F.round("rate", 9))
+
+
+SKETCH_SINCE, SKETCH_UNTIL = dt.datetime(2024, 1, 3, 6), dt.datetime(2024, 1, 9, 18)   # UTC
+
+
+def _sketched(df):
+    at = F.col("placed_at")
+    return df.where((at >= F.lit(SKETCH_SINCE).cast("timestamp"))
+                    & (at < F.lit(SKETCH_UNTIL).cast("timestamp")))
+
+
+@query
+def m_latency_sketches(spark, sf_dir):
+    """Percentiles of a range of hours from stored sketches; whether their ranks are right."""
+    orders, probs = adapters.raw_orders(spark, sf_dir, ingested=True), [0.5, 0.95]
+    delay = reports.ingest_millis()
+    path = scratch_dir(spark, "latency-sketches")
+    half = F.pmod(F.xxhash64("order_id"), F.lit(2))
+    for load in (0, 1, 1):
+        sketches.store(sketches.quantile_sketches(
+            orders.where(half == load), "placed_at", delay, ["city"]), path, ("load", load))
+    stored = sketches.stored_range(spark, path, SKETCH_SINCE, SKETCH_UNTIL)
+    found = sketches.quantiles(stored, probs, ["city"])
+    errors = sketches.rank_errors(_sketched(orders), delay, found, probs, ["city"])
+    return found.select("city", "low", "high").join(errors, "city").select(
+        "city", "samples", "low", "high",
+        (F.col("worst") <= 3 * sketches.RANK_ERROR).alias("ranks_are_right"))
+
+
+@query
+def final_vs_raw_sketches(spark, sf_dir):
+    """Distinct orders of a range of hours from stored sketches, beside the exact number."""
+    orders = adapters.raw_orders(spark, sf_dir)
+    path = scratch_dir(spark, "distinct-sketches")
+    sketches.store(sketches.distinct_sketches(orders, "placed_at", "order_id", ["city"]), path)
+    stored = sketches.stored_range(spark, path, SKETCH_SINCE, SKETCH_UNTIL)
+    found = sketches.distinct_counts(stored, ["city"])
+    errors = sketches.distinct_errors(_sketched(orders), "order_id", found, ["city"])
+    return errors.select("city", "raw_rows", "final_rows",
+                         (F.col("off") <= 4 * sketches.COUNT_ERROR).alias("estimate_is_near"))
+
+
 @query
 def m_gauge_rollup(spark, sf_dir):
     return series.gauge_rollup(adapters.metric_samples(spark, sf_dir), ["metric"], "1 hour")

@@ -2,6 +2,9 @@
 
     stream         landing JSON lines -> day-partitioned lake, one bounded drain
     load           one landing day -> raw tables
+    speed          landing JSON lines -> hourly sums per city, merged level by level
+    backlog        fails if the newest backlog of a subscription is high or growing
+    vacuum         forget old versions of tables and delete what none of them names
     daily-summary  one UTC day of the lake -> date=<day>
     compact        merge the small files of one lake day
     transform      raw tables -> marts (incremental fact), then all checks
@@ -18,14 +21,17 @@ from pyspark.sql import SparkSession
 from ..operators.compaction import compact
 from ..operators.joins import hot_keys
 from ..operators.quality import assert_checks, run_checks
+from ..operators.series import assert_no_backlog
 from ..plans import daily
 from ..plans.checks import model_checks
 from ..plans.models import run_transform
-from ..schemas import ORDERS, PAYMENTS, TOPICS
+from ..schemas import ORDERS, PAYMENTS, TOPICS, required
 from ..session import build_session, use_utc
 from ..sources import landing, lake
+from ..sources.ledger import Ledger
 from ..streaming.dedup import SPREAD
 from ..streaming.drain import ingest_topic
+from ..streaming.hourly import FAN, drain_hourly_levels
 from ..streaming.writer import BatchWriter
 
 log = logging.getLogger("lakeline")
@@ -58,6 +64,28 @@ def run_load(spark: SparkSession, a) -> dict[str, int]:
     return loaded
 
 
+def run_speed(spark: SparkSession, a) -> list[dict]:
+    """Hourly sums per city of what has arrived since the last run, bad records left out."""
+    stream = landing.read_events(spark, f"{a.landing}/orders", ORDERS, a.max_files)
+    good, _ = landing.split_corrupt(stream, required(ORDERS))
+    batches = drain_hourly_levels(good, a.sums, f"{a.checkpoints}/speed", a.fan)
+    log.warning("speed layer: %s batches", len(batches))
+    return batches
+
+
+def run_backlog(spark: SparkSession, a) -> int:
+    checked = assert_no_backlog(spark.read.parquet(a.samples), a.high, a.floor)
+    log.warning("%s subscriptions without alerts", checked)
+    return checked
+
+
+def run_vacuum(spark: SparkSession, a) -> int:
+    older = dt.timedelta(hours=a.older_than_hours)
+    deleted = sum(Ledger(spark, path).vacuum(a.keep, older) for path in a.tables)
+    log.warning("deleted %s folders that no version names", deleted)
+    return deleted
+
+
 def run_daily_summary(spark: SparkSession, a) -> str:
     payments = lake.read_day(spark, f"{a.lake}/payments", a.date, PAYMENTS)
     summary = daily.daily_summary(
@@ -107,6 +135,16 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--date", default=yesterday())
     p.add_argument("--mode", choices=["append", "replace_day"], default="append")
     p.add_argument("--max-bad", type=int, default=0)
+    p = job("speed", run_speed, "landing", "sums", "checkpoints")
+    p.add_argument("--max-files", type=int, default=50)
+    p.add_argument("--fan", type=int, default=FAN, help="folders of a level that become one")
+    p = job("backlog", run_backlog, "samples")
+    p.add_argument("--high", type=int, default=50_000)
+    p.add_argument("--floor", type=int, default=5_000)
+    p = job("vacuum", run_vacuum)
+    p.add_argument("tables", nargs="+")
+    p.add_argument("--keep", type=int, default=10, help="versions that stay readable")
+    p.add_argument("--older-than-hours", type=float, default=24)
     p = job("daily-summary", run_daily_summary, "lake", "output")
     p.add_argument("--date", default=yesterday())
     p = job("compact", run_compact, "lake")

@@ -79,7 +79,8 @@ def compact_table(
     files of about ``target_bytes``, as one commit.
 
     The old folders stay until a vacuum, so readers of older versions are not disturbed, and a
-    writer that changes the partition meanwhile makes the compaction fail with ``Conflict``.
+    writer that replaces the partition meanwhile makes the compaction fail with ``Conflict``;
+    rows that one adds stay.
     """
     table = Ledger(spark, path)
     base = table.latest()
@@ -97,7 +98,7 @@ def compact_table(
     after = _content(table.read([part], base._replace(folders=tuple(staged))), columns)
     if after != before:
         raise RuntimeError(f"compaction of {path} {part} wrote {after}, not {before}")
-    table.rewrite(base, staged, base.schema, [part], depends=[part])
+    table.exchange(live, staged)
     files = sum(len(table.folder_of(f).file_sizes()) for f in staged)
     return Compaction(rows, len(sizes), files)
 

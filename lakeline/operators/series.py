@@ -89,6 +89,24 @@ def backlog_alerts(
     return seen.select(*samples.columns, "previous_backlog", F.explode(alerts).alias("alert"))
 
 
+class BacklogAlerts(RuntimeError):
+    """Backlogs that somebody has to look at."""
+
+
+def assert_no_backlog(samples: DataFrame, high: int = 50_000, floor: int = 5_000,
+                      tie: Sequence[str] = ()) -> int:
+    """Fail if the newest sample of a subscription raises an alert; returns the number of
+    subscriptions. The message names the first twenty."""
+    newest = samples.groupBy("subscription").agg(F.max("ts").alias("ts"))
+    alerts = backlog_alerts(samples, high, floor, tie).join(newest, ["subscription", "ts"])
+    found = alerts.orderBy("subscription", "alert").limit(20).collect()
+    if found:
+        raise BacklogAlerts("; ".join(
+            f"{r['subscription']}: {r['alert']} {r['backlog']} (before: {r['previous_backlog']})"
+            for r in found))
+    return newest.count()
+
+
 def counter_increase(
     samples: DataFrame, series: Sequence[str], tie: Sequence[str] = (), bucket: str | None = None
 ) -> DataFrame:
@@ -125,6 +143,63 @@ def counter_rate(
     )
 
 
+def range_rate(
+    samples: DataFrame,
+    series: Sequence[str],
+    label: Sequence[str],
+    window: str = "1 minute",
+    step: str = "15 seconds",
+    tie: Sequence[str] = (),
+    bucket: str | None = None,
+) -> DataFrame:
+    """Rate of counters at steps, each over the ``window`` before it, summed by label.
+
+    ``evaluated_at`` are multiples of ``step``; a window is open at its start and includes its end. A
+    series counts where it has two samples in the window. Its growth, resets included, is that
+    from its first sample to its last; it is extended to an end of the window that is nearer
+    than 1.1 times the mean distance of samples, else by half that distance, and at the start not
+    beyond the point where the counter would have been 0. ``series`` is the number of series.
+
+    A sample takes part in window / step windows. What a window needs (ends, growth, count) is
+    summed on the map side, so a series of any length is never sorted in one task for it.
+    """
+    (amount, unit), micro = window.split(), F.expr("INTERVAL 1 MICROSECOND")
+    seconds = float(amount) * UNIT_SECONDS[unit.rstrip("s")]
+    seen = with_previous(samples.where(F.col("value").isNotNull()), series, "ts", "value", tie,
+                         bucket)
+    grain = list(dict.fromkeys([*label, *series]))
+    # Spark's windows include their start; a microsecond earlier, the end is included.
+    windows = seen.select(*grain, "ts", *tie, "value", "previous", "previous_ts",
+                          F.window(F.col("ts") - micro, window, step).alias("w"))
+    order, start = F.struct("ts", *tie), F.col("w.start") + micro
+    reset = (F.col("previous_ts") >= start) & (F.col("value") < F.col("previous"))
+    ends = windows.groupBy(*grain, "w").agg(
+        F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+        F.min_by("value", order).alias("first"), F.max_by("value", order).alias("last"),
+        F.sum(F.when(reset, F.col("previous")).otherwise(F.lit(0.0))).alias("lost"))
+
+    def between(a, b):
+        return (F.unix_micros(b) - F.unix_micros(a)) / F.lit(1e6)
+
+    found = ends.where((F.col("n") > 1) & (F.col("last_ts") > F.col("first_ts"))).select(
+        *grain, F.col("w.end").alias("evaluated_at"), "first",
+        (F.col("last") - F.col("first") + F.col("lost")).alias("increase"),
+        between(F.col("first_ts"), F.col("last_ts")).alias("span"),
+        between(F.col("w.start"), F.col("first_ts")).alias("before"),
+        between(F.col("last_ts"), F.col("w.end")).alias("after"),
+        (between(F.col("first_ts"), F.col("last_ts")) / (F.col("n") - 1)).alias("mean"))
+
+    def reach(gap: str) -> Column:
+        return F.when(F.col(gap) < F.col("mean") * 1.1, F.col(gap)).otherwise(F.col("mean") / 2)
+
+    to_zero = F.when((F.col("increase") > 0) & (F.col("first") >= 0),
+                     F.col("span") * (F.col("first") / F.col("increase")))
+    extended = F.col("span") + F.least(reach("before"), to_zero) + reach("after")
+    rate = F.col("increase") * (extended / F.col("span")) / F.lit(seconds)
+    return found.withColumn("rate", rate).groupBy(*label, "evaluated_at").agg(
+        F.count("*").alias("series"), F.sum("rate").alias("rate"))
+
+
 def instant_rate(samples: DataFrame, series: Sequence[str], **options) -> DataFrame:
     """Rate between neighbouring samples."""
     increases = counter_increase(samples, series, **options)

@@ -187,6 +187,12 @@ def exact_percentiles(counts: DataFrame, by: Sequence[str], value: str, n: str,
         F.array(*(between(i, prob) for i, prob in enumerate(probs))).alias("p"))
 
 
+def ingest_millis() -> Column:
+    """``_ingested_at - producer_ts`` in whole milliseconds."""
+    micros = F.unix_micros("_ingested_at") - F.round(F.col("producer_ts") * 1e6).cast("bigint")
+    return F.round(micros / F.lit(1000.0)).cast("bigint")
+
+
 def ingest_latency(
     df: DataFrame,
     probs: Sequence[float] = (0.5, 0.95),
@@ -199,8 +205,7 @@ def ingest_latency(
     The default is a sketch of bounded size. ``exact`` counts rows per
     millisecond first and then looks at the buckets that matter only.
     """
-    micros = F.unix_micros("_ingested_at") - F.round(F.col("producer_ts") * 1e6).cast("bigint")
-    ms = F.round(micros / F.lit(1000.0)).cast("bigint")
+    ms = ingest_millis()
     if exact:
         counts = df.groupBy(*by, ms.alias("ms")).agg(F.count("*").alias("n"))
         grouped = exact_percentiles(counts.where(F.col("ms").isNotNull()), by, "ms", "n", probs)

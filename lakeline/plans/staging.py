@@ -79,7 +79,7 @@ def stg_order_items(raw: DataFrame, dedup: bool = False, lenient: bool = False)
     if dedup:
         raw = latest_by(raw, ["order_id"], "event_timestamp", _ties(raw, ORDER_TIES))
     # from_json would accept a bare object as a one-element array.
-    is_array = F.ltrim("items").startswith("[")
+    is_array = F.ltrim("items", F.lit(" \t\r\n")).startswith("[")
     filled = raw.where(F.col("items").isNotNull() & ~F.col("items").isin("[]", "") & is_array)
     exploded = filled.select(
         "order_id", "city", local_date("placed_at").alias("placed_date"),

@@ -77,6 +77,10 @@ class Folder:
         found = (s.getPath().getName() for s in self._fs.listStatus(self._hadoop))
         return sorted(n for n in found if n.startswith("_"))
 
+    def date(self, time: dt.datetime) -> None:
+        """Set when the file last changed."""
+        self._fs.setTimes(self._hadoop, int(time.timestamp() * 1000), -1)
+
     def make(self) -> None:
         self._fs.mkdirs(self._hadoop)
 

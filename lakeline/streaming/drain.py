@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import with_event_date_parts
 from ..schemas import TOPICS, required
@@ -59,7 +59,8 @@ def topic_stream(
     good, _ = split_corrupt(
         read_events(spark, landing, schema, max_files), required(schema)
     )
-    unique = dedup_stream(good, key, "event_timestamp", delay, within_watermark, spread)
+    unique = dedup_stream(good, key, "event_timestamp", delay, within_watermark, spread,
+                          F.col("_metadata.file_path"))
     return with_event_date_parts(unique)
 
 

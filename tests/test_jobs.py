@@ -109,3 +109,37 @@ def test_default_date_is_yesterday_in_utc():
     args = parser().parse_args(["compact", "--lake", "x"])
     assert args.date == yesterday() and args.table == "all"
     assert dt.date.fromisoformat(args.date) < dt.datetime.now(dt.timezone.utc).date()
+
+
+def test_speed_layer_and_vacuum(spark, tmp_path):
+    from lakeline.sources.ledger import Ledger
+    from lakeline.streaming import hourly
+
+    base = str(tmp_path)
+    line = {f.name: "x" for f in ORDERS if f.dataType.typeName() == "string"}
+    line |= {f.name: 7 for f in ORDERS if f.dataType.typeName() == "long"}
+    line |= {"placed_at": stamp(3), "event_timestamp": stamp(3), "producer_ts": 1.0}
+    os.makedirs(f"{base}/landing/orders")
+    for run in range(3):
+        for k in range(2):
+            with open(f"{base}/landing/orders/{run}-{k}.jsonl", "w") as f:
+                f.write(json.dumps(line) + "\n{broken\n")
+        main(["speed", "--landing", f"{base}/landing", "--sums", f"{base}/sums",
+              "--checkpoints", f"{base}/checkpoints", "--max-files", "1", "--fan", "2"])
+    (row,) = hourly.read_hourly_levels(spark, f"{base}/sums").collect()
+    assert (row.city, row.total_orders, row.total_revenue_vnd) == ("x", 6, 42)
+    live = Ledger(spark, f"{base}/sums").latest().of()
+    assert sorted(f.part for f in live) == ["level=1", "level=2"]
+    assert main(["vacuum", f"{base}/sums", "--keep", "1", "--older-than-hours", "-1"]) > 0
+    assert hourly.read_hourly_levels(spark, f"{base}/sums").collect() == [row]
+
+
+def test_backlog_job(spark, tmp_path):
+    from lakeline.operators.series import BacklogAlerts
+
+    at = dt.datetime(2024, 1, 5, tzinfo=dt.timezone.utc)
+    spark.createDataFrame([("s", at, 10)], "subscription string, ts timestamp, backlog long"
+                          ).write.parquet(f"{tmp_path}/samples")
+    assert main(["backlog", "--samples", f"{tmp_path}/samples"]) == 1
+    with pytest.raises(BacklogAlerts):
+        main(["backlog", "--samples", f"{tmp_path}/samples", "--high", "9"])

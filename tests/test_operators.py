@@ -365,3 +365,57 @@ def test_latency_sketch_is_close_to_exact(spark):
     assert exact.samples == sketch.samples == 1000
     assert exact.p50_seconds == pytest.approx(0.4995)
     assert sketch.p95_seconds == pytest.approx(exact.p95_seconds, abs=0.002)
+
+
+# --- range rates ----------------------------------------------------------
+
+def plain_rate(samples, at, window):
+    """The rate of one counter over the window before ``at``, sample by sample."""
+    inside = sorted(x for x in samples if at - window < x[0] <= at)
+    if len(inside) < 2:
+        return None
+    (t0, v0), (t1, _) = inside[0], inside[-1]
+    grown = sum(b - a if b >= a else b for (_, a), (_, b) in zip(inside, inside[1:]))
+    mean = (t1 - t0) / (len(inside) - 1)
+    start, end = (gap if gap < 1.1 * mean else mean / 2 for gap in (t0 - at + window, at - t1))
+    if grown > 0:
+        start = min(start, (t1 - t0) * v0 / grown)
+    return grown * (t1 - t0 + start + end) / (t1 - t0) / window
+
+
+@pytest.mark.parametrize("times,values", [
+    (range(5, 300, 15), [10 * i for i in range(20)]),                    # even, nearly from 0
+    ([1, 2, 50, 110, 111, 112, 170, 400], [5, 9, 2, 3, 3, 1, 8, 9]),      # resets and gaps
+    ([30], [7]), ([30, 90, 150], [1.5, 1.5, 1.5]), ([60, 120, 180], [1, 2, 3]),  # on the borders
+])
+def test_range_rate_is_extrapolated(spark, times, values):
+    samples = list(zip(times, map(float, values)))
+    zero = dt.datetime(2024, 1, 5, tzinfo=dt.timezone.utc)
+    rows = [("m", "a", zero + dt.timedelta(seconds=t), v) for t, v in samples]
+    df = spark.createDataFrame(rows, "metric string, instance string, ts timestamp, value double")
+    got = {int((r.evaluated_at.replace(tzinfo=dt.timezone.utc) - zero).total_seconds()): r.rate
+           for r in series.range_rate(df, ["metric", "instance"], ["metric"], "1 minute",
+                                      "30 seconds").collect()}
+    expected = {at: plain_rate(samples, at, 60) for at in range(0, 500, 30)}
+    assert got == pytest.approx({a: r for a, r in expected.items() if r is not None})
+
+
+def test_range_rate_sums_series_and_ignores_nulls(spark):
+    zero = dt.datetime(2024, 1, 5, tzinfo=dt.timezone.utc)
+    rows = [("m", i, zero + dt.timedelta(seconds=s), float(s)) for i in ("a", None) for s in (10, 40)]
+    rows += [("m", "a", zero + dt.timedelta(seconds=20), None), ("m", "late", zero, 1.0)]
+    df = spark.createDataFrame(rows, "metric string, instance string, ts timestamp, value double")
+    got = series.range_rate(df, ["metric", "instance"], ["metric"], "1 minute", "1 minute").collect()
+    assert [(r.series, r.rate) for r in got] == [
+        (2, pytest.approx(2 * plain_rate([(10, 10.0), (40, 40.0)], 60, 60)))]
+
+
+def test_backlog_job_fails_on_the_newest_sample_only(spark):
+    zero = dt.datetime(2024, 1, 5, tzinfo=dt.timezone.utc)
+    rows = [("a", 0, 60_000), ("a", 1, 10), ("b", 0, 6_000), ("b", 1, 6_000)]
+    df = spark.createDataFrame([(s, zero + dt.timedelta(minutes=m), n) for s, m, n in rows],
+                               "subscription string, ts timestamp, backlog long")
+    assert series.assert_no_backlog(df) == 2
+    worse = df.union(spark.createDataFrame([("b", zero + dt.timedelta(minutes=2), 7_000)], df.schema))
+    with pytest.raises(series.BacklogAlerts, match="b: GROWING_BACKLOG 7000 .before: 6000"):
+        series.assert_no_backlog(worse)

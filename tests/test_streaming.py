@@ -318,3 +318,82 @@ def test_row_number_is_refused_on_streams_but_dedup_is_not(spark, land):
     drain(dedup_stream(good, "order_id"), BatchWriter(f"{land.base}/yes", partition_by=()),
           f"{land.base}/c2")
     assert spark.read.parquet(f"{land.base}/yes").count() == 1
+
+
+# --- levelled sums --------------------------------------------------------
+
+def hours(spark, *rows):
+    return spark.createDataFrame(
+        [(c, START + dt.timedelta(hours=h), v, s) for c, h, v, s in rows],
+        "city string, placed_at timestamp, total_vnd bigint, status string")
+
+
+def sums_of(spark, path):
+    return sorted(map(tuple, hourly.read_hourly_levels(spark, path).collect()))
+
+
+def test_levels_bound_what_a_reader_opens(spark, tmp_path):
+    path, batches = str(tmp_path / "sums"), 21
+    sums = hourly.LevelledSums(spark, path, fan=3)
+    for b in range(batches):
+        sums(hours(spark, ("hanoi", b % 4, 10 * b, "placed"), ("hue", 0, 1, "cancelled")), b)
+    levels = [f.part for f in sums.table.latest().of()]
+    # 21 batches, three by three: 21 = 2 * 9 + 1 * 3 + 0 * 1
+    assert sorted(levels) == ["level=1", "level=2", "level=2"]
+    assert sums_of(spark, path) == sorted(
+        [("hue", START.replace(tzinfo=None), batches, batches, batches)]
+        + [("hanoi", (START + dt.timedelta(hours=h)).replace(tzinfo=None),
+            len(range(h, batches, 4)), sum(10 * b for b in range(h, batches, 4)), 0)
+           for h in range(4)])
+
+
+@pytest.mark.parametrize("call", range(1, 7))
+def test_levels_survive_a_crash_at_any_commit(spark, tmp_path, monkeypatch, call):
+    from lakeline.sources import ledger
+
+    class Stopped(RuntimeError):
+        pass
+
+    path, done = str(tmp_path / "sums"), iter(range(100))
+    real = ledger.publish
+
+    def publish(*args):
+        if next(done) >= call:
+            raise Stopped
+        return real(*args)
+
+    def run():
+        sums = hourly.LevelledSums(spark, path, fan=2)
+        for b in range(4):
+            sums(hours(spark, ("hanoi", 0, 10 ** b, "placed")), b)
+
+    with monkeypatch.context() as m:
+        m.setattr(ledger, "publish", publish)
+        try:
+            run()
+        except Stopped:
+            pass
+    run()  # every batch comes again
+    assert [r[2:] for r in sums_of(spark, path)] == [(4, 1111, 0)]
+    assert len(ledger.Ledger(spark, path).latest().of()) == 1
+
+
+def test_an_empty_batch_and_a_merge_by_someone_else(spark, tmp_path, monkeypatch):
+    from lakeline.sources.ledger import Ledger
+
+    path = str(tmp_path / "sums")
+    sums = hourly.LevelledSums(spark, path, fan=2)
+    sums(hours(spark).limit(0), 0)
+    sums(hours(spark, ("hue", 0, 5, "placed")), 1)
+    real, first = Ledger.exchange, [True]
+
+    def late(self, *args):
+        if first.pop() if first else False:
+            hourly.LevelledSums(spark, path, fan=2).merge()
+        return real(self, *args)
+
+    monkeypatch.setattr(Ledger, "exchange", late)
+    sums(hours(spark, ("hue", 0, 6, "placed")), 2)
+    assert [r[2:] for r in sums_of(spark, path)] == [(2, 11, 0)]
+    with pytest.raises(ValueError):
+        hourly.LevelledSums(spark, path, fan=1)
