@@ -271,10 +271,11 @@ def build(docs: DataFrame, *, key: str = "doc_id", group: str = "lang",
     place of the leaves' own, null where it is the same.
     """
     ship_package(docs.sparkSession)
-    rows = docs.select(
+    # Written first: texts are read once, not for the ranges of the sort as well.
+    rows = stored(docs.select(
         group_name(quoted(group)).alias("group"), quoted(key).alias("key"),
         leaf_hash(*(quoted(v) for v in values)).alias("hash"),
-        (F.lit(None) if claimed is None else claimed).cast("string").alias("claimed"))
+        (F.lit(None) if claimed is None else claimed).cast("string").alias("claimed")), "hashed")
     order = ["group", "key", "hash", "claimed"]
     leaves = numbered(stored(rows.repartitionByRange(*order).sortWithinPartitions(*order),
                              "sorted-leaves"), levels)
