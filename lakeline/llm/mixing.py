@@ -113,6 +113,8 @@ def mix(docs: DataFrame, *, key: str = "doc_id", source: str = "source", text: s
         *([F.struct(*(quoted(c) for c in docs.columns)).alias("row")] if with_rows else []))
     # Null has a name as well, so that plain joins and windows find it.
     rows = rows.withColumn("name", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+    if not with_rows:
+        rows = stored(rows, "mix-sizes")  # texts are read once, not for the ranges as well
     order = ["name", "draw", "size", "hash"]
     placed = _with_places(stored(
         rows.repartitionByRange(*order).sortWithinPartitions(*order), "mix"), block_rows)
