@@ -433,6 +433,10 @@ def oracle() -> dict[str, str]:
         f"SELECT DISTINCT payment_id, order_id, event_timestamp, {DAY_PARTS} FROM raw_payments"))
     sql["stream_dedup_riders"] = _with(["raw_riders"], (
         f"SELECT event_id, battery_pct, event_timestamp, {DAY_PARTS} FROM raw_riders"))
+    sql["stream_restart_verified"] = _with(["raw_orders"], (
+        "SELECT TRUE AS died, TRUE AS one_batch_again, count(*) AS stored_rows, "
+        "count(*) AS state_keys, count(*) AS rows_in_either, TRUE AS all_committed, "
+        "TRUE AS one_operator FROM raw_orders"))
     sql["stream_late_drop"] = _with(["raw_orders"], (
         "SELECT order_id, event_timestamp, total_vnd FROM raw_orders UNION ALL "
         f"SELECT order_id, {_SHIFTED}, total_vnd FROM raw_orders "

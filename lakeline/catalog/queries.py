@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import wraps
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import readable_quantity, utc_datetime, with_event_date_parts
@@ -24,7 +25,7 @@ from ..session import scratch_dir, use_utc
 from ..sources import adapters, landing, lake, tables, typed
 from ..sources.fs import Folder
 from ..sources.ledger import Ledger, read_table
-from ..streaming import hourly
+from ..streaming import hourly, state
 from ..streaming.drain import drain, drain_quarantine, drain_topic, ingest_topic
 from ..streaming.metrics import batch_rows, read_runs, store_run
 from ..streaming.writer import BatchWriter
@@ -363,6 +364,45 @@ def stream_skipped_batch(spark, sf_dir):
         F.col("batches").alias("written_batches"))
 
 
+class Killed(RuntimeError):
+    """What stands for a driver that dies."""
+
+
+@query
+def stream_restart_verified(spark, sf_dir):
+    """A drain is killed after its second batch was written and before it was committed. The
+    restart makes that batch again; what the state remembers is then what the lake holds."""
+    base = scratch_dir(spark, "stream-restart")
+    files = land_in_order(adapters.raw_orders(spark, sf_dir), f"{base}/landing", copies=2)
+    settings = {"max_files": min(MAX_FILES, -(-files // BATCHES)), "delay": "3650 days",
+                "spread": 0, "state_partitions": 4}
+    writer = BatchWriter(f"{base}/lake")
+
+    def dying(df, batch_id):
+        writer(df, batch_id)
+        if batch_id == 1:
+            raise Killed
+
+    try:
+        drain_topic(spark, "orders", f"{base}/landing", f"{base}/lake", f"{base}/checkpoint",
+                    writer=dying, **settings)
+        died = False
+    except (StreamingQueryException, Killed):
+        died = True
+    again = state.open_batches(spark, f"{base}/checkpoint")
+    drain_topic(spark, "orders", f"{base}/landing", f"{base}/lake", f"{base}/checkpoint",
+                **settings)
+    stored = lake.read_lake(spark, f"{base}/lake", ORDERS).select("order_id", "event_timestamp")
+    known = state.state_keys(spark, f"{base}/checkpoint").select("order_id", "event_timestamp")
+    names = [r.operator for r in state.state_operators(spark, f"{base}/checkpoint").collect()]
+    both = stored.join(known, ["order_id", "event_timestamp"], "full").agg(F.count("*")).first()[0]
+    return spark.createDataFrame(
+        [(died, again == [1], stored.count(), known.count(), both,
+          not state.open_batches(spark, f"{base}/checkpoint"), names == ["dedupe"])],
+        "died boolean, one_batch_again boolean, stored_rows bigint, state_keys bigint, "
+        "rows_in_either bigint, all_committed boolean, one_operator boolean")
+
+
 def _landed_orders(spark, sf_dir, name):
     base = scratch_dir(spark, name)
     land_by_day(adapters.raw_orders(spark, sf_dir), f"{base}/landing")
