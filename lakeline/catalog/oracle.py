@@ -681,6 +681,20 @@ SELECT metric, window_start, sum(value) AS value FROM l GROUP BY 1, 2"""
 SELECT city, round((1 - count(*) FILTER (status = 'available') / CAST(count(*) AS DOUBLE)) * 100,
                    6) AS used_pct FROM raw_riders GROUP BY city""")
 
+    statuses = ", ".join(f"'{x}'" for x in ORDER_STATUSES[1:])
+    failing = [("not_null", "payment_amount_vnd", "payment_amount_vnd IS NULL"),
+               ("payment_not_exceeds_order", "payment_amount_vnd",
+                "payment_amount_vnd > total_vnd * 0.5"),
+               ("positive_revenue", "total_vnd", "total_vnd < 5000000"),
+               ("valid_order_status", "order_status", f"order_status NOT IN ({statuses})")]
+    twice = ("(SELECT * FROM fct_orders UNION ALL SELECT * FROM fct_orders WHERE "
+             "placed_date < DATE '2024-01-08' AND order_status = 'confirmed')")
+    sql["dq_incremental"] = _with(["fct_orders"], " UNION ALL ".join(
+        [f"SELECT '{name}' AS check_name, '{column}' AS column_name, "
+         f"count(*) FILTER ({fails}) AS failures FROM {twice}" for name, column, fails in failing]
+        + [f"SELECT 'unique', 'order_id', count(*) FROM (SELECT order_id FROM {twice} "
+           "GROUP BY order_id HAVING count(*) > 1)"]))
+
     def one_check(check, column, failures, needs):
         return _with(needs, f"SELECT '{check}' AS check_name, '{column}' AS column_name, "
                             f"({failures}) AS failures")

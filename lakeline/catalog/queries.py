@@ -10,7 +10,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import readable_quantity, utc_datetime, with_event_date_parts
-from ..operators import merge, quality, series, sketches
+from ..operators import check_state, merge, quality, series, sketches
 from ..operators.compaction import compact
 from ..operators.dedup import duplicate_report, latest_by, replacing_read
 from ..operators.joins import hot_keys
@@ -965,6 +965,26 @@ def dq_valid_status(spark, sf_dir):
     return quality.failures(model(spark, sf_dir, "fct_orders"), check)
 
 
+@query
+def dq_incremental(spark, sf_dir):
+    """Results kept per partition, after a load of the first week, and after one of the rest, in
+    which open orders of the first week come a second time, twenty days later."""
+    path, kept = scratch_dir(spark, "fct"), scratch_dir(spark, "checks")
+    fct = model(spark, sf_dir, "fct_orders")
+    early = F.col("placed_date") < F.lit(CUT)
+    again = fct.where(early & (F.col("order_status") == "confirmed")).withColumn(
+        "placed_date", F.date_add("placed_date", 20))
+    checks = [quality.not_null_check("payment_amount_vnd"), quality.payment_cap_check(0.5),
+              quality.positive_revenue_check(floor=5_000_000),
+              quality.valid_status_check(ORDER_STATUSES[1:])]
+    table = Ledger(spark, path)
+    for load in (fct.where(early), fct.where(~early).unionByName(again)):
+        table.add(table.stage(load, ("placed_date",), key="order_id"), load.schema,
+                  ("placed_date",))
+        check_state.check_changes(spark, path, kept, "order_id", checks)
+    return check_state.check_report(spark, kept, "order_id")
+
+
 @query
 def dq_report(spark, sf_dir):
     """All checks over one run whose marts are tables."""
