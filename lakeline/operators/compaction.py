@@ -88,19 +88,19 @@ def compact_table(
     if not live:
         return Compaction(0, 0, 0, "no_data")
     sizes = [n for f in live for n in table.folder_of(f).file_sizes()]
-    rows, wanted = sum(f.rows for f in live), max(1, math.ceil(sum(sizes) / target_bytes))
-    if len(sizes) <= wanted:
-        return Compaction(rows, len(sizes), len(sizes), "already_compact")
+    wanted = max(1, math.ceil(sum(sizes) / target_bytes))
     df = table.read([part], base)
     columns = [c for c in df.columns if c not in base.partition_by]
     before = _content(df, columns)
+    if len(sizes) <= wanted:
+        return Compaction(before.n, len(sizes), len(sizes), "already_compact")
     staged = table.stage(df.select(columns).coalesce(wanted), key=key, part=part or None)
     after = _content(table.read([part], base._replace(folders=tuple(staged))), columns)
     if after != before:
         raise RuntimeError(f"compaction of {path} {part} wrote {after}, not {before}")
     table.exchange(live, staged)
     files = sum(len(table.folder_of(f).file_sizes()) for f in staged)
-    return Compaction(rows, len(sizes), files)
+    return Compaction(before.n, len(sizes), files)
 
 
 def _content(df: DataFrame, columns: list[str]) -> Row:

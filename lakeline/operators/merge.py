@@ -92,13 +92,13 @@ def _upsert_once(table: Ledger, staged: DataFrame, incoming: list[str], key: str
         raise ValueError(f"columns not in the table: {extra}")
     # Distinct first: a key the source repeats many times is one row in the joins.
     source_keys = staged.select(key).distinct()
-    searched = {f.part for f in may_hold(source_keys, key, base.of())}
+    searched = {f.part for f in may_hold(staged.select(key), key, base.of())}
     touched: set[str] = set()
     if searched:
         target = table.read(searched, base)
         target = target if within is None else target.where(within)
         value = F.coalesce(F.col(partition_by).cast("string"), F.lit(NO_VALUE))
-        few = [r[0] for r in source_keys.limit(POINT_KEYS + 1).collect()]
+        few = [r[0] for r in staged.select(key).limit(POINT_KEYS + 1).collect()]
         if len(few) <= POINT_KEYS:
             # So few that Parquet looks each of them up in its Bloom filters.
             found = target.where(F.col(key).isin(few))

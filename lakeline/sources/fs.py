@@ -77,6 +77,13 @@ class Folder:
         found = (s.getPath().getName() for s in self._fs.listStatus(self._hadoop))
         return sorted(n for n in found if n.startswith("_"))
 
+    def folders_with_files(self, levels: int) -> list[str]:
+        """Partition folders so many levels down that hold files, as paths from here."""
+        if not levels:
+            return [""] if self.names() else []
+        return [f"{n}/{p}".rstrip("/") for n in self.names() if "=" in n
+                for p in self.child(n).folders_with_files(levels - 1)]
+
     def date(self, time: dt.datetime) -> None:
         """Set when the file last changed."""
         self._fs.setTimes(self._hadoop, int(time.timestamp() * 1000), -1)
