@@ -408,6 +408,21 @@ def oracle() -> dict[str, str]:
         "rpt_hourly_revenue", "daily_summary")}
     sql["models_as_tables"] = sql["rpt_hourly_revenue"]
     sql["int_order_payments_split"] = sql["int_order_payments"]
+    sql["int_order_payments_bucketed"] = sql["int_order_payments"]
+    sql["stg_order_items_variant"] = _with(["stg_order_items"], (
+        "SELECT *, CASE WHEN item_id <> 'fee' THEN '{\"gift\":true}' END AS extra "
+        "FROM stg_order_items"))
+    sql["item_rejects"] = f"""
+SELECT {_uuid(1, 'l_orderkey')} AS order_id, reason, record
+FROM (SELECT l_orderkey, 'no item_id' AS reason, unnest([
+          '{{"item_id":"","name":"void","price_vnd":1,"quantity":1}}',
+          '{{"name":"no id","price_vnd":1,"quantity":1}}']) AS record
+      FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber < 5
+      UNION ALL
+      SELECT l_orderkey, CASE WHEN l_returnflag = 'A' THEN 'unreadable' ELSE 'no array' END,
+             CASE WHEN l_returnflag = 'A' THEN '[{{broken' ELSE '{{"item_id":"bare"}}' END
+      FROM lineitem JOIN part ON l_partkey = p_partkey
+      WHERE l_linenumber = 5 AND l_returnflag IN ('A', 'N'))"""
     sql["daily_summary_split"] = sql["daily_summary"]
     sql["sink_overwrite_idempotent"] = sql["daily_summary"]
     sql["daily_summary_latest"] = _with(
@@ -429,6 +444,7 @@ def oracle() -> dict[str, str]:
 
     sql["stream_dedup_orders"] = _with(["raw_orders"], (
         f"SELECT order_id, status, total_vnd, event_timestamp, {DAY_PARTS} FROM raw_orders"))
+    sql["stream_dedup_orders_bytes"] = sql["stream_dedup_orders"]
     sql["stream_dedup_payments"] = _with(["raw_payments"], (
         f"SELECT DISTINCT payment_id, order_id, event_timestamp, {DAY_PARTS} FROM raw_payments"))
     sql["stream_dedup_riders"] = _with(["raw_riders"], (

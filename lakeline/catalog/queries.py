@@ -14,7 +14,7 @@ from ..operators import check_state, merge, quality, series, sketches
 from ..operators.compaction import compact
 from ..operators.dedup import duplicate_report, latest_by, replacing_read
 from ..operators.joins import hot_keys
-from ..plans import daily, dashboards, intermediate, reports, staging
+from ..plans import daily, dashboards, intermediate, items, reports, staging
 from ..plans.checks import model_checks
 from ..plans.incremental import run_incremental
 from ..plans.models import run_models
@@ -98,6 +98,28 @@ def stg_order_items(spark, sf_dir):
     return staging.stg_order_items(adapters.raw_item_orders(spark, sf_dir))
 
 
+@query
+def stg_order_items_variant(spark, sf_dir):
+    """Item texts behind a line break, one item of each with a field that the model does not know."""
+    raw = adapters.raw_item_orders(spark, sf_dir)
+    changed = F.concat(F.lit("\n\t"), F.replace(
+        "items", F.lit('"price_vnd":"'), F.lit('"gift":true,"price_vnd":"')))
+    return items.stg_order_items_variant(raw.withColumn("items", changed))
+
+
+@query
+def item_rejects(spark, sf_dir):
+    return items.item_rejects(adapters.raw_item_orders(spark, sf_dir))
+
+
+@query
+def int_order_payments_bucketed(spark, sf_dir):
+    """Staged orders and payments in buckets of order_id; their join has no shuffle."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return run_models(spark, adapters.raw_tables(spark, sf_dir), buckets=buckets)[
+        "int_order_payments"]
+
+
 @query
 def models_as_tables(spark, sf_dir):
     """The hourly report from a run that writes its marts as tables."""
@@ -215,6 +237,7 @@ def land_by_day(df: DataFrame, path: str, copies: int = 1) -> None:
 #: Rows of a landed file, and files of a feed at least.
 FILE_ROWS, FEED_FILES = 500_000, 16
 MAX_FILES = 50   # of a trigger, as the job has it
+MAX_BYTES = 4 << 30   # of a trigger that is limited by bytes
 
 
 def land_in_order(df: DataFrame, path: str, copies: int = 1) -> int:
@@ -256,6 +279,19 @@ def stream_dedup_orders(spark, sf_dir):
     return _stream_dedup(spark, raw, "orders", ["order_id", "status", "total_vnd"])
 
 
+@query
+def stream_dedup_orders_bytes(spark, sf_dir):
+    """The same lake from a drain whose batches are limited by bytes."""
+    base = scratch_dir(spark, "stream-bytes")
+    raw = adapters.raw_orders(spark, sf_dir)
+    land_in_order(raw, f"{base}/landing", copies=2)
+    size, _ = Folder(spark, f"{base}/landing").size()
+    drain_topic(spark, "orders", f"{base}/landing", f"{base}/lake", f"{base}/checkpoint",
+                max_bytes=min(MAX_BYTES, size // BATCHES + 1))
+    return lake.read_lake(spark, f"{base}/lake", ORDERS).select(
+        "order_id", "status", "total_vnd", "event_timestamp", *lake.DAY_COLUMNS)
+
+
 @query
 def stream_dedup_payments(spark, sf_dir):
     raw = adapters.raw_payments(spark, sf_dir)

@@ -48,7 +48,7 @@ def run_stream(spark: SparkSession, a) -> dict:
         quarantine=f"{a.quarantine or a.lake + '-quarantine'}/{a.topic}",
         metrics=a.metrics or f"{a.lake}-metrics", max_bad=a.max_bad,
         writer=BatchWriter(lake_path, on_missing=a.on_missing), max_files=a.max_files,
-        delay=a.delay, spread=a.spread,
+        max_bytes=a.max_bytes, delay=a.delay, spread=a.spread,
     )
     log.warning("stream %s: %s", a.topic, run)
     return run
@@ -66,7 +66,8 @@ def run_load(spark: SparkSession, a) -> dict[str, int]:
 
 def run_speed(spark: SparkSession, a) -> list[dict]:
     """Hourly sums per city of what has arrived since the last run, bad records left out."""
-    stream = landing.read_events(spark, f"{a.landing}/orders", ORDERS, a.max_files)
+    stream = landing.read_events(spark, f"{a.landing}/orders", ORDERS, a.max_files,
+                                 max_bytes=a.max_bytes)
     good, _ = landing.split_corrupt(stream, required(ORDERS))
     batches = drain_hourly_levels(good, a.sums, f"{a.checkpoints}/speed", a.fan)
     log.warning("speed layer: %s batches", len(batches))
@@ -128,6 +129,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--metrics", help="default: the lake's folder with -metrics")
     p.add_argument("--max-bad", type=int, help="fail the run beyond so many new bad records")
     p.add_argument("--max-files", type=int, default=50)
+    p.add_argument("--max-bytes", type=int, help="limit batches by bytes instead of files")
     p.add_argument("--delay", default="10 minutes", help="how late a row may be")
     p.add_argument("--spread", type=int, default=SPREAD)
     p.add_argument("--on-missing", choices=["fail", "skip"], default="fail")
@@ -137,6 +139,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--max-bad", type=int, default=0)
     p = job("speed", run_speed, "landing", "sums", "checkpoints")
     p.add_argument("--max-files", type=int, default=50)
+    p.add_argument("--max-bytes", type=int, help="limit batches by bytes instead of files")
     p.add_argument("--fan", type=int, default=FAN, help="folders of a level that become one")
     p = job("backlog", run_backlog, "samples")
     p.add_argument("--high", type=int, default=50_000)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.joins import hot_keys
+from ..session import scratch_dir
+from ..sources.buckets import write_bucketed
 from ..sources.ledger import read_table
 from ..sources.tables import materialize
 from . import intermediate, marts, staging
@@ -18,13 +20,18 @@ MART_LAYOUT = {
 }
 
 
-def _views(raw: dict[str, DataFrame], hot: DataFrame | None) -> dict[str, DataFrame]:
+def _views(raw: dict[str, DataFrame], hot: DataFrame | None,
+           buckets: int | None = None) -> dict[str, DataFrame]:
     out = {
         "stg_orders": staging.stg_orders(raw["orders"]),
         "stg_payments": staging.stg_payments(raw["payments"]),
         "stg_riders": staging.stg_riders(raw["rider_events"]),
         "stg_order_items": staging.stg_order_items(raw["orders"]),
     }
+    if buckets:
+        for name in ("stg_orders", "stg_payments"):
+            path = scratch_dir(out[name].sparkSession, name)
+            out[name] = write_bucketed(out[name], path, "order_id", buckets)
     out["int_order_payments"] = intermediate.int_order_payments(
         out["stg_orders"], out["stg_payments"], hot
     )
@@ -55,15 +62,18 @@ def run_models(
     raw: dict[str, DataFrame],
     warehouse: str | None = None,
     split_hot_orders: bool = True,
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """All ten models in full from ``raw`` = {orders, payments, rider_events}.
 
     Staging and intermediate models stay lazy. With ``warehouse`` the marts are
     written there and later models read the written fact, so the fact is
-    computed once; without it everything stays lazy.
+    computed once; without it everything stays lazy. With ``buckets`` staged
+    orders and payments are written once, in so many buckets of ``order_id``,
+    and all that joins or groups them by order reads those without a shuffle.
     """
     hot = hot_keys(raw["payments"], "order_id") if split_hot_orders else None
-    out = _views(raw, hot)
+    out = _views(raw, hot, buckets)
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         return _stored(name, df, warehouse) if warehouse else df

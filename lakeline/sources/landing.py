@@ -33,16 +33,21 @@ def read_events(
     max_files: int = 50,
     watermark: str | None = None,
     event_time: str = "event_timestamp",
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Stream a landing folder, oldest files first, with a declared schema.
 
-    Unreadable lines arrive with ``_corrupt_record`` set; see ``split_corrupt``.
+    Unreadable lines arrive with ``_corrupt_record`` set; see ``split_corrupt``. ``max_bytes``
+    limits a batch by the bytes of its files instead of their number, so that batches are alike
+    whatever the files; a file beyond the limit is a batch of its own.
     """
+    limit = (("maxBytesPerTrigger", max_bytes) if max_bytes is not None
+             else ("maxFilesPerTrigger", max_files))
     stream = (
         spark.readStream.schema(with_corrupt_column(schema))
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("latestFirst", "false")
-        .option("maxFilesPerTrigger", str(max_files))
+        .option(limit[0], str(limit[1]))
         .option("recursiveFileLookup", "true")
         .json(path)
     )

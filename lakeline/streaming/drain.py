@@ -53,11 +53,12 @@ def topic_stream(
     delay: str = "10 minutes",
     within_watermark: bool = False,
     spread: int = SPREAD,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Good rows of a topic, deduplicated, with their UTC day columns."""
     schema, key = TOPICS[topic]
     good, _ = split_corrupt(
-        read_events(spark, landing, schema, max_files), required(schema)
+        read_events(spark, landing, schema, max_files, max_bytes=max_bytes), required(schema)
     )
     unique = dedup_stream(good, key, "event_timestamp", delay, within_watermark, spread,
                           F.col("_metadata.file_path"))
@@ -82,11 +83,13 @@ def drain_topic(
 
 
 def drain_quarantine(
-    spark: SparkSession, topic: str, landing: str, path: str, checkpoint: str, max_files: int = 50
+    spark: SparkSession, topic: str, landing: str, path: str, checkpoint: str, max_files: int = 50,
+    max_bytes: int | None = None,
 ) -> list[dict]:
     """Unusable records of a topic, kept with their reason. Stateless, own checkpoint."""
     schema, _ = TOPICS[topic]
-    _, bad = split_corrupt(read_events(spark, landing, schema, max_files), required(schema))
+    stream = read_events(spark, landing, schema, max_files, max_bytes=max_bytes)
+    _, bad = split_corrupt(stream, required(schema))
     writer = BatchWriter(path, partition_by=())
     return with_stored(drain(bad, writer, checkpoint), writer)
 
@@ -103,6 +106,7 @@ def ingest_topic(
     writer: BatchWriter | None = None,
     max_files: int = 50,
     quarantine_files: int | None = None,
+    max_bytes: int | None = None,
     **options,
 ) -> dict:
     """One run of the ingest job: every landed line ends in the lake, in the quarantine, or in
@@ -113,9 +117,9 @@ def ingest_topic(
     """
     writer = writer or BatchWriter(lake)
     batches = drain_topic(spark, topic, landing, lake, checkpoint, writer, max_files=max_files,
-                          **options)
+                          max_bytes=max_bytes, **options)
     bad = drain_quarantine(spark, topic, landing, quarantine, f"{checkpoint}-quarantine",
-                           quarantine_files or max_files)
+                           quarantine_files or max_files, max_bytes)
     quarantined = sum(b["stored_rows"] for b in bad)
     record = store_run(spark, metrics, f"stream-{topic}", batches, quarantined, writer.skips)
     if max_bad is not None and quarantined > max_bad:

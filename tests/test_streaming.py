@@ -108,6 +108,16 @@ def test_many_small_batches_equal_one_batch(land, spark, tmp_path):
     assert land.lake() == whole.lake()
 
 
+def test_limit_in_bytes_holds_whatever_the_files(land):
+    small, large = [line(f"o{i}") for i in range(40)], [line(f"p{i}") for i in range(30)]
+    sizes = [os.path.getsize(land.put(x)) for x in small] + [os.path.getsize(land.put(*large))]
+    limit = sum(sizes[:10]) + 10
+    rows = [b["input_rows"] for b in land.drain(max_bytes=limit) if b["input_rows"]]
+    # Ten small files a batch; the large one is over the limit and comes alone.
+    assert rows == [10, 10, 10, 10, 30]
+    assert len(land.lake()) == 70
+
+
 def test_lake_day_is_the_utc_day_of_the_event(land, spark):
     land.put(line(seconds=-3 * 3600 - 1), line("o2"))
     land.drain(delay="1 day")
