@@ -35,6 +35,8 @@ BLOCK_SHINGLES = 100_000
 COORDINATE_GROUPS = 8
 #: Arbitrary references, and pairs that are compared at a time.
 REFERENCES, BLOCK_PAIRS = 24, 1_000_000
+#: Rows of a bucket that one task compares; those of a larger one meet by finer keys.
+BUCKET_ROWS = 20_000
 
 _A_TO_Z = bytes(range(65, 91))
 _LOWER = bytes.maketrans(_A_TO_Z, _A_TO_Z.lower())
@@ -162,41 +164,85 @@ def bucket_links(key: np.ndarray, prints: np.ndarray, distance: int) -> tuple:
     return prints[links.label[member]], prints[member]
 
 
-def near_links(prints: DataFrame, distance: int) -> DataFrame:
-    """(a, b): links among the distinct fingerprints of the only column, enough to connect all
-    that are within ``distance`` bits. Each task reads its buckets in the order of their keys
-    and holds one Arrow batch and one bucket of distinct fingerprints."""
-    column = quoted(prints.columns[0])
-    masks = F.array(*(F.lit(m).cast("bigint") for m in meeting_masks(distance)))
-    keyed = prints.select(column.alias("print"), block_counts(column).alias("counts"),
-                          F.explode(masks).alias("mask")).select(
-        "print", F.xxhash64("mask", F.col("counts").bitwiseAND(F.col("mask"))).alias("key"))
+def bit_masks(distance: int, kept: int = 4) -> list[int]:
+    """Choices of ``kept`` of ``distance + kept`` blocks of bits: whatever ``distance`` bits
+    change, one choice has none of them."""
+    cuts = [BITS * i // (distance + kept) for i in range(distance + kept + 1)]
+    blocks = [(1 << stop) - (1 << start) for start, stop in itertools.pairwise(cuts)]
+    masks = (sum(some) for some in itertools.combinations(blocks, kept))
+    return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
+
+
+def _compared(keyed: DataFrame, distance: int, limit: int | None) -> DataFrame:
+    """(a, b, crowded) of ``keyed`` = (key, print), where the prints of a key differ.
+
+    Links inside the buckets; where a bucket has more than ``limit`` rows, its prints instead, as
+    ``a`` of crowded rows. Tasks read buckets in the order of their keys and hold one Arrow batch
+    and at most ``limit`` rows before it.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, found = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        key, found, spilled = np.zeros(0, np.int64), np.zeros(0, np.int64), None
 
         def linked(upto: int) -> pa.RecordBatch:
             k, p = key[:upto], found[:upto]
-            shared = np.zeros(upto, bool)
-            shared[1:] |= k[1:] == k[:-1]
-            shared[:-1] |= k[1:] == k[:-1]
+            first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+            size = np.diff(np.append(first, upto))
+            crowd = (size > limit) | (k[first] == spilled) if limit else np.zeros(len(size), bool)
+            shared, crowded = np.repeat((size > 1) & ~crowd, size), p[np.repeat(crowd, size)]
             a, b = bucket_links(k[shared], p[shared].view(np.uint64), distance)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(x.view(np.int64), pa.int64()) for x in (a, b)], ["a", "b"])
+            flag = np.repeat([False, True], [len(a), len(crowded)])
+            return pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([a.view(np.int64), crowded]), pa.int64()),
+                pa.array(np.concatenate([b.view(np.int64), crowded]), pa.int64()),
+                pa.array(flag, pa.bool_())], ["a", "b", "crowded"])
 
         for batch in batches:
+            if not batch.num_rows:
+                continue
             key = np.concatenate([key, batch.column(0).to_numpy()])
             found = np.concatenate([found, batch.column(1).to_numpy()])
-            # The last bucket may go on in the next batch.
-            upto = int(np.searchsorted(key, key[-1], "left")) if len(key) else 0
+            # The last bucket may go on in the next batch; a crowded one need not wait for it.
+            upto = int(np.searchsorted(key, key[-1], "left"))
+            if limit and (len(key) - upto > limit or key[-1] == spilled):
+                upto = len(key)
             if upto:
                 yield linked(upto)
+                spilled = key[-1] if upto == len(key) else spilled
                 key, found = key[upto:], found[upto:]
         if len(key):
             yield linked(len(key))
 
     return (keyed.select("key", "print").repartition("key").sortWithinPartitions("key")
-            .mapInArrow(scan, "a bigint, b bigint"))
+            .mapInArrow(scan, "a bigint, b bigint, crowded boolean"))
+
+
+def near_links(prints: DataFrame, distance: int) -> DataFrame:
+    """(a, b): links among the distinct fingerprints of the only column, enough to connect all
+    that are within ``distance`` bits.
+
+    The fingerprints of buckets with more than ``BUCKET_ROWS`` rows, as templated texts have them,
+    meet again in buckets that agree in some blocks of their bits too; no such pair is lost, and
+    no task compares a crowded bucket.
+    """
+    column = quoted(prints.columns[0])
+
+    def masks(values: list[int]) -> Column:
+        return F.explode(F.array(*(F.lit(m).cast("bigint") for m in values))).alias("mask")
+
+    keyed = prints.select(
+        column.alias("print"), block_counts(column).alias("counts"),
+        masks(meeting_masks(distance))).select(
+        "print", F.xxhash64("mask", F.col("counts").bitwiseAND(F.col("mask"))).alias("key"))
+    met = stored(_compared(keyed, distance, BUCKET_ROWS), "links")
+    links, crowded = met.where("NOT crowded").select("a", "b"), met.where("crowded")
+    if crowded.isEmpty():
+        return links
+    finer = (crowded.select(F.col("a").alias("print")).distinct()
+             .select("print", masks(bit_masks(distance)))
+             .select("print", F.xxhash64("mask", F.col("print").bitwiseAND(F.col("mask")))
+                     .alias("key")))
+    return links.union(_compared(finer, distance, None).select("a", "b"))
 
 
 def component_of_prints(prints: DataFrame, key: str, print_: str, distance: int) -> DataFrame:

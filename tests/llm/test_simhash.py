@@ -70,9 +70,12 @@ def test_block_counts_follow_from_distances(spark):
             assert counts >> 2 * i & 3 == (p.bit_count() + 2 - to_reference) // 2
 
 
+@pytest.mark.parametrize("bucket_rows,batch", [(20_000, 10_000), (5, 7), (1, 3)])
 @pytest.mark.parametrize("distance", [0, 1, 2, 3])
-def test_dense_groups_equal_brute_force(spark, distance, monkeypatch):
+def test_dense_groups_equal_brute_force(spark, distance, bucket_rows, batch, monkeypatch):
+    """Also where every bucket is crowded, and goes on over many Arrow batches."""
     monkeypatch.setattr(simhash, "BLOCK_PAIRS", 50)
+    monkeypatch.setattr(simhash, "BUCKET_ROWS", bucket_rows)
     draw = random.Random(distance)
     prints = set()
     for _ in range(12):
@@ -89,7 +92,11 @@ def test_dense_groups_equal_brute_force(spark, distance, monkeypatch):
         first.setdefault(label[p], i)
     signed = lambda p: p - (1 << 64) if p >> 63 else p
     df = spark.createDataFrame([(i, signed(p)) for i, p in enumerate(prints)], "k long, p long")
-    found = simhash.component_of_prints(df.repartition(3), "k", "p", distance).collect()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        found = simhash.component_of_prints(df.repartition(3), "k", "p", distance).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert {r["print"]: r.component_id for r in found} == {
         signed(p): first[label[p]] for p in prints}
 
@@ -165,3 +172,25 @@ def test_meeting_masks_leave_one_choice_untouched():
             assert any(all(not m >> int(b) & 1 for b in bits) for m in masks)
     with pytest.raises(ValueError):
         simhash.meeting_masks(8)
+
+
+@pytest.mark.parametrize("distance", [0, 1, 2, 3])
+def test_bit_masks_leave_one_choice_untouched(distance):
+    masks = [m & (1 << 64) - 1 for m in simhash.bit_masks(distance)]
+    assert all(m.bit_count() >= 32 for m in masks)
+    draw = random.Random(distance)
+    for _ in range(200):
+        change = 0
+        for _ in range(distance):
+            change |= 1 << draw.randrange(64)
+        assert any(not change & m for m in masks)
+
+
+def test_a_crowded_bucket_is_split_over_keys(spark, monkeypatch):
+    """Near fingerprints of one template: none of the finer buckets is near the size of all."""
+    draw, base = random.Random(2), random.Random(1).getrandbits(63)
+    prints = {base ^ sum({1 << draw.randrange(63) for _ in range(8)}) for _ in range(20_000)}
+    df = spark.createDataFrame([(p,) for p in prints], "print long")
+    counts = [df.groupBy(F.col("print").bitwiseAND(F.lit(m))).count().agg(F.max("count")).first()[0]
+              for m in simhash.bit_masks(2)]
+    assert max(counts) < 200
