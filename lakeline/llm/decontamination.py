@@ -170,7 +170,8 @@ def _cutter(spark: SparkSession, blocks: Iterator[Phrases]):
 
         return cut
 
-    return per_array("binary", make)
+    # Or else a filter on the cut text and the text itself would each search for it.
+    return per_array("binary", make).asNondeterministic()
 
 
 def without_contamination(docs: DataFrame, items: DataFrame, *, text: str = "text",

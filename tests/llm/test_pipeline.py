@@ -20,10 +20,10 @@ DE = ("der die und das nicht ist von mit sich auf eine auch wird dem des werden
       "aber nach wenn nur kann durch ihre diese sind schon immer wieder unter zwischen etwa")
 
 
-def test_registry_holds_ten_operators_and_the_pipeline():
+def test_registry_holds_all_operators_and_the_pipeline():
     found = entry.queries()
     assert set(QUERIES) <= set(found) and "pipeline" in found
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES) and set(ORACLE) <= set(entry.oracle_sql())
 
 
@@ -118,6 +118,13 @@ def test_stages_on_planted_documents(spark, tmp_path):
         (r.doc_id, r.piece, r.length, r.ids_crc32) for r in kept[4])
 
 
+def test_benchmark_stage_searches_each_text_once(spark, tmp_path):
+    sf = tables(spark, tmp_path, {n: ([], k) for n, k in KINDS.items()})
+    out = corpus_pipeline.cut_benchmark(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_stages_on_empty_tables(spark, tmp_path):
     sf = tables(spark, tmp_path, {n: ([], k) for n, k in KINDS.items()})
     now = spark.read.parquet(f"{sf}/documents.parquet")
