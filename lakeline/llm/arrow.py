@@ -63,8 +63,10 @@ def free_name(df: DataFrame, base: str) -> str:
 TEXT_BYTES = 4_000_000
 
 
-def per_array(returns: str, make: Callable[[], Callable[[pa.Array], pa.Array]]):
-    """A function of one column; ``make`` runs once per task and gives what maps an array.
+def per_array(returns: str,
+              make: Callable[[], Callable[[pa.Array], pa.Array | Iterator[pa.Array]]]):
+    """A function of one column; ``make`` runs once per task and gives what maps an array to one
+    of the same length, or to several that have its length together.
 
     Arrow batches of texts are handed over in slices of about ``TEXT_BYTES``, so that a task
     needs memory for a slice, whatever the number of rows in a batch.
@@ -74,7 +76,8 @@ def per_array(returns: str, make: Callable[[], Callable[[pa.Array], pa.Array]]):
         apply = make()
         for array in arrays:
             for part in text_slices(array):
-                yield apply(array[part])
+                made = apply(array[part])
+                yield from [made] if isinstance(made, pa.Array) else made
             pa.default_memory_pool().release_unused()
 
     return F.arrow_udf(run, returnType=returns)

@@ -9,12 +9,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeline.llm.arrow import batches_of, list_array, per_array, quoted, ship_package, utf8
+from lakeline.llm.arrow import (
+    batches_of,
+    list_array,
+    per_array,
+    quoted,
+    ship_package,
+    slices_of,
+    utf8,
+)
 from lakeline.llm.fm_index import FmIndex
 
 #: Bytes of text that one index covers, and bytes of benchmark text in one broadcast. A larger
 #: benchmark becomes several broadcasts, each searched in the same pass over the documents.
 SHARD_BYTES, ITEM_BYTES = 4_000_000, 16_000_000
+#: Items in the lists that are made or handed back at a time; a longer list is alone.
+LIST_ITEMS = 500_000
 
 #: A-Z lowered; ASCII that is neither letter nor digit becomes a blank; the rest stays.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32
@@ -25,31 +35,72 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_FOLD).split() if text else []
 
 
+def slices(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places of all slices, one after the other."""
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+
+
+def equal_slices(values: np.ndarray, starts: np.ndarray,
+                 lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One slice of each kind of equal slices, and the kind of each slice.
+
+    Slices of one, two, four, .. values get numbers from the numbers of their halves; a length is
+    put together from these. So the memory is a few numbers per value, however long slices are.
+    """
+    part, step = values.astype(np.int64), 1
+    kind, done = np.zeros(len(starts), np.int64), starts.astype(np.int64)
+    longest = int(lengths.max(initial=0))
+    while step <= longest:
+        has = np.flatnonzero(lengths & step)
+        pair = kind[has] * (int(part.max()) + 1) + part[done[has]]
+        kind[has] = np.unique(pair, return_inverse=True)[1]
+        done[has] += step
+        beside = np.zeros(len(part), np.int64)
+        beside[:len(part) - step] = part[step:]
+        step *= 2
+        if step <= longest:
+            part = np.unique(part * (int(part.max()) + 1) + beside, return_inverse=True)[1]
+    _, one, kind = np.unique(lengths * (len(starts) + 1) + kind, return_index=True,
+                             return_inverse=True)
+    return one, kind
+
+
 class Phrases:
-    """The distinct windows of some items as rows of word numbers, and the items of each."""
+    """The distinct windows of some items, as slices of one sequence of word numbers, and for
+    each the number of the set of items that hold it."""
 
     def __init__(self, items: list[tuple[str, bytes | None]], width: int):
         self.vocabulary: dict[bytes, int] = {}
-        windows: dict[tuple[int, ...], set[int]] = {}
         names: dict[str, int] = {}
+        texts, owners = [], []
         for name, text in items:
-            # 0 is the end mark of an index, 1 stands for all other words.
-            numbers = [self.vocabulary.setdefault(w, len(self.vocabulary) + 2)
-                       for w in words_of(text)]
-            for i in range(max(len(numbers) - width, 0) + 1 if numbers else 0):
-                item = names.setdefault(name, len(names))
-                windows.setdefault(tuple(numbers[i:i + width]), set()).add(item)
+            words = words_of(text)
+            if words:
+                # 0 is the end mark of an index, 1 stands for all other words.
+                texts.append(np.fromiter((self.vocabulary.setdefault(w, len(self.vocabulary) + 2)
+                                          for w in words), np.int32, len(words)))
+                owners.append(names.setdefault(name, len(names)))
         self.names = list(names)
-        self.lengths = np.asarray([len(w) for w in windows], np.int64)
-        self.rows = np.zeros((len(windows), width), np.int64)
-        for row, window in zip(self.rows, windows):
-            row[:len(window)] = window
-        self.item_counts = np.asarray([len(v) for v in windows.values()], np.int64)
-        self.item_starts = np.concatenate([[0], np.cumsum(self.item_counts)]).astype(np.int64)
-        self.items = np.asarray([i for v in windows.values() for i in sorted(v)], np.int64)
-
-    def find(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, from, to) of merged spans of words, and (text, item) pairs.
+        sizes = np.asarray([len(t) for t in texts], np.int64)
+        self.words = np.concatenate([np.zeros(0, np.int32), *texts])
+        counts = np.maximum(sizes - width, 0) + 1
+        starts = slices(np.cumsum(sizes) - sizes, counts)
+        lengths = np.repeat(np.minimum(sizes, width), counts)
+        one, window = equal_slices(self.words, starts, lengths)
+        self.starts, self.lengths = starts[one].astype(np.int32), lengths[one].astype(np.int32)
+        # Windows of a template are in the same items: a set is kept once.
+        owner = np.repeat(np.asarray(owners, np.int64), counts)
+        window, owner = np.divmod(np.unique(window * len(names) + owner), max(len(names), 1))
+        held = np.bincount(window, minlength=len(one))
+        begin = np.cumsum(held) - held
+        first, kind = equal_slices(owner, begin, held)
+        self.set_of = kind.astype(np.int32)
+        self.set_counts = held[first]
+        self.set_starts = np.cumsum(self.set_counts) - self.set_counts
+        self.set_items = owner[slices(begin[first], self.set_counts)].astype(np.int32)
+
+    def find(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """(text, from, to) of merged spans of words, and distinct (text, set of items) pairs.
 
         A window lies inside a run of benchmark words, so only runs as long as the shortest
         window are indexed, each closed by a symbol that is in no window.
@@ -65,25 +116,40 @@ class Phrases:
         run, ends = run[kept], ends[kept]
         if not len(run):
             return none
-        origin = np.repeat(ends - run - np.cumsum(run + 1) + run + 1, run + 1) + np.arange(
-            (run + 1).sum())
+        origin = slices(ends - run, run + 1)
         index = FmIndex(numbers[origin], len(self.vocabulary) + 2)
-        low, high = index.search(self.rows, self.lengths)
+        low, high = index.search_in(self.words, self.starts, self.lengths)
         found = np.flatnonzero(high > low)
         times = high[found] - low[found]
         window = np.repeat(found, times)
-        rows = np.repeat(low[found] - np.cumsum(times) + times, times) + np.arange(times.sum())
-        at = origin[index.locate(rows)]
+        at = origin[index.locate(slices(low[found], times))]
         first = np.cumsum(sizes) - sizes
         text = np.searchsorted(first, at, "right") - 1
-        hits = np.unique(text * len(self.lengths) + window)
-        in_text, window_hit = np.divmod(hits, len(self.lengths))
-        n = self.item_counts[window_hit]
-        item = self.items[np.repeat(self.item_starts[window_hit] - np.cumsum(n) + n, n)
-                          + np.arange(n.sum())]
-        pairs = np.unique(np.repeat(in_text, n) * len(self.names) + item)
+        n_sets = len(self.set_counts)
+        pairs = np.unique(text * n_sets + self.set_of[window])
         return self._merged(text, at - first[text], self.lengths[window]), np.stack(
-            np.divmod(pairs, len(self.names)), 1)
+            np.divmod(pairs, n_sets), 1)
+
+    def items_of(self, pairs: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct lists of items that texts have, as numbers and lengths, and the list of
+        each text. Texts that meet the same sets share a list."""
+        n = np.bincount(pairs[:, 0], minlength=n_texts)
+        begin = np.cumsum(n) - n
+        one, of = equal_slices(pairs[:, 1], begin, n)
+        sets = pairs[slices(begin[one], n[one]), 1]
+        which = np.repeat(np.arange(len(one)), n[one])
+        numbers, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        # Sets of one list may overlap, so lists are made some at a time.
+        sizes = np.bincount(which, self.set_counts[sets], minlength=len(one)).astype(np.int64)
+        for part in slices_of(sizes.tolist(), LIST_ITEMS):
+            a, b = np.searchsorted(which, [part.start, part.stop])
+            held = self.set_counts[sets[a:b]]
+            item = self.set_items[slices(self.set_starts[sets[a:b]], held)]
+            both = np.unique((np.repeat(which[a:b], held) - part.start) * len(self.names) + item)
+            listed, item = np.divmod(both, max(len(self.names), 1))
+            numbers.append(item)
+            counts.append(np.bincount(listed, minlength=part.stop - part.start))
+        return np.concatenate(numbers), np.concatenate(counts), of
 
     @staticmethod
     def _merged(text: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -120,26 +186,28 @@ def _finder(spark: SparkSession, phrases: Phrases):
     shared = spark.sparkContext.broadcast(phrases)
 
     def make():
-        def find(texts: pa.Array) -> pa.Array:
-            values = texts.to_pylist()
-            n_words, spans, n_spans, items, n_items = [], [], [], [], []
+        def find(texts: pa.Array) -> Iterator[pa.Array]:
+            values, phrases = texts.to_pylist(), shared.value
+            names = pa.array(phrases.names, pa.string())
             for part in batches_of(values, SHARD_BYTES):
                 lists = [words_of(t) for t in values[part]]
-                span, pairs = shared.value.find(lists)
-                n_words.extend(map(len, lists))
-                spans.append(span[:, 1:])
-                n_spans.append(np.bincount(span[:, 0], minlength=len(lists)))
-                items.extend(shared.value.names[i] for i in pairs[:, 1].tolist())
-                n_items.append(np.bincount(pairs[:, 0], minlength=len(lists)))
-            flat = np.concatenate([np.zeros((0, 2), np.int64), *spans])
-            none = [np.zeros(0, np.int64)]
-            span = pa.StructArray.from_arrays(
-                [pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["start", "stop"])
-            return pa.StructArray.from_arrays([
-                pa.array(n_words, pa.int64()),
-                list_array(span, np.concatenate(none + n_spans)),
-                list_array(pa.array(items, pa.string()), np.concatenate(none + n_items)),
-            ], ["n_words", "spans", "items"])
+                span, pairs = phrases.find(lists)
+                n_spans = np.bincount(span[:, 0], minlength=len(lists))
+                upto = np.concatenate([[0], np.cumsum(n_spans)])
+                item, counts, of = phrases.items_of(pairs, len(lists))
+                # A list that many texts share is written out for some of them at a time.
+                for rows in slices_of(counts[of].tolist(), LIST_ITEMS):
+                    some = of[rows]
+                    begin = (np.cumsum(counts) - counts)[some]
+                    flat = span[upto[rows.start]:upto[rows.stop], 1:]
+                    yield pa.StructArray.from_arrays([
+                        pa.array([len(words) for words in lists[rows]], pa.int64()),
+                        list_array(pa.StructArray.from_arrays(
+                            [pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["start", "stop"]),
+                            n_spans[rows]),
+                        list_array(names.take(pa.array(item[slices(begin, counts[some])])),
+                                   counts[some]),
+                    ], ["n_words", "spans", "items"])
 
         return find
 
@@ -215,9 +283,10 @@ def contamination(docs: DataFrame, items: DataFrame, *, text: str = "text",
     A window is ``width`` consecutive words of an item; an item of fewer words is one window,
     and one without words matches nothing. A null text has no words and no spans. Items with
     the same id count once, a null id is called ``null``. The benchmark is read block by
-    block of ``item_bytes`` of text. The driver makes the windows of one block at a time, which
-    take many times its bytes; a worker holds those of all blocks, so its memory grows with the
-    benchmark.
+    block of ``item_bytes`` of text. The driver makes the windows of one block at a time, as numbers
+    in a few times its bytes; a worker holds those of all blocks, so its memory grows with the
+    benchmark. Items that share windows share sets, so many items with one window cost a text
+    one number, and lists of items are handed back some at a time.
     """
     spark = docs.sparkSession
     ship_package(spark)

@@ -105,11 +105,16 @@ class FmIndex:
 
     def search(self, phrases: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows from, to of the suffixes that begin with each phrase (rows of ``phrases``)."""
-        low = np.zeros(len(phrases), np.int64)
-        high = np.full(len(phrases), self.n, np.int64)
+        return self.search_in(phrases.ravel(), np.arange(len(phrases)) * phrases.shape[1], lengths)
+
+    def search_in(self, words: np.ndarray, starts: np.ndarray,
+                  lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for phrases that are slices of one sequence."""
+        low = np.zeros(len(starts), np.int64)
+        high = np.full(len(starts), self.n, np.int64)
         for back in range(1, int(lengths.max(initial=0)) + 1):
             live = np.flatnonzero((lengths >= back) & (low < high))
-            symbols = phrases[live, lengths[live] - back]
+            symbols = words[starts[live] + lengths[live] - back]
             low[live] = self.smaller[symbols] + self.wavelet.rank(symbols, low[live])
             high[live] = self.smaller[symbols] + self.wavelet.rank(symbols, high[live])
         return low, high

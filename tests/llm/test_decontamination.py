@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -104,6 +105,67 @@ def test_report_equals_brute_force(spark, seed, item_bytes, monkeypatch):
                   for r in found) == sorted(brute(docs, items, 4))
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_equal_slices_have_one_kind(seed):
+    draw = np.random.default_rng(seed)
+    values = draw.integers(0, draw.integers(1, 4), draw.integers(1, 200))
+    starts = draw.integers(0, len(values) + 1, draw.integers(0, 60))
+    lengths = draw.integers(0, len(values) - starts + 1) if len(starts) else starts
+    one, kind = dc.equal_slices(values, starts, lengths)
+    texts = [tuple(values[a:a + n].tolist()) for a, n in zip(starts, lengths)]
+    assert len(one) == len(set(texts))
+    assert [texts[one[k]] for k in kind] == texts
+
+
+def test_a_template_of_many_items_costs_a_text_one_number(spark, monkeypatch):
+    """Texts times items would be 12 million pairs here."""
+    shared = "this is the one passage that every item of a template holds"
+    items = [(f"i{n:04}", f"{shared} and number {n}".encode()) for n in range(3000)]
+    texts = [f"{n} {shared} {n}".encode() for n in range(4000)] + [b"", b"clean words"]
+    tracemalloc.start()
+    phrases = dc.Phrases(items, 10)
+    spans, pairs = phrases.find([dc.words_of(t) for t in texts])
+    item, counts, of = phrases.items_of(pairs, len(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(pairs) == 4000 and peak < 40_000_000
+    assert sorted(counts.tolist()) == [0, 3000] and len(item) == 3000
+    assert counts[of].tolist() == [3000] * 4000 + [0, 0]
+    monkeypatch.setattr(dc, "LIST_ITEMS", 7000)
+    d = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts[-50:])], "doc_id int, text string")
+    b = spark.createDataFrame([(k, t.decode()) for k, t in items], "item_id string, text string")
+    rows = dc.contamination_report(d.coalesce(1), b).orderBy("doc_id").collect()
+    names = [k for k, _ in items]
+    assert [r["items"] for r in rows] == [names] * 48 + [[], []]
+    assert [r.n_hit for r in rows] == [len(shared.split())] * 48 + [0, 0]
+
+
+@pytest.mark.parametrize("limit", [1, 5, 10_000])
+def test_lists_that_overlap_are_joined(limit, monkeypatch):
+    monkeypatch.setattr(dc, "LIST_ITEMS", limit)
+    items = [("a", b"x y"), ("b", b"x y z"), ("c", b"y z"), ("d", b"z x y")]
+    phrases = dc.Phrases(items, 2)
+    texts = [b"x y", b"", b"y z", b"x y z", b"z x", b"y x", b"x y", b"z x y z"]
+    _, pairs = phrases.find([dc.words_of(t) for t in texts])
+    item, counts, of = phrases.items_of(pairs, len(texts))
+    ends = np.cumsum(counts)
+    got = ["".join(phrases.names[i] for i in item[ends[k] - counts[k]:ends[k]]) for k in of]
+    assert got == ["abd", "", "bc", "abcd", "d", "", "abd", "abcd"]
+
+
+def test_a_text_over_the_shard_is_searched_whole(spark, monkeypatch):
+    monkeypatch.setattr(dc, "SHARD_BYTES", 1000)
+    draw = random.Random(5)
+    body = [draw.choice("abcdefgh") for _ in range(30_000)]
+    docs = [(1, " ".join(body)), (2, "x"), (3, " ".join(body[-9:] + ["x"] * 9))]
+    items = [(7, " ".join(body[-6:])), (8, " ".join(body[14_000:14_020])), (9, "q r s t u v w x")]
+    d = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    found = dc.contamination_report(d, b, width=6).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_hit, [tuple(s) for s in r.spans], r["items"])
+                  for r in found) == sorted(brute(docs, items, 6))
+
+
 def test_cut_texts_hold_no_window_and_clean_ones_stay(spark):
     docs, items, d, b = tables(spark, 7)
     cut = d.withColumn("cut", dc.without_contamination(d, b, width=4))
