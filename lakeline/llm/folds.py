@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeline.llm.arrow import quoted
+from lakeline.llm.arrow import quoted, stored
 
 #: A text over this part of the bytes that a sample may have waits until others have been taken.
 LONG = 20
@@ -27,40 +29,46 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, key: str, text: str,
 
     Chosen in that order by their lengths, label by label. A text that doesn't fit into what is
     left of ``max_bytes`` is passed over, and very long ones come last, so none takes the place
-    of all others; only if no text of a label fits, the shortest is taken. Texts are read when
-    they are chosen. ``allowed`` is a condition on the labels table.
+    of all others; only if no text of a label fits, the shortest is taken. All texts are read
+    twice, for the lengths of both labels' candidates and for those that are chosen. A repeated
+    row of labels counts once, a repeated document as often as it is there; without labels the
+    sample is empty. ``allowed`` is a condition on the labels table.
     """
     order = F.xxhash64(quoted(key), F.lit(label))
     known = labels.where(allowed & quoted(key).isNotNull() & quoted(label).isin(0, 1)).select(
         quoted(key).alias("k"), quoted(label).cast("int").alias("label"), order.alias("order"))
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    if not sizes:
+        return [], sizes
     texts = docs.where(quoted(text).isNotNull()).select(
         quoted(key).alias("k"), quoted(text).cast("string").cast("binary").alias("t"))
-    out: list[tuple[bytes, int]] = []
+    # A little more than wanted of each label, so that what is broadcast and sorted is bounded.
+    share = {v: math.ceil(min(1.0, 1.5 * rows[v] / n) * (1 << 20)) for v, n in sizes.items()}
+    dice, wide = F.pmod("order", F.lit(1 << 20)), F.lit(False)
+    for value, upto in share.items():
+        wide = wide | ((F.col("label") == value) & (dice < upto))
+    met = stored(texts.join(F.broadcast(known.where(wide).distinct()), "k").select(
+        "k", "label", "order", F.xxhash64("t").alias("hash"), F.length("t").alias("n")),
+        "labelled")
+    taken: list[tuple[int, int]] = []
+    reads: list[tuple] = []
     for value in sorted(sizes):
-        # A little more than wanted, so that the sort is over a bounded number of rows.
-        share = min(1.0, 1.5 * rows[value] / sizes[value])
-        dice = F.pmod("order", F.lit(1 << 20)) < share * (1 << 20)
-        some = known.where((F.col("label") == value) & dice)
-        found = (texts.join(F.broadcast(some), "k")
-                 .select("k", "order", F.xxhash64("t").alias("hash"), F.length("t").alias("n"))
-                 .orderBy("order", "k", "hash").limit(2 * rows[value]))
-        met = found.select("k", "hash", "n").collect()
-        chosen = _fitting([r["n"] for r in met], rows[value], max_bytes[value])
+        of = (met.where(F.col("label") == value).orderBy("order", "k", "hash")
+              .limit(2 * rows[value]).select("k", "hash", "n").collect())
+        chosen = _fitting([r["n"] for r in of], rows[value], max_bytes[value])
         # Rows of one text are next to each other: they are read once.
-        first = list(range(len(met)))
-        for i in range(1, len(met)):
-            if met[i] == met[i - 1]:
-                first[i] = first[i - 1]
-        wanted = docs.sparkSession.createDataFrame(
-            [(met[i]["k"], met[i]["hash"], i) for i in sorted({first[i] for i in chosen})],
-            T.StructType([found.schema["k"], found.schema["hash"],
-                          T.StructField("at", T.IntegerType())]))
-        read = (texts.join(F.broadcast(wanted.withColumnRenamed("hash", "h")), "k")
-                .where(F.xxhash64("t") == F.col("h")).groupBy("at").agg(F.first("t").alias("t")))
-        held = {r["at"]: bytes(r["t"]) for r in read.toLocalIterator()}
-        out.extend((held[first[i]], value) for i in chosen)
-    return out, sizes
+        last = None
+        for i in chosen:
+            if of[i] != last:
+                last = of[i]
+                reads.append((last["k"], last["hash"], len(reads)))
+            taken.append((len(reads) - 1, value))
+    wanted = docs.sparkSession.createDataFrame(reads, T.StructType([
+        met.schema["k"], T.StructField("h", T.LongType()), T.StructField("at", T.IntegerType())]))
+    read = (texts.join(F.broadcast(wanted), "k").where(F.xxhash64("t") == F.col("h"))
+            .groupBy("at").agg(F.first("t").alias("t")))
+    held = {r["at"]: bytes(r["t"]) for r in read.toLocalIterator()}
+    return [(held[at], value) for at, value in taken], sizes
 
 
 def _fitting(lengths: list[int], rows: int, max_bytes: int) -> list[int]:
