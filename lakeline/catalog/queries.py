@@ -21,7 +21,7 @@ from ..plans.models import run_models
 from ..schemas import (
     ORDER_STATUSES, ORDERS, PAYMENT_METHODS, PAYMENTS, RIDER_STATUSES, TOPICS,
 )
-from ..session import scratch_dir, use_utc
+from ..session import brief_shuffles, scratch_dir, use_utc
 from ..sources import adapters, landing, lake, tables, typed
 from ..sources.fs import Folder
 from ..sources.ledger import Ledger, read_table
@@ -213,11 +213,16 @@ def final_vs_raw(spark, sf_dir):
 # --- landing, streams -----------------------------------------------------
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+#: Rows of a landed file, and files of a feed at least. A compressed file is one task.
+FILE_ROWS, FEED_FILES = 200_000, 16
+MAX_FILES = 50   # of a trigger, as the job has it
+MAX_BYTES = 4 << 30   # of a trigger that is limited by bytes
 
 
-def land(df: DataFrame, path: str) -> None:
-    """JSON lines as the message bridge leaves them."""
-    df.write.mode("append").option("timestampFormat", TS_FORMAT).json(path)
+def land(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> None:
+    """JSON lines as the message bridge leaves them, compressed; ``file_rows`` of 0: any number."""
+    (df.write.mode("append").option("timestampFormat", TS_FORMAT).option("compression", "gzip")
+     .option("maxRecordsPerFile", file_rows).json(path))
 
 
 def event_days(df: DataFrame) -> list[dt.date]:
@@ -225,29 +230,16 @@ def event_days(df: DataFrame) -> list[dt.date]:
     return [r.d for r in days]
 
 
-def land_by_day(df: DataFrame, path: str, copies: int = 1) -> None:
-    """The feed of every day after that of the day before; each record ``copies`` times."""
-    kept = df.withColumn("__day", F.to_date(utc_datetime("event_timestamp"))).persist()
-    for day in event_days(df):
-        for _ in range(copies):
-            land(kept.where(F.col("__day").eqNullSafe(F.lit(day))).drop("__day"), path)
-    kept.unpersist()
-
-
-#: Rows of a landed file, and files of a feed at least.
-FILE_ROWS, FEED_FILES = 500_000, 16
-MAX_FILES = 50   # of a trigger, as the job has it
-MAX_BYTES = 4 << 30   # of a trigger that is limited by bytes
-
-
 def land_in_order(df: DataFrame, path: str, copies: int = 1) -> int:
     """The feed in order of event time, file by file; each record ``copies`` times. Returns the
     number of files. Written at once; then the files get the times at which they would have
     come, which is the order in which a stream reads them."""
-    for _ in range(copies - 1):
-        df = df.unionAll(df)
-    files = max(FEED_FILES, df.count() // FILE_ROWS)
-    land(df.repartitionByRange(files, "event_timestamp"), path)
+    files = max(FEED_FILES, copies * df.count() // FILE_ROWS)
+    ordered = df.repartitionByRange(files, "event_timestamp")
+    # Copied after the shuffle, which so carries each record once.
+    copied = ordered.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    with brief_shuffles(df.sparkSession):
+        land(copied.drop("__copy"), path, file_rows=0)
     landed = Folder(df.sparkSession, path)
     names = landed.names()
     start = dt.datetime.now(dt.timezone.utc) - dt.timedelta(seconds=len(names))
@@ -311,8 +303,8 @@ def _late_runs(spark, sf_dir):
     later = F.col("event_timestamp") + F.expr(f"INTERVAL {SHIFT_DAYS} DAYS")
     batches = []
     for run, rows in enumerate((raw, raw.withColumn("event_timestamp", later))):
-        land_by_day(rows, f"{base}/landing")
-        per_batch = files_per_batch(spark, f"{base}/landing", BATCHES * (run + 1))
+        files = land_in_order(rows, f"{base}/landing/{run}")
+        # No record comes twice in one run, so slices would hold every key a second time.
         batches += drain_topic(spark, "orders", f"{base}/landing", f"{base}/lake",
                                f"{base}/checkpoint", max_files=per_batch, delay=FEED_DELAY)
     return base, batches
@@ -441,9 +433,8 @@ def stream_restart_verified(spark, sf_dir):
 
 def _landed_orders(spark, sf_dir, name):
     base = scratch_dir(spark, name)
-    land_by_day(adapters.raw_orders(spark, sf_dir), f"{base}/landing")
-    stream = landing.read_events(spark, f"{base}/landing", ORDERS,
-                                 files_per_batch(spark, f"{base}/landing"))
+    files = land_in_order(adapters.raw_orders(spark, sf_dir), f"{base}/landing")
+    stream = landing.read_events(spark, f"{base}/landing", ORDERS, -(-files // BATCHES))
     return base, landing.split_corrupt(stream, ["order_id", "placed_at"])[0]
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +37,21 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of every statement begun in here go as soon as it ends, and not when the
+    driver next collects garbage. A DataFrame that is run twice is shuffled twice."""
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder of the cluster.
 

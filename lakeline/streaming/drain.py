@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import with_event_date_parts
 from ..schemas import TOPICS, required
+from ..session import brief_shuffles
 from ..sources.landing import TooManyBadRecords, read_events, split_corrupt
 from .dedup import SPREAD, dedup_stream
 from .metrics import ProgressLog, store_run, with_stored
@@ -32,13 +33,15 @@ def drain(stream: DataFrame, writer: Callable[[DataFrame, int], None], checkpoin
     if state_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     try:
-        log.query = (
-            stream.writeStream.foreachBatch(write)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .outputMode(mode)
-            .start()
-        )
+        # The query keeps the settings it was started with.
+        with brief_shuffles(spark):
+            log.query = (
+                stream.writeStream.foreachBatch(write)
+                .option("checkpointLocation", checkpoint)
+                .trigger(availableNow=True)
+                .outputMode(mode)
+                .start()
+            )
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     log.query.awaitTermination()
