@@ -341,6 +341,29 @@ def _broken(raw: DataFrame) -> DataFrame:
 
 
 @query
+#: Rows of a file of the accounted feed; a batch takes as many files as its rows fill.
+ACCOUNTING_FILE_ROWS = 100_000
+
+
+def _land_turns(lines: DataFrame, turns: list[dt.date], files: int, path: str) -> None:
+    """Lines (value, day) as the feed that brings these days one after the other, a repeated one
+    again, in ``files`` files each. Every line is built and shuffled once."""
+    spark = lines.sparkSession
+    order = spark.createDataFrame(list(zip(turns, range(len(turns)))), "day date, turn int")
+    piece = F.pmod(F.xxhash64("value"), F.lit(files)).alias("piece")
+    dealt = lines.where(F.col("day").isNotNull()).select("value", "day", piece).repartition(
+        max(1, len(set(turns)) * files), "day", "piece")
+    with brief_shuffles(spark):
+        (dealt.join(F.broadcast(order), "day").select("value", "turn", "piece")
+         .write.option("compression", "gzip").partitionBy("turn", "piece").text(path))
+    landed = Folder(spark, path)
+    start = dt.datetime.now(dt.timezone.utc) - dt.timedelta(seconds=len(turns))
+    for place in landed.folders_with_files(2):
+        turn = int(place.split("/")[0].split("=")[1])
+        for name in landed.child(place).names():
+            landed.child(f"{place}/{name}").date(start + dt.timedelta(seconds=turn))
+
+
 def stream_accounting(spark, sf_dir):
     """A run of over a hundred batches: every landed line is stored, late, a duplicate or bad.
 
@@ -348,17 +371,17 @@ def stream_accounting(spark, sf_dir):
     """
     base = scratch_dir(spark, "stream-accounting")
     raw = adapters.raw_orders(spark, sf_dir)
-    lines = _broken(raw).withColumn("day", F.to_date(utc_datetime("event_timestamp"))).persist()
+    lines = _broken(raw).withColumn("day", F.to_date(utc_datetime("event_timestamp")))
     days = event_days(raw)
     each = -(-110 // (2 * len(days))) if days else 1
-    for day in [d for d in days for _ in range(2)] + days[:1]:
-        lines.where(F.col("day") == F.lit(day)).select("value").repartition(each).write.mode(
-            "append").text(f"{base}/landing")
-    lines.unpersist()
+    per_batch = raw.count() // (len(days) * each) if days else 0
+    width = 1 + per_batch // ACCOUNTING_FILE_ROWS
+    _land_turns(lines, [d for d in days for _ in range(2)] + days[:1], each * width,
+                f"{base}/landing")
     run = ingest_topic(
         spark, "orders", f"{base}/landing", f"{base}/lake", f"{base}/checkpoint",
-        f"{base}/quarantine", f"{base}/metrics", max_files=1, quarantine_files=20,
-        delay=FEED_DELAY, state_partitions=4, spread=0,
+        f"{base}/quarantine", f"{base}/metrics", max_files=width, quarantine_files=20 * width,
+        delay=FEED_DELAY, state_partitions=max(4, 2 * width), spread=0,
     )
     in_lake = lake.read_lake(spark, f"{base}/lake", ORDERS).count()
     in_quarantine = spark.read.parquet(f"{base}/quarantine").count()
