@@ -497,10 +497,12 @@ def _as_text(df: DataFrame, *columns: str) -> DataFrame:
 def _typed_stream(spark, queue: DataFrame, name: str, make) -> DataFrame:
     """All-text rows of a queue, typed by a stream in several batches."""
     base = scratch_dir(spark, f"stream-typed-{name}")
-    queue.repartition(BATCHES).write.json(f"{base}/queue")
-    stream = spark.readStream.schema(queue.schema).option("maxFilesPerTrigger", 1).json(
-        f"{base}/queue")
-    drain(make(stream), BatchWriter(f"{base}/raw", partition_by=()), f"{base}/checkpoint")
+    land(queue, f"{base}/queue", max(1, min(FILE_ROWS, -(-queue.count() // BATCHES))))
+    stream = spark.readStream.schema(queue.schema).option(
+        "maxFilesPerTrigger", files_per_batch(spark, f"{base}/queue")).json(f"{base}/queue")
+    # A row is typed where it is read, and stays there: landed files are neither many nor large.
+    drain(make(stream), BatchWriter(f"{base}/raw", partition_by=(), files=None),
+          f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/raw")
 
 

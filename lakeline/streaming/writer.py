@@ -51,7 +51,8 @@ class BatchWriter:
     A batch that is replayed after a crash overwrites its own partitions, so an append never
     doubles. Rows are counted while they are written; nothing is computed twice. An empty batch
     writes nothing. Rows are dealt out by partition and a few slices of it before they are
-    written, so the number of files does not follow the number of shuffle tasks.
+    written, so the number of files does not follow the number of shuffle tasks. ``files`` of
+    None leaves them where they are, which saves the shuffle of a stream that has no other.
     """
 
     def __init__(
@@ -61,7 +62,7 @@ class BatchWriter:
         on_missing: str = "fail",
         max_skips: int = 5,
         transform: Callable[[DataFrame], DataFrame] | None = None,
-        files: int = FILES_PER_PARTITION,
+        files: int | None = FILES_PER_PARTITION,
         rows_per_file: int = ROWS_PER_FILE,
     ):
         self.path = path
@@ -75,6 +76,8 @@ class BatchWriter:
         self.skips = 0
 
     def _laid_out(self, df: DataFrame) -> DataFrame:
+        if self.files is None:
+            return df
         slice_of = F.pmod(F.xxhash64(*df.columns), F.lit(self.files))
         if not self.partition_by:
             return df.repartition(self.files, slice_of)
