@@ -553,7 +553,9 @@ def typed_rider_ingest(spark, sf_dir):
 @query
 def stream_quarantine(spark, sf_dir):
     base = scratch_dir(spark, "stream-quarantine")
-    _broken(adapters.raw_orders(spark, sf_dir)).select("value").write.text(f"{base}/landing")
+    (_broken(adapters.raw_orders(spark, sf_dir)).select("value")
+     .write.option("compression", "gzip").option("maxRecordsPerFile", FILE_ROWS)
+     .text(f"{base}/landing"))
     drain_quarantine(spark, "orders", f"{base}/landing", f"{base}/bad", f"{base}/checkpoint",
                      max_files=files_per_batch(spark, f"{base}/landing"))
     return spark.read.parquet(f"{base}/bad").groupBy("reason").agg(
