@@ -48,6 +48,34 @@ def test_hot_join_equals_plain_left_join(spark, keys, right_rows, slice_rows):
     assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
 
 
+def test_hot_keys_are_sought_in_large_groups_only(spark, monkeypatch):
+    """Where no group of keys is large enough no key is counted, and nothing is written."""
+    monkeypatch.setattr(joins, "KEY_GROUPS", 16)
+    right = spark.range(900).select(F.when(F.col("id") < 300, "hot").otherwise(
+        F.concat(F.lit("k"), F.col("id"))).alias("k"), "id")
+    asked = []
+    real = joins.scratch_dir
+    monkeypatch.setattr(joins, "scratch_dir", lambda *a: asked.append(a) or real(*a))
+    assert joins.hot_keys(right, "k", 500) is None and asked == []
+    found = joins.hot_keys(right, "k", 200).collect()
+    assert [(r.k, r.slices) for r in found] == [("hot", 3)] and len(asked) == 1
+    assert joins.hot_keys(right.where("k <> 'hot'"), "k", 2) is None
+    assert joins.hot_keys(right.where("false"), "k", 20) is None
+
+
+def test_hot_join_deals_left_rows_to_taken_slices_only(spark):
+    """Left rows with no, one and many matches, a NULL key, and a left key that repeats."""
+    left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4), (None, 5), ("d", 6)],
+                                 "k string, l int")
+    right = spark.range(40).select(F.when(F.col("id") < 30, "a").when(F.col("id") < 31, "b")
+                                   .otherwise("z").alias("k"), F.col("id").alias("r"))
+    hot = spark.createDataFrame([("a", 4), ("b", 4), ("c", 4), ("z", 4)], "k string, slices int")
+    split = joins.left_join(left, right, "k", hot)
+    assert sorted(map(str, split.collect())) == sorted(map(str, left.join(right, "k", "left").collect()))
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("LeftAnti") == 2
+
+
 def test_hot_keys_without_bound_over_several_join_columns(spark):
     right = spark.range(6000).select((F.col("id") % 1500).alias("k"), (F.col("id") % 2).alias("d"),
                                      F.col("id").alias("b"))
