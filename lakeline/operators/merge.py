@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..session import scratch_dir
 from ..sources.fs import Folder, partition_values
 from ..sources.layout import laid_out
-from ..sources.ledger import ATTEMPTS, NO_VALUE, Conflict, Ledger, Live, read_table  # noqa: F401
+from ..sources.ledger import ATTEMPTS, NO_VALUE, Conflict, Ledger, Live, Snapshot, read_table  # noqa: F401
 
 
 def incremental_source(
@@ -65,6 +65,11 @@ def upsert(
     commit; if another writer was first, the upsert is computed again from what that one left.
     """
     table = Ledger(spark, path)
+    if not table.versions():
+        try:
+            return _first_load(table, source, key, partition_by, cluster_by)
+        except Conflict:
+            pass   # Another writer made the table meanwhile.
     # The source feeds several steps: write it once, in the shared folder.
     staged_path = scratch_dir(spark, "upsert")
     try:
@@ -83,6 +88,17 @@ def upsert(
     return []
 
 
+def _first_load(table: Ledger, source: DataFrame, key: str, partition_by: str,
+                cluster_by: Sequence[str]) -> list[str]:
+    """There is nothing to compare with, so the source feeds one step only."""
+    written = table.stage(source, (partition_by,), cluster_by, key=key)
+    if not written:
+        return []
+    base = Snapshot(partition_by=(partition_by,))
+    table.rewrite(base, written, source.schema, ())
+    return sorted({f.part.split("=", 1)[1] for f in written})
+
+
 def _upsert_once(table: Ledger, staged: DataFrame, incoming: list[str], key: str,
                  partition_by: str, cluster_by: Sequence[str], evolve: bool,
                  within: Column | None) -> list[str]:

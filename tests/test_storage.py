@@ -53,6 +53,38 @@ def test_upsert_replaces_inserts_and_moves(spark, tmp_path):
     assert [f for f in now.of() if f.part.endswith("-09")] == untouched
 
 
+def test_first_load_is_written_once(spark, tmp_path, monkeypatch):
+    asked, real = [], merge.scratch_dir
+    monkeypatch.setattr(merge, "scratch_dir", lambda *a: asked.append(a) or real(*a))
+    path, days = str(tmp_path / "t"), ("2024-01-01", "2024-01-02")
+    df = spark.createDataFrame([("a", 1, days[0]), ("b", 2, days[1]), ("b", 3, days[1])],
+                               "k string, v int, day string")
+    assert merge.upsert(spark, path, df, "k", "day") == [*days] and asked == []
+    live = Ledger(spark, path).latest().of()
+    assert [(f.part, f.rows, f.low, f.high) for f in live] == [
+        (f"day={days[0]}", 1, "a", "a"), (f"day={days[1]}", 2, "b", "b")]
+    assert sorted(map(tuple, read_table(spark, path, df.schema).collect())) == sorted(
+        map(tuple, df.collect()))
+
+
+def test_first_load_that_comes_second_is_an_upsert(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    one, two = (spark.createDataFrame([(k, v, "2024-01-01")], "k string, v int, day string")
+                for k, v in (("a", 1), ("a", 2)))
+    real, calls = Ledger.stage, []
+
+    def stage(self, *args, **options):
+        calls.append(1)
+        if len(calls) == 1:
+            merge.upsert(spark, path, one, "k", "day")
+        return real(self, *args, **options)
+
+    monkeypatch.setattr(Ledger, "stage", stage)
+    merge.upsert(spark, path, two, "k", "day")
+    assert [tuple(r) for r in read_table(spark, path, two.schema).collect()] == [
+        ("a", 2, "2024-01-01")]
+
+
 def test_upsert_of_nothing_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "fct")
     first = fact(spark, ("a", D(2024, 1, 1), "x", 1))
