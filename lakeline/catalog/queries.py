@@ -306,7 +306,8 @@ def _late_runs(spark, sf_dir):
         files = land_in_order(rows, f"{base}/landing/{run}")
         # No record comes twice in one run, so slices would hold every key a second time.
         batches += drain_topic(spark, "orders", f"{base}/landing", f"{base}/lake",
-                               f"{base}/checkpoint", max_files=per_batch, delay=FEED_DELAY)
+                               f"{base}/checkpoint", max_files=-(-files // BATCHES),
+                               delay=FEED_DELAY, spread=0)
     return base, batches
 
 
@@ -340,7 +341,6 @@ def _broken(raw: DataFrame) -> DataFrame:
     return broken.select("event_timestamp", numbers.alias("value"))
 
 
-@query
 #: Rows of a file of the accounted feed; a batch takes as many files as its rows fill.
 ACCOUNTING_FILE_ROWS = 100_000
 
@@ -364,6 +364,7 @@ def _land_turns(lines: DataFrame, turns: list[dt.date], files: int, path: str) -
             landed.child(f"{place}/{name}").date(start + dt.timedelta(seconds=turn))
 
 
+@query
 def stream_accounting(spark, sf_dir):
     """A run of over a hundred batches: every landed line is stored, late, a duplicate or bad.
 
@@ -598,7 +599,13 @@ def load_day_missing(spark, sf_dir):
     return spark.createDataFrame(loaded, "load_date string, rows_loaded bigint")
 
 
+#: Days that the lake of the given orders has, about.
+LAKE_DAYS = 14
+
+
 def _write_lake(spark, sf_dir, files: int) -> str:
+    """A lake whose days have about ``files`` files, or more where a file would have over
+    ``FILE_ROWS`` rows; no task writes more than a few times that."""
     base = scratch_dir(spark, "lake")
     rows = with_event_date_parts(adapters.raw_orders(spark, sf_dir)).withColumn(
         lake.BATCH_COLUMN, F.lit(0).cast("bigint")
@@ -631,13 +638,7 @@ def compact_outcomes(spark, sf_dir):
         [(step, c.rows, c.skipped or "compacted") for step, c in done],
         "step string, total_rows bigint, outcome string")
 
-#: Days that the lake of the given orders has, about.
-LAKE_DAYS = 14
-
 
-
-    """A lake whose days have about ``files`` files, or more where a file would have over
-    ``FILE_ROWS`` rows; no task writes more than a few times that."""
 @query
 def read_day_pruned(spark, sf_dir):
     base = _write_lake(spark, sf_dir, files=2)
@@ -655,7 +656,6 @@ def table_stats(spark, sf_dir):
     )
 
 
-def _upsert(spark, path, rows):
 def _fact(spark, sf_dir):
     """The fact as one run of the models made it: stored, so that loads don't make it again."""
     made = model(spark, sf_dir, "fct_orders")
@@ -664,6 +664,7 @@ def _fact(spark, sf_dir):
     return spark.read.schema(made.schema).parquet(path)
 
 
+def _upsert(spark, path, rows):
     merge.upsert(spark, path, rows, "order_id", "placed_date", ["city"])
 
 
@@ -1060,6 +1061,9 @@ def dq_incremental(spark, sf_dir):
 
 @query
 def dq_report(spark, sf_dir):
-    """All checks over one run whose marts are tables."""
-    models = run_models(spark, adapters.raw_tables(spark, sf_dir), scratch_dir(spark, "marts"))
+    """All checks over one run whose marts are tables. Models and checks read the staged orders
+    and payments many times, by order mostly, so these are stored in buckets of it."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    models = run_models(spark, adapters.raw_tables(spark, sf_dir), scratch_dir(spark, "marts"),
+                        buckets=buckets)
     return quality.run_checks(models, model_checks())

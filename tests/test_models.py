@@ -213,3 +213,25 @@ def test_run_models_lazy_and_stored_agree(rows, spark, tmp_path):
     for name in ("fct_orders", "dim_restaurant", "dim_rider", "rpt_hourly_revenue"):
         assert lazy[name].columns == stored[name].columns
         assert sorted(map(str, lazy[name].collect())) == sorted(map(str, stored[name].collect()))
+
+
+def test_report_of_checks_reads_staged_tables_in_buckets(spark, rows, monkeypatch):
+    from lakeline.catalog import queries
+
+    raw = {"orders": rows.orders({}), "payments": rows.payments({}), "rider_events": rows.riders({})}
+    monkeypatch.setattr(queries.adapters, "raw_tables", lambda spark, sf_dir: raw)
+    asked, real = [], queries.run_models
+    monkeypatch.setattr(queries, "run_models",
+                        lambda *a, **options: asked.append(options) or real(*a, **options))
+    assert queries.dq_report(spark, "").count() == 55
+    assert asked[0]["buckets"] == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_fact_of_the_loads_is_made_once(spark, rows, monkeypatch):
+    from lakeline.catalog import queries
+
+    raw = {"orders": rows.orders({}), "payments": rows.payments({}), "rider_events": rows.riders({})}
+    monkeypatch.setattr(queries.adapters, "raw_tables", lambda spark, sf_dir: raw)
+    fact = queries._fact(spark, "")
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan and fact.count() == 1
