@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Callable
 from functools import wraps
 
 from pyspark.errors import StreamingQueryException
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import readable_quantity, utc_datetime, with_event_date_parts
@@ -215,6 +217,8 @@ def final_vs_raw(spark, sf_dir):
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 #: Rows of a landed file, and files of a feed at least. A compressed file is one task.
 FILE_ROWS, FEED_FILES = 200_000, 16
+#: Quantiles of a feed's event times from which the starts of its files are taken.
+FEED_PLACES = 10_000
 MAX_FILES = 50   # of a trigger, as the job has it
 MAX_BYTES = 4 << 30   # of a trigger that is limited by bytes
 
@@ -230,17 +234,43 @@ def event_days(df: DataFrame) -> list[dt.date]:
     return [r.d for r in days]
 
 
+def _file_starts(df: DataFrame, copies: int) -> list[float]:
+    """Event times, in microseconds, at which the files of a feed but the first begin. One pass
+    over the times alone gives the number of rows and their quantiles."""
+    shares = ",".join(f"{i / FEED_PLACES}D" for i in range(1, FEED_PLACES))
+    found = df.select(F.unix_micros("event_timestamp").alias("at")).agg(
+        F.count("*").alias("rows"),
+        F.expr(f"percentile_approx(at, array({shares}), {FEED_PLACES})").alias("at"),
+    ).first()
+    files = max(FEED_FILES, copies * found["rows"] // FILE_ROWS)
+    if not found["at"]:
+        return []
+    return sorted({float(found["at"][max(0, i * FEED_PLACES // files - 1)])
+                   for i in range(1, files)})
+
+
 def land_in_order(df: DataFrame, path: str, copies: int = 1) -> int:
     """The feed in order of event time, file by file; each record ``copies`` times. Returns the
     number of files. Written at once; then the files get the times at which they would have
-    come, which is the order in which a stream reads them."""
-    files = max(FEED_FILES, copies * df.count() // FILE_ROWS)
-    ordered = df.repartitionByRange(files, "event_timestamp")
-    # Copied after the shuffle, which so carries each record once.
-    copied = ordered.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
-    with brief_shuffles(df.sparkSession):
-        land(copied.drop("__copy"), path, file_rows=0)
-    landed = Folder(df.sparkSession, path)
+    come, which is the order in which a stream reads them.
+
+    All columns are computed once: a range shuffle would do so a second time, for its sample.
+    """
+    spark, starts = df.sparkSession, _file_starts(df, copies)
+    at = F.unix_micros("event_timestamp").cast("double")
+    placed = df.withColumn("__at", F.coalesce(at, F.lit(-math.inf)))   # without a time: first
+    if starts:
+        placed = Bucketizer(splits=[-math.inf, *starts, math.inf], inputCol="__at",
+                            outputCol="__file").transform(placed)
+    else:
+        placed = placed.withColumn("__file", F.lit(0))
+    ordered = placed.repartitionById(len(starts) + 1, F.col("__file").cast("int"))
+    # Copied after the shuffle, which so carries each record once, and as a line, made once.
+    line = F.to_json(F.struct(*df.columns), {"timestampFormat": TS_FORMAT}).alias("value")
+    copied = ordered.select(line).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    with brief_shuffles(spark):
+        copied.drop("__copy").write.mode("append").option("compression", "gzip").text(path)
+    landed = Folder(spark, path)
     names = landed.names()
     start = dt.datetime.now(dt.timezone.utc) - dt.timedelta(seconds=len(names))
     for i, name in enumerate(names):

@@ -22,9 +22,9 @@ def dedup_stream(
     ``within_watermark`` is the stronger form: one row per ``id`` while its state lasts, whatever
     its time. Copies of one record, which may be a third of the input, are first removed within
     ``spread`` slices of the input, so that few of them meet in one state task; this costs a
-    second state store, and 0 leaves it out. ``slice_by`` says where a row came from, its file
-    for instance: a task that runs again must deal its rows as before. Without it nothing is
-    sliced.
+    second state store, and 0 leaves it out. ``slice_by`` says where a row came from, its file or
+    the task that read it: a task that runs again must deal its rows as before. Without it
+    nothing is sliced.
     """
     marked = df.withWatermark(ts, delay)
     if within_watermark:

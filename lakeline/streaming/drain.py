@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,6 +16,42 @@ from .metrics import ProgressLog, store_run, with_stored
 from .writer import BatchWriter
 
 
+#: Tasks that the files of a batch are dealt out to, by core.
+TASKS_PER_CORE = 8
+MIN_SPLITS = "spark.sql.files.minPartitionNum"
+STATE_VERSIONS = "spark.sql.streaming.maxBatchesToRetainInMemory"
+
+
+@contextlib.contextmanager
+def even_scans(spark: SparkSession) -> Iterator[None]:
+    """The files of a batch are dealt out to all cores, unless the session has its own number.
+
+    Spark packs files into tasks of 128 MB. Of compressed lines these are so many rows that a
+    large batch has hardly more tasks than there are cores, and waits for the last ones. A stream
+    looks the number up batch by batch, so this has to last as long as the stream.
+    """
+    if spark.conf.get(MIN_SPLITS, None) is not None:
+        yield
+        return
+    spark.conf.set(MIN_SPLITS, str(TASKS_PER_CORE * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.unset(MIN_SPLITS)
+
+
+@contextlib.contextmanager
+def one_state_version(spark: SparkSession) -> Iterator[None]:
+    """State that is kept on the heap is kept in its newest version only; a batch that runs
+    again reads the one before it from the checkpoint."""
+    before = spark.conf.get(STATE_VERSIONS)
+    spark.conf.set(STATE_VERSIONS, str(min(1, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_VERSIONS, before)
+
+
 def drain(stream: DataFrame, writer: Callable[[DataFrame, int], None], checkpoint: str,
           mode: str = "append", state_partitions: int | None = None) -> list[dict]:
     """Process what has arrived, then stop; the next call resumes from the checkpoint.
@@ -63,8 +100,9 @@ def topic_stream(
     good, _ = split_corrupt(
         read_events(spark, landing, schema, max_files, max_bytes=max_bytes), required(schema)
     )
+    # By the task that read them, so by files: a path beside every row costs more than its slice.
     unique = dedup_stream(good, key, "event_timestamp", delay, within_watermark, spread,
-                          F.col("_metadata.file_path"))
+                          F.spark_partition_id())
     return with_event_date_parts(unique)
 
 
@@ -80,8 +118,9 @@ def drain_topic(
 ) -> list[dict]:
     """Good rows of a landing folder to a lake table, once."""
     writer = writer or BatchWriter(lake)
-    progress = drain(topic_stream(spark, topic, landing, **stream_options), writer, checkpoint,
-                     state_partitions=state_partitions)
+    with even_scans(spark), one_state_version(spark):
+        progress = drain(topic_stream(spark, topic, landing, **stream_options), writer, checkpoint,
+                         state_partitions=state_partitions)
     return with_stored(progress, writer)
 
 

@@ -2,16 +2,18 @@
 
 import datetime as dt
 import gzip
+import json
 import os
+import re
 
 import pytest
 from conftest import utc
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from lakeline.catalog import queries
 from lakeline.session import SHUFFLE_CLEANUP
 from lakeline.sources import lake
-from lakeline.streaming.drain import drain
+from lakeline.streaming.drain import MIN_SPLITS, STATE_VERSIONS, drain, drain_topic, topic_stream
 from lakeline.streaming.writer import BatchWriter
 
 
@@ -118,3 +120,82 @@ def test_late_runs_remember_each_key_once(spark, orders, monkeypatch):
     assert [o["spread"] for o in seen] == [0, 0]
     assert all(f.endswith(".gz") for f in files_of(f"{base}/landing"))
     assert spark.read.option("recursiveFileLookup", "true").json(f"{base}/landing").count() == 200
+
+
+def test_ordered_feed_computes_its_columns_once(spark, orders, tmp_path):
+    """Not a second time for the sample of a range shuffle, nor a line for each copy."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        made.add(1)
+        return text
+
+    queries.land_in_order(orders.withColumn("items", counted("items")), f"{tmp_path}/l", copies=3)
+    assert made.value == 100
+    assert sum(len(lines_of(f)) for f in files_of(f"{tmp_path}/l")) == 300
+
+
+def test_lines_of_an_ordered_feed_are_those_of_the_json_writer(orders, tmp_path):
+    some = orders.withColumn("district", F.when(F.col("order_id") != "o7", F.lit('a "b" ỹ')))
+    queries.land_in_order(some, f"{tmp_path}/ordered", copies=2)
+    queries.land(some, f"{tmp_path}/plain")
+    lines = {name: sorted(x for f in files_of(f"{tmp_path}/{name}") for x in lines_of(f))
+             for name in ("ordered", "plain")}
+    assert lines["ordered"] == sorted(2 * lines["plain"]) and len(lines["plain"]) == 100
+
+
+def test_ordered_feed_of_rows_without_a_time_of_one_time_and_of_none(orders, tmp_path):
+    at = F.col("event_timestamp")
+    some = orders.withColumn("event_timestamp", F.when(F.minute(at) >= 30, at))
+    queries.land_in_order(some, f"{tmp_path}/some")
+    found = files_of(f"{tmp_path}/some")
+    without = [sum("event_timestamp" not in json.loads(x) for x in lines_of(f)) for f in found]
+    assert without == [sum(without)] + [0] * (len(found) - 1) and len(found) > 10
+    assert sum(without) == 60 and sum(len(lines_of(f)) for f in found) == 100
+    for name, rows, number in (("one", some.withColumn("event_timestamp", F.max(at).over(
+            Window.partitionBy())), 100), ("none", some.where("false"), 0)):
+        queries.land_in_order(rows, f"{tmp_path}/{name}", copies=2)
+        assert sum(len(lines_of(f)) for f in files_of(f"{tmp_path}/{name}")) == 2 * number
+
+
+def test_files_of_a_batch_are_dealt_out_to_all_cores(spark, orders, tmp_path):
+    """Twenty small files, four cores: Spark alone packs five into a task."""
+    queries.land(orders.repartition(20), f"{tmp_path}/l")
+    seen = []
+
+    def look(df):
+        # The last shuffle in the lineage is the one that the scan feeds.
+        seen.append(int(re.findall(r"\+-\((\d+)\)", df._jdf.rdd().toDebugString())[-1]))
+        return df
+
+    drain_topic(spark, "orders", f"{tmp_path}/l", f"{tmp_path}/lake", f"{tmp_path}/c",
+                BatchWriter(f"{tmp_path}/lake", transform=look))
+    assert seen[0] >= 16
+    assert spark.conf.get(MIN_SPLITS, None) is None
+    assert lake.read_lake(spark, f"{tmp_path}/lake", orders.schema).count() == 100
+
+
+def test_own_number_of_scan_tasks_is_kept(spark, orders, tmp_path):
+    queries.land(orders, f"{tmp_path}/l")
+    spark.conf.set(MIN_SPLITS, "3")
+    try:
+        drain_topic(spark, "orders", f"{tmp_path}/l", f"{tmp_path}/lake", f"{tmp_path}/c")
+        assert spark.conf.get(MIN_SPLITS) == "3"
+    finally:
+        spark.conf.unset(MIN_SPLITS)
+
+
+def test_state_of_a_drain_is_kept_in_one_version(spark, orders, tmp_path):
+    queries.land(orders, f"{tmp_path}/l")
+    before, seen = spark.conf.get(STATE_VERSIONS), []
+    writer = BatchWriter(f"{tmp_path}/lake", transform=lambda df: seen.append(
+        df.sparkSession.conf.get(STATE_VERSIONS)) or df)
+    drain_topic(spark, "orders", f"{tmp_path}/l", f"{tmp_path}/lake", f"{tmp_path}/c", writer)
+    assert set(seen) == {"1"} and spark.conf.get(STATE_VERSIONS) == before == "2"
+
+
+def test_slices_carry_no_path_beside_every_row(spark, orders, tmp_path):
+    queries.land(orders, f"{tmp_path}/l")
+    plan = topic_stream(spark, "orders", f"{tmp_path}/l")._jdf.queryExecution().analyzed().toString()
+    assert "__slice" in plan and "file_path" not in plan
