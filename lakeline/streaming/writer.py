@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import contextlib
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..sources.lake import BATCH_COLUMN, DAY_COLUMNS
 
 #: Files that one micro-batch leaves in a partition folder at most, and rows of one file.
 FILES_PER_PARTITION, ROWS_PER_FILE = 4, 2_000_000
+#: Rows of a batch from which its partitions are dealt out to more tasks, a task for so many.
+ROWS_PER_TASK = 1_000_000
+#: Partitions that a task writes side by side. Only a task with more of them sorts its rows.
+OPEN_FILES = 4
+OPEN_FILES_SETTING = "spark.sql.maxConcurrentOutputFileWriters"
 MISSING_CONDITIONS = ("FAILED_READ_FILE.FILE_NOT_EXIST", "PATH_NOT_FOUND")
 
 
@@ -45,14 +51,27 @@ def _condition(cause) -> str | None:
         return None
 
 
+@contextlib.contextmanager
+def _open_files(spark: SparkSession) -> Iterator[None]:
+    """Writes in here need no sort by partition, which a large batch would spill."""
+    before = spark.conf.get(OPEN_FILES_SETTING)
+    spark.conf.set(OPEN_FILES_SETTING, str(max(OPEN_FILES, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(OPEN_FILES_SETTING, before)
+
+
 class BatchWriter:
     """``foreachBatch`` target: Parquet partitions with the batch as innermost one.
 
     A batch that is replayed after a crash overwrites its own partitions, so an append never
     doubles. Rows are counted while they are written; nothing is computed twice. An empty batch
     writes nothing. Rows are dealt out by partition and a few slices of it before they are
-    written, so the number of files does not follow the number of shuffle tasks. ``files`` of
-    None leaves them where they are, which saves the shuffle of a stream that has no other.
+    written, so the number of files does not follow the number of shuffle tasks. After a batch of
+    many million rows there are more slices, so that a day of the next one is not left to a few
+    tasks. ``files`` of None leaves rows where they are, which saves the shuffle of a stream that
+    has no other.
     """
 
     def __init__(
@@ -78,9 +97,11 @@ class BatchWriter:
     def _laid_out(self, df: DataFrame) -> DataFrame:
         if self.files is None:
             return df
-        slice_of = F.pmod(F.xxhash64(*df.columns), F.lit(self.files))
+        last = self.batches[-1]["rows"] if self.batches else 0
+        slices = max(self.files, -(-last // ROWS_PER_TASK))
+        slice_of = F.pmod(F.xxhash64(*df.columns), F.lit(slices))
         if not self.partition_by:
-            return df.repartition(self.files, slice_of)
+            return df.repartition(slices, slice_of)
         return df.repartition(*self.partition_by, slice_of)
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
@@ -92,13 +113,14 @@ class BatchWriter:
         ).observe(seen, F.count("*").alias("rows"))
         started = time.perf_counter()
         try:
-            (
-                rows.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .option("maxRecordsPerFile", self.rows_per_file)
-                .partitionBy(*self.partition_by, BATCH_COLUMN)
-                .parquet(self.path)
-            )
+            with _open_files(df.sparkSession):
+                (
+                    rows.write.mode("overwrite")
+                    .option("partitionOverwriteMode", "dynamic")
+                    .option("maxRecordsPerFile", self.rows_per_file)
+                    .partitionBy(*self.partition_by, BATCH_COLUMN)
+                    .parquet(self.path)
+                )
         except (PySparkException, Py4JJavaError) as error:
             if self.on_missing == "fail" or not input_is_gone(error):
                 raise

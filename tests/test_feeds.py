@@ -8,11 +8,12 @@ import re
 
 import pytest
 from conftest import utc
-from pyspark.sql import Window, functions as F
+from pyspark.sql import DataFrameWriter, Window, functions as F
 
 from lakeline.catalog import queries
 from lakeline.session import SHUFFLE_CLEANUP
 from lakeline.sources import lake
+from lakeline.streaming import writer as writers
 from lakeline.streaming.drain import MIN_SPLITS, STATE_VERSIONS, drain, drain_topic, topic_stream
 from lakeline.streaming.writer import BatchWriter
 
@@ -199,3 +200,42 @@ def test_slices_carry_no_path_beside_every_row(spark, orders, tmp_path):
     queries.land(orders, f"{tmp_path}/l")
     plan = topic_stream(spark, "orders", f"{tmp_path}/l")._jdf.queryExecution().analyzed().toString()
     assert "__slice" in plan and "file_path" not in plan
+
+
+def test_large_batches_are_dealt_out_to_more_tasks_from_the_second_on(
+        spark, orders, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "ROWS_PER_TASK", 5, raising=False)
+    writer, found = BatchWriter(f"{tmp_path}/l", partition_by=("city",)), []
+    # A stateful batch is not replanned, so its small shuffle tasks are not put together.
+    wanted = {"spark.sql.shuffle.partitions": "200", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        for batch in range(2):
+            writer(orders, batch)
+            found.append(len(files_of(f"{tmp_path}/l/city=hanoi/batch_id={batch}")))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert found[0] <= 4 < 10 < found[1] <= 20
+    assert spark.read.parquet(f"{tmp_path}/l").groupBy("order_id").count().where(
+        "count <> 2").isEmpty()
+
+
+@pytest.mark.parametrize("cities", [3, 30])
+def test_partitions_of_a_batch_are_written_without_a_sort(spark, orders, tmp_path, monkeypatch, cities):
+    """Or with one, where a task has many of them; the rows are the same."""
+    setting, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    some = orders.withColumn("city", F.concat(F.lit("c"), F.minute("event_timestamp") % cities))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *a: seen.append(
+        int(spark.conf.get(setting))) or write(*a))
+    try:
+        BatchWriter(f"{tmp_path}/l", partition_by=("city",))(some, 0)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    stored = spark.read.schema(some.schema).parquet(f"{tmp_path}/l").select(some.columns)
+    assert stored.exceptAll(some).isEmpty() and some.exceptAll(stored).isEmpty()
+    assert seen[0] > 0 and spark.conf.get(setting) == "0"
